@@ -106,37 +106,58 @@ def _pick_rate(on_date: Column) -> Column:
     return F.when(on_date.isNull(), newest_any["rate"]).otherwise(chosen["rate"])
 
 
-def fx_rate_lookup(df: DataFrame, rates: DataFrame, currency_col: str, date_col: str | None,
-                   out_col: str = "fx_rate", to_currency: str = K.LEDGER_CURRENCY,
-                   known_rate_rows: int | None = None) -> DataFrame:
-    """Left lookup of the rate for (currency, date).
+def fx_rate_lookup_many(df: DataFrame, rates: DataFrame, currency_col: str,
+                        dates: dict[str, str | None], to_currency: str = K.LEDGER_CURRENCY,
+                        known_rate_rows: int | None = None) -> DataFrame:
+    """J4 for several dates of one row with a single broadcast join.
 
+    ``dates`` maps output column -> date column (None = no date).
     Currency compares ignoring case; ``fromDate <= date <= toDate`` with both
     ends inclusive and a null toDate open; the latest fromDate wins; a null
     date takes the newest rate of all.  No rate -> null.
     """
     periods = checked_broadcast(_rates_by_currency(rates, to_currency), known_rows=known_rate_rows)
-    on_date = F.try_to_date(F.col(date_col).cast("string")) if date_col else F.lit(None).cast("date")
-    joined = df.join(periods, F.upper(df[currency_col]) == periods["_fx_ccy"], "left")
-    return joined.withColumn(out_col, _pick_rate(on_date)).drop("_fx_ccy", "_fx_periods")
+    out = df.join(periods, F.upper(df[currency_col]) == periods["_fx_ccy"], "left")
+    for out_col, date_col in dates.items():
+        on_date = F.try_to_date(F.col(date_col).cast("string")) if date_col else F.lit(None).cast("date")
+        out = out.withColumn(out_col, _pick_rate(on_date))
+    return out.drop("_fx_ccy", "_fx_periods")
+
+
+def fx_rate_lookup(df: DataFrame, rates: DataFrame, currency_col: str, date_col: str | None,
+                   out_col: str = "fx_rate", to_currency: str = K.LEDGER_CURRENCY,
+                   known_rate_rows: int | None = None) -> DataFrame:
+    """Left lookup of the rate for (currency, date)."""
+    return fx_rate_lookup_many(df, rates, currency_col, {out_col: date_col}, to_currency, known_rate_rows)
+
+
+def same_currency(currency_col: str, to_currency: str = K.LEDGER_CURRENCY) -> Column:
+    return F.upper(F.col(currency_col)) == F.lit(to_currency.upper())
+
+
+def effective_rate(found_rate_col: str, currency_col: str, to_currency: str = K.LEDGER_CURRENCY) -> Column:
+    """Rate used by J5: 1 for the same currency, else the looked-up rate."""
+    return F.when(same_currency(currency_col, to_currency), F.lit(1).cast(RATE_TYPE)).otherwise(F.col(found_rate_col))
+
+
+def converted_amount(amount_col: str, currency_col: str, found_rate_col: str,
+                     to_currency: str = K.LEDGER_CURRENCY) -> Column:
+    """J5 amount: same currency -> amount unrounded; no rate -> null;
+    else decimal amount x rate rounded half-even to 2 dp."""
+    amount = F.col(amount_col).cast(T.DecimalType(18, 2))
+    return (F.when(same_currency(currency_col, to_currency), amount)
+            .otherwise(F.bround(amount * F.col(found_rate_col), 2).cast(T.DecimalType(18, 2))))
 
 
 def fx_convert(df: DataFrame, rates: DataFrame, amount_col: str, currency_col: str,
                date_col: str | None, to_currency: str = K.LEDGER_CURRENCY,
                rate_col: str = "fx_rate", out_col: str = "converted_amount",
                known_rate_rows: int | None = None) -> DataFrame:
-    """Convert ``amount`` into ``to_currency``.
-
-    Same currency (ignoring case): rate 1 and the amount unrounded.  No
-    rate: null.  Otherwise decimal amount x rate rounded half-even to 2 dp.
-    """
+    """Convert ``amount`` into ``to_currency`` at the rate of ``date``."""
     looked = fx_rate_lookup(df, rates, currency_col, date_col, "_fx_found", to_currency, known_rate_rows)
-    same = F.upper(F.col(currency_col)) == F.lit(to_currency.upper())
-    amount = F.col(amount_col).cast(T.DecimalType(18, 2))
     return (looked
-            .withColumn(rate_col, F.when(same, F.lit(1).cast(RATE_TYPE)).otherwise(F.col("_fx_found")))
-            .withColumn(out_col, F.when(same, amount)
-                        .otherwise(F.bround(amount * F.col("_fx_found"), 2).cast(T.DecimalType(18, 2))))
+            .withColumn(rate_col, effective_rate("_fx_found", currency_col, to_currency))
+            .withColumn(out_col, converted_amount(amount_col, currency_col, "_fx_found", to_currency))
             .drop("_fx_found"))
 
 

@@ -96,7 +96,7 @@ LATENCY_MEASURES = ("total_seconds", "sec_ingest_to_ocr", "sec_agent_total", "se
 
 def default_measures(df: DataFrame, by: list[str], measures=LINE_MEASURES) -> DataFrame:
     """The semantic model's default ``sum`` measures by chosen dimensions."""
-    return df.groupBy(*by).agg(*[F.round(F.sum(m), 2).alias(f"sum_{m}") for m in measures])
+    return df.groupBy(*by).agg(*[F.round(F.sum(F.col(m).cast("double")), 2).alias(f"sum_{m}") for m in measures])
 
 
 def gold(inv: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
