@@ -38,7 +38,8 @@ def generated_rates(spark: SparkSession) -> DataFrame:
     quarter is open-ended (toDate null), like the reference table.
     """
     quarters = 4 * (K.FX_GENERATED_LAST_YEAR - K.FX_GENERATED_FIRST_YEAR + 1)
-    base = spark.createDataFrame(list(K.FX_GENERATED_BASE), "from string, base double")
+    base = spark.createDataFrame([(c, b, i) for i, (c, b) in enumerate(K.FX_GENERATED_BASE)],
+                                 "from string, base double, ccy_idx int")
     q = spark.range(quarters).withColumnRenamed("id", "qi")
     year = F.lit(K.FX_GENERATED_FIRST_YEAR) + (F.col("qi") / 4).cast("int")
     month = (F.col("qi") % 4) * 3 + 1
@@ -50,7 +51,13 @@ def generated_rates(spark: SparkSession) -> DataFrame:
                 F.date_format(start, "yyyy-MM-dd").alias("fromDate"),
                 F.when(F.col("qi") == quarters - 1, F.lit(None).cast("string"))
                  .otherwise(F.date_format(F.last_day(F.add_months(start, 2)), "yyyy-MM-dd")).alias("toDate"),
-                F.round(F.col("base") + F.lit(0.01) * step, 2).cast(RATE_TYPE).alias("rate")))
+                F.round(F.col("base") + F.lit(0.01) * step, 2).cast(RATE_TYPE).alias("rate"),
+                (F.col("ccy_idx") * 1000 + F.col("qi")).alias("position")))
+
+
+def generated_rates_with_position(spark: SparkSession) -> DataFrame:
+    """Generated rates with their list position (for J6's "first listed")."""
+    return generated_rates(spark)
 
 
 def read_rates_json(spark: SparkSession, path: str) -> DataFrame:

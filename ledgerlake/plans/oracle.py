@@ -48,9 +48,9 @@ BASE = f"""
 region_ccy(n_regionkey, currency) AS (VALUES {_values(K.REGION_CURRENCY)}),
 terms(o_orderpriority, paymentTerms, due_days) AS (VALUES {_values(K.PRIORITY_TERMS)}),
 event_files(event_type, file_name) AS (VALUES {_values(K.EVENT_FILE_NAMES)}),
-fx_base("from", base) AS (VALUES {_values(K.FX_GENERATED_BASE)}),
+fx_base("from", base, ccy_idx) AS (VALUES {_values([(c, b, i) for i, (c, b) in enumerate(K.FX_GENERATED_BASE)])}),
 fx_q AS (
-  SELECT b."from", CAST(b.base AS DOUBLE) AS base, q.range AS qi, {_FIRST_YEAR} + q.range // 4 AS yr
+  SELECT b."from", CAST(b.base AS DOUBLE) AS base, b.ccy_idx, q.range AS qi, {_FIRST_YEAR} + q.range // 4 AS yr
   FROM fx_base b, range(0, {_QUARTERS}) q),
 fx AS (
   SELECT "from", 'AUD' AS "to",
@@ -58,7 +58,8 @@ fx AS (
          CASE WHEN qi = {_QUARTERS - 1} THEN NULL
               ELSE CAST(last_day(make_date(CAST(yr AS INT), CAST((qi % 4) * 3 + 1 AS INT), 1) + INTERVAL 2 MONTH) AS DATE)
          END AS td,
-         CAST({_r("base + CAST(0.01 AS DOUBLE) * CAST(((yr * 4 + qi % 4) * 3) % 5 - 2 AS DOUBLE)")} AS DECIMAL(18,6)) AS rate
+         CAST({_r("base + CAST(0.01 AS DOUBLE) * CAST(((yr * 4 + qi % 4) * 3) % 5 - 2 AS DOUBLE)")} AS DECIMAL(18,6)) AS rate,
+         ccy_idx * 1000 + qi AS position
   FROM fx_q),
 hdr0 AS (
   SELECT o.o_orderkey, o.o_orderdate, o.o_orderstatus, c.c_name, rc.currency, t.paymentTerms, t.due_days,

@@ -1,4 +1,239 @@
-"""DuckDB oracle SQL for the business-rule queries (filled in with the rules)."""
+"""DuckDB oracle SQL for the business-rule queries.
 
-RULE_CTES = ""
-RULE_SELECTS: dict[str, str] = {}
+Matching is written the obvious way here (``contains`` in the join
+condition): the oracle only has to be right at the check's scale, while
+the Spark plan uses the k-gram equi-join.
+"""
+
+from __future__ import annotations
+
+from .. import constants as K
+from ..operators.rules import A7_TEXT, A8_TEXT
+from .oracle import _r
+
+
+def _money(expr: str, currency_sql: str = f"'{K.DEFAULT_MONEY_CURRENCY}'") -> str:
+    return (f"CASE WHEN ({expr}) IS NULL OR isnan(CAST({_r(expr)} AS DOUBLE)) THEN '{K.MISSING_MONEY_TEXT}' "
+            f"ELSE {currency_sql} || ' ' || printf('%.2f', {_r(expr)}) END")
+
+
+def _fill(template: str, values: dict[str, str]) -> str:
+    parts, rest = [], template
+    while "{" in rest:
+        head, tail = rest.split("{", 1)
+        name, rest = tail.split("}", 1)
+        if head:
+            parts.append("'" + head.replace("'", "''") + "'")
+        parts.append(f"coalesce(CAST(({values[name]}) AS VARCHAR), 'null')")
+    if rest:
+        parts.append("'" + rest.replace("'", "''") + "'")
+    return " || ".join(parts)
+
+
+_TOL = f"greatest(m_expected * CAST({K.RULE_TOLERANCE_PERCENT / 100.0} AS DOUBLE), CAST({K.RULE_TOLERANCE_ABSOLUTE} AS DOUBLE))"
+_THRESH = f"CAST({K.RULE_HIGH_VALUE_THRESHOLD} AS DOUBLE)"
+_EXACT = f"CAST({K.RULE_EXACT_PRICE_DELTA} AS DOUBLE)"
+
+
+def _reason_case(texts: dict[str, str], values: dict[str, str], order) -> str:
+    return "CASE ruleApplied " + " ".join(f"WHEN '{r}' THEN {_fill(texts[r], values)}" for r in order) + " END"
+
+
+_A7_VALUES = {
+    "description": "description", "vendor": "vendorName",
+    "line_total": _money("convertedLineTotal", "'AUD'"), "threshold": _money(_THRESH, "'AUD'"),
+    "expected": _money("m_expected", "'AUD'"), "unit_price": _money("convertedUnitPrice", "'AUD'"),
+    "tolerance": _money("tol", "'AUD'"), "diff": _money("diff", "'AUD'"),
+}
+_A8_VALUES = {
+    "category": "categoryName", "description": "description", "ledger_category": "ledger_category",
+    "line_total": _money("lineTotal"), "threshold": _money(_THRESH),
+    "expected": _money("m_expected"), "unit_price": _money("unitPrice"),
+    "tolerance": _money("tol"), "diff": _money("diff"),
+}
+
+
+def _best(cands: str, rank_contains: int, src: str, out: str) -> str:
+    return f"""
+{cands} AS (
+  SELECT d.t, x.ledgerCode, x.itemName, x.expectedUnitPrice, x.item_position,
+         CASE WHEN d.t = x.term_l THEN 0 ELSE {rank_contains} END AS match_rank,
+         CASE WHEN contains(d.t, x.term_l) THEN length(x.term_l) ELSE length(d.t) END AS overlap
+  FROM {src} d JOIN ledger_terms x
+    ON length(d.t) > 0 AND (contains(d.t, x.term_l) OR contains(x.term_l, d.t))),
+{out} AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY t ORDER BY match_rank, overlap DESC, item_position) AS rn
+    FROM {cands}) WHERE rn = 1)"""
+
+
+RULE_CTES = f"""
+ledger_items AS (
+  SELECT p_type AS categoryName, CAST(min(p_partkey) AS VARCHAR) AS ledgerCode, upper(p_name) AS itemName,
+         min(p_retailprice) AS expectedUnitPrice, [arg_min(p_brand, p_partkey)] AS aliases,
+         min(p_partkey) AS item_position
+  FROM part GROUP BY p_type, p_name),
+ledger_categories AS (
+  SELECT p_type AS categoryName, {_r("sum(p_retailprice) * 50")} AS approvedBudget,
+         {_r("sum(p_retailprice) * 20")} AS ytdBalance
+  FROM part GROUP BY p_type),
+ledger_terms AS (
+  SELECT DISTINCT categoryName, ledgerCode, itemName, expectedUnitPrice, item_position, lower(term) AS term_l
+  FROM (SELECT *, unnest(list_distinct(list_concat([itemName], aliases))) AS term FROM ledger_items)
+  WHERE length(term) > 0),
+j7_best AS (
+  SELECT d.cat_l, d.desc_l,
+         arg_min(t.ledgerCode, t.item_position) AS ledgerCode,
+         arg_min(t.itemName, t.item_position) AS itemName,
+         arg_min(t.expectedUnitPrice, t.item_position) AS expectedUnitPrice
+  FROM (SELECT DISTINCT lower(categoryName) AS cat_l, lower(coalesce(description, '')) AS desc_l FROM silver_lines) d
+  JOIN ledger_terms t ON lower(t.categoryName) = d.cat_l AND contains(d.desc_l, t.term_l)
+  GROUP BY d.cat_l, d.desc_l),
+j7 AS (
+  SELECT l.*, c.categoryName AS ledger_category, b.desc_l IS NOT NULL AS has_item,
+         b.ledgerCode AS m_code, b.itemName AS m_item, b.expectedUnitPrice AS m_expected
+  FROM silver_lines l
+  LEFT JOIN (SELECT lower(categoryName) AS cat_l, min(categoryName) AS categoryName
+             FROM ledger_categories GROUP BY 1) c ON c.cat_l = lower(l.categoryName)
+  LEFT JOIN j7_best b ON b.cat_l = lower(l.categoryName) AND b.desc_l = lower(coalesce(l.description, ''))),
+j8_descs AS (SELECT DISTINCT lower(coalesce(description, '')) AS t FROM silver_lines),
+j8_vends AS (SELECT DISTINCT lower(coalesce(vendorName, '')) AS t FROM silver_lines),
+{_best("j8_dc", 1, "j8_descs", "j8_db").strip()},
+{_best("j8_vc", 2, "j8_vends", "j8_vb").strip()},
+j8 AS (
+  SELECT l.*, (db.t IS NOT NULL OR vb.t IS NOT NULL) AS has_item,
+         CASE WHEN db.t IS NOT NULL THEN db.ledgerCode ELSE vb.ledgerCode END AS m_code,
+         CASE WHEN db.t IS NOT NULL THEN db.itemName ELSE vb.itemName END AS m_item,
+         CASE WHEN db.t IS NOT NULL THEN db.expectedUnitPrice ELSE vb.expectedUnitPrice END AS m_expected,
+         CASE WHEN db.t IS NOT NULL THEN db.match_rank WHEN vb.t IS NOT NULL THEN 2 END AS m_rank
+  FROM silver_lines l
+  LEFT JOIN j8_db db ON db.t = lower(coalesce(l.description, ''))
+  LEFT JOIN j8_vb vb ON vb.t = lower(coalesce(l.vendorName, ''))),
+a7_base AS (
+  SELECT *, abs(convertedUnitPrice - m_expected) AS diff, {_TOL} AS tol FROM j8),
+a7_rule AS (
+  SELECT *, CASE WHEN NOT has_item THEN 'R5' WHEN convertedLineTotal > {_THRESH} THEN 'R4'
+                 WHEN diff < {_EXACT} THEN 'R1' WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
+  FROM a7_base),
+a7 AS (
+  SELECT invoiceId, lineNo, description AS lineItemDescription, vendorName AS businessName,
+         quantity, unitPrice, lineTotal, convertedUnitPrice, convertedLineTotal, 'AUD' AS convertedCurrency,
+         CASE WHEN ruleApplied = 'R5' THEN 'exception' WHEN ruleApplied IN ('R1', 'R2') THEN 'matched'
+              ELSE 'review' END AS status,
+         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
+         CASE WHEN has_item THEN m_code END AS ledgerCode,
+         ruleApplied,
+         {_reason_case(A7_TEXT, _A7_VALUES, ("R5", "R4", "R1", "R2", "R3"))} AS reason,
+         ruleApplied IN ('R3', 'R4') AS humanInLoop
+  FROM a7_rule),
+a8_base AS (
+  SELECT *, abs(unitPrice - m_expected) AS diff, {_TOL} AS tol FROM j7),
+a8_rule AS (
+  SELECT *, CASE WHEN ledger_category IS NULL THEN 'R6' WHEN NOT has_item THEN 'R5'
+                 WHEN lineTotal > {_THRESH} THEN 'R4' WHEN diff < {_EXACT} THEN 'R1'
+                 WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
+  FROM a8_base),
+a8 AS (
+  SELECT invoiceId, vendorName, categoryName, lineNo AS lineItemId, description, quantity, unitPrice, lineTotal,
+         ledger_category AS matchedLedgerCategory,
+         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
+         CASE WHEN ruleApplied IN ('R6', 'R5') THEN 'exception' WHEN ruleApplied IN ('R1', 'R2') THEN 'matched'
+              ELSE 'review' END AS status,
+         ruleApplied,
+         {_reason_case(A8_TEXT, _A8_VALUES, ("R6", "R5", "R4", "R1", "R2", "R3"))} AS reason,
+         ruleApplied IN ('R3', 'R4') AS humanInLoop
+  FROM a8_rule),
+g13 AS (
+  SELECT invoiceId,
+         count(*) FILTER (WHERE status = 'matched') AS matched,
+         count(*) FILTER (WHERE status = 'review') AS review,
+         count(*) FILTER (WHERE status = 'exception') AS exception,
+         count(*) AS totalProcessed,
+         min(vendorName) AS vendorName
+  FROM a8 GROUP BY invoiceId),
+u3 AS (
+  SELECT * FROM a7 WHERE status IN ('matched', 'review')
+  UNION ALL
+  SELECT * FROM a7 WHERE status = 'exception'),
+inv_ccy AS (
+  SELECT invoiceId, any_value(coalesce(invoiceCurrency, currency)) AS invoice_currency
+  FROM silver_invoice GROUP BY invoiceId),
+fx_lookup AS (
+  SELECT s.invoiceId, s.currency, s.invoiceDate, s.totalAmount,
+         (SELECT fx.rate FROM fx WHERE upper(fx."from") = upper(s.currency)
+            AND fx.fd <= TRY_CAST(s.invoiceDate AS DATE)
+            AND (fx.td IS NULL OR TRY_CAST(s.invoiceDate AS DATE) <= fx.td)
+          ORDER BY fx.fd DESC LIMIT 1) AS found_rate
+  FROM silver_invoice s)
+"""
+
+_AUD = "upper(currency) = 'AUD'"
+
+RULE_SELECTS: dict[str, str] = {
+    "fx_rate_lookup": "SELECT invoiceId, currency, invoiceDate, CAST(found_rate AS DOUBLE) AS rate FROM fx_lookup",
+    "fx_convert": (
+        f"SELECT invoiceId, currency, invoiceDate, totalAmount, "
+        f"CAST(CASE WHEN {_AUD} THEN CAST(1 AS DECIMAL(18,6)) ELSE found_rate END AS DOUBLE) AS rate, "
+        f"CAST(CASE WHEN {_AUD} THEN CAST(totalAmount AS DECIMAL(18,2)) "
+        f"ELSE round_even(CAST(totalAmount AS DECIMAL(18,2)) * found_rate, 2) END AS DOUBLE) AS aud_amount "
+        f"FROM fx_lookup"),
+    "fx_convert_first_rate": (
+        "WITH fr AS (SELECT upper(\"from\") AS ccy, arg_min(CAST(rate AS DOUBLE), position) AS first_rate "
+        "FROM fx WHERE upper(\"to\") = 'AUD' GROUP BY 1) "
+        "SELECT s.invoiceId, s.currency, s.totalAmount, "
+        "CASE WHEN s.currency IS NULL THEN NULL WHEN upper(s.currency) = 'AUD' THEN s.totalAmount "
+        "ELSE floor(s.totalAmount * fr.first_rate * 100 + 0.5) / 100 END AS aud_amount "
+        "FROM silver_invoice s LEFT JOIN fr ON fr.ccy = upper(s.currency)"),
+    "ledger_aliases": "SELECT categoryName, ledgerCode, itemName, unnest(aliases) AS alias FROM ledger_items",
+    "ledger_match_category": (
+        "SELECT invoiceId, lineNo, categoryName, description, ledger_category, m_code AS ledgerCode, "
+        "m_item AS itemName FROM j7"),
+    "ledger_match_global": (
+        "SELECT invoiceId, lineNo, description, vendorName, m_code AS ledgerCode, m_item AS itemName, "
+        "m_rank AS match_rank FROM j8"),
+    "classify_lines_aud": "SELECT * FROM a7",
+    "classify_lines_category": "SELECT * FROM a8",
+    "match_outcome_summary": "SELECT invoiceId, matched, review, exception, totalProcessed FROM g13",
+    "processing_notes": (
+        "SELECT invoiceId, 0 AS section, CAST(NULL AS VARCHAR) AS lineItemId, "
+        "'Processed ' || CAST(totalProcessed AS VARCHAR) || ' line item(s) for invoice ' || invoiceId "
+        "|| ' (' || coalesce(vendorName, 'null') || ').' AS note FROM g13 "
+        "UNION ALL SELECT invoiceId, 1, NULL, CAST(matched AS VARCHAR) || ' matched, ' || CAST(review AS VARCHAR) "
+        "|| ' need review, ' || CAST(exception AS VARCHAR) || ' exception(s).' FROM g13 "
+        "UNION ALL SELECT invoiceId, 2, NULL, 'Human-in-the-loop required for:' FROM g13 WHERE review > 0 "
+        "UNION ALL SELECT invoiceId, 4, NULL, 'Sent to exception queue:' FROM g13 WHERE exception > 0 "
+        "UNION ALL SELECT invoiceId, CASE WHEN status = 'review' THEN 3 ELSE 5 END, lineItemId, "
+        "'  • ' || coalesce(description, 'null') || ' — ' || coalesce(reason, 'null') "
+        "FROM a8 WHERE status IN ('review', 'exception')"),
+    "exception_queue": (
+        "SELECT a.invoiceId, a.lineNo, coalesce(b.biz, a.businessName) AS vendorName, "
+        "CAST(NULL AS VARCHAR) AS categoryName, a.lineItemDescription AS description, a.lineTotal, "
+        "a.ruleApplied, a.kind, a.reason FROM (SELECT *, CASE WHEN status = 'exception' THEN 'exception' "
+        "WHEN lower(coalesce(status, '')) = 'review' THEN 'review' END AS kind FROM a7) a "
+        "LEFT JOIN (SELECT invoiceId, any_value(coalesce(businessName, vendorName)) AS biz FROM silver_invoice "
+        "GROUP BY invoiceId) b ON a.invoiceId = b.invoiceId WHERE a.kind IS NOT NULL"),
+    "posted_lines": "SELECT * FROM u3",
+    "posted_entries": (
+        "SELECT coalesce(invoiceId, '') || '-' || coalesce(lineNo, '') AS entry, invoiceId, "
+        "businessName AS vendor, coalesce(ledgerCode, '') AS ledgerCode, "
+        "coalesce(matchedLedgerItem, lineItemDescription) AS item, convertedLineTotal AS amount, "
+        f"{_money('convertedLineTotal', "coalesce(convertedCurrency, 'AUD')")} AS amount_text, "
+        "coalesce(status, '') AS status FROM a7 WHERE status IN ('matched', 'review')"),
+    "ledger_posting_view": (
+        "WITH pl AS (SELECT trim(CAST(u.ledgerCode AS VARCHAR)) AS code, u.invoiceId, u.lineNo, "
+        "u.lineItemDescription AS description, u.unitPrice, u.lineTotal, "
+        "coalesce(c.invoice_currency, 'AUD') AS currency FROM u3 u LEFT JOIN inv_ccy c ON c.invoiceId = u.invoiceId "
+        "WHERE u.ledgerCode IS NOT NULL) "
+        "SELECT i.categoryName, i.ledgerCode, i.itemName, i.expectedUnitPrice, "
+        "array_to_string(coalesce(i.aliases, []), ', ') AS aliases_text, pl.invoiceId, pl.lineNo, "
+        "pl.description, pl.unitPrice, pl.lineTotal, pl.currency "
+        "FROM ledger_items i LEFT JOIN pl ON pl.code = trim(CAST(i.ledgerCode AS VARCHAR))"),
+    "expected_price_lookup": (
+        "SELECT a.invoiceId, a.lineNo, a.ledgerCode, a.convertedUnitPrice, p.price AS ledgerExpectedUnitPrice "
+        "FROM a7 a LEFT JOIN (SELECT CAST(ledgerCode AS VARCHAR) AS code, any_value(expectedUnitPrice) AS price "
+        "FROM ledger_items GROUP BY 1) p ON p.code = CAST(a.ledgerCode AS VARCHAR)"),
+    "budget_position": (
+        f"SELECT c.categoryName, c.approvedBudget, c.ytdBalance, {_r('c.approvedBudget - c.ytdBalance')} AS remaining, "
+        "coalesce(n.items, 0) AS items FROM ledger_categories c LEFT JOIN "
+        "(SELECT categoryName, count(*) AS items FROM ledger_items GROUP BY 1) n ON n.categoryName = c.categoryName"),
+}

@@ -1 +1,136 @@
 """Named queries for the business rules (FX, ledger matching, classification)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import fx
+from ..operators import ledger as L
+from ..operators import rules as R
+from .model import Model
+from .registry import query
+
+
+def _aud_records(m: Model) -> DataFrame:
+    return R.process_lines_aud(m.silver_lines, m.ledger_items)
+
+
+def _category_results(m: Model) -> DataFrame:
+    return R.process_lines_category(m.silver_lines, m.ledger_items, m.ledger_categories)
+
+
+# --- FX --------------------------------------------------------------------------
+
+@query("fx_rate_lookup")
+def _j4(m: Model) -> DataFrame:
+    """Rate into AUD at each invoice date (null when the currency has none)."""
+    inv = m.silver_invoice.select("invoiceId", "currency", "invoiceDate")
+    out = fx.fx_rate_lookup(inv, m.fx_rates, "currency", "invoiceDate", "rate",
+                            known_rate_rows=fx.GENERATED_FX_ROWS)
+    return out.withColumn("rate", F.col("rate").cast("double"))
+
+
+@query("fx_convert")
+def _j5(m: Model) -> DataFrame:
+    """Invoice totals converted to AUD at the invoice date (half-even, decimal)."""
+    inv = m.silver_invoice.select("invoiceId", "currency", "invoiceDate", "totalAmount")
+    out = fx.fx_convert(inv, m.fx_rates, "totalAmount", "currency", "invoiceDate",
+                        rate_col="rate", out_col="aud_amount", known_rate_rows=fx.GENERATED_FX_ROWS)
+    return (out.withColumn("rate", F.col("rate").cast("double"))
+            .withColumn("aud_amount", F.col("aud_amount").cast("double")))
+
+
+@query("fx_convert_first_rate")
+def _j6(m: Model) -> DataFrame:
+    """Browser conversion with the first listed rate, date ignored."""
+    inv = m.silver_invoice.select("invoiceId", "currency", "totalAmount")
+    return fx.convert_first_rate(inv, fx.generated_rates_with_position(m.spark), "totalAmount", "currency")
+
+
+# --- ledger ------------------------------------------------------------------------
+
+@query("ledger_aliases")
+def _p22(m: Model) -> DataFrame:
+    """Flat (item, alias) table of the ledger."""
+    return L.ledger_aliases(m.ledger_items)
+
+
+@query("ledger_match_category")
+def _j7(m: Model) -> DataFrame:
+    """Category-scoped first ledger item per line."""
+    out = L.match_in_category(m.silver_lines, m.ledger_items, m.ledger_categories)
+    return out.select("invoiceId", "lineNo", "categoryName", "description", "ledger_category",
+                      F.col("ledger_item.ledgerCode").alias("ledgerCode"),
+                      F.col("ledger_item.itemName").alias("itemName"))
+
+
+@query("ledger_match_global")
+def _j8(m: Model) -> DataFrame:
+    """Best ledger item over all items by description, then vendor."""
+    out = L.match_global(m.silver_lines, m.ledger_items)
+    return out.select("invoiceId", "lineNo", "description", "vendorName",
+                      F.col("ledger_item.ledgerCode").alias("ledgerCode"),
+                      F.col("ledger_item.itemName").alias("itemName"),
+                      F.col("ledger_item.match_rank").alias("match_rank"))
+
+
+@query("classify_lines_aud")
+def _a7(m: Model) -> DataFrame:
+    """R1-R5 classification on AUD values (match records)."""
+    return _aud_records(m)
+
+
+@query("classify_lines_category")
+def _a8(m: Model) -> DataFrame:
+    """Browser classification incl. R6."""
+    return _category_results(m)
+
+
+@query("match_outcome_summary")
+def _g13(m: Model) -> DataFrame:
+    """Per-invoice outcome counts."""
+    return R.outcome_summary(_category_results(m))
+
+
+@query("processing_notes")
+def _g14(m: Model) -> DataFrame:
+    """Processing notes, one row per note line."""
+    return R.processing_notes(_category_results(m))
+
+
+@query("exception_queue")
+def _u2(m: Model) -> DataFrame:
+    """U2 + J11 + F8: exceptions and review items."""
+    return R.exception_queue(_aud_records(m), m.silver_invoice)
+
+
+@query("posted_lines")
+def _u3(m: Model) -> DataFrame:
+    """Matched and exception records."""
+    return R.posted_lines(_aud_records(m))
+
+
+@query("posted_entries")
+def _a9(m: Model) -> DataFrame:
+    """Ledger entries for matched records."""
+    return R.posted_entries(_aud_records(m))
+
+
+@query("ledger_posting_view")
+def _j9(m: Model) -> DataFrame:
+    """J9 + J12: ledger items with their posted lines."""
+    return L.posting_view(m.ledger_items, R.posted_lines(_aud_records(m)), L.invoice_currency(m.silver_invoice))
+
+
+@query("expected_price_lookup")
+def _j10(m: Model) -> DataFrame:
+    """Match records with the ledger's expected unit price."""
+    recs = _aud_records(m).select("invoiceId", "lineNo", "ledgerCode", "convertedUnitPrice")
+    return L.expected_price_lookup(recs, m.ledger_items)
+
+
+@query("budget_position")
+def _g16(m: Model) -> DataFrame:
+    """Per-category budget, YTD, remaining and item count."""
+    return L.budget_position(m.ledger_categories, m.ledger_items)
