@@ -236,4 +236,17 @@ RULE_SELECTS: dict[str, str] = {
         f"SELECT c.categoryName, c.approvedBudget, c.ytdBalance, {_r('c.approvedBudget - c.ytdBalance')} AS remaining, "
         "coalesce(n.items, 0) AS items FROM ledger_categories c LEFT JOIN "
         "(SELECT categoryName, count(*) AS items FROM ledger_items GROUP BY 1) n ON n.categoryName = c.categoryName"),
+    "agent_json_extract": (
+        "WITH x AS (SELECT event_type, NULLIF(regexp_extract(props, '(?s)\\{.*\\}', 0), '') AS j FROM events) "
+        "SELECT event_type, count(*) AS events, "
+        "count(CASE WHEN json_valid(j) THEN TRY_CAST(json_extract(j, '$.k') AS BIGINT) END) AS parsed, "
+        "sum(CASE WHEN json_valid(j) THEN TRY_CAST(json_extract(j, '$.k') AS BIGINT) END) AS sum_k "
+        "FROM x GROUP BY event_type"),
+    "result_overlay": (
+        "WITH d AS (SELECT 'run-' || strftime(ts, '%Y%m%d') || lpad(CAST(user_id AS VARCHAR), 6, '0') AS run_id, "
+        "ts, event_id, props FROM events WHERE json_valid(props)), "
+        "n AS (SELECT run_id, ts, event_id, unnest(json_keys(props)) AS node, props FROM d), "
+        "v AS (SELECT run_id, node, json_extract_string(props, '$.\"' || node || '\"') AS value, "
+        "row_number() OVER (PARTITION BY run_id, node ORDER BY ts DESC, event_id DESC) AS rn FROM n) "
+        "SELECT run_id, node, value FROM v WHERE rn = 1"),
 }

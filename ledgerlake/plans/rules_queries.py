@@ -134,3 +134,29 @@ def _j10(m: Model) -> DataFrame:
 def _g16(m: Model) -> DataFrame:
     """Per-category budget, YTD, remaining and item count."""
     return L.budget_position(m.ledger_categories, m.ledger_items)
+
+
+# --- agent JSON ---------------------------------------------------------------------
+
+@query("agent_json_extract")
+def _p12(m: Model) -> DataFrame:
+    """JSON objects cut out of event payload text and parsed, per event type."""
+    from ..functions import jsonops as J
+    from ..sources.driver import table
+    ev = table(m.spark, m.sf_dir, "events").select("event_type", "props")
+    parsed = ev.withColumn("j", J.parse_agent_json("props", "struct<k: bigint>"))
+    return (parsed.groupBy("event_type")
+            .agg(F.count(F.lit(1)).alias("events"),
+                 F.count("j.k").alias("parsed"),
+                 F.sum("j.k").alias("sum_k")))
+
+
+@query("result_overlay")
+def _p16(m: Model) -> DataFrame:
+    """Per run, the latest value of every top-level node of its JSON documents."""
+    from ..functions import jsonops as J
+    from ..sources.driver import table
+    ev = table(m.spark, m.sf_dir, "events").select("event_id", "ts", "user_id", "props")
+    docs = ev.withColumn("run_id", F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMdd"),
+                                            F.lpad(F.col("user_id").cast("string"), 6, "0")))
+    return J.overlay_nodes(docs, "run_id", ["ts", "event_id"], "props")
