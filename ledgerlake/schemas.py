@@ -15,10 +15,12 @@ def _struct(*fields) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Line numerics are read as text (a JSON number keeps its digits) and cast
+# with try_cast in bronze, so "2" and 2 both give 2.0 and junk gives null.
 LINE_ITEM = _struct(
     ("lineNo", S), ("categoryName", S), ("description", S),
-    ("quantity", D), ("unitPrice", D), ("lineTotal", D),
-    ("convertedUnitPrice", D), ("convertedLineTotal", D),
+    ("quantity", S), ("unitPrice", S), ("lineTotal", S),
+    ("convertedUnitPrice", S), ("convertedLineTotal", S),
 )
 
 INVOICE = _struct(

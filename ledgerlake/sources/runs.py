@@ -121,7 +121,7 @@ def bronze_invoices(spark: SparkSession, root: str, multiline: bool = True,
                      F.col("line.lineNo").alias("lineNo"),
                      F.col("line.categoryName").alias("categoryName"),
                      F.col("line.description").alias("description"),
-                     *[F.col(f"line.{c}").cast("double").alias(c) for c in K.LINE_NUMERIC_COLUMNS]))
+                     *[F.col(f"line.{c}").try_cast("double").alias(c) for c in K.LINE_NUMERIC_COLUMNS]))
     return header, lines
 
 
