@@ -1,12 +1,13 @@
 """FX rates: period lookup (J4), conversion (J5, J6), validation.
 
 The rate table is reference data: one row per currency pair and period.
-The lookup never joins row-by-row against it.  Instead the rates are
-folded into one array per source currency (sorted newest ``fromDate``
-first), that small table is broadcast behind a size check, and each input
-row picks its rate with a higher-order ``filter`` -- a single broadcast
-hash join on currency, no shuffle of the large side, no per-row window.
-Above the size bound the same plan runs as a shuffled hash join.
+The lookup is an as-of / range join written Spark-first: the tiny rate
+table is first resolved into disjoint effective segments per currency
+(:func:`rate_segments`), so "latest fromDate wins" is decided once, not
+per input row.  Input rows then meet the segments in a broadcast hash join
+on currency with a range condition; at most one segment matches, so the
+large side is neither shuffled nor de-duplicated.  The broadcast sits
+behind a size check (:func:`ledgerlake.sizing.checked_broadcast`).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from .. import schemas
+from ..functions.literal import literal_table
 from ..sizing import checked_broadcast
 
 RATE_TYPE = T.DecimalType(18, 6)
@@ -26,27 +28,28 @@ GENERATED_FX_ROWS = len(K.FX_GENERATED_BASE) * 4 * (K.FX_GENERATED_LAST_YEAR - K
 
 def reference_rates(spark: SparkSession) -> DataFrame:
     """The reference's ten rates, as a typed frame (from, to, fromDate, toDate, rate)."""
-    rows = [(f, t, fd, td, r) for f, t, fd, td, r in K.REFERENCE_FX_RATES]
-    df = spark.createDataFrame(rows, "from string, to string, fromDate string, toDate string, rate string")
-    return df.withColumn("rate", F.col("rate").cast(RATE_TYPE))
+    cols = [("from", "string"), ("to", "string"), ("fromDate", "string"), ("toDate", "string"),
+            ("rate", "decimal(18,6)")]
+    return literal_table(spark, K.REFERENCE_FX_RATES, cols)
 
 
 def generated_rates(spark: SparkSession) -> DataFrame:
     """Quarterly rates into AUD for the benchmark years, built by rule.
 
     rate = base + 0.01 * (((year * 4 + quarter) * 3) mod 5 - 2); the last
-    quarter is open-ended (toDate null), like the reference table.
+    quarter is open-ended (toDate null), like the reference table.  Built
+    from a range of quarter numbers and a literal per-currency array (no
+    join); the size is fixed: currencies x quarters = GENERATED_FX_ROWS.
     """
     quarters = 4 * (K.FX_GENERATED_LAST_YEAR - K.FX_GENERATED_FIRST_YEAR + 1)
-    base = spark.createDataFrame([(c, b, i) for i, (c, b) in enumerate(K.FX_GENERATED_BASE)],
-                                 "from string, base double, ccy_idx int")
-    q = spark.range(quarters).withColumnRenamed("id", "qi")
+    bases = F.array(*[F.struct(F.lit(c).alias("from"), F.lit(float(b)).alias("base"), F.lit(i).alias("ccy_idx"))
+                      for i, (c, b) in enumerate(K.FX_GENERATED_BASE)])
+    q = spark.range(quarters).select(F.col("id").alias("qi"), F.inline(bases))
     year = F.lit(K.FX_GENERATED_FIRST_YEAR) + (F.col("qi") / 4).cast("int")
     month = (F.col("qi") % 4) * 3 + 1
     start = F.make_date(year, month.cast("int"), F.lit(1))
     step = (((year * 4 + F.col("qi") % 4) * 3) % 5 - 2).cast("double")
-    return (base.crossJoin(q)  # fixed 2 x 36 reference table, not data-sized
-            .select(
+    return (q.select(
                 F.col("from"), F.lit(K.LEDGER_CURRENCY).alias("to"),
                 F.date_format(start, "yyyy-MM-dd").alias("fromDate"),
                 F.when(F.col("qi") == quarters - 1, F.lit(None).cast("string"))
@@ -91,44 +94,79 @@ def replace_rates(spark: SparkSession, new_rates: DataFrame, path: str) -> DataF
     return spark.read.parquet(path)
 
 
-def _rates_by_currency(rates: DataFrame, to_currency: str) -> DataFrame:
-    r = (rates.filter(F.upper("to") == F.lit(to_currency.upper()))
-         .select(F.upper("from").alias("_fx_ccy"),
-                 F.struct(F.col("fromDate").alias("fd_text"),
-                          F.try_to_date("fromDate").alias("fd"),
-                          F.col("toDate").alias("td_text"),
-                          F.try_to_date("toDate").alias("td"),
-                          F.col("rate").cast(RATE_TYPE).alias("rate")).alias("p")))
-    # fd_text leads the struct, so a descending sort is "newest fromDate first".
-    return r.groupBy("_fx_ccy").agg(F.sort_array(F.collect_list("p"), asc=False).alias("_fx_periods"))
+def rate_segments(rates: DataFrame, to_currency: str = K.LEDGER_CURRENCY) -> DataFrame:
+    """Resolve a rate table into disjoint effective date segments per currency.
 
+    The answer to "rate of currency c on date d" only changes at a period
+    start or the day after a period end.  Those boundaries cut each
+    currency's time line into segments; each segment takes the rate of the
+    covering period with the latest fromDate (text order, as the app sorts).
+    One extra row per currency (``is_newest``) answers the no-date case:
+    the newest fromDate of all.
 
-def _pick_rate(on_date: Column) -> Column:
-    in_range = F.filter(
-        "_fx_periods",
-        lambda p: p["fd"].isNotNull() & (p["fd"] <= on_date)
-        & (p["td_text"].isNull() | (p["td"].isNotNull() & (on_date <= p["td"]))))
-    newest_any = F.try_element_at(F.col("_fx_periods"), F.lit(1))
-    chosen = F.try_element_at(in_range, F.lit(1))
-    return F.when(on_date.isNull(), newest_any["rate"]).otherwise(chosen["rate"])
+    The rate table is reference data (a few rows per currency and period),
+    grouped once by currency; the segments are computed with array
+    functions on each currency's period list -- one small shuffle in all.
+    """
+    p = (rates.filter(F.upper("to") == F.lit(to_currency.upper()))
+         .select(F.upper("from").alias("ccy"),
+                 F.struct(F.col("fromDate").alias("fd_text"), F.try_to_date("fromDate").alias("fd"),
+                          F.col("toDate").alias("td_text"), F.try_to_date("toDate").alias("td"),
+                          F.col("rate").cast(RATE_TYPE).alias("rate")).alias("p")))
+    per = p.groupBy("ccy").agg(F.collect_list("p").alias("ps"))
+    # a period with an unparsable toDate never matches a date (as in the app)
+    dated = F.filter("ps", lambda x: x["fd"].isNotNull() & (x["td_text"].isNull() | x["td"].isNotNull()))
+    ends = F.transform(F.filter(dated, lambda x: x["td"].isNotNull()), lambda x: F.date_add(x["td"], 1))
+    bounds = F.array_sort(F.array_distinct(F.concat(F.transform(dated, lambda x: x["fd"]), ends)))
+
+    def winner(start):
+        cover = F.filter(dated, lambda x: (x["fd"] <= start) & (x["td"].isNull() | (start <= x["td"])))
+        return F.array_max(F.transform(cover, lambda x: F.struct(x["fd_text"].alias("k"), x["rate"].alias("rate"))))
+
+    segs = F.transform(bounds, lambda b, i: F.struct(
+        b.alias("seg_start"),
+        F.date_sub(F.try_element_at(bounds, i + 2), 1).alias("seg_end"),
+        winner(b)["rate"].alias("rate"),
+        F.lit(False).alias("is_newest")))
+    newest = F.struct(F.lit(None).cast("date").alias("seg_start"), F.lit(None).cast("date").alias("seg_end"),
+                      F.array_max(F.transform("ps", lambda x: F.struct(x["fd_text"].alias("k"),
+                                                                      x["rate"].alias("rate"))))["rate"].alias("rate"),
+                      F.lit(True).alias("is_newest"))
+    return (per.select("ccy", F.explode(F.concat(segs, F.array(newest))).alias("s"))
+            .select("ccy", "s.*").filter(F.col("rate").isNotNull()))
 
 
 def fx_rate_lookup_many(df: DataFrame, rates: DataFrame, currency_col: str,
                         dates: dict[str, str | None], to_currency: str = K.LEDGER_CURRENCY,
                         known_rate_rows: int | None = None) -> DataFrame:
-    """J4 for several dates of one row with a single broadcast join.
+    """J4 for one or more dates of each row.
 
     ``dates`` maps output column -> date column (None = no date).
     Currency compares ignoring case; ``fromDate <= date <= toDate`` with both
     ends inclusive and a null toDate open; the latest fromDate wins; a null
     date takes the newest rate of all.  No rate -> null.
+
+    Plan: a broadcast hash join on currency with a range condition against
+    the disjoint segments -- at most one match per row, evaluated in
+    codegen, no shuffle of ``df`` and no per-row de-duplication.
     """
-    periods = checked_broadcast(_rates_by_currency(rates, to_currency), known_rows=known_rate_rows)
-    out = df.join(periods, F.upper(df[currency_col]) == periods["_fx_ccy"], "left")
-    for out_col, date_col in dates.items():
+    # segments: at most 2 per period + 1 per currency
+    bound = None if known_rate_rows is None else 2 * known_rate_rows + 64
+    segs = checked_broadcast(rate_segments(rates, to_currency), known_rows=bound)
+    ccy = F.upper(F.col(currency_col))
+    out = df
+    for i, (out_col, date_col) in enumerate(dates.items()):
+        s = segs.select(*[F.col(c).alias(f"_s{i}_{c}") for c in ("ccy", "seg_start", "seg_end", "rate", "is_newest")])
+        d = F.col(f"_s{i}_d")
         on_date = F.try_to_date(F.col(date_col).cast("string")) if date_col else F.lit(None).cast("date")
-        out = out.withColumn(out_col, _pick_rate(on_date))
-    return out.drop("_fx_ccy", "_fx_periods")
+        out = out.withColumn(f"_s{i}_d", on_date)
+        in_seg = (d.isNotNull() & ~F.col(f"_s{i}_is_newest") & (F.col(f"_s{i}_seg_start") <= d)
+                  & (F.col(f"_s{i}_seg_end").isNull() | (d <= F.col(f"_s{i}_seg_end"))))
+        newest = d.isNull() & F.col(f"_s{i}_is_newest")
+        out = (out.join(s, (ccy == F.col(f"_s{i}_ccy")) & (in_seg | newest), "left")
+               .withColumn(out_col, F.col(f"_s{i}_rate"))
+               .drop(*[c for c in s.columns], f"_s{i}_d"))
+    return out
 
 
 def fx_rate_lookup(df: DataFrame, rates: DataFrame, currency_col: str, date_col: str | None,

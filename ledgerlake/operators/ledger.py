@@ -125,12 +125,13 @@ def match_in_category(lines: DataFrame, items: DataFrame, categories: DataFrame,
     pairs = contains_pairs(distinct_texts, "_desc_l", terms, "term_l", keys=("_cat_l",))
     best = (pairs.groupBy("_cat_l", "_desc_l")
             .agg(F.min_by(_item_struct(), F.col("item_position")).alias("ledger_item")))
-    cats = checked_broadcast(
-        categories.select(F.lower("categoryName").alias("_cat_l"), F.col("categoryName").alias("ledger_category"))
-        .dropDuplicates(["_cat_l"]))
-    return (keyed.join(cats, "_cat_l", "left")
-            .join(best, ["_cat_l", "_desc_l"], "left")
-            .drop("_cat_l", "_desc_l"))
+    cats = (categories.groupBy(F.lower("categoryName").alias("_cat_l"))
+            .agg(F.min("categoryName").alias("ledger_category")))
+    # one row per distinct (category, description): both lookups are
+    # resolved on this small table, then joined back to the lines once
+    resolved = (distinct_texts.join(cats, "_cat_l", "left")
+                .join(best, ["_cat_l", "_desc_l"], "left"))
+    return keyed.join(resolved, ["_cat_l", "_desc_l"], "left").drop("_cat_l", "_desc_l")
 
 
 # --- J8: global ranked match on description, then vendor -------------------------

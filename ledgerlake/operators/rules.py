@@ -161,37 +161,39 @@ def processing_notes(results: DataFrame) -> DataFrame:
     4/5 = exception title and items (items keep their lineItemId).  Joining
     ``note`` ordered by (section, lineItemId) gives the page's text; rows
     are kept long so a huge invoice is never gathered into one value.
+    ``results`` is read twice: one aggregation for the per-invoice lines,
+    one projection for the item lines.
     """
-    summary = outcome_summary(results).join(
-        results.groupBy("invoiceId").agg(F.min("vendorName").alias("vendorName")), "invoiceId")
-    head = summary.select(
-        "invoiceId",
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("section"), F.concat(
-                F.lit("Processed "), F.col("totalProcessed").cast("string"), F.lit(" line item(s) for invoice "),
-                F.col("invoiceId"), F.lit(" ("), F.coalesce(F.col("vendorName"), F.lit("null")), F.lit(").")).alias("note")),
-            F.struct(F.lit(1).alias("section"), F.concat(
-                F.col("matched").cast("string"), F.lit(" matched, "), F.col("review").cast("string"),
-                F.lit(" need review, "), F.col("exception").cast("string"), F.lit(" exception(s).")).alias("note")),
-        )).alias("n"))
-    head = head.select("invoiceId", F.col("n.section").alias("section"), F.lit(None).cast("string").alias("lineItemId"),
-                       F.col("n.note").alias("note"))
-    titles = []
-    for status, section, title in (("review", 2, "Human-in-the-loop required for:"),
-                                   ("exception", 4, "Sent to exception queue:")):
-        titles.append(summary.filter(F.col(status) > 0).select(
-            "invoiceId", F.lit(section).alias("section"), F.lit(None).cast("string").alias("lineItemId"),
-            F.lit(title).alias("note")))
-    items = results.filter(F.col("status").isin("review", "exception")).select(
+    s = F.col("status")
+    summary = (results.groupBy("invoiceId")
+               .agg(F.count_if(s == "matched").alias("matched"),
+                    F.count_if(s == "review").alias("review"),
+                    F.count_if(s == "exception").alias("exception"),
+                    F.count(F.lit(1)).alias("totalProcessed"),
+                    F.min("vendorName").alias("vendorName")))
+
+    def note(section: int, text, when=None):
+        st = F.struct(F.lit(section).alias("section"), text.alias("note"))
+        return st if when is None else F.when(when, st)
+
+    first = F.concat(F.lit("Processed "), F.col("totalProcessed").cast("string"),
+                     F.lit(" line item(s) for invoice "), F.col("invoiceId"), F.lit(" ("),
+                     F.coalesce(F.col("vendorName"), F.lit("null")), F.lit(")."))
+    second = F.concat(F.col("matched").cast("string"), F.lit(" matched, "), F.col("review").cast("string"),
+                      F.lit(" need review, "), F.col("exception").cast("string"), F.lit(" exception(s)."))
+    heads = F.array(note(0, first), note(1, second),
+                    note(2, F.lit("Human-in-the-loop required for:"), F.col("review") > 0),
+                    note(4, F.lit("Sent to exception queue:"), F.col("exception") > 0))
+    head = (summary.select("invoiceId", F.explode(F.filter(heads, lambda x: x.isNotNull())).alias("n"))
+            .select("invoiceId", F.col("n.section").alias("section"),
+                    F.lit(None).cast("string").alias("lineItemId"), F.col("n.note").alias("note")))
+    items = results.filter(s.isin("review", "exception")).select(
         "invoiceId",
-        F.when(F.col("status") == "review", 3).otherwise(5).alias("section"),
+        F.when(s == "review", 3).otherwise(5).alias("section"),
         "lineItemId",
         F.concat(F.lit("  • "), F.coalesce(F.col("description"), F.lit("null")), F.lit(" — "),
                  F.coalesce(F.col("reason"), F.lit("null"))).alias("note"))
-    out = head
-    for t in titles:
-        out = out.unionByName(t)
-    return out.unionByName(items)
+    return head.unionByName(items)
 
 
 def exception_queue(records: DataFrame, invoices: DataFrame) -> DataFrame:

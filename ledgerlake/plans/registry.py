@@ -41,25 +41,25 @@ def queries() -> dict[str, QueryFn]:
 @query("bronze_invoice_header")
 def _bronze_header(m: Model) -> DataFrame:
     """Invoice headers with lineage (run_id, source_path)."""
-    return m.bronze_header.drop("ingested_at")
+    return m.bronze_header_fresh.drop("ingested_at")
 
 
 @query("bronze_invoice_lineitem")
 def _bronze_lines(m: Model) -> DataFrame:
     """One row per line item, numeric columns as double."""
-    return m.bronze_lines.drop("ingested_at")
+    return m.bronze_lines_fresh.drop("ingested_at")
 
 
 @query("bronze_run_manifest")
 def _bronze_manifest(m: Model) -> DataFrame:
     """File inventory per run, ms -> timestamp."""
-    return m.bronze_manifest
+    return m.bronze_manifest_fresh
 
 
 @query("bronze_ingestion_email")
 def _bronze_email(m: Model) -> DataFrame:
     """Flattened ingestion email with status and reason."""
-    return m.bronze_email.drop("ingested_at")
+    return m.bronze_email_fresh.drop("ingested_at")
 
 
 # --- silver ------------------------------------------------------------------

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import fx
+from ..functions.literal import literal_table
 from ..sizing import checked_broadcast
 
 
@@ -35,8 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lookup(spark: SparkSession, rows, ddl: str) -> DataFrame:
-    return checked_broadcast(spark.createDataFrame(list(rows), ddl), known_rows=len(rows))
+def _lookup(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
+    return checked_broadcast(literal_table(spark, rows, columns), known_rows=len(rows))
 
 
 def fx_rates(spark: SparkSession) -> DataFrame:
@@ -48,8 +49,9 @@ def _header_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region_ccy = _lookup(spark, K.REGION_CURRENCY, "n_regionkey int, currency string")
-    terms = _lookup(spark, K.PRIORITY_TERMS, "o_orderpriority string, paymentTerms string, due_days int")
+    region_ccy = _lookup(spark, K.REGION_CURRENCY, [("n_regionkey", "int"), ("currency", "string")])
+    terms = _lookup(spark, K.PRIORITY_TERMS, [("o_orderpriority", "string"), ("paymentTerms", "string"),
+                                            ("due_days", "int")])
     return (orders
             .join(customer, orders.o_custkey == customer.c_custkey)
             .join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)  # 25 rows by definition
@@ -151,7 +153,7 @@ def bronze_lines(spark: SparkSession, sf_dir: str, header: DataFrame | None = No
 def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run manifest shape from events: one run per (user, day)."""
     ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
-    names = _lookup(spark, K.EVENT_FILE_NAMES, "event_type string, file_name string")
+    names = _lookup(spark, K.EVENT_FILE_NAMES, [("event_type", "string"), ("file_name", "string")])
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return (ev.join(names, "event_type", "left")
             .select(
