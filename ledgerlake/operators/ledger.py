@@ -26,6 +26,9 @@ from .. import schemas
 from ..sizing import checked_broadcast
 
 GRAM = 4
+# Ledger terms (item names + aliases) shipped to every executor at most;
+# each is a short string plus a few item fields, so this stays ~100 MB.
+TERMS_BROADCAST_ROWS = 1_000_000
 
 
 # --- reference data -----------------------------------------------------------
@@ -77,12 +80,14 @@ def ledger_terms(items: DataFrame) -> DataFrame:
 # --- exact substring containment as an equi-join --------------------------------
 
 def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str,
-                   gram: int = GRAM, keys: tuple[str, ...] = ()) -> DataFrame:
+                   gram: int = GRAM, keys: tuple[str, ...] = (), small_side: str | None = None) -> DataFrame:
     """Rows of ``hay`` x ``needles`` where hay[hay_col] contains needles[needle_col].
 
     Both text columns must already be normalised (e.g. lower-cased).  Extra
     equality ``keys`` (present on both sides) narrow the match, e.g. the
     category.  A pair may appear once per occurrence; callers aggregate.
+    ``small_side`` ("hay" or "needles") names a side whose size the caller
+    has checked: it is broadcast and the other side is not shuffled.
     """
     hlen = F.length(hay_col)
     grams = (hay
@@ -93,6 +98,10 @@ def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     nlen = F.length(needle_col)
     keyed = (needles.filter(nlen > 0)
              .withColumn("_gram", F.substring(F.col(needle_col), F.lit(1), F.least(nlen, F.lit(gram)))))
+    if small_side == "needles":
+        keyed = F.broadcast(keyed)
+    elif small_side == "hay":
+        grams = F.broadcast(grams)
     on = ["_gram", *keys]
     joined = grams.join(keyed, on)
     verified = joined.filter(
@@ -122,7 +131,8 @@ def match_in_category(lines: DataFrame, items: DataFrame, categories: DataFrame,
     keyed = lines.withColumn("_cat_l", cat_l).withColumn("_desc_l", desc_l)
     distinct_texts = keyed.select("_cat_l", "_desc_l").distinct()
     terms = ledger_terms(items).withColumn("_cat_l", F.lower("categoryName"))
-    pairs = contains_pairs(distinct_texts, "_desc_l", terms, "term_l", keys=("_cat_l",))
+    small = "needles" if terms_are_small(terms) else None
+    pairs = contains_pairs(distinct_texts, "_desc_l", terms, "term_l", keys=("_cat_l",), small_side=small)
     best = (pairs.groupBy("_cat_l", "_desc_l")
             .agg(F.min_by(_item_struct(), F.col("item_position")).alias("ledger_item")))
     cats = (categories.groupBy(F.lower("categoryName").alias("_cat_l"))
@@ -136,12 +146,18 @@ def match_in_category(lines: DataFrame, items: DataFrame, categories: DataFrame,
 
 # --- J8: global ranked match on description, then vendor -------------------------
 
-def _best_by_text(texts: DataFrame, text_col: str, terms: DataFrame, rank_contains: int) -> DataFrame:
+def terms_are_small(terms: DataFrame, max_rows: int = TERMS_BROADCAST_ROWS) -> bool:
+    """Size check before broadcasting ledger terms (reference data)."""
+    return terms.limit(max_rows + 1).count() <= max_rows
+
+
+def _best_by_text(texts: DataFrame, text_col: str, terms: DataFrame, rank_contains: int,
+                  terms_small: bool = False) -> DataFrame:
     """Best item per distinct text: equality (rank 0), containment either
     way (rank ``rank_contains``), longer matched text first, then ledger order."""
-    fwd = (contains_pairs(texts, text_col, terms, "term_l")
+    fwd = (contains_pairs(texts, text_col, terms, "term_l", small_side="needles" if terms_small else None)
            .withColumn("_overlap", F.length("term_l")))
-    rev = (contains_pairs(terms, "term_l", texts, text_col)
+    rev = (contains_pairs(terms, "term_l", texts, text_col, small_side="hay" if terms_small else None)
            .withColumn("_overlap", F.length(text_col)))
     cand = fwd.unionByName(rev)
     rank = F.when(F.col(text_col) == F.col("term_l"), F.lit(0)).otherwise(F.lit(rank_contains))
@@ -166,8 +182,9 @@ def match_global(lines: DataFrame, items: DataFrame, description_col: str = "des
              .withColumn("_vend_l", F.lower(F.coalesce(F.col(vendor_col), F.lit("")))))
     descs = keyed.select("_desc_l").distinct()
     vends = keyed.select("_vend_l").distinct()
-    by_desc = _best_by_text(descs, "_desc_l", terms, 1).withColumnRenamed("_best", "_by_desc")
-    by_vend = (_best_by_text(vends, "_vend_l", terms, 2)
+    small = terms_are_small(terms)
+    by_desc = _best_by_text(descs, "_desc_l", terms, 1, small).withColumnRenamed("_best", "_by_desc")
+    by_vend = (_best_by_text(vends, "_vend_l", terms, 2, small)
                .select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend")))
     return (keyed.join(by_desc, "_desc_l", "left")
             .join(by_vend, "_vend_l", "left")
