@@ -33,18 +33,28 @@ A7_TEXT = {
 }
 
 
-def _fill(template: str, values: dict[str, Column]) -> Column:
-    """Build ``concat`` of literal pieces and values from a {name} template."""
-    parts, rest = [], template
+def _template(template: str) -> tuple[str, list[str]]:
+    """``{name}`` template -> (format_string pattern, names in order)."""
+    names, out, rest = [], [], template.replace("%", "%%")
     while "{" in rest:
         head, tail = rest.split("{", 1)
         name, rest = tail.split("}", 1)
-        if head:
-            parts.append(F.lit(head))
-        parts.append(F.coalesce(values[name].cast("string"), F.lit("null")))
-    if rest:
-        parts.append(F.lit(rest))
-    return F.concat(*parts)
+        out.append(head + "%s")
+        names.append(name)
+    return "".join(out) + rest, names
+
+
+def _fill(template: str, values: dict[str, Column]) -> Column:
+    """One ``format_string`` call; missing values print as 'null'."""
+    pattern, names = _template(template)
+    return F.format_string(pattern, *[F.coalesce(values[n].cast("string"), F.lit("null")) for n in names])
+
+
+def _with_texts(df: DataFrame, values: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
+    """Compute every text value once in a lower projection; reasons refer to
+    the columns (keeps the generated code of the CASE small)."""
+    out = df.select("*", *[v.cast("string").alias(f"_txt_{k}") for k, v in values.items()])
+    return out, {k: F.col(f"_txt_{k}") for k in values}
 
 
 def _money(x, currency=None) -> Column:
@@ -72,11 +82,14 @@ def classify_aud(matched: DataFrame) -> DataFrame:
     unit, total, expected = F.col("convertedUnitPrice"), F.col("convertedLineTotal"), item["expectedUnitPrice"]
     diff, tol, high, exact, within = _price_rule_columns(unit, total, expected)
     cur = F.lit(K.LEDGER_CURRENCY)
-    vals = {"description": F.col("description"), "vendor": F.col("vendorName"),
-            "line_total": _money(total, cur), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD), cur),
-            "expected": _money(expected, cur), "unit_price": _money(unit, cur),
-            "tolerance": _money(tol, cur), "diff": _money(diff, cur)}
     rule = (F.when(item.isNull(), "R5").when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
+    matched = matched.withColumn("_rule", rule)
+    rule = F.col("_rule")
+    matched, vals = _with_texts(matched, {
+        "description": F.col("description"), "vendor": F.col("vendorName"),
+        "line_total": _money(total, cur), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD), cur),
+        "expected": _money(expected, cur), "unit_price": _money(unit, cur),
+        "tolerance": _money(tol, cur), "diff": _money(diff, cur)})
     status = (F.when(rule == "R5", "exception").when(rule.isin("R1", "R2"), "matched").otherwise("review"))
     reason = F.when(rule == "R5", _fill(A7_TEXT["R5"], vals))
     for r in ("R4", "R1", "R2", "R3"):
@@ -104,13 +117,16 @@ def classify_category(matched: DataFrame) -> DataFrame:
     item = F.col("ledger_item")
     unit, total, expected = F.col("unitPrice"), F.col("lineTotal"), item["expectedUnitPrice"]
     diff, tol, high, exact, within = _price_rule_columns(unit, total, expected)
-    vals = {"category": F.col("categoryName"), "description": F.col("description"),
-            "ledger_category": F.col("ledger_category"),
-            "line_total": _money(total), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD)),
-            "expected": _money(expected), "unit_price": _money(unit),
-            "tolerance": _money(tol), "diff": _money(diff)}
     rule = (F.when(F.col("ledger_category").isNull(), "R6").when(item.isNull(), "R5")
             .when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
+    matched = matched.withColumn("_rule", rule)
+    rule = F.col("_rule")
+    matched, vals = _with_texts(matched, {
+        "category": F.col("categoryName"), "description": F.col("description"),
+        "ledger_category": F.col("ledger_category"),
+        "line_total": _money(total), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD)),
+        "expected": _money(expected), "unit_price": _money(unit),
+        "tolerance": _money(tol), "diff": _money(diff)})
     status = (F.when(rule.isin("R6", "R5"), "exception").when(rule.isin("R1", "R2"), "matched")
               .otherwise("review"))
     reason = F.when(rule == "R6", _fill(A8_TEXT["R6"], vals))
@@ -216,9 +232,10 @@ def exception_queue(records: DataFrame, invoices: DataFrame) -> DataFrame:
 
 
 def posted_lines(records: DataFrame) -> DataFrame:
-    """Matched and exception records together (the ledger page's posted set)."""
-    matched, exceptions = split_matched(records)
-    return matched.unionByName(exceptions)
+    """LedgerMatched and LedgerException records together (the ledger
+    page's posted set).  The union of the two status filters is one filter
+    on the same rows, so the records are scanned once."""
+    return records.filter(F.col("status").isin("matched", "review", "exception"))
 
 
 def posted_entries(records: DataFrame) -> DataFrame:
