@@ -152,7 +152,8 @@ def fx_rate_lookup_many(df: DataFrame, rates: DataFrame, currency_col: str,
     """
     # segments: at most 2 per period + 1 per currency
     bound = None if known_rate_rows is None else 2 * known_rate_rows + 64
-    segs = checked_broadcast(rate_segments(rates, to_currency), known_rows=bound)
+    # reference data: resolved once per session and cached
+    segs = checked_broadcast(rate_segments(rates, to_currency).cache(), known_rows=bound)
     ccy = F.upper(F.col(currency_col))
     out = df
     for i, (out_col, date_col) in enumerate(dates.items()):

@@ -67,19 +67,19 @@ def _bronze_email(m: Model) -> DataFrame:
 @query("silver_invoice")
 def _silver_invoice(m: Model) -> DataFrame:
     """W1 + F1: latest header per invoiceId."""
-    return m.silver_invoice.drop("ingested_at")
+    return m.silver_invoice_fresh.drop("ingested_at")
 
 
 @query("silver_invoice_lineitem")
 def _silver_lines(m: Model) -> DataFrame:
     """J1 + F2: lines of the kept run."""
-    return m.silver_lines.drop("ingested_at")
+    return m.silver_lines_fresh.drop("ingested_at")
 
 
 @query("invoice_line_sums")
 def _line_sums(m: Model) -> DataFrame:
     """Per-invoice line sums."""
-    return silver.line_sums(m.silver_lines)
+    return silver.line_sums(m.silver_lines_fresh)
 
 
 @query("checked_invoice")
@@ -110,8 +110,8 @@ def _row_counts(m: Model) -> DataFrame:
         "bronze_invoice_lineitem": m.bronze_lines,
         "bronze_ingestion_email": m.bronze_email,
         "bronze_run_manifest": m.bronze_manifest,
-        "silver_invoice": m.silver_invoice,
-        "silver_invoice_lineitem": m.silver_lines,
+        "silver_invoice": m.silver_invoice_fresh,
+        "silver_invoice_lineitem": m.silver_lines_fresh,
     })
 
 
