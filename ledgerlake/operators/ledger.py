@@ -199,9 +199,19 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
     """J9 + J12: ledger items with the lines posted to them.
 
     Items without lines keep one row with null line fields; lines without a
-    ledger code are dropped.  Codes compare after trimming.  The line's
-    currency is the invoice's currency (J12), else the ledger currency.
+    ledger code (or with a code the ledger does not have) are dropped.
+    Codes compare after trimming.  The line's currency is the invoice's
+    currency (J12), else the ledger currency.
+
+    Plan: "items left join lines" would keep the small item table as the
+    preserved side and shuffle the lines by code -- one hot code in one
+    task, which AQE cannot split on that side.  Instead the lines meet the
+    (size-checked, broadcast) items in an inner join, and items with no
+    line come from an anti join against the distinct posted codes.
     """
+    it = items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice",
+                      F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), ", ").alias("aliases_text"),
+                      F.trim(F.col("ledgerCode").cast("string")).alias("_code"))
     lines = (posted.filter(F.col("ledgerCode").isNotNull())
              .select(F.trim(F.col("ledgerCode").cast("string")).alias("_code"),
                      "invoiceId", "lineNo", F.col("lineItemDescription").alias("description"),
@@ -209,10 +219,16 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
              .join(invoice_currency, "invoiceId", "left")
              .withColumn("currency", F.coalesce(F.col("invoice_currency"), F.lit(ledger_currency)))
              .drop("invoice_currency"))
-    it = items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice",
-                      F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), ", ").alias("aliases_text"),
-                      F.trim(F.col("ledgerCode").cast("string")).alias("_code"))
-    return it.join(lines, "_code", "left").drop("_code")
+    small_items = checked_broadcast(it)
+    with_lines = lines.join(small_items, "_code")
+    used = lines.select("_code").distinct()
+    without = (it.join(used, "_code", "left_anti")
+               .select(*it.columns, *[F.lit(None).cast(t).alias(c) for c, t in
+                                      (("invoiceId", "string"), ("lineNo", "string"), ("description", "string"),
+                                       ("unitPrice", "double"), ("lineTotal", "double"), ("currency", "string"))]))
+    cols = ["categoryName", "ledgerCode", "itemName", "expectedUnitPrice", "aliases_text",
+            "invoiceId", "lineNo", "description", "unitPrice", "lineTotal", "currency"]
+    return with_lines.select(*cols).unionByName(without.select(*cols))
 
 
 def invoice_currency(invoices: DataFrame) -> DataFrame:
