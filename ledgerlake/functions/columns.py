@@ -83,8 +83,12 @@ def detail_text(*parts) -> Column:
 
 
 def money_text(x) -> Column:
-    """Fixed two-decimal text of a number, no grouping separators."""
-    return F.format_string("%.2f", _c(x))
+    """Fixed two-decimal text of a number (HALF_UP), no grouping separators.
+
+    Rounded and cast through DECIMAL(38,2): the same text as "%.2f" of the
+    rounded value, without a java.util.Formatter call per row.
+    """
+    return F.round(_c(x), 2).cast("decimal(38,2)").cast("string")
 
 
 def format_money(amount, currency=None) -> Column:

@@ -58,8 +58,17 @@ def _with_texts(df: DataFrame, values: dict[str, Column]) -> tuple[DataFrame, di
 
 
 def _money(x, currency=None) -> Column:
-    # round first so the text does not depend on the binary expansion
-    return format_money(F.round(x, 2), currency)
+    return format_money(x, currency)
+
+
+def _const_money(amount: float, currency: str = K.DEFAULT_MONEY_CURRENCY) -> Column:
+    """Money text of a constant, formatted once on the driver."""
+    return F.lit(f"{currency} {amount:.2f}")
+
+
+def _only(rule: Column, rules: tuple[str, ...], value: Column) -> Column:
+    """A text needed only by some rules: computed for those rows alone."""
+    return F.when(rule.isin(*rules), value)
 
 
 def _price_rule_columns(unit: Column, line_total: Column, expected: Column):
@@ -87,9 +96,12 @@ def classify_aud(matched: DataFrame) -> DataFrame:
     rule = F.col("_rule")
     matched, vals = _with_texts(matched, {
         "description": F.col("description"), "vendor": F.col("vendorName"),
-        "line_total": _money(total, cur), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD), cur),
-        "expected": _money(expected, cur), "unit_price": _money(unit, cur),
-        "tolerance": _money(tol, cur), "diff": _money(diff, cur)})
+        "line_total": _only(rule, ("R4",), _money(total, cur)),
+        "threshold": _const_money(K.RULE_HIGH_VALUE_THRESHOLD, K.LEDGER_CURRENCY),
+        "expected": _only(rule, ("R1", "R2", "R3"), _money(expected, cur)),
+        "unit_price": _only(rule, ("R2", "R3"), _money(unit, cur)),
+        "tolerance": _only(rule, ("R2", "R3"), _money(tol, cur)),
+        "diff": _only(rule, ("R3",), _money(diff, cur))})
     status = (F.when(rule == "R5", "exception").when(rule.isin("R1", "R2"), "matched").otherwise("review"))
     reason = F.when(rule == "R5", _fill(A7_TEXT["R5"], vals))
     for r in ("R4", "R1", "R2", "R3"):
@@ -124,9 +136,12 @@ def classify_category(matched: DataFrame) -> DataFrame:
     matched, vals = _with_texts(matched, {
         "category": F.col("categoryName"), "description": F.col("description"),
         "ledger_category": F.col("ledger_category"),
-        "line_total": _money(total), "threshold": _money(F.lit(K.RULE_HIGH_VALUE_THRESHOLD)),
-        "expected": _money(expected), "unit_price": _money(unit),
-        "tolerance": _money(tol), "diff": _money(diff)})
+        "line_total": _only(rule, ("R4",), _money(total)),
+        "threshold": _const_money(K.RULE_HIGH_VALUE_THRESHOLD),
+        "expected": _only(rule, ("R1", "R2", "R3"), _money(expected)),
+        "unit_price": _only(rule, ("R2", "R3"), _money(unit)),
+        "tolerance": _only(rule, ("R2", "R3"), _money(tol)),
+        "diff": _only(rule, ("R3",), _money(diff))})
     status = (F.when(rule.isin("R6", "R5"), "exception").when(rule.isin("R1", "R2"), "matched")
               .otherwise("review"))
     reason = F.when(rule == "R6", _fill(A8_TEXT["R6"], vals))
