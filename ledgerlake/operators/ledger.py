@@ -207,7 +207,10 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
     preserved side and shuffle the lines by code -- one hot code in one
     task, which AQE cannot split on that side.  Instead the lines meet the
     (size-checked, broadcast) items in an inner join, and items with no
-    line come from an anti join against the distinct posted codes.
+    line come from an anti join against the distinct posted codes.  The
+    narrow posted-line projection feeds both, so it is checkpointed (a
+    reliable checkpoint in ``spark.checkpoint.dir``) instead of running
+    the matching upstream twice.
     """
     it = items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice",
                       F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), ", ").alias("aliases_text"),
@@ -218,7 +221,8 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
                      "unitPrice", "lineTotal")
              .join(invoice_currency, "invoiceId", "left")
              .withColumn("currency", F.coalesce(F.col("invoice_currency"), F.lit(ledger_currency)))
-             .drop("invoice_currency"))
+             .drop("invoice_currency")
+             .checkpoint(eager=True))
     small_items = checked_broadcast(it)
     with_lines = lines.join(small_items, "_code")
     used = lines.select("_code").distinct()
