@@ -100,3 +100,19 @@ def obs(manifest: DataFrame, hdr: DataFrame) -> dict[str, DataFrame]:
         "obs_extraction_quality": extraction_quality(hdr),
         "obs_duplicate_runs": duplicate_runs(hdr),
     }
+
+
+def invoice_arithmetic(lines: DataFrame) -> DataFrame:
+    """P20: per invoice -- line amounts round(qty x unit price, 2), per-line
+    tax round(line x tax rate, 2), subtotal, tax and grand total.
+
+    ``lines`` holds (invoice, quantity, unit_price, tax_rate); sums are
+    partial aggregates, so a hot invoice is combined map-side.
+    """
+    amount = F.round(F.col("quantity") * F.col("unit_price"), 2)
+    tax = F.round(amount * F.col("tax_rate"), 2)
+    return (lines.groupBy("invoice")
+            .agg(F.count(F.lit(1)).alias("lines"),
+                 F.round(F.sum(amount), 2).alias("subtotal"),
+                 F.round(F.sum(tax), 2).alias("tax"))
+            .withColumn("grand_total", F.round(F.col("subtotal") + F.col("tax"), 2)))

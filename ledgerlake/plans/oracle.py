@@ -267,6 +267,20 @@ SELECTS: dict[str, str] = {
         "JOIN c ON t.invoiceId = c.invoiceId AND t.vendorName = c.vendorName"),
     "ingestion_status_summary": "SELECT ingestionStatus, count(*) AS runs FROM bronze_email GROUP BY 1",
     "email_decisions": "SELECT run_id, ingestionStatus, reason, email_from, email_subject FROM bronze_email",
+    "discover_runs": "SELECT DISTINCT run_id FROM bronze_manifest WHERE starts_with(run_id, 'run-')",
+    "run_list": (
+        "SELECT run_id FROM (SELECT DISTINCT run_id FROM bronze_manifest WHERE starts_with(run_id, 'run-')) "
+        "ORDER BY run_id DESC LIMIT 20"),
+    "supported_documents": (
+        "SELECT run_id, file_name, size_bytes FROM bronze_manifest "
+        "WHERE regexp_matches(lower(file_name), '\\.(pdf|png|jpg|jpeg)$')"),
+    "invoice_arithmetic": (
+        "WITH l AS (SELECT 'INV-' || CAST(l_orderkey AS VARCHAR) AS invoice, "
+        + _r(_r("l_extendedprice / l_quantity") + " * l_quantity") + " AS amount, l_tax FROM lineitem), "
+        "t AS (SELECT invoice, amount, " + _r("amount * l_tax") + " AS tax FROM l) "
+        "SELECT invoice, count(*) AS lines, " + _r("sum(amount)") + " AS subtotal, "
+        + _r("sum(tax)") + " AS tax, " + _r(_r("sum(amount)") + " + " + _r("sum(tax)")) + " AS grand_total "
+        "FROM t GROUP BY invoice"),
 }
 
 

@@ -202,3 +202,38 @@ def _g12(m: Model) -> DataFrame:
 def _a12(m: Model) -> DataFrame:
     """A12."""
     return obs.email_decisions(m.bronze_email)
+
+
+# --- run folders over the manifest (S1, S9, S10) and invoice arithmetic (P20) ---------
+
+@query("discover_runs")
+def _s1(m: Model) -> DataFrame:
+    """Run folders that hold at least one file."""
+    from ..sources import runs
+    return m.bronze_manifest.filter(F.col("run_id").startswith("run-")).select("run_id").distinct()
+
+
+@query("run_list")
+def _s9(m: Model) -> DataFrame:
+    """The 20 newest runs (name descending) -- the limit is the feature."""
+    from ..sources import runs
+    return runs.latest_runs(m.bronze_manifest)
+
+
+@query("supported_documents")
+def _s10(m: Model) -> DataFrame:
+    """Manifest files the pipeline accepts as documents."""
+    from ..sources import runs
+    return runs.supported_documents(m.bronze_manifest).select("run_id", "file_name", "size_bytes")
+
+
+@query("invoice_arithmetic")
+def _p20(m: Model) -> DataFrame:
+    """P20: line, tax and total arithmetic per order from lineitem."""
+    from ..sources.driver import table
+    li = table(m.spark, m.sf_dir, "lineitem").select(
+        F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string")).alias("invoice"),
+        F.col("l_quantity").alias("quantity"),
+        F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 2).alias("unit_price"),
+        F.col("l_tax").alias("tax_rate"))
+    return obs.invoice_arithmetic(li)
