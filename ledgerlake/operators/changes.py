@@ -65,3 +65,18 @@ def entries_from_postings(posted: DataFrame, entry_date_col: str | None = None)
         (F.col(entry_date_col) if entry_date_col else F.lit(None)).cast("timestamp").alias("EntryDate"),
         F.col("status").alias("Status"),
         F.col("item").alias("Description"))
+
+
+def entries_from_invoices(invoices: DataFrame, account_col: str = "currency") -> DataFrame:
+    """Ledger entries (GeneralLedger shape), one per invoice header: the AUD
+    amount posted on the invoice date, status posted."""
+    return invoices.select(
+        F.col("invoiceId").alias("Id"),
+        F.col("invoiceId").alias("InvoiceNumber"),
+        F.col("vendorName").alias("Vendor"),
+        F.col(account_col).alias("Account"),
+        F.col("convertedInvoiceAmount").cast("decimal(18,2)").alias("Amount"),
+        F.lit("AUD").alias("Currency"),
+        F.to_timestamp(F.col("invoiceDate"), "yyyy-MM-dd").alias("EntryDate"),
+        F.lit("posted").alias("Status"),
+        F.col("fileName").alias("Description"))

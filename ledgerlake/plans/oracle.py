@@ -285,10 +285,15 @@ SELECTS: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
+    from .oracle_payloads import CTES as PAYLOAD_CTES, SELECTS as PAYLOAD_SELECTS
     from .oracle_rules import RULE_CTES, RULE_SELECTS
     selects = dict(SELECTS)
     selects.update(RULE_SELECTS)
-    ctes = BASE.strip() + ("," + RULE_CTES.rstrip() if RULE_CTES.strip() else "")
+    selects.update(PAYLOAD_SELECTS)
+    ctes = BASE.strip()
+    for extra in (RULE_CTES, PAYLOAD_CTES):
+        if extra.strip():
+            ctes += "," + extra.rstrip()
     out = {}
     for name, sel in selects.items():
         if sel.lstrip().upper().startswith("WITH"):

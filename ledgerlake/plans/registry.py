@@ -32,7 +32,7 @@ def query(name: str):
 
 
 def queries() -> dict[str, QueryFn]:
-    from . import rules_queries  # noqa: F401  (registers the rule queries)
+    from . import payload_queries, rules_queries  # noqa: F401  (register their queries)
     return dict(_REGISTRY)
 
 

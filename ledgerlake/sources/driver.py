@@ -217,3 +217,95 @@ def ledger_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (part.groupBy(F.col("p_type").alias("categoryName"))
             .agg(F.round(F.sum("p_retailprice") * 50, 2).alias("approvedBudget"),
                  F.round(F.sum("p_retailprice") * 20, 2).alias("ytdBalance")))
+
+
+# --- agent payloads and ledger changes (P4, P13, P14, A10) ----------------------
+# The app's agents reply with free text around JSON, in whichever shape the
+# model chose; the general ledger is edited one call at a time.  Both are
+# derived here row by row from the bronze tables and lineitem, so the
+# operators that read them run over the whole tables.
+
+# Header fields an agent reply carries (the invoice JSON without lines).
+REPLY_FIELDS = ("fileName", "invoiceId", "vendorName", "invoiceDate", "dueDate", "paymentTerms",
+                "currency", "totalAmount", "extractionStatus", "extractionNotes")
+
+
+def reply_shape() -> F.Column:
+    """Payload shape per header: short terms reply as a JSON array of
+    invoices, NET 30 as an ``{"invoices": [...]}`` object, the rest as one
+    bare invoice object (the three shapes P13 accepts)."""
+    terms = F.col("paymentTerms")
+    return (F.when(terms.isin("PREPAID", "NET 14"), F.lit("array"))
+            .when(terms == "NET 30", F.lit("object"))
+            .otherwise(F.lit("single")))
+
+
+def agent_invoice_replies(header: DataFrame) -> DataFrame:
+    """One agent reply per bronze header row: prose around the invoice JSON
+    (null fields are left out, as ``to_json`` does)."""
+    inv = F.struct(*[F.col(c) for c in REPLY_FIELDS])
+    shape = F.col("shape")
+    payload = (F.when(shape == "array", F.to_json(F.array(inv)))
+               .when(shape == "object", F.to_json(F.struct(F.array(inv).alias("invoices"))))
+               .otherwise(F.to_json(inv)))
+    return (header.withColumn("shape", reply_shape())
+            .select("run_id", "shape",
+                    F.concat(F.lit("Extracted invoice data:\n"), payload, F.lit("\nEnd of reply.")).alias("reply")))
+
+
+def email_struct() -> F.Column:
+    """The email object of an ingestion payload, from bronze email columns."""
+    return F.struct(F.col("email_id").cast("long").alias("id"), F.col("email_from").alias("from"),
+                    F.col("email_from_name").alias("fromName"), F.col("email_to").alias("to"),
+                    F.col("email_subject").alias("subject"),
+                    F.date_format("email_date", "yyyy-MM-dd").alias("date"),
+                    F.col("email_body").alias("body"))
+
+
+def ingestion_payloads(email: DataFrame) -> DataFrame:
+    """Ingestion JSON per email run: decided emails come wrapped
+    (``{ingestionStatus, reason, email}``), undecided ones as the raw email
+    object the scenarios hold."""
+    wrapped = F.to_json(F.struct("ingestionStatus", "reason", email_struct().alias("email")))
+    return email.select("run_id", F.col("ingestionStatus").isNotNull().alias("wrapped"),
+                        F.when(F.col("ingestionStatus").isNotNull(), wrapped)
+                         .otherwise(F.to_json(email_struct())).alias("payload"))
+
+
+def ledger_change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 change rows from lineitem, one per line, on the invoice entries.
+
+    (returnflag, linestatus) picks the call: R/F deletes the invoice's
+    entry, R/O adds it again (re-opened), A updates its amount to the net
+    line value (status adjusted), N/F updates only its status (settled),
+    N/O adds a new entry per line.  Adds leave Currency and Status null, so
+    the add defaults apply.  ``seq`` orders the calls: ship date, then the
+    line's keys.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount",
+        "l_returnflag", "l_linestatus", "l_shipdate")
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    invoice = F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string"))
+    new_line = (flag == "N") & (status == "O")
+    reopen = (flag == "R") & (status == "O")
+    op = (F.when((flag == "R") & (status == "F"), F.lit("delete"))
+          .when(reopen | new_line, F.lit("add"))
+          .otherwise(F.lit("update")))
+    amount = (F.when(flag == "A", F.round(F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount")), 2))
+              .when(reopen | new_line, F.col("l_extendedprice")))
+    return li.select(
+        op.alias("op"),
+        F.when(new_line, F.concat(invoice, F.lit("-L"), F.col("l_linenumber").cast("string")))
+         .otherwise(invoice).alias("Id"),
+        F.when(reopen | new_line, invoice).alias("InvoiceNumber"),
+        F.lit(None).cast("string").alias("Vendor"),
+        F.when(new_line, F.col("l_partkey").cast("string")).alias("Account"),
+        amount.cast("decimal(18,2)").alias("Amount"),
+        F.lit(None).cast("string").alias("Currency"),
+        F.when(reopen | new_line, F.col("l_shipdate")).alias("EntryDate"),
+        F.when(flag == "A", F.lit("adjusted")).when((flag == "N") & (status == "F"), F.lit("settled"))
+         .alias("Status"),
+        F.when(new_line, F.concat(F.lit("line "), F.col("l_linenumber").cast("string")))
+         .when(reopen, F.lit("re-opened")).alias("Description"),
+        F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"))

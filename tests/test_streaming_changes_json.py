@@ -88,3 +88,25 @@ def test_overlay_later_nodes_win(spark):
     got = {r["node"]: r["value"] for r in J.overlay_nodes(docs, "run_id", ["stage"], "doc").collect()}
     assert got["ingestionStatus"] == "accepted" and json.loads(got["email"]) == {"x": 1}
     assert json.loads(got["invoices"]) == [1, 2] and json.loads(got["LedgerMatched"]) == []
+
+
+def test_ledger_changes_struct_sequence(spark):
+    """Calls ordered by a struct (date, then line): the later line of the
+    same day wins, and an update before the last reset is dropped."""
+    entries = spark.createDataFrame(
+        [("a", "INV-1", "Acme", "6000", Decimal("10.00"), "USD", None, "posted", "x")], ENTRY)
+    seq = "struct<d: string, n: int>"
+    ch = spark.createDataFrame([
+        ("update", "a", Decimal("12.00"), None, {"d": "2024-01-02", "n": 1}),
+        ("add", "a", Decimal("30.00"), None, {"d": "2024-01-01", "n": 9}),
+        ("delete", "a", None, None, {"d": "2024-01-01", "n": 2}),
+        ("update", "a", None, "approved", {"d": "2024-01-01", "n": 3}),   # before the add: dropped
+        ("add", "n", Decimal("1.00"), None, {"d": "2024-01-01", "n": 1}),
+        ("add", "n", Decimal("2.00"), None, {"d": "2024-01-01", "n": 4}),
+    ], f"op string, Id string, Amount decimal(18,2), Status string, seq {seq}")
+    for f in ("InvoiceNumber", "Vendor", "Account", "Currency", "Description"):
+        ch = ch.withColumn(f, F.lit(None).cast("string"))
+    ch = ch.withColumn("EntryDate", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    out = {r["Id"]: r for r in changes.apply_changes(entries, ch).collect()}
+    assert out["a"]["Amount"] == Decimal("12.00") and out["a"]["Status"] == "pending"
+    assert out["n"]["Amount"] == Decimal("2.00") and out["n"]["Currency"] == "USD"
