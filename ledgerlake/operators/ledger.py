@@ -176,14 +176,20 @@ def match_global(lines: DataFrame, items: DataFrame, description_col: str = "des
     description matches nothing, the vendor name is tried the same way
     (rank 2).  Ties go to ledger order.  Adds ``ledger_item`` (struct of
     ITEM_FIELDS + match_rank) -- null when nothing matches.
+
+    Plan: distinct descriptions are matched first.  Vendors are matched
+    only for the lines whose description matched nothing: the unmatched
+    descriptions are found on the distinct texts, and a semi join with them
+    picks those lines' vendors -- no vendor is matched that no line needs.
     """
     terms = ledger_terms(items).select(*ITEM_FIELDS, "term_l")
     keyed = (lines.withColumn("_desc_l", F.lower(F.coalesce(F.col(description_col), F.lit(""))))
              .withColumn("_vend_l", F.lower(F.coalesce(F.col(vendor_col), F.lit("")))))
     descs = keyed.select("_desc_l").distinct()
-    vends = keyed.select("_vend_l").distinct()
     small = terms_are_small(terms)
     by_desc = _best_by_text(descs, "_desc_l", terms, 1, small).withColumnRenamed("_best", "_by_desc")
+    unmatched = descs.join(by_desc, "_desc_l", "left_anti")
+    vends = keyed.join(unmatched, "_desc_l", "left_semi").select("_vend_l").distinct()
     by_vend = (_best_by_text(vends, "_vend_l", terms, 2, small)
                .select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend")))
     return (keyed.join(by_desc, "_desc_l", "left")

@@ -147,3 +147,25 @@ def test_contains_pairs_random_long_texts(spark):
     got = {(r["hid"], r["nid"]) for r in L.contains_pairs(h, "hay", n, "needle").select("hid", "nid").collect()}
     want = {(i, j) for i, a in enumerate(hays) for j, b in enumerate(needles) if b in a}
     assert got == want
+
+
+def test_match_global_vendor_fallback_only_for_unmatched_descriptions(spark):
+    """A description that matches nothing falls back to its line's vendor;
+    the same description under another vendor stays unmatched; a matched
+    description ignores the vendor; equality outranks longer containment."""
+    items = spark.createDataFrame(
+        [("Terminals", "1", "TERMINAL LICENCE", 10.0, ["Bloomberg"], 1),
+         ("Services", "2", "AUDIT SERVICE", 20.0, ["Audit"], 2),
+         ("Services", "3", "SUPPORT", 30.0, ["PORT"], 3)],
+        "categoryName string, ledgerCode string, itemName string, expectedUnitPrice double, "
+        "aliases array<string>, item_position int")
+    lines = spark.createDataFrame(
+        [("x1", "Adviser audit service", "Bloomberg L.P."),
+         ("x2", "on-site setup", "Bloomberg L.P."),
+         ("x3", "on-site setup", "Acme"),
+         ("x4", "Support", "Bloomberg"),
+         ("x5", None, "Acme")],
+        "lineNo string, description string, vendorName string")
+    out = {r["lineNo"]: r["ledger_item"] for r in L.match_global(lines, items).collect()}
+    got = {k: (v["ledgerCode"], v["match_rank"]) if v else None for k, v in out.items()}
+    assert got == {"x1": ("2", 1), "x2": ("1", 2), "x3": None, "x4": ("3", 0), "x5": None}
