@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sizing import checked_broadcast
+from ..sizing import checked_broadcast, checkpointed_broadcast
 
 GRAM = 4
 # Ledger terms (item names + aliases) shipped to every executor at most;
@@ -139,8 +139,10 @@ def match_in_category(lines: DataFrame, items: DataFrame, categories: DataFrame,
             .agg(F.min("categoryName").alias("ledger_category")))
     # one row per distinct (category, description): both lookups are
     # resolved on this small table, then joined back to the lines once
-    resolved = (distinct_texts.join(cats, "_cat_l", "left")
-                .join(best, ["_cat_l", "_desc_l"], "left"))
+    # (checkpointed, and broadcast when its row count is small: the lines
+    # are then joined without being shuffled)
+    resolved = checkpointed_broadcast(distinct_texts.join(cats, "_cat_l", "left")
+                                      .join(best, ["_cat_l", "_desc_l"], "left"))
     return keyed.join(resolved, ["_cat_l", "_desc_l"], "left").drop("_cat_l", "_desc_l")
 
 
@@ -177,21 +179,27 @@ def match_global(lines: DataFrame, items: DataFrame, description_col: str = "des
     (rank 2).  Ties go to ledger order.  Adds ``ledger_item`` (struct of
     ITEM_FIELDS + match_rank) -- null when nothing matches.
 
-    Plan: distinct descriptions are matched first.  Vendors are matched
-    only for the lines whose description matched nothing: the unmatched
-    descriptions are found on the distinct texts, and a semi join with them
-    picks those lines' vendors -- no vendor is matched that no line needs.
+    Plan: distinct descriptions are matched first; the result (one row per
+    distinct description, null when nothing matched) is checkpointed and
+    broadcast when small.  Vendors are matched only for the lines whose
+    description matched nothing -- a semi join with the unmatched
+    descriptions picks those lines' vendors -- so no vendor is matched that
+    no line needs.  Both lookups meet the lines in broadcast joins when
+    their size allows, so the lines are not shuffled for them.
     """
     terms = ledger_terms(items).select(*ITEM_FIELDS, "term_l")
     keyed = (lines.withColumn("_desc_l", F.lower(F.coalesce(F.col(description_col), F.lit(""))))
              .withColumn("_vend_l", F.lower(F.coalesce(F.col(vendor_col), F.lit("")))))
     descs = keyed.select("_desc_l").distinct()
     small = terms_are_small(terms)
-    by_desc = _best_by_text(descs, "_desc_l", terms, 1, small).withColumnRenamed("_best", "_by_desc")
-    unmatched = descs.join(by_desc, "_desc_l", "left_anti")
+    by_desc = checkpointed_broadcast(
+        descs.join(_best_by_text(descs, "_desc_l", terms, 1, small), "_desc_l", "left")
+        .withColumnRenamed("_best", "_by_desc"))
+    unmatched = by_desc.filter(F.col("_by_desc").isNull()).select("_desc_l")
     vends = keyed.join(unmatched, "_desc_l", "left_semi").select("_vend_l").distinct()
-    by_vend = (_best_by_text(vends, "_vend_l", terms, 2, small)
-               .select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend")))
+    by_vend = checkpointed_broadcast(
+        _best_by_text(vends, "_vend_l", terms, 2, small)
+        .select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend")))
     return (keyed.join(by_desc, "_desc_l", "left")
             .join(by_vend, "_vend_l", "left")
             .withColumn("ledger_item", F.coalesce("_by_desc", "_by_vend"))
@@ -201,7 +209,7 @@ def match_global(lines: DataFrame, items: DataFrame, description_col: str = "des
 # --- J9, J10, G16 --------------------------------------------------------------
 
 def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFrame,
-                 ledger_currency: str = "AUD") -> DataFrame:
+                 ledger_currency: str = "AUD", checkpoint_lines: bool = False) -> DataFrame:
     """J9 + J12: ledger items with the lines posted to them.
 
     Items without lines keep one row with null line fields; lines without a
@@ -214,9 +222,11 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
     task, which AQE cannot split on that side.  Instead the lines meet the
     (size-checked, broadcast) items in an inner join, and items with no
     line come from an anti join against the distinct posted codes.  The
-    narrow posted-line projection feeds both, so it is checkpointed (a
-    reliable checkpoint in ``spark.checkpoint.dir``) instead of running
-    the matching upstream twice.
+    narrow posted-line projection feeds both; the line matching already
+    checkpoints its lookup tables, so re-reading the lines is cheaper than
+    writing them.  ``checkpoint_lines=True`` writes the projection once (a
+    reliable checkpoint in ``spark.checkpoint.dir``) for callers whose
+    posted lines are costly to recompute.
     """
     it = items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice",
                       F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), ", ").alias("aliases_text"),
@@ -227,8 +237,9 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
                      "unitPrice", "lineTotal")
              .join(invoice_currency, "invoiceId", "left")
              .withColumn("currency", F.coalesce(F.col("invoice_currency"), F.lit(ledger_currency)))
-             .drop("invoice_currency")
-             .checkpoint(eager=True))
+             .drop("invoice_currency"))
+    if checkpoint_lines:
+        lines = lines.checkpoint(eager=True)
     small_items = checked_broadcast(it)
     with_lines = lines.join(small_items, "_code")
     used = lines.select("_code").distinct()

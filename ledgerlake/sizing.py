@@ -24,3 +24,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
         # limit(max_rows + 1) stops the count early on a large input.
         rows = df.limit(max_rows + 1).count()
     return F.broadcast(df) if rows <= max_rows else df
+
+
+def checkpointed_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """A derived table that may be small (e.g. one row per distinct text):
+    written once as a reliable checkpoint in ``spark.checkpoint.dir``, so
+    counting it does not recompute it, then broadcast only when its row
+    count is within ``max_rows``; otherwise the checkpointed frame is
+    returned for a shuffle join."""
+    cp = df.checkpoint(eager=True)
+    return checked_broadcast(cp, max_rows)
