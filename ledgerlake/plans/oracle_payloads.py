@@ -52,7 +52,21 @@ gl_upd AS (
   SELECT c.Id, {", ".join(f"arg_max(c.{f}, c.seqn) FILTER (WHERE c.{f} IS NOT NULL) AS u_{f}" for f in _FIELDS)}
   FROM gl_changes c LEFT JOIN gl_reset r ON c.Id = r.Id
   WHERE c.op = 'update' AND (r.Id IS NULL OR c.seqn > r.seqn)
-  GROUP BY c.Id)
+  GROUP BY c.Id),
+fx_sub AS (
+  SELECT currency AS "from", 'AUD' AS "to",
+         strftime(date_trunc('quarter', CAST(dueDate AS DATE)), '%Y-%m-%d') AS fromDate,
+         strftime(last_day(date_trunc('quarter', CAST(dueDate AS DATE)) + INTERVAL 2 MONTH), '%Y-%m-%d') AS toDate,
+         CAST(CAST({_r("max(CASE WHEN totalAmount = 0 THEN NULL ELSE convertedInvoiceAmount / totalAmount END)", 4)}
+              AS DECIMAL(18,6)) AS DOUBLE) AS rate,
+         count(*) AS invoices
+  FROM silver_invoice GROUP BY 1, 3, 4),
+fx_checked AS (
+  SELECT *,
+         CASE WHEN "from" IS NULL OR trim("from") = '' OR "to" IS NULL OR trim("to") = ''
+                   OR fromDate IS NULL OR trim(fromDate) = '' OR rate IS NULL OR rate <= 0
+              THEN 'From/To currency, From Date and a positive rate are required.' END AS reject_reason
+  FROM fx_sub)
 """
 
 
@@ -64,6 +78,13 @@ def _gl_field(f: str) -> str:
 
 
 SELECTS = {
+    "fx_rate_validation": (
+        "SELECT CASE WHEN reject_reason IS NULL THEN upper(trim(\"from\")) ELSE \"from\" END AS \"from\", "
+        "CASE WHEN reject_reason IS NULL THEN upper(trim(\"to\")) ELSE \"to\" END AS \"to\", "
+        "fromDate, toDate, rate, invoices, reject_reason IS NULL AS valid, reject_reason FROM fx_checked"),
+    "fx_table_replace": (
+        "SELECT upper(trim(\"from\")) AS \"from\", upper(trim(\"to\")) AS \"to\", fromDate, toDate, rate "
+        "FROM fx_checked WHERE reject_reason IS NULL"),
     "invoice_replies": (
         "SELECT run_id, CASE WHEN paymentTerms IN ('PREPAID', 'NET 14') THEN 'array' "
         "WHEN paymentTerms = 'NET 30' THEN 'object' ELSE 'single' END AS shape, "

@@ -60,3 +60,28 @@ def _a10(m: Model) -> DataFrame:
     return out.select("Id", "InvoiceNumber", "Vendor", "Account",
                       F.col("Amount").cast("double").alias("Amount"), "Currency",
                       F.to_date("EntryDate").alias("EntryDate"), "Status", "Description")
+
+
+@query("fx_rate_validation")
+def _p23(m: Model) -> DataFrame:
+    """Rate submissions implied by the invoices, split into valid rows
+    and rejected rows with their reason."""
+    from ..operators import fx
+    valid, rejected = fx.validate_rates(driver.fx_rate_submissions(m.silver_invoice))
+    cols = ["from", "to", "fromDate", "toDate", F.col("rate").cast("double").alias("rate"), "invoices"]
+    return (valid.select(*cols, F.lit(True).alias("valid"), F.lit(None).cast("string").alias("reject_reason"))
+            .unionByName(rejected.select(*cols, F.lit(False).alias("valid"), "reject_reason")))
+
+
+@query("fx_table_replace")
+def _a11(m: Model) -> DataFrame:
+    """The rate table overwritten with the validated submissions (a
+    table in the shared checkpoint folder), read back."""
+    import hashlib
+    import posixpath
+    from ..operators import fx
+    from ..session import ensure_checkpoint_dir
+    tag = hashlib.sha1(m.sf_dir.encode()).hexdigest()[:16]
+    path = posixpath.join(ensure_checkpoint_dir(m.spark), "ledgerlake-fx", tag)
+    table = fx.replace_rates(m.spark, driver.fx_rate_submissions(m.silver_invoice).drop("invoices"), path)
+    return table.withColumn("rate", F.col("rate").cast("double"))

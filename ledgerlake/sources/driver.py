@@ -309,3 +309,19 @@ def ledger_change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(new_line, F.concat(F.lit("line "), F.col("l_linenumber").cast("string")))
          .when(reopen, F.lit("re-opened")).alias("Description"),
         F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey").alias("seq"))
+
+
+def fx_rate_submissions(invoices: DataFrame) -> DataFrame:
+    """Rate rows as a user would submit them on the FX page (P23 input),
+    implied by the kept invoices: per currency and due-date quarter, the
+    largest converted / native ratio (4 places).  A currency without a
+    rate (no converted amounts) submits a null rate."""
+    start = F.date_trunc("quarter", F.to_date("dueDate", "yyyy-MM-dd")).cast("date")
+    ratio = F.try_divide(F.col("convertedInvoiceAmount"), F.col("totalAmount"))
+    return (invoices.select("currency", start.alias("_q"), ratio.alias("_ratio"))
+            .groupBy("currency", "_q")
+            .agg(F.round(F.max("_ratio"), 4).alias("_rate"), F.count(F.lit(1)).alias("invoices"))
+            .select(F.col("currency").alias("from"), F.lit(K.LEDGER_CURRENCY).alias("to"),
+                    F.date_format("_q", "yyyy-MM-dd").alias("fromDate"),
+                    F.date_format(F.last_day(F.add_months("_q", 2)), "yyyy-MM-dd").alias("toDate"),
+                    F.col("_rate").cast("decimal(18,6)").alias("rate"), "invoices"))
