@@ -17,6 +17,8 @@ from .. import schemas
 # Greedy: from the first '{' to the last '}', across newlines.
 JSON_OBJECT_PATTERN = r"(?s)\{.*\}"
 _PERMISSIVE = {"mode": "PERMISSIVE"}
+# An object payload is either ``{"invoices": [...]}`` or one invoice.
+_INVOICE_OR_FILE = T.StructType(schemas.INVOICE.fields + schemas.INVOICE_FILE.fields)
 
 
 def _c(col) -> Column:
@@ -43,17 +45,51 @@ def invoice_array(text) -> Column:
 
     A JSON array is the invoice list; an object with ``invoices`` gives that
     list; an object with ``invoiceId`` is one invoice; anything else is [].
+
+    Each row is parsed once: arrays against the invoice-list schema,
+    objects against one schema holding both the invoice fields and
+    ``invoices``.  Pass a column, not an expensive expression: the text is
+    referenced by both branches.
     """
     t = _c(text)
-    trimmed = F.ltrim(t)
-    as_array = F.when(trimmed.startswith("["), parse_json(t, T.ArrayType(schemas.INVOICE)))
-    obj = F.when(trimmed.startswith("{"), parse_json(t, schemas.INVOICE_FILE))
-    one = F.when(trimmed.startswith("{"), parse_json(t, schemas.INVOICE))
-    single = F.when(one["invoiceId"].isNotNull(), F.array(one))
+    first = F.substring(F.ltrim(t), 1, 1)
+    as_array = F.when(first == "[", parse_json(t, T.ArrayType(schemas.INVOICE)))
+    obj = F.when(first == "{", parse_json(t, _INVOICE_OR_FILE))
+    # one invoice when it has an id; [] otherwise (the last fallback anyway)
+    single = F.filter(F.array(obj.dropFields("invoices")), lambda x: x["invoiceId"].isNotNull())
     empty = F.array().cast(T.ArrayType(schemas.INVOICE))
     return F.coalesce(as_array, obj["invoices"], single, empty)
 
 
+def explode_rows(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
+    """Inner ``explode`` of ``array_col`` without the inferred pre-filter.
+
+    For an inner explode the optimizer infers ``size(array) > 0`` and pushes
+    it below the projections, where it inlines -- and so evaluates twice --
+    whatever built the array (a JSON parse, a serialisation).  An outer
+    explode with its position kept, filtered on the position, gives the same
+    rows (empty and null arrays yield none) and the filter stays above it.
+    """
+    return (df.select("*", F.posexplode_outer(array_col).alias("_pos", out_col))
+            .filter(F.col("_pos").isNotNull()).drop("_pos", array_col))
+
+
+def with_invoice_array(df: DataFrame, text_col: str, out_col: str = "invoices") -> DataFrame:
+    """P13 as a DataFrame step: the same result as :func:`invoice_array`,
+    with each payload parsed exactly once.  The parses land in their own
+    projection, which the optimizer keeps separate because the parsed
+    object is read twice; a single column expression would parse it again
+    in each ``coalesce`` branch."""
+    t = F.col(text_col)
+    first = F.substring(F.ltrim(t), 1, 1)
+    parsed = df.select("*", F.when(first == "[", parse_json(t, T.ArrayType(schemas.INVOICE))).alias("_arr"),
+                       F.when(first == "{", parse_json(t, _INVOICE_OR_FILE)).alias("_obj"))
+    single = F.filter(F.array(F.col("_obj").dropFields("invoices")), lambda x: x["invoiceId"].isNotNull())
+    empty = F.array().cast(T.ArrayType(schemas.INVOICE))
+    return (parsed.withColumn(out_col, F.coalesce(F.col("_arr"), F.col("_obj.invoices"), single, empty))
+            .drop("_arr", "_obj"))
+
+
 def unwrap_email(text) -> Column:
     """The ``email`` member when present, else the whole object as an email."""
     t = _c(text)

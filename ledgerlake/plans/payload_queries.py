@@ -19,10 +19,10 @@ from .registry import query
 
 @query("invoice_replies")
 def _p13(m: Model) -> DataFrame:
-    """P12 + P13: invoices cut out of agent replies in any of the three shapes."""
-    replies = driver.agent_invoice_replies(m.bronze_header)
-    inv = F.explode(J.invoice_array(J.extract_json_text("reply"))).alias("inv")
-    return (replies.select("run_id", "shape", inv)
+    """Invoices read from agent payloads in any of the three shapes."""
+    replies = J.with_invoice_array(driver.agent_invoice_replies(m.bronze_header).select("run_id", "shape", "payload"),
+                                   "payload", "invoices")
+    return (J.explode_rows(replies, "invoices", "inv")
             .select("run_id", "shape", "inv.invoiceId", "inv.vendorName", "inv.invoiceDate",
                     "inv.currency", "inv.totalAmount", "inv.extractionStatus", "inv.extractionNotes"))
 

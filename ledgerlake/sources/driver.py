@@ -241,16 +241,17 @@ def reply_shape() -> F.Column:
 
 
 def agent_invoice_replies(header: DataFrame) -> DataFrame:
-    """One agent reply per bronze header row: prose around the invoice JSON
-    (null fields are left out, as ``to_json`` does)."""
+    """One agent reply per bronze header row: ``payload`` is the invoice
+    JSON in its shape (null fields left out, as ``to_json`` does), ``reply``
+    the same wrapped in prose, as the agent's text arrives."""
     inv = F.struct(*[F.col(c) for c in REPLY_FIELDS])
     shape = F.col("shape")
     payload = (F.when(shape == "array", F.to_json(F.array(inv)))
                .when(shape == "object", F.to_json(F.struct(F.array(inv).alias("invoices"))))
                .otherwise(F.to_json(inv)))
     return (header.withColumn("shape", reply_shape())
-            .select("run_id", "shape",
-                    F.concat(F.lit("Extracted invoice data:\n"), payload, F.lit("\nEnd of reply.")).alias("reply")))
+            .select("run_id", "shape", payload.alias("payload"))
+            .withColumn("reply", F.concat(F.lit("Extracted invoice data:\n"), "payload", F.lit("\nEnd of reply."))))
 
 
 def email_struct() -> F.Column:
