@@ -133,8 +133,10 @@ def overlay_nodes(docs: DataFrame, key_col: str, order_cols: list[str], json_col
     the winning raw JSON text of every top-level node.  Each (key, node)
     is reduced with ``max_by`` (partial aggregation, skew-safe).
     """
-    nodes = (docs.select(key_col, *order_cols,
-                         F.explode(F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()),
-                                               _PERMISSIVE)).alias("node", "value")))
+    # outer explode filtered on the position: an inner explode would parse
+    # the JSON again in its inferred size filter
+    parsed = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()), _PERMISSIVE)
+    nodes = (docs.select(key_col, *order_cols, F.posexplode_outer(parsed).alias("_pos", "node", "value"))
+             .filter(F.col("_pos").isNotNull()).drop("_pos"))
     order = F.struct(*[F.col(c) for c in order_cols])
     return nodes.groupBy(key_col, "node").agg(F.max_by("value", order).alias("value"))
