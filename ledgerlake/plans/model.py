@@ -141,7 +141,7 @@ class Model:
 
     @cached_property
     def checked(self) -> DataFrame:
-        return silver.checked_headers(self.silver_invoice_fresh, self.silver_lines_fresh)
+        return silver.checked_from_lines(self.silver_invoice_fresh, self.bronze_lines)
 
     # -- silver tables as written (the input of gold and the rules) ----------
     def _silver(self, name: str) -> DataFrame:
