@@ -225,26 +225,34 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", pattern: str = PA
     return out.select("*", encode_column(F.col(f"`{text_col}`"), Codec(path, pattern)).alias("ids"))
 
 
-def round_trip(docs: DataFrame, path: str, text_col: str = "text", pattern: str = PATTERN) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", pattern: str = PATTERN,
+               ids: bool = False) -> DataFrame:
     """``docs`` with n_tokens, ids_sha256 (ids as little-endian unsigned 32-bit
-    integers) and decoded_sha256 (UTF-8 of the text decoded from the ids):
-    ids and decoded texts stay in the task."""
+    integers) and decoded_sha256 (UTF-8 of the text decoded from the ids); with
+    ``ids`` the token ids too.  Decoded texts stay in the task."""
     document_batches(docs.sparkSession)
     codec = Codec(path, pattern)
-    names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    names = ("n_tokens", "ids_sha256", "decoded_sha256") + (("ids",) if ids else ())
 
     def digests(column: pa.Array) -> pa.Array:
         out: tuple[list, ...] = ([], [], [])
+        found = [np.zeros(0, np.int32)]
         for part in _parts(texts_of(column)):
-            ids, counts = codec.encode(part)
-            data, ends = ids.astype("<u4").tobytes(), (4 * np.concatenate(([0], np.cumsum(counts)))).tolist()
+            flat, counts = codec.encode(part)
+            data, ends = flat.astype("<u4").tobytes(), (4 * np.concatenate(([0], np.cumsum(counts)))).tolist()
             out[0].extend(counts.tolist())
             out[1].extend(hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends, ends[1:]))
-            out[2].extend(hashlib.sha256(t).hexdigest() for t in codec.decode(ids, counts))
-        return pa.StructArray.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()),
-                                           pa.array(out[2], pa.string())], names=list(names))
-
-    of = F.arrow_udf(digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+            out[2].extend(hashlib.sha256(t).hexdigest() for t in codec.decode(flat, counts))
+            if ids:
+                found.append(flat.astype(np.int32))
+        columns = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
+        if ids:
+            offsets = np.concatenate(([0], np.cumsum(out[0]))).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found))))
+        return pa.StructArray.from_arrays(columns, names=list(names))
+
+    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if ids else "")
+    of = F.arrow_udf(digests, kind)
     kept = with_columns_kept(docs, *names, "_codec")
     return kept.withColumn("_codec", of(docs[f"`{text_col}`"].cast("string"))).select(
         *[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"_codec.{n}") for n in names])

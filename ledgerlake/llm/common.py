@@ -3,15 +3,21 @@ folder, broadcasts behind a size check, text keys and batch sizes."""
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+# Tasks carry the operators' functions themselves: executors need the public
+# libraries, not this repository.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 #: A side is broadcast only when its measured size is within this bound.
 BROADCAST_BYTES = 32 << 20
 

@@ -197,14 +197,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("digest"), text.alias("text"))
     table = written(phrase_table(rows, window, gram), "rlz-phrases")
+    # counts are written before they are joined back: AQE splits a hot key of a
+    # join only if both sides come straight from a shuffle
     again = table.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    shared = written(table.join(again, "anchor"), "rlz-shared")
+    shared = written(table.join(written(again, "rlz-again"), "anchor"), "rlz-shared")
 
     place = F.struct("id", "digest", "first")
     distinct = written(shared.groupBy("anchor", "phrase", "n").agg(F.count(F.lit(1)).alias("copies"),
                                                                    F.min(place).alias("at")), "rlz-distinct")
     varied = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
-    listed = (distinct.join(varied, "anchor")
+    listed = (distinct.join(written(varied, "rlz-varied"), "anchor")
               .groupBy("at.id", "at.digest")
               .agg(F.collect_list(F.struct("at.first", "n", "anchor", "phrase")).alias("listed")))
     joined = rows.alias("r").join(listed.alias("l"), F.col("r.id").eqNullSafe(F.col("l.id"))
@@ -213,7 +215,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spot = F.struct("anchor", "phrase", "offset")
     twice = (windows.groupBy("w1", "w2").agg(F.min(spot).alias("x"), F.max(spot).alias("y")).where("x <> y")
              .select("w1", "w2"))
-    edges = (windows.join(twice, ["w1", "w2"]).groupBy("anchor", "phrase")
+    edges = (windows.join(written(twice, "rlz-twice"), ["w1", "w2"]).groupBy("anchor", "phrase")
              .agg(F.collect_set("offset").alias("offsets")))  # at most window - gram + 1 of them
     verdict = (distinct.alias("d").join(edges.alias("e"), ["anchor", "phrase"], "left")
                .select("anchor", "phrase",

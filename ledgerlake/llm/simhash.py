@@ -205,7 +205,7 @@ def _midpoint_edges(dense: DataFrame, radius: int) -> DataFrame:
     half = radius // 2
     flips = F.array(*[F.lit(f) for f in balls(list(range(BITS)), half)])
     reach = dense.select("fp", F.explode(flips).alias("f")).select("fp", F.col("fp").bitwiseXOR(F.col("f")).alias("mid"))
-    least = reach.groupBy("mid").agg(F.min("fp").alias("least"))
+    least = reach.groupBy("mid").agg(F.min("fp").alias("least"))  # at most as many fingerprints as flips
     edges = reach.join(least, "mid").where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
     if radius % 2:
         far = F.array(*[F.lit(f) for f in balls(list(range(BITS)), half + 1)])
@@ -257,9 +257,10 @@ def components(edges: DataFrame) -> DataFrame:
             return stars.withColumnRenamed("v", "root")
         state = now
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # written, so that AQE can split the join at a hub: it splits only plain shuffles
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = written(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "stars")
 

@@ -1,0 +1,53 @@
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import line_dedup, queries
+
+from .oracle import compare
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_query_matches_sql(spark):
+    got = compare(queries.op1_line_dedup(spark, SF), queries.oracle_sql()["op1_line_dedup"],
+                  {"documents": f"{SF}/documents.parquet"})
+    assert sum(r[2] > 0 for r in got)
+
+
+def drop(spark, rows, **how):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_dropped string")
+    out = line_dedup.drop_boilerplate(docs, F.col("source"), **how)
+    assert out.columns == ["doc_id", "text", "source", "n_lines", "n_dropped"]
+    return sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()), key=repr)
+
+
+def test_a_line_counts_once_a_page_and_pages_once_a_text(spark):
+    rows = [(i, f"menu\nmenu\nown {i}", "a", "x") for i in range(4)] + [(4, "own 4", "a", "x")] * 6
+    assert drop(spark, rows, ratio=0.5, min_pages=2) == sorted(
+        [(i, f"own {i}", 3, 2) for i in range(4)] + [(4, "own 4", 1, 0)] * 6, key=repr)
+    # on another host the same line is no boilerplate
+    other = [(10, "menu", "b", None), (11, "else", "b", None), (12, "more", "b", None)]
+    got = drop(spark, rows + other, ratio=0.5, min_pages=2)
+    assert (10, "menu", 1, 0) in got and (0, "own 0", 3, 2) in got
+
+
+def test_a_ratio_is_exceeded_not_met(spark):
+    rows = [(0, "menu\na", "h", ""), (1, "menu\nb", "h", ""), (2, "c", "h", ""), (3, "d", "h", "")]
+    assert all(n == 0 for *_, n in drop(spark, rows, ratio=0.5, min_pages=1))
+    assert sum(n for *_, n in drop(spark, rows, ratio=0.49, min_pages=1)) == 2
+    assert all(n == 0 for *_, n in drop(spark, rows, ratio=0.49, min_pages=3))
+
+
+def test_nulls_blank_lines_and_long_texts(spark):
+    rows = [(1, None, None, ""), (2, "", None, ""), (3, "x\n\n  \ny", None, ""), (4, "x\n\n  \nz", None, ""),
+            (5, "x\n" + "long line\n" * 20_000, None, ""), (None, "x", None, "")]
+    got = {r[0]: r[1:] for r in drop(spark, rows, ratio=0.3, min_pages=2)}
+    assert got[1] == (None, 0, 0) and got[2] == ("", 1, 0)
+    assert got[3] == ("\n  \ny", 4, 1) and got[None] == ("", 1, 1)
+    assert got[5] == ("long line\n" * 20_000, 20_002, 1)
+    assert drop(spark, rows[:0]) == []
+
+
+def test_host_of_urls(spark):
+    urls = ["https://A.Example.com:80/x", "http://u:p@b.org", "no url", None]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(line_dedup.host_of(F.col("u"))).collect()]
+    assert got == ["a.example.com", "b.org", "", None]
