@@ -46,20 +46,11 @@ FX_TOLERANCE_PCT = 0.01
 REQUIRED_HEADER_FIELDS = ("invoiceId", "vendorName", "invoiceDate", "totalAmount", "currency")
 EXTRACTION_OK = "ok"
 
-# --- fixed values: matching rules R1-R5 ------------------------------------
+# --- fixed values: matching rules R1-R5, the defaults ------------------------------------
 RULE_EXACT_PRICE_DELTA = 0.01          # R1: |unit - expected| < 0.01
 RULE_TOLERANCE_PERCENT = 10.0          # R2
 RULE_TOLERANCE_ABSOLUTE = 50.0         # R2
 RULE_HIGH_VALUE_THRESHOLD = 5000.0     # R4
-RULES = (
-    # id, name, outcome, tolerancePercent, toleranceAbsolute, thresholdAmount, humanInLoop
-    ("R1", "Exact category + item match", "matched", None, None, None, False),
-    ("R2", "Within price tolerance", "matched", 10.0, 50.0, None, False),
-    ("R3", "Price outside tolerance", "review", None, None, None, True),
-    ("R4", "High value line", "review", None, None, 5000.0, True),
-    ("R5", "No ledger item match", "exception", None, None, None, False),
-)
-UNKNOWN_CATEGORY_RULE = "R6"
 
 # --- fixed values: currencies ----------------------------------------------
 LEDGER_CURRENCY = "AUD"
@@ -68,20 +59,6 @@ MISSING_MONEY_TEXT = "—"
 FX_SENSITIVITY_UP = 1.05
 FX_SENSITIVITY_DOWN = 0.95
 
-# Reference FX table (from, to, fromDate, toDate, rate); toDate None = open.
-REFERENCE_FX_RATES = (
-    ("USD", "AUD", "2025-01-01", "2025-03-31", "1.58"),
-    ("USD", "AUD", "2025-04-01", "2025-06-30", "1.56"),
-    ("USD", "AUD", "2025-07-01", "2025-09-30", "1.54"),
-    ("USD", "AUD", "2025-10-01", "2025-12-31", "1.55"),
-    ("USD", "AUD", "2026-01-01", None, "1.57"),
-    ("EUR", "AUD", "2025-01-01", "2025-03-31", "1.67"),
-    ("EUR", "AUD", "2025-04-01", "2025-06-30", "1.65"),
-    ("EUR", "AUD", "2025-07-01", "2025-09-30", "1.63"),
-    ("EUR", "AUD", "2025-10-01", "2025-12-31", "1.64"),
-    ("EUR", "AUD", "2026-01-01", None, "1.66"),
-)
-
 # --- fixed values: mapping of the benchmark tables (our own choices) -------
 # Region key -> invoice currency.  AFRICA has no FX rate on purpose.
 REGION_CURRENCY = ((0, "ZAR"), (1, "USD"), (2, "AUD"), (3, "EUR"), (4, "AUD"))
@@ -97,14 +74,26 @@ PRIORITY_TERMS = (
 # Orders with this status were extracted partially and re-run a week later.
 RERUN_ORDER_STATUS = "P"
 RERUN_DELAY_DAYS = 7
-# Event type -> run file name for the manifest built from `events`.
+# (event type, event_id mod 3) -> run file name for the manifest built from
+# `events`: every stage occurs, and one file that is none.
 EVENT_FILE_NAMES = (
-    ("view", "email.pdf"),
-    ("click", "extract.md"),
-    ("signup", "ingestion.json"),
-    ("purchase", "invoice.json"),
-    ("error", "result.json"),
+    ("view", 0, "email.pdf"), ("view", 1, "extract.md"), ("view", 2, "email.pdf"),
+    ("click", 0, "processing-agentinput.json"), ("click", 1, "processing-agentoutput.json"), ("click", 2, "processing.json"),
+    ("signup", 0, "ingestion.json"), ("signup", 1, "ingestion.json"), ("signup", 2, "notes.txt"),
+    ("purchase", 0, "invoice.json"), ("purchase", 1, "invoice.json"), ("purchase", 2, "processing.json"),
+    ("error", 0, "result.json"), ("error", 1, "result.json"), ("error", 2, "email.pdf"),
 )
+# The benchmark's rows are too clean to reach every rule, so some are spoiled by
+# rule: a value applies where key mod the first number is the second.
+FIELD_MISSING = (("invoiceId", 113, 5), ("vendorName", 101, 5), ("invoiceDate", 107, 5),
+                 ("totalAmount", 109, 5), ("currency", 103, 5))      # by order key
+STILL_FAILED = (17, 3)          # re-runs that fail again, by order key
+TOTAL_AS_ORDERED = (10, 7)      # totals that are not the sum of the lines, by order key
+UNNAMED_PART = (11, 4)          # lines whose description names no ledger item, by part key
+ITEM_NAME_ONLY = (9, 1)         # lines whose description is the item's name alone, by part key
+UNLISTED_CATEGORY = (13, 6)     # lines of a category the ledger does not have, by part key
+LIST_PRICE = (7, 2)             # lines at the part's list price, by part key
+VENDOR_ALIAS = (5, 0)           # ledger items that list a vendor as an alias, by item code
 # Generated FX periods for the benchmark years: quarterly, per currency.
 FX_GENERATED_FIRST_YEAR = 1994
 FX_GENERATED_LAST_YEAR = 2002

@@ -6,9 +6,7 @@ surrounding whole-stage-codegen span; none needs a Python UDF.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -19,8 +17,30 @@ def _c(col) -> Column:
 
 
 def run_id_from_path(path) -> Column:
-    """P5: ``run-<digits>`` found in a path, or '' when absent."""
-    return F.regexp_extract(_c(path), K.RUN_ID_PATTERN, 0)
+    """P5: the ``run-<digits>`` folder a file lies in, or '' when it lies in
+    none.  The last folder decides, for JSON tables and manifest alike, so a
+    ``run-`` folder above the root does not rename the runs."""
+    return F.regexp_extract(_c(path), rf"/({K.RUN_ID_PATTERN})/[^/]+$", 1)
+
+
+def run_id_of(day, number) -> Column:
+    """``run-yyyyMMdd`` and a number padded to six digits; a longer number is
+    kept whole."""
+    text = _c(number).cast("string")
+    return F.concat(F.lit(K.RUN_PREFIX), F.date_format(_c(day), "yyyyMMdd"),
+                    F.when(F.length(text) < 6, F.lpad(text, 6, "0")).otherwise(text))
+
+
+def with_descriptive_fields(invoices: DataFrame) -> DataFrame:
+    """businessName, fromDate, toDate (empty without a due date),
+    invoiceAmount, invoiceCurrency and convertedInvoiceCurrency from the
+    invoice's own fields."""
+    return (invoices.withColumn("businessName", F.col("vendorName"))
+            .withColumn("fromDate", F.col("invoiceDate"))
+            .withColumn("toDate", F.coalesce("dueDate", F.lit("")))
+            .withColumn("invoiceAmount", F.col("totalAmount"))
+            .withColumn("invoiceCurrency", F.col("currency"))
+            .withColumn("convertedInvoiceCurrency", F.lit(K.LEDGER_CURRENCY)))
 
 
 def classify_stage(file_name) -> Column:
@@ -69,11 +89,6 @@ def round_half_even(x, places: int = 2) -> Column:
     return F.bround(_c(x), places)
 
 
-def js_round_cents(x) -> Column:
-    """``Math.round(x * 100) / 100``: half toward +infinity."""
-    return F.floor(_c(x) * 100 + F.lit(0.5)) / 100
-
-
 def detail_text(*parts) -> Column:
     """Space-joined detail text; nulls are skipped like concat_ws.
 
@@ -86,9 +101,11 @@ def money_text(x) -> Column:
     """Fixed two-decimal text of a number (HALF_UP), no grouping separators.
 
     Rounded and cast through DECIMAL(38,2): the same text as "%.2f" of the
-    rounded value, without a java.util.Formatter call per row.
+    rounded value, without a java.util.Formatter call per row.  A number too
+    large for that prints through the formatter instead of failing.
     """
-    return F.round(_c(x), 2).cast("decimal(38,2)").cast("string")
+    rounded = F.round(_c(x), 2)
+    return F.coalesce(rounded.try_cast("decimal(38,2)").cast("string"), F.format_string("%.2f", rounded))
 
 
 def format_money(amount, currency=None) -> Column:
@@ -100,7 +117,3 @@ def format_money(amount, currency=None) -> Column:
         cur = F.coalesce(F.nullif(_c(currency), F.lit("")), F.lit(K.DEFAULT_MONEY_CURRENCY))
     return F.when(amt.isNull() | F.isnan(amt), F.lit(K.MISSING_MONEY_TEXT)) \
         .otherwise(F.concat(cur, F.lit(" "), money_text(amt)))
-
-
-def any_of(conds) -> Column:
-    return reduce(lambda a, b: a | b, conds)

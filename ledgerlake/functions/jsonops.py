@@ -40,27 +40,6 @@ def parse_agent_json(text, schema: T.DataType) -> Column:
     return parse_json(extract_json_text(text), schema)
 
 
-def invoice_array(text) -> Column:
-    """Payload -> array of invoices.
-
-    A JSON array is the invoice list; an object with ``invoices`` gives that
-    list; an object with ``invoiceId`` is one invoice; anything else is [].
-
-    Each row is parsed once: arrays against the invoice-list schema,
-    objects against one schema holding both the invoice fields and
-    ``invoices``.  Pass a column, not an expensive expression: the text is
-    referenced by both branches.
-    """
-    t = _c(text)
-    first = F.substring(F.ltrim(t), 1, 1)
-    as_array = F.when(first == "[", parse_json(t, T.ArrayType(schemas.INVOICE)))
-    obj = F.when(first == "{", parse_json(t, _INVOICE_OR_FILE))
-    # one invoice when it has an id; [] otherwise (the last fallback anyway)
-    single = F.filter(F.array(obj.dropFields("invoices")), lambda x: x["invoiceId"].isNotNull())
-    empty = F.array().cast(T.ArrayType(schemas.INVOICE))
-    return F.coalesce(as_array, obj["invoices"], single, empty)
-
-
 def explode_rows(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
     """Inner ``explode`` of ``array_col`` without the inferred pre-filter.
 
@@ -75,11 +54,16 @@ def explode_rows(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
 
 
 def with_invoice_array(df: DataFrame, text_col: str, out_col: str = "invoices") -> DataFrame:
-    """P13 as a DataFrame step: the same result as :func:`invoice_array`,
-    with each payload parsed exactly once.  The parses land in their own
-    projection, which the optimizer keeps separate because the parsed
-    object is read twice; a single column expression would parse it again
-    in each ``coalesce`` branch."""
+    """Payload text -> array of invoices.
+
+    A JSON array is the invoice list; an object with ``invoices`` gives that
+    list; an object with ``invoiceId`` is one invoice; anything else is [].
+    Each payload is parsed once: arrays against the invoice-list schema,
+    objects against one schema holding both the invoice fields and
+    ``invoices``.  The parses land in their own projection, which the
+    optimizer keeps separate because the parsed object is read twice; a
+    single column expression would parse it again in each ``coalesce``
+    branch."""
     t = F.col(text_col)
     first = F.substring(F.ltrim(t), 1, 1)
     parsed = df.select("*", F.when(first == "[", parse_json(t, T.ArrayType(schemas.INVOICE))).alias("_arr"),
@@ -102,41 +86,58 @@ def merge_attachment_urls(emails: DataFrame, uploads: DataFrame, key_col: str =
     """Set each attachment's blobUrl from the run's uploads.
 
     ``uploads`` holds (key, name, blobUrl).  A known name takes the upload's
-    URL; an unknown one keeps its own (null if it had none).  The array is
-    rebuilt per email in its original order: explode, equi-join, regroup.
+    URL; an unknown one keeps its own (null if it had none).  Uploads become
+    one name -> URL map per run (a run has a handful of files), the emails
+    meet it on the run, and each attachment array is changed where it
+    stands: no row id is needed, so a retried task cannot mix up emails.
     """
-    rid = F.monotonically_increasing_id()
-    e = emails.withColumn("_eid", rid)
-    atts = (e.select("_eid", key_col, F.posexplode_outer(attachments_col).alias("_pos", "_att")))
-    up = uploads.select(F.col(key_col), F.col("name").alias("_name"), F.col("blobUrl").alias("_url")) \
-        .dropDuplicates([key_col, "_name"])
-    merged = (atts.join(up, (atts[key_col] == up[key_col]) & (F.col("_att.name") == F.col("_name")), "left")
-              .select("_eid", "_pos",
-                      F.when(F.col("_att").isNull(), F.lit(None))
-                       .otherwise(F.col("_att").withField("blobUrl", F.coalesce("_url", F.col("_att.blobUrl"))))
-                       .alias("_att")))
-    regrouped = (merged.groupBy("_eid")
-                 .agg(F.sort_array(F.collect_list(F.struct("_pos", "_att"))).alias("_pairs"))
-                 .select("_eid", F.filter(F.transform("_pairs", lambda p: p["_att"]), lambda a: a.isNotNull())
-                         .alias("_merged")))
-    return (e.join(regrouped, "_eid", "left")
-            .withColumn(attachments_col,
-                        F.when(F.col(attachments_col).isNull(), F.col(attachments_col)).otherwise(F.col("_merged")))
-            .drop("_eid", "_merged"))
+    named = uploads.select(key_col, "name", "blobUrl").filter(F.col("name").isNotNull()).dropDuplicates([key_col, "name"])
+    urls = (named.groupBy(key_col).agg(F.map_from_entries(F.collect_list(F.struct("name", "blobUrl"))).alias("_urls")))
+    known = F.coalesce("_urls", F.create_map().cast("map<string,string>"))
+    merged = F.transform(attachments_col, lambda a: a.withField(
+        "blobUrl", F.coalesce(F.try_element_at(known, a["name"]), a["blobUrl"])))
+    return emails.join(urls, key_col, "left").withColumn(attachments_col, merged).drop("_urls")
 
 
 def overlay_nodes(docs: DataFrame, key_col: str, order_cols: list[str], json_col: str) -> DataFrame:
     """Per key, later top-level JSON nodes replace earlier ones.
 
     ``docs`` has one JSON object per row; ``order_cols`` give the write
-    order (e.g. stage rank, time).  Returns (key, node, value) in long form:
-    the winning raw JSON text of every top-level node.  Each (key, node)
-    is reduced with ``max_by`` (partial aggregation, skew-safe).
+    order (e.g. stage rank, time).  Returns (key, node, value) in long form,
+    ``value`` the JSON text of the winning node; texts that are no JSON
+    object add nothing.  Each (key, node) is reduced with ``max_by``
+    (partial aggregation, skew-safe).
     """
-    # outer explode filtered on the position: an inner explode would parse
-    # the JSON again in its inferred size filter
-    parsed = F.from_json(F.col(json_col), T.MapType(T.StringType(), T.StringType()), _PERMISSIVE)
-    nodes = (docs.select(key_col, *order_cols, F.posexplode_outer(parsed).alias("_pos", "node", "value"))
-             .filter(F.col("_pos").isNotNull()).drop("_pos"))
+    # variants keep each node as it is: nothing is lost to a fixed schema.  The
+    # outer explode is filtered on the position: an inner one would parse the
+    # JSON again in its inferred size filter
+    parsed = F.from_json(F.col(json_col), "map<string,variant>", _PERMISSIVE)
+    nodes = (docs.select(key_col, *order_cols, F.posexplode_outer(parsed).alias("_pos", "node", "_value"))
+             .filter(F.col("_pos").isNotNull())
+             .select(key_col, *order_cols, "node", F.coalesce(F.to_json("_value"), F.lit("null")).alias("value")))
     order = F.struct(*[F.col(c) for c in order_cols])
     return nodes.groupBy(key_col, "node").agg(F.max_by("value", order).alias("value"))
+
+
+def overlay_documents(nodes: DataFrame, key_col: str) -> DataFrame:
+    """One document per key, rebuilt from :func:`overlay_nodes` with its
+    nodes in the order of their names (a document has few top-level nodes)."""
+    member = F.concat(F.expr("substring(to_json(array(node)), 2, length(to_json(array(node))) - 2)"), F.lit(":"), "value")
+    members = F.array_sort(F.collect_list(F.struct("node", member.alias("text"))))
+    return (nodes.groupBy(key_col).agg(members.alias("_members"))
+            .select(key_col, F.concat(F.lit("{"), F.array_join(F.transform("_members", lambda m: m["text"]), ","),
+                                      F.lit("}")).alias("document")))
+
+
+def result_overlay(base: DataFrame, updates: DataFrame, key_col: str, file_col: str, order_cols: list[str],
+                   json_col: str) -> DataFrame:
+    """P16 as the app writes result.json: a run's base is its result.json if
+    it has one, else its ingestion.json; the updates' nodes go on top in
+    their order.  Returns (key, node, value)."""
+    rank = F.when(F.col(file_col) == "result.json", 1).when(F.col(file_col) == "ingestion.json", 0)
+    chosen = (base.withColumn("_rank", rank).filter(F.col("_rank").isNotNull())
+              .groupBy(key_col).agg(F.max_by(F.col(json_col), F.col("_rank")).alias(json_col)))
+    first = chosen.select(key_col, F.lit(0).alias("_late"), *[F.lit(None).cast(updates.schema[c].dataType).alias(c)
+                                                             for c in order_cols], json_col)
+    later = updates.select(key_col, F.lit(1).alias("_late"), *order_cols, json_col)
+    return overlay_nodes(first.unionByName(later), key_col, ["_late", *order_cols], json_col)

@@ -11,9 +11,11 @@ the entry fields, and a sequence number.  Per Id, in sequence order:
 * each later update overwrites only the fields it gives (null keeps);
   an update of an unknown or deleted Id changes nothing ("not found").
 
-All of this is aggregation (``max_by`` with partial aggregation, so a hot
-Id never gathers in one task) plus one full outer join on Id -- no
-per-Id list is ever collected.
+Per Id one aggregate finds the last reset and, for each field, the last
+update that gives it with its sequence number; an update counts if it is
+later than the reset.  The aggregate is partial (map-side), so a hot Id
+never gathers in one task, and one full outer join on Id merges it into the
+entries -- no change row is joined and no per-Id list is collected.
 """
 
 from __future__ import annotations
@@ -26,20 +28,16 @@ ADD_DEFAULTS = {"Currency": "USD", "Status": "pending"}
 
 
 def apply_changes(entries: DataFrame, changes: DataFrame, seq_col: str = "seq") -> DataFrame:
-    ch = changes.withColumn("op", F.lower(F.trim("op")))
-    resets = (ch.filter(F.col("op").isin("add", "delete"))
-              .groupBy("Id")
-              .agg(F.max_by(F.struct("op", *ENTRY_FIELDS), F.col(seq_col)).alias("_r"),
-                   F.max(seq_col).alias("_reset_seq")))
-    ups = (ch.filter(F.col("op") == "update")
-           .join(resets.select("Id", "_reset_seq"), "Id", "left")
-           .filter(F.col("_reset_seq").isNull() | (F.col(seq_col) > F.col("_reset_seq")))
-           .groupBy("Id")
-           .agg(*[F.max_by(F.col(f), F.when(F.col(f).isNotNull(), F.col(seq_col))).alias(f"_u_{f}")
-                  for f in ENTRY_FIELDS]))
+    op, seq = F.lower(F.trim("op")), F.col(seq_col)
+    reset = op.isin("add", "delete")
+    last = changes.groupBy("Id").agg(
+        F.max_by(F.struct(op.alias("op"), *ENTRY_FIELDS), F.when(reset, seq)).alias("_r"),
+        F.max(F.when(reset, seq)).alias("_reset"),
+        *[F.max_by(F.col(f), F.when((op == "update") & F.col(f).isNotNull(), seq)).alias(f"_u_{f}") for f in ENTRY_FIELDS],
+        *[F.max(F.when((op == "update") & F.col(f).isNotNull(), seq)).alias(f"_s_{f}") for f in ENTRY_FIELDS])
     old = entries.select("Id", *[F.col(f).alias(f"_o_{f}") for f in ENTRY_FIELDS], F.lit(True).alias("_old"))
-    j = old.join(resets.drop("_reset_seq"), "Id", "full_outer").join(ups, "Id", "left")
-    r_op = F.col("_r.op")
+    j = old.join(last, "Id", "full_outer")
+    r_op = F.when(F.col("_reset").isNotNull(), F.col("_r.op"))
     exists = (r_op == "add") | (r_op.isNull() & F.col("_old").isNotNull())
 
     def base(f: str):
@@ -50,21 +48,10 @@ def apply_changes(entries: DataFrame, changes: DataFrame, seq_col: str = "seq")
             added = F.coalesce(added, F.current_timestamp())
         return F.when(r_op == "add", added).otherwise(F.col(f"_o_{f}"))
 
-    return j.filter(exists).select("Id", *[F.coalesce(F.col(f"_u_{f}"), base(f)).alias(f) for f in ENTRY_FIELDS])
+    def updated(f: str):
+        return F.when(F.col("_reset").isNull() | (F.col(f"_s_{f}") > F.col("_reset")), F.col(f"_u_{f}"))
 
-
-def entries_from_postings(posted: DataFrame, entry_date_col: str | None = None) -> DataFrame:
-    """Ledger entries (GeneralLedger shape) from A9 posted entries."""
-    return posted.select(
-        F.col("entry").alias("Id"),
-        F.col("invoiceId").alias("InvoiceNumber"),
-        F.col("vendor").alias("Vendor"),
-        F.col("ledgerCode").alias("Account"),
-        F.col("amount").cast("decimal(18,2)").alias("Amount"),
-        F.lit("AUD").alias("Currency"),
-        (F.col(entry_date_col) if entry_date_col else F.lit(None)).cast("timestamp").alias("EntryDate"),
-        F.col("status").alias("Status"),
-        F.col("item").alias("Description"))
+    return j.filter(exists).select("Id", *[F.coalesce(updated(f), base(f)).alias(f) for f in ENTRY_FIELDS])
 
 
 def entries_from_invoices(invoices: DataFrame, account_col: str = "currency") -> DataFrame:

@@ -1,38 +1,36 @@
 """FX rates: period lookup (J4), conversion (J5, J6), validation.
 
 The rate table is reference data: one row per currency pair and period.
-The lookup is an as-of / range join written Spark-first: the tiny rate
-table is first resolved into disjoint effective segments per currency
-(:func:`rate_segments`), so "latest fromDate wins" is decided once, not
-per input row.  Input rows then meet the segments in a broadcast hash join
-on currency with a range condition; at most one segment matches, so the
-large side is neither shuffled nor de-duplicated.  The broadcast sits
-behind a size check (:func:`ledgerlake.sizing.checked_broadcast`).
+The lookup is an as-of / range join written Spark-first: the rate table is
+first resolved into disjoint effective segments per currency
+(:func:`rate_segments`), so "latest fromDate wins" is decided once, not per
+input row.  Segments are listed under every month they touch, so input rows
+meet only the segments of their currency and month in an equi-join; at most
+one matches, and the input is never de-duplicated.  Daily rates therefore
+cost a row no more than 31 comparisons.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
 from .. import schemas
-from ..functions.literal import literal_table
-from ..sizing import checked_broadcast
+from ..sizing import fixed_broadcast
 
 RATE_TYPE = T.DecimalType(18, 6)
+#: Decimals for products: 20 + 17 digits hold amount x rate without loss.
+AMOUNT_TYPE, FACTOR_TYPE = T.DecimalType(20, 6), T.DecimalType(17, 6)
+#: Segments are listed by month up to here; later dates use this last month.
+HORIZON_YEAR = 2100
+_HORIZON = HORIZON_YEAR * 12
+_NO_DATE = -1
 # Generated FX table: currencies x quarters over the benchmark years.
 GENERATED_FX_ROWS = len(K.FX_GENERATED_BASE) * 4 * (K.FX_GENERATED_LAST_YEAR - K.FX_GENERATED_FIRST_YEAR + 1)
 
 
-def reference_rates(spark: SparkSession) -> DataFrame:
-    """The reference's ten rates, as a typed frame (from, to, fromDate, toDate, rate)."""
-    cols = [("from", "string"), ("to", "string"), ("fromDate", "string"), ("toDate", "string"),
-            ("rate", "decimal(18,6)")]
-    return literal_table(spark, K.REFERENCE_FX_RATES, cols)
-
-
 def generated_rates(spark: SparkSession) -> DataFrame:
     """Quarterly rates into AUD for the benchmark years, built by rule.
 
@@ -58,11 +56,6 @@ def generated_rates(spark: SparkSession) -> DataFrame:
                 (F.col("ccy_idx") * 1000 + F.col("qi")).alias("position")))
 
 
-def generated_rates_with_position(spark: SparkSession) -> DataFrame:
-    """Generated rates with their list position (for J6's "first listed")."""
-    return generated_rates(spark)
-
-
 def read_rates_json(spark: SparkSession, path: str) -> DataFrame:
     """``{rates:[...]}`` file -> one row per rate."""
     raw = spark.read.schema(schemas.FX_FILE).option("multiLine", "true").json(path)
@@ -94,46 +87,50 @@ def replace_rates(spark: SparkSession, new_rates: DataFrame, path: str) -> DataF
     return spark.read.parquet(path)
 
 
+def _month(date) -> Column:
+    """Running number of a date's month, no later than the horizon's."""
+    return F.least(F.year(date) * 12 + F.month(date), F.lit(_HORIZON))
+
+
 def rate_segments(rates: DataFrame, to_currency: str = K.LEDGER_CURRENCY) -> DataFrame:
-    """Resolve a rate table into disjoint effective date segments per currency.
+    """Resolve a rate table into disjoint effective date segments, one row per
+    segment and month: (ccy, month, seg_start, seg_end, rate).
 
     The answer to "rate of currency c on date d" only changes at a period
     start or the day after a period end.  Those boundaries cut each
     currency's time line into segments; each segment takes the rate of the
     covering period with the latest fromDate (text order, as the app sorts).
-    One extra row per currency (``is_newest``) answers the no-date case:
-    the newest fromDate of all.
-
-    The rate table is reference data (a few rows per currency and period),
-    grouped once by currency; the segments are computed with array
-    functions on each currency's period list -- one small shuffle in all.
+    One extra row per currency (month -1) answers the no-date case: the
+    newest fromDate of all.  Periods meet boundaries by currency and month,
+    never all by all.
     """
     p = (rates.filter(F.upper("to") == F.lit(to_currency.upper()))
-         .select(F.upper("from").alias("ccy"),
-                 F.struct(F.col("fromDate").alias("fd_text"), F.try_to_date("fromDate").alias("fd"),
-                          F.col("toDate").alias("td_text"), F.try_to_date("toDate").alias("td"),
-                          F.col("rate").cast(RATE_TYPE).alias("rate")).alias("p")))
-    per = p.groupBy("ccy").agg(F.collect_list("p").alias("ps"))
-    # a period with an unparsable toDate never matches a date (as in the app)
-    dated = F.filter("ps", lambda x: x["fd"].isNotNull() & (x["td_text"].isNull() | x["td"].isNotNull()))
-    ends = F.transform(F.filter(dated, lambda x: x["td"].isNotNull()), lambda x: F.date_add(x["td"], 1))
-    bounds = F.array_sort(F.array_distinct(F.concat(F.transform(dated, lambda x: x["fd"]), ends)))
-
-    def winner(start):
-        cover = F.filter(dated, lambda x: (x["fd"] <= start) & (x["td"].isNull() | (start <= x["td"])))
-        return F.array_max(F.transform(cover, lambda x: F.struct(x["fd_text"].alias("k"), x["rate"].alias("rate"))))
-
-    segs = F.transform(bounds, lambda b, i: F.struct(
-        b.alias("seg_start"),
-        F.date_sub(F.try_element_at(bounds, i + 2), 1).alias("seg_end"),
-        winner(b)["rate"].alias("rate"),
-        F.lit(False).alias("is_newest")))
-    newest = F.struct(F.lit(None).cast("date").alias("seg_start"), F.lit(None).cast("date").alias("seg_end"),
-                      F.array_max(F.transform("ps", lambda x: F.struct(x["fd_text"].alias("k"),
-                                                                      x["rate"].alias("rate"))))["rate"].alias("rate"),
-                      F.lit(True).alias("is_newest"))
-    return (per.select("ccy", F.explode(F.concat(segs, F.array(newest))).alias("s"))
-            .select("ccy", "s.*").filter(F.col("rate").isNotNull()))
+         .select(F.upper("from").alias("ccy"), F.col("fromDate").alias("fd_text"), F.try_to_date("fromDate").alias("fd"),
+                 F.col("toDate").alias("td_text"), F.try_to_date("toDate").alias("td"),
+                 F.col("rate").cast(RATE_TYPE).alias("rate")))
+    # a period with an unparsable or earlier toDate never matches a date
+    dated = p.filter(F.col("fd").isNotNull() & (F.col("td_text").isNull() | (F.col("td") >= F.col("fd"))))
+    cuts = dated.select("ccy", F.explode(F.array_compact(F.array("fd", F.date_add("td", 1)))).alias("seg_start")).distinct()
+    following = F.lead("seg_start").over(Window.partitionBy("ccy").orderBy("seg_start"))
+    cuts = cuts.withColumn("seg_end", F.date_sub(following, 1)).withColumn("month", _month("seg_start"))
+    last = F.coalesce(_month("td"), F.lit(_HORIZON))
+    covering = dated.select("ccy", "fd_text", "fd", "td", "rate", F.explode(F.sequence(_month("fd"), last)).alias("month"))
+    segments = (cuts.join(covering, ["ccy", "month"])
+                .filter((F.col("fd") <= F.col("seg_start")) & (F.col("td").isNull() | (F.col("seg_start") <= F.col("td"))))
+                .groupBy("ccy", "seg_start", "seg_end").agg(F.max(F.struct("fd_text", "rate")).alias("w"))
+                .select("ccy", F.explode(F.sequence(_month("seg_start"), F.coalesce(_month("seg_end"), F.lit(_HORIZON)))).alias("month"),
+                        "seg_start", "seg_end", F.col("w.rate").alias("rate")))
+    newest = (p.groupBy("ccy").agg(F.max(F.struct("fd_text", "rate")).alias("w"))
+              .select("ccy", F.lit(_NO_DATE).alias("month"), F.lit(None).cast("date").alias("seg_start"),
+                      F.lit(None).cast("date").alias("seg_end"), F.col("w.rate").alias("rate")))
+    return segments.unionByName(newest).filter(F.col("rate").isNotNull())
+
+
+def segment_rows(rate_rows: int) -> int:
+    """Bound on the segment rows of the generated rates: per currency the
+    months to the horizon, and two cuts a rate."""
+    months = _HORIZON - (K.FX_GENERATED_FIRST_YEAR - 1) * 12
+    return len(K.FX_GENERATED_BASE) * (months + 1) + 2 * rate_rows
 
 
 def fx_rate_lookup_many(df: DataFrame, rates: DataFrame, currency_col: str,
@@ -146,27 +143,26 @@ def fx_rate_lookup_many(df: DataFrame, rates: DataFrame, currency_col: str,
     ends inclusive and a null toDate open; the latest fromDate wins; a null
     date takes the newest rate of all.  No rate -> null.
 
-    Plan: a broadcast hash join on currency with a range condition against
-    the disjoint segments -- at most one match per row, evaluated in
-    codegen, no shuffle of ``df`` and no per-row de-duplication.
+    Plan: an equi-join on (currency, month) with a range condition against
+    disjoint segments -- at most one match per row, no de-duplication.  The
+    generated rates, whose number is known, are broadcast; other rate tables
+    are left to the planner.
     """
-    # segments: at most 2 per period + 1 per currency
-    bound = None if known_rate_rows is None else 2 * known_rate_rows + 64
-    # reference data: resolved once per session and cached
-    segs = checked_broadcast(rate_segments(rates, to_currency).cache(), known_rows=bound)
+    segs = rate_segments(rates, to_currency)
+    if known_rate_rows is not None:
+        segs = fixed_broadcast(segs, segment_rows(known_rate_rows))
     ccy = F.upper(F.col(currency_col))
     out = df
     for i, (out_col, date_col) in enumerate(dates.items()):
-        s = segs.select(*[F.col(c).alias(f"_s{i}_{c}") for c in ("ccy", "seg_start", "seg_end", "rate", "is_newest")])
-        d = F.col(f"_s{i}_d")
+        s = segs.select(*[F.col(c).alias(f"_s{i}_{c}") for c in ("ccy", "month", "seg_start", "seg_end", "rate")])
         on_date = F.try_to_date(F.col(date_col).cast("string")) if date_col else F.lit(None).cast("date")
-        out = out.withColumn(f"_s{i}_d", on_date)
-        in_seg = (d.isNotNull() & ~F.col(f"_s{i}_is_newest") & (F.col(f"_s{i}_seg_start") <= d)
-                  & (F.col(f"_s{i}_seg_end").isNull() | (d <= F.col(f"_s{i}_seg_end"))))
-        newest = d.isNull() & F.col(f"_s{i}_is_newest")
-        out = (out.join(s, (ccy == F.col(f"_s{i}_ccy")) & (in_seg | newest), "left")
+        d = F.col(f"_s{i}_d")
+        out = out.withColumn(f"_s{i}_d", on_date).withColumn(f"_s{i}_m", F.coalesce(_month(d), F.lit(_NO_DATE)))
+        within = d.isNull() | ((F.col(f"_s{i}_seg_start") <= d)
+                               & (F.col(f"_s{i}_seg_end").isNull() | (d <= F.col(f"_s{i}_seg_end"))))
+        out = (out.join(s, (ccy == F.col(f"_s{i}_ccy")) & (F.col(f"_s{i}_m") == F.col(f"_s{i}_month")) & within, "left")
                .withColumn(out_col, F.col(f"_s{i}_rate"))
-               .drop(*[c for c in s.columns], f"_s{i}_d"))
+               .drop(*s.columns, f"_s{i}_d", f"_s{i}_m"))
     return out
 
 
@@ -188,11 +184,12 @@ def effective_rate(found_rate_col: str, currency_col: str, to_currency: str = K.
 
 def converted_amount(amount_col: str, currency_col: str, found_rate_col: str,
                      to_currency: str = K.LEDGER_CURRENCY) -> Column:
-    """J5 amount: same currency -> amount unrounded; no rate -> null;
-    else decimal amount x rate rounded half-even to 2 dp."""
-    amount = F.col(amount_col).cast(T.DecimalType(18, 2))
-    return (F.when(same_currency(currency_col, to_currency), amount)
-            .otherwise(F.bround(amount * F.col(found_rate_col), 2).cast(T.DecimalType(18, 2))))
+    """J5 amount: same currency -> the amount as it is; no rate -> null; else
+    amount x rate on decimals, rounded half-even to cents once, at the end.
+    Amounts of more than 14 digits before the point give null."""
+    amount = F.col(amount_col).try_cast(AMOUNT_TYPE)
+    product = F.bround(amount * F.col(found_rate_col).try_cast(FACTOR_TYPE), 2)
+    return F.when(same_currency(currency_col, to_currency), amount).otherwise(product.try_cast(AMOUNT_TYPE))
 
 
 def fx_convert(df: DataFrame, rates: DataFrame, amount_col: str, currency_col: str,
@@ -208,7 +205,8 @@ def fx_convert(df: DataFrame, rates: DataFrame, amount_col: str, currency_col: s
 
 
 def convert_first_rate(df: DataFrame, rates: DataFrame, amount_col: str, currency_col: str,
-                       out_col: str = "aud_amount", rate_position_col: str = "position") -> DataFrame:
+                       out_col: str = "aud_amount", rate_position_col: str = "position",
+                       known_rate_rows: int | None = None) -> DataFrame:
     """Browser conversion -- first listed X->AUD rate, date ignored.
 
     AUD passes through unrounded; no currency or no rate -> null; else
@@ -218,7 +216,8 @@ def convert_first_rate(df: DataFrame, rates: DataFrame, amount_col: str, currenc
     first = (rates.filter(F.upper("to") == F.lit(K.LEDGER_CURRENCY))
              .groupBy(F.upper("from").alias("_ccy"))
              .agg(F.min_by(F.col("rate").cast("double"), F.col(rate_position_col)).alias("_first_rate")))
-    first = checked_broadcast(first)
+    if known_rate_rows is not None:
+        first = fixed_broadcast(first, known_rate_rows)
     ccy = F.upper(F.col(currency_col))
     joined = df.join(first, ccy == first["_ccy"], "left")
     amount = F.col(amount_col).cast("double")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.columns import due_week, invoice_month
-from ..sizing import checked_broadcast
 
 # Accuracy of the median sketch.  Groups smaller than this get the exact
 # lower median; larger ones a value within 1/accuracy of rank.  Memory is
@@ -26,8 +25,7 @@ def spend_by_vendor_month(inv: DataFrame) -> DataFrame:
             .groupBy("vendorName", "invoice_month")
             .agg(F.count("invoiceId").alias("invoices"),
                  F.round(F.sum("totalAmount"), 2).alias("total_native"),
-                 F.round(F.sum("convertedInvoiceAmount"), 2).alias("total_aud"))
-            .orderBy("invoice_month", F.col("total_aud").desc()))
+                 F.round(F.sum("convertedInvoiceAmount"), 2).alias("total_aud")))
 
 
 def spend_by_category(lines: DataFrame) -> DataFrame:
@@ -45,25 +43,39 @@ def spend_by_category(lines: DataFrame) -> DataFrame:
 
 
 def unit_price_stats(lines: DataFrame) -> DataFrame:
-    """G3 (part 1): per-category median / min / max unit price, vendors, lines."""
+    """G3 (part 1): per-category median / min / max unit price, vendors, lines.
+
+    The distinct vendors are counted apart from the sketch: side by side
+    Spark would keep one median sketch per (category, vendor) and ship
+    nearly every value.
+    """
+    prices = (lines.groupBy("categoryName")
+              .agg(F.percentile_approx("convertedUnitPrice", 0.5, MEDIAN_ACCURACY).alias("median_unit_price_aud"),
+                   F.min("convertedUnitPrice").alias("min_unit_price"),
+                   F.max("convertedUnitPrice").alias("max_unit_price"),
+                   F.count(F.lit(1)).alias("line_count")))
+    vendors = lines.groupBy("categoryName").agg(F.count_distinct("vendorName").alias("vendors"))
+    return (prices.alias("p").join(vendors.alias("v"), F.col("p.categoryName").eqNullSafe(F.col("v.categoryName")))
+            .select("p.categoryName", "median_unit_price_aud", "min_unit_price", "max_unit_price", "vendors", "line_count"))
+
+
+def category_medians(lines: DataFrame) -> DataFrame:
+    """G3 + F5: median unit price of the categories with several vendors
+    (least and greatest vendor differ), by one partial aggregate."""
     return (lines.groupBy("categoryName")
             .agg(F.percentile_approx("convertedUnitPrice", 0.5, MEDIAN_ACCURACY).alias("median_unit_price_aud"),
-                 F.min("convertedUnitPrice").alias("min_unit_price"),
-                 F.max("convertedUnitPrice").alias("max_unit_price"),
-                 F.count_distinct("vendorName").alias("vendors"),
-                 F.count(F.lit(1)).alias("line_count")))
+                 F.min("vendorName").alias("lo"), F.max("vendorName").alias("hi"))
+            .filter(F.col("lo") < F.col("hi")).select("categoryName", "median_unit_price_aud"))
 
 
-def unit_price_benchmark(lines: DataFrame) -> DataFrame:
+def unit_price_benchmark(lines: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """G3 + J3 + F5: each line's unit price against its category median.
 
-    Only categories with more than one vendor.  The per-category table is
-    cached, counted and broadcast when small, so the (large) line side is
-    never shuffled by the few category keys.
+    ``medians`` is :func:`category_medians` as a written table; its size is
+    then known, and the planner broadcasts it instead of shuffling the lines
+    by their few categories.
     """
-    stats = unit_price_stats(lines).filter(F.col("vendors") > 1).cache()
-    stats = checked_broadcast(stats)
-    b = stats.select("categoryName", "median_unit_price_aud")
+    b = category_medians(lines) if medians is None else medians
     med = F.col("median_unit_price_aud")
     return (lines.join(b, "categoryName")
             .select("invoiceId", "vendorName", "categoryName", "description", "convertedUnitPrice",
@@ -72,17 +84,17 @@ def unit_price_benchmark(lines: DataFrame) -> DataFrame:
 
 
 def payment_calendar(inv: DataFrame) -> DataFrame:
-    """Invoices and AUD due per due week (Monday), ordered by week."""
+    """Invoices and AUD due per due week (Monday)."""
     return (inv.withColumn("due_week", due_week("dueDate"))
             .groupBy("due_week")
             .agg(F.count("invoiceId").alias("invoices"),
-                 F.round(F.sum("convertedInvoiceAmount"), 2).alias("due_aud"))
-            .orderBy("due_week"))
+                 F.round(F.sum("convertedInvoiceAmount"), 2).alias("due_aud")))
 
 
 def fx_sensitivity(inv: DataFrame) -> DataFrame:
-    """G5 + F4: non-AUD exposure by currency, base and +/-5 %."""
-    s = F.sum("convertedInvoiceAmount")
+    """G5 + F4: non-AUD exposure by currency, base and +/-5 %.  Summed on
+    decimals, so five percent of it does not depend on the order of the rows."""
+    s = F.sum(F.col("convertedInvoiceAmount").try_cast("decimal(28,6)")).cast("double")
     return (inv.filter(F.col("currency") != F.lit(K.LEDGER_CURRENCY))
             .groupBy("currency")
             .agg(F.round(s, 2).alias("base_aud"),
@@ -107,3 +119,19 @@ def gold(inv: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
         "gold_payment_calendar": payment_calendar(inv),
         "gold_fx_sensitivity": fx_sensitivity(inv),
     }
+
+
+# O1: the order in which a report is read.  Tables are saved unsorted (a global
+# sort of a saved table is a shuffle its readers do not need).
+REPORT_ORDER = {
+    "gold_spend_by_vendor_month": (("invoice_month", True), ("total_aud", False)),
+    "gold_payment_calendar": (("due_week", True),),
+    "obs_duplicate_runs": (("run_count", False), ("invoiceId", True), ("run_id", True)),
+    "email_decisions": (("run_id", True),),
+    "vendor_summary": (("total_aud", False),),
+}
+
+
+def read_sorted(table: DataFrame, name: str) -> DataFrame:
+    """O1: a report table in its reading order."""
+    return table.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in REPORT_ORDER[name]])

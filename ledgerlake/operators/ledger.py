@@ -1,20 +1,23 @@
-"""Ledger reference data and line-to-ledger matching.
+"""Ledger reference data and line-to-ledger matching.
 
 Matching asks "does text A contain text B" for every line description
 against every ledger item name and alias.  Written naively that is a
-nested-loop (cross) join.  Here it is an exact equi-join instead:
-
-* every distinct haystack text is exploded into its k-grams (all start
-  positions, gram lengths 1..k);
-* every needle is keyed by its first k characters (or itself when shorter);
-* haystack grams join needle keys on equality, and the candidate pair is
-  verified with ``substring(hay, pos, len(needle)) = needle``.
-
-A hay contains a needle exactly when the needle's key occurs at some
-position of the hay, so no pair is missed and none is invented.  Work is
-linear in total distinct text length, both sides shuffle by gram, and a
-hot gram is split by AQE's skew-join handling.  Only distinct texts are
-matched; results are joined back to the lines by equality.
+nested-loop (cross) join.  Here it is an exact equi-join instead, over
+*distinct* texts only:
+
+* equal terms are collapsed first (for a term the winner is always the item
+  first in ledger order, whatever the text), so each term is matched once;
+* every haystack text is split into its distinct k-grams, which travel with
+  a text id, not with the text;
+* every term is keyed by the one of its k-grams that the fewest haystack
+  texts contain (terms shorter than k by themselves); a term with a gram
+  that no text has is dropped;
+* grams join keys on equality, the candidate pairs get their texts back by
+  id and are verified with ``contains``.
+
+A text contains a term only if it contains the term's key, so no pair is
+missed and none is invented.  Common grams (a shared prefix of all terms)
+key nothing, because every term has a rarer one.
 """
 
 from __future__ import annotations
@@ -23,12 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sizing import checked_broadcast, checkpointed_broadcast
 
 GRAM = 4
-# Ledger terms (item names + aliases) shipped to every executor at most;
-# each is a short string plus a few item fields, so this stays ~100 MB.
-TERMS_BROADCAST_ROWS = 1_000_000
 
 
 # --- reference data -----------------------------------------------------------
@@ -38,6 +37,12 @@ def read_ledger_json(spark, path: str) -> DataFrame:
     return spark.read.schema(schemas.LEDGER_FILE).option("multiLine", "true").json(path)
 
 
+def read_rules_json(spark, path: str) -> DataFrame:
+    """The rules file, one row per rule."""
+    raw = spark.read.schema(schemas.RULES_FILE).option("multiLine", "true").json(path)
+    return raw.select(F.inline("rules"))
+
+
 def flatten_ledger(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nested ledger -> (items, categories).
 
@@ -57,7 +62,7 @@ def flatten_ledger(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
                      F.col("item.itemName").alias("itemName"),
                      F.col("item.expectedUnitPrice").alias("expectedUnitPrice"),
                      F.col("item.aliases").alias("aliases"),
-                     (F.col("cat_idx") * F.lit(1_000_000) + F.col("item_idx")).alias("item_position")))
+                     F.struct("cat_idx", "item_idx").alias("item_position")))
     return items, categories
 
 
@@ -67,140 +72,177 @@ def ledger_aliases(items: DataFrame) -> DataFrame:
                         F.explode_outer("aliases").alias("alias"))
 
 
-def ledger_terms(items: DataFrame) -> DataFrame:
-    """Item name and aliases as lower-case match terms, one row each."""
+ITEM_FIELDS = ("ledgerCode", "itemName", "expectedUnitPrice", "categoryName", "item_position")
+
+
+def ledger_terms(items: DataFrame, by_category: bool = False) -> DataFrame:
+    """Item names and aliases as lower-case match terms, one row per distinct
+    term (per category, if asked) with ``item``: the first item, in ledger
+    order, that has it."""
     names = F.array(F.col("itemName"))
     aliases = F.coalesce(F.col("aliases"), F.array().cast("array<string>"))
-    return (items
-            .select("*", F.explode(F.array_distinct(F.concat(names, aliases))).alias("term"))
-            .withColumn("term_l", F.lower("term"))
-            .filter(F.length("term_l") > 0))
+    terms = (items.select(F.lower("categoryName").alias("_cat_l"), F.struct(*ITEM_FIELDS).alias("item"),
+                          F.explode(F.concat(names, aliases)).alias("term"))
+             .withColumn("term_l", F.lower("term")).filter(F.length("term_l") > 0))
+    keys = ["_cat_l", "term_l"] if by_category else ["term_l"]
+    return terms.groupBy(*keys).agg(F.min_by("item", "item.item_position").alias("item"))
 
 
 # --- exact substring containment as an equi-join --------------------------------
 
+def _grams(text: F.Column, gram: int) -> F.Column:
+    """Distinct substrings of 1 to ``gram`` characters."""
+    def of(n: int) -> F.Column:
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)),
+                                                       lambda i: F.substring(text, i, F.lit(n)))
+                      ).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*[of(n) for n in range(1, gram + 1)]))
+
+
+def _key_grams(text: F.Column, gram: int) -> F.Column:
+    """The grams that can key a text: its ``gram``-grams, or itself if shorter."""
+    return F.when(F.length(text) < gram, F.array(text)).otherwise(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(text) - (gram - 1)), lambda i: F.substring(text, i, F.lit(gram)))))
+
+
+def _inside(hay: F.Column, needle: F.Column, word_boundary: bool) -> F.Column:
+    if not word_boundary:
+        return F.contains(hay, needle)
+    edge = r"[\p{L}\p{N}]"
+    quoted = F.concat(F.lit(rf"(?<!{edge})\Q"), F.replace(needle, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(rf"\E(?!{edge})"))
+    return F.rlike(hay, quoted)
+
+
 def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str,
-                   gram: int = GRAM, keys: tuple[str, ...] = (), small_side: str | None = None) -> DataFrame:
-    """Rows of ``hay`` x ``needles`` where hay[hay_col] contains needles[needle_col].
-
-    Both text columns must already be normalised (e.g. lower-cased).  Extra
-    equality ``keys`` (present on both sides) narrow the match, e.g. the
-    category.  A pair may appear once per occurrence; callers aggregate.
-    ``small_side`` ("hay" or "needles") names a side whose size the caller
-    has checked: it is broadcast and the other side is not shuffled.
+                   gram: int = GRAM, keys: tuple[str, ...] = (), word_boundary: bool = False) -> DataFrame:
+    """Distinct pairs (keys, hay_col, needle_col) where the hay text contains
+    the needle text.
+
+    Both text columns must already be normalised (e.g. lower-cased); null
+    and empty texts match nothing.  Extra equality ``keys`` (non-null, on
+    both sides) narrow the match, e.g. the category.  ``word_boundary``
+    asks that the needle begins and ends at the edge of a word.
     """
-    hlen = F.length(hay_col)
-    grams = (hay
-             .withColumn("_pos", F.explode(F.sequence(F.lit(1), F.greatest(hlen, F.lit(1)))))
-             .withColumn("_glen", F.explode(F.sequence(F.lit(1), F.lit(gram))))
-             .filter(F.col("_pos") + F.col("_glen") - 1 <= hlen)
-             .withColumn("_gram", F.substring(F.col(hay_col), F.col("_pos"), F.col("_glen"))))
-    nlen = F.length(needle_col)
-    keyed = (needles.filter(nlen > 0)
-             .withColumn("_gram", F.substring(F.col(needle_col), F.lit(1), F.least(nlen, F.lit(gram)))))
-    if small_side == "needles":
-        keyed = F.broadcast(keyed)
-    elif small_side == "hay":
-        grams = F.broadcast(grams)
-    on = ["_gram", *keys]
-    joined = grams.join(keyed, on)
-    verified = joined.filter(
-        F.substring(F.col(hay_col), F.col("_pos"), F.length(needle_col)) == F.col(needle_col))
-    return verified.drop("_pos", "_glen", "_gram")
+    candidates, hays = candidate_pairs(hay, hay_col, needles, needle_col, gram, keys)
+    return (candidates.join(hays, [*keys, "_id"])
+            .filter(_inside(F.col(hay_col), F.col(needle_col), word_boundary)).select(*keys, hay_col, needle_col))
+
+
+def candidate_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str, gram: int,
+                    keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(pairs of text id and needle whose text has the needle's rarest gram,
+    the distinct texts with their ids)."""
+    ks = list(keys)
+    text_id = F.struct(F.xxhash64(hay_col).alias("a"), F.xxhash64(F.lit(7), hay_col).alias("b"))
+    hays = (hay.select(*ks, hay_col).filter(F.length(hay_col) > 0).distinct().withColumn("_id", text_id))
+    grams = hays.select(*ks, "_id", _grams(F.col(hay_col), gram).alias("_grams"))
+    grams = grams.select(*ks, "_id", F.explode_outer("_grams").alias("_gram"))
+    counts = grams.groupBy(*ks, "_gram").agg(F.count(F.lit(1)).alias("_held"))
+    wanted = needles.select(*ks, needle_col).filter(F.length(needle_col) > 0).distinct()
+    wanted = wanted.select(*ks, needle_col, F.explode_outer(_key_grams(F.col(needle_col), gram)).alias("_gram"))
+    rarest = (wanted.join(counts, [*ks, "_gram"], "left").groupBy(*ks, needle_col)
+              .agg(F.min(F.struct(F.coalesce("_held", F.lit(0)).alias("held"), F.col("_gram").alias("gram"))).alias("_key"))
+              .filter(F.col("_key.held") > 0).select(*ks, needle_col, F.col("_key.gram").alias("_gram")))
+    return grams.join(rarest, [*ks, "_gram"]).select(*ks, "_id", needle_col), hays
 
 
-ITEM_FIELDS = ("ledgerCode", "itemName", "expectedUnitPrice", "categoryName", "item_position")
+# --- J7: category-scoped first match (browser workflow) ---------------------------
 
+def _texts(lines: DataFrame, category_col: str, description_col: str, vendor_col: str) -> DataFrame:
+    return lines.select("*", *[F.lower(F.coalesce(F.col(c), F.lit(""))).alias(n) for c, n in
+                               ((category_col, "_cat_l"), (description_col, "_desc_l"), (vendor_col, "_vend_l")) if c])
 
-def _item_struct(prefix: str = "") -> F.Column:
-    return F.struct(*[F.col(f).alias(f) for f in ITEM_FIELDS])
 
+def category_lookup(lines: DataFrame, items: DataFrame, categories: DataFrame,
+                    category_col: str = "categoryName", description_col: str = "description") -> DataFrame:
+    """J7 per distinct (category, description): (_cat_l, _desc_l,
+    ledger_category, ledger_item)."""
+    texts = _texts(lines, category_col, description_col, "").select("_cat_l", "_desc_l").distinct()
+    terms = ledger_terms(items, by_category=True)
+    pairs = contains_pairs(texts, "_desc_l", terms, "term_l", keys=("_cat_l",))
+    best = (pairs.join(terms, ["_cat_l", "term_l"]).groupBy("_cat_l", "_desc_l")
+            .agg(F.min_by("item", "item.item_position").alias("ledger_item")))
+    cats = (categories.groupBy(F.lower("categoryName").alias("_cat_l"))
+            .agg(F.min("categoryName").alias("ledger_category")))
+    return texts.join(cats, "_cat_l", "left").join(best, ["_cat_l", "_desc_l"], "left")
 
-# --- J7: category-scoped first match (browser workflow) ---------------------------
 
 def match_in_category(lines: DataFrame, items: DataFrame, categories: DataFrame,
-                      category_col: str = "categoryName", description_col: str = "description") -> DataFrame:
+                      category_col: str = "categoryName", description_col: str = "description",
+                      lookup: DataFrame | None = None) -> DataFrame:
     """Per line, the ledger category (ignoring case) and the first item
     of that category -- in ledger order -- whose name or an alias equals or
     is contained in the description (ignoring case).
 
     Adds ``ledger_category`` (null when the category is unknown) and
     ``ledger_item`` (struct of ITEM_FIELDS, null when nothing matches).
+    ``lookup`` is :func:`category_lookup` as a written table, whose size the
+    planner then knows.
     """
-    cat_l, desc_l = F.lower(F.col(category_col)), F.lower(F.coalesce(F.col(description_col), F.lit("")))
-    keyed = lines.withColumn("_cat_l", cat_l).withColumn("_desc_l", desc_l)
-    distinct_texts = keyed.select("_cat_l", "_desc_l").distinct()
-    terms = ledger_terms(items).withColumn("_cat_l", F.lower("categoryName"))
-    small = "needles" if terms_are_small(terms) else None
-    pairs = contains_pairs(distinct_texts, "_desc_l", terms, "term_l", keys=("_cat_l",), small_side=small)
-    best = (pairs.groupBy("_cat_l", "_desc_l")
-            .agg(F.min_by(_item_struct(), F.col("item_position")).alias("ledger_item")))
-    cats = (categories.groupBy(F.lower("categoryName").alias("_cat_l"))
-            .agg(F.min("categoryName").alias("ledger_category")))
-    # one row per distinct (category, description): both lookups are
-    # resolved on this small table, then joined back to the lines once
-    # (checkpointed, and broadcast when its row count is small: the lines
-    # are then joined without being shuffled)
-    resolved = checkpointed_broadcast(distinct_texts.join(cats, "_cat_l", "left")
-                                      .join(best, ["_cat_l", "_desc_l"], "left"))
-    return keyed.join(resolved, ["_cat_l", "_desc_l"], "left").drop("_cat_l", "_desc_l")
+    if lookup is None:
+        lookup = category_lookup(lines, items, categories, category_col, description_col)
+    keyed = _texts(lines, category_col, description_col, "")
+    return keyed.join(lookup, ["_cat_l", "_desc_l"], "left").drop("_cat_l", "_desc_l")
 
 
 # --- J8: global ranked match on description, then vendor -------------------------
 
-def terms_are_small(terms: DataFrame, max_rows: int = TERMS_BROADCAST_ROWS) -> bool:
-    """Size check before broadcasting ledger terms (reference data)."""
-    return terms.limit(max_rows + 1).count() <= max_rows
-
-
-def _best_by_text(texts: DataFrame, text_col: str, terms: DataFrame, rank_contains: int,
-                  terms_small: bool = False) -> DataFrame:
+def _best_by_text(texts: DataFrame, text_col: str, terms: DataFrame, rank_contains: int, word_boundary: bool) -> DataFrame:
     """Best item per distinct text: equality (rank 0), containment either
     way (rank ``rank_contains``), longer matched text first, then ledger order."""
-    fwd = (contains_pairs(texts, text_col, terms, "term_l", small_side="needles" if terms_small else None)
-           .withColumn("_overlap", F.length("term_l")))
-    rev = (contains_pairs(terms, "term_l", texts, text_col, small_side="hay" if terms_small else None)
-           .withColumn("_overlap", F.length(text_col)))
-    cand = fwd.unionByName(rev)
+    forth = contains_pairs(texts, text_col, terms, "term_l", word_boundary=word_boundary)
+    back = contains_pairs(terms, "term_l", texts, text_col, word_boundary=word_boundary)
+    pairs = (forth.select(text_col, "term_l", F.length("term_l").alias("_overlap"))
+             .unionByName(back.select(text_col, "term_l", F.length(text_col).alias("_overlap")))
+             .join(terms, "term_l"))
     rank = F.when(F.col(text_col) == F.col("term_l"), F.lit(0)).otherwise(F.lit(rank_contains))
-    key = F.struct(rank.alias("rank"), (-F.col("_overlap")).alias("neg_overlap"), F.col("item_position"))
-    return (cand.groupBy(text_col)
-            .agg(F.min_by(F.struct(*[F.col(f) for f in ITEM_FIELDS], rank.alias("match_rank")), key)
-                 .alias("_best")))
+    key = F.struct(rank.alias("rank"), (-F.col("_overlap")).alias("neg_overlap"), F.col("item.item_position").alias("at"))
+    item = F.struct(*[F.col(f"item.{f}").alias(f) for f in ITEM_FIELDS], rank.alias("match_rank"))
+    return pairs.groupBy(text_col).agg(F.min_by(item, key).alias("_best"))
+
+
+def description_lookup(lines: DataFrame, items: DataFrame, description_col: str = "description",
+                       word_boundary: bool = False) -> DataFrame:
+    """J8 on descriptions: (_desc_l, _by_desc) per distinct description, the
+    item null when nothing matched."""
+    texts = _texts(lines, "", description_col, "").select("_desc_l").distinct()
+    best = _best_by_text(texts, "_desc_l", ledger_terms(items), 1, word_boundary)
+    return texts.join(best, "_desc_l", "left").withColumnRenamed("_best", "_by_desc")
+
+
+def vendor_lookup(lines: DataFrame, items: DataFrame, by_desc: DataFrame, description_col: str = "description",
+                  vendor_col: str = "vendorName", word_boundary: bool = False) -> DataFrame:
+    """J8 on the vendors of lines whose description matched nothing:
+    (_vend_l, _by_vend), matched vendors only."""
+    unmatched = by_desc.filter(F.col("_by_desc").isNull()).select("_desc_l")
+    texts = (_texts(lines, "", description_col, vendor_col).join(unmatched, "_desc_l", "left_semi")
+             .select("_vend_l").distinct())
+    best = _best_by_text(texts, "_vend_l", ledger_terms(items), 2, word_boundary)
+    return best.select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend"))
 
 
 def match_global(lines: DataFrame, items: DataFrame, description_col: str = "description",
-                 vendor_col: str = "vendorName") -> DataFrame:
+                 vendor_col: str = "vendorName", word_boundary: bool = False,
+                 by_desc: DataFrame | None = None, by_vend: DataFrame | None = None) -> DataFrame:
     """Best ledger item over *all* items, category not used.
 
     Description first: equal to a name/alias (rank 0), else contains or is
     contained in one (rank 1, longest matched text wins).  When the
     description matches nothing, the vendor name is tried the same way
-    (rank 2).  Ties go to ledger order.  Adds ``ledger_item`` (struct of
-    ITEM_FIELDS + match_rank) -- null when nothing matches.
-
-    Plan: distinct descriptions are matched first; the result (one row per
-    distinct description, null when nothing matched) is checkpointed and
-    broadcast when small.  Vendors are matched only for the lines whose
-    description matched nothing -- a semi join with the unmatched
-    descriptions picks those lines' vendors -- so no vendor is matched that
-    no line needs.  Both lookups meet the lines in broadcast joins when
-    their size allows, so the lines are not shuffled for them.
+    (rank 2).  Ties go to ledger order.  ``word_boundary`` lets a text match
+    only at the edges of words ("PORT" is not in "Support").  Adds
+    ``ledger_item`` (struct of ITEM_FIELDS + match_rank) -- null when nothing
+    matches.
+
+    ``by_desc`` and ``by_vend`` are the two lookups as written tables: the
+    planner then knows their sizes and need not shuffle the lines for them.
     """
-    terms = ledger_terms(items).select(*ITEM_FIELDS, "term_l")
-    keyed = (lines.withColumn("_desc_l", F.lower(F.coalesce(F.col(description_col), F.lit(""))))
-             .withColumn("_vend_l", F.lower(F.coalesce(F.col(vendor_col), F.lit("")))))
-    descs = keyed.select("_desc_l").distinct()
-    small = terms_are_small(terms)
-    by_desc = checkpointed_broadcast(
-        descs.join(_best_by_text(descs, "_desc_l", terms, 1, small), "_desc_l", "left")
-        .withColumnRenamed("_best", "_by_desc"))
-    unmatched = by_desc.filter(F.col("_by_desc").isNull()).select("_desc_l")
-    vends = keyed.join(unmatched, "_desc_l", "left_semi").select("_vend_l").distinct()
-    by_vend = checkpointed_broadcast(
-        _best_by_text(vends, "_vend_l", terms, 2, small)
-        .select("_vend_l", F.col("_best").withField("match_rank", F.lit(2)).alias("_by_vend")))
-    return (keyed.join(by_desc, "_desc_l", "left")
+    if by_desc is None:
+        by_desc = description_lookup(lines, items, description_col, word_boundary)
+    if by_vend is None:
+        by_vend = vendor_lookup(lines, items, by_desc, description_col, vendor_col, word_boundary)
+    return (_texts(lines, "", description_col, vendor_col)
+            .join(by_desc, "_desc_l", "left")
             .join(by_vend, "_vend_l", "left")
             .withColumn("ledger_item", F.coalesce("_by_desc", "_by_vend"))
             .drop("_desc_l", "_vend_l", "_by_desc", "_by_vend"))
@@ -209,7 +251,7 @@ def match_global(lines: DataFrame, items: DataFrame, description_col: str = "des
 # --- J9, J10, G16 --------------------------------------------------------------
 
 def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFrame,
-                 ledger_currency: str = "AUD", checkpoint_lines: bool = False) -> DataFrame:
+                 ledger_currency: str = "AUD") -> DataFrame:
     """J9 + J12: ledger items with the lines posted to them.
 
     Items without lines keep one row with null line fields; lines without a
@@ -217,33 +259,24 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
     Codes compare after trimming.  The line's currency is the invoice's
     currency (J12), else the ledger currency.
 
-    Plan: "items left join lines" would keep the small item table as the
-    preserved side and shuffle the lines by code -- one hot code in one
-    task, which AQE cannot split on that side.  Instead the lines meet the
-    (size-checked, broadcast) items in an inner join, and items with no
-    line come from an anti join against the distinct posted codes.  The
-    narrow posted-line projection feeds both; the line matching already
-    checkpoints its lookup tables, so re-reading the lines is cheaper than
-    writing them.  ``checkpoint_lines=True`` writes the projection once (a
-    reliable checkpoint in ``spark.checkpoint.dir``) for callers whose
-    posted lines are costly to recompute.
+    Plan: "items left join lines" would keep the item table as the preserved
+    side and shuffle the lines by code -- one hot code in one task, which
+    AQE cannot split on that side.  Instead the lines meet the items in an
+    inner join, and items with no line come from an anti join against the
+    distinct posted codes.  Pass saved match records as ``posted``: the
+    second look at them then reads one column.
     """
     it = items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice",
                       F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), ", ").alias("aliases_text"),
                       F.trim(F.col("ledgerCode").cast("string")).alias("_code"))
-    lines = (posted.filter(F.col("ledgerCode").isNotNull())
-             .select(F.trim(F.col("ledgerCode").cast("string")).alias("_code"),
-                     "invoiceId", "lineNo", F.col("lineItemDescription").alias("description"),
-                     "unitPrice", "lineTotal")
+    coded = posted.filter(F.col("ledgerCode").isNotNull()).withColumn("_code", F.trim(F.col("ledgerCode").cast("string")))
+    lines = (coded.select("_code", "invoiceId", "lineNo", F.col("lineItemDescription").alias("description"),
+                          "unitPrice", "lineTotal")
              .join(invoice_currency, "invoiceId", "left")
              .withColumn("currency", F.coalesce(F.col("invoice_currency"), F.lit(ledger_currency)))
              .drop("invoice_currency"))
-    if checkpoint_lines:
-        lines = lines.checkpoint(eager=True)
-    small_items = checked_broadcast(it)
-    with_lines = lines.join(small_items, "_code")
-    used = lines.select("_code").distinct()
-    without = (it.join(used, "_code", "left_anti")
+    with_lines = lines.join(it, "_code")
+    without = (it.join(coded.select("_code").distinct(), "_code", "left_anti")
                .select(*it.columns, *[F.lit(None).cast(t).alias(c) for c, t in
                                       (("invoiceId", "string"), ("lineNo", "string"), ("description", "string"),
                                        ("unitPrice", "double"), ("lineTotal", "double"), ("currency", "string"))]))

@@ -38,18 +38,6 @@ def stage_latency(manifest: DataFrame) -> DataFrame:
         seconds_between("final", "normalized").alias("sec_normalize_to_final"))
 
 
-def stage_latency_pivot(manifest: DataFrame) -> DataFrame:
-    """G9 via ``pivot`` with the fixed stage list (parity check in tests)."""
-    piv = (stage_timestamps(manifest).groupBy("run_id")
-           .pivot("stage", list(K.PIVOT_STAGES)).agg(F.first("stage_ts")))
-    return piv.select(
-        "run_id", *K.LATENCY_STAGES,
-        seconds_between("result", "ingested").alias("total_seconds"),
-        seconds_between("ocr", "ingested").alias("sec_ingest_to_ocr"),
-        seconds_between("normalized", "agent_input").alias("sec_agent_total"),
-        seconds_between("final", "normalized").alias("sec_normalize_to_final"))
-
-
 def extraction_quality(hdr: DataFrame) -> DataFrame:
     """Per vendor -- runs, ok, failed, success %; null status counts in runs only."""
     ok = F.col("extractionStatus") == F.lit(K.EXTRACTION_OK)
@@ -65,22 +53,27 @@ def duplicate_runs(hdr: DataFrame) -> DataFrame:
     """G11 + F7: invoices seen in more than one run, in long form.
 
     One row per (invoice, vendor, run) of every re-run invoice, with the
-    invoice's run count.  The reference's ``collect_set`` array would put
-    all runs of a hot invoice into one task; the long form keeps every run
-    without building an unbounded array (``runs_array`` rebuilds it).
+    invoice's run count; a null invoice id or vendor is a key like any
+    other.  The reference's ``collect_set`` array would put all runs of a
+    hot invoice into one task; the long form never builds it.
+
+    Plan: re-run keys are those whose least and greatest run differ (one
+    partial aggregate over the headers); only their headers are made
+    distinct and counted.
     """
-    triples = hdr.select("invoiceId", "vendorName", "run_id").filter(F.col("run_id").isNotNull()).distinct()
-    counts = (triples.groupBy("invoiceId", "vendorName").agg(F.count(F.lit(1)).alias("run_count"))
-              .filter(F.col("run_count") > 1))
-    return (triples.join(counts, ["invoiceId", "vendorName"])
-            .orderBy(F.col("run_count").desc(), "invoiceId", "run_id"))
+    runs = hdr.select("invoiceId", "vendorName", "run_id").filter(F.col("run_id").isNotNull())
+    rerun = (runs.groupBy("invoiceId", "vendorName")
+             .agg(F.min("run_id").alias("lo"), F.max("run_id").alias("hi"))
+             .filter(F.col("lo") < F.col("hi")))
 
+    def same(a: str, b: str):
+        return (F.col(f"{a}.invoiceId").eqNullSafe(F.col(f"{b}.invoiceId"))
+                & F.col(f"{a}.vendorName").eqNullSafe(F.col(f"{b}.vendorName")))
 
-def runs_array(dupes_long: DataFrame) -> DataFrame:
-    """Reference shape of G11 (sorted run set per invoice) -- bounded inputs only."""
-    return (dupes_long.groupBy("invoiceId", "vendorName", "run_count")
-            .agg(F.sort_array(F.collect_set("run_id")).alias("runs"))
-            .orderBy(F.col("run_count").desc()))
+    triples = runs.alias("r").join(rerun.alias("k"), same("r", "k"), "left_semi").distinct()
+    counts = triples.groupBy("invoiceId", "vendorName").agg(F.count(F.lit(1)).alias("run_count"))
+    return (triples.alias("t").join(counts.alias("c"), same("t", "c"))
+            .select("t.invoiceId", "t.vendorName", "t.run_id", "c.run_count"))
 
 
 def ingestion_status_summary(email: DataFrame) -> DataFrame:
@@ -89,9 +82,8 @@ def ingestion_status_summary(email: DataFrame) -> DataFrame:
 
 
 def email_decisions(email: DataFrame) -> DataFrame:
-    """Accept / reject decision per run, ordered by run."""
-    return (email.select("run_id", "ingestionStatus", "reason", "email_from", "email_subject")
-            .orderBy("run_id"))
+    """Accept / reject decision per run."""
+    return email.select("run_id", "ingestionStatus", "reason", "email_from", "email_subject")
 
 
 def obs(manifest: DataFrame, hdr: DataFrame) -> dict[str, DataFrame]:
@@ -102,17 +94,28 @@ def obs(manifest: DataFrame, hdr: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+MONEY = "decimal(18,4)"
+
+
+def line_amounts(lines: DataFrame) -> DataFrame:
+    """P20 per line: amount = quantity x unit price and the line's own tax,
+    each rounded half-even to cents on decimals.  ``lines`` holds (invoice,
+    quantity, unit_price, tax_rate)."""
+    amount = F.bround(F.col("quantity").try_cast(MONEY) * F.col("unit_price").try_cast(MONEY), 2).try_cast("decimal(20,2)")
+    return (lines.withColumn("amount", amount)
+            .withColumn("line_tax", F.bround(F.col("amount") * F.col("tax_rate").try_cast("decimal(9,6)"), 2)))
+
+
 def invoice_arithmetic(lines: DataFrame) -> DataFrame:
-    """P20: per invoice -- line amounts round(qty x unit price, 2), per-line
-    tax round(line x tax rate, 2), subtotal, tax and grand total.
+    """P20 per invoice: the line amounts' subtotal, tax on the *subtotal* at
+    the invoice's one rate, rounded once (half-even), and the grand total.
 
-    ``lines`` holds (invoice, quantity, unit_price, tax_rate); sums are
-    partial aggregates, so a hot invoice is combined map-side.
+    ``lines`` holds (invoice, quantity, unit_price, tax_rate) with one rate
+    per invoice.  Sums are partial aggregates on decimals, so a hot invoice
+    is combined map-side and the result does not depend on the order.
     """
-    amount = F.round(F.col("quantity") * F.col("unit_price"), 2)
-    tax = F.round(amount * F.col("tax_rate"), 2)
-    return (lines.groupBy("invoice")
-            .agg(F.count(F.lit(1)).alias("lines"),
-                 F.round(F.sum(amount), 2).alias("subtotal"),
-                 F.round(F.sum(tax), 2).alias("tax"))
-            .withColumn("grand_total", F.round(F.col("subtotal") + F.col("tax"), 2)))
+    sums = (line_amounts(lines).groupBy("invoice")
+            .agg(F.count(F.lit(1)).alias("lines"), F.sum("amount").alias("subtotal"),
+                 F.max(F.col("tax_rate").try_cast("decimal(9,6)")).alias("_rate")))
+    return (sums.withColumn("tax", F.bround(F.col("subtotal").try_cast("decimal(28,2)") * F.col("_rate"), 2))
+            .withColumn("grand_total", F.col("subtotal") + F.col("tax")).drop("_rate"))

@@ -6,6 +6,8 @@ expressions only, evaluated inside whole-stage codegen.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,16 +73,34 @@ def _only(rule: Column, rules: tuple[str, ...], value: Column) -> Column:
     return F.when(rule.isin(*rules), value)
 
 
-def _price_rule_columns(unit: Column, line_total: Column, expected: Column):
+@dataclass(frozen=True)
+class Thresholds:
+    """The numbers of the rules R2 and R4; the defaults are the shipped file's."""
+
+    tolerance_percent: float = K.RULE_TOLERANCE_PERCENT
+    tolerance_absolute: float = K.RULE_TOLERANCE_ABSOLUTE
+    high_value: float = K.RULE_HIGH_VALUE_THRESHOLD
+
+
+def thresholds(rules: DataFrame) -> Thresholds:
+    """The thresholds of a rules table (one row per rule, so one small
+    aggregate); a missing rule or number keeps its default."""
+    r = rules.agg(*[F.max(F.when(F.col("id") == rule, F.col(c))).alias(c) for rule, c in
+                    (("R2", "tolerancePercent"), ("R2", "toleranceAbsolute"), ("R4", "thresholdAmount"))]).first()
+    given = {"tolerance_percent": r[0], "tolerance_absolute": r[1], "high_value": r[2]}
+    return Thresholds(**{k: v for k, v in given.items() if v is not None})
+
+
+def _price_rule_columns(unit: Column, line_total: Column, expected: Column, t: Thresholds):
     diff = F.abs(unit - expected)
-    tolerance = F.greatest(expected * F.lit(K.RULE_TOLERANCE_PERCENT / 100.0), F.lit(K.RULE_TOLERANCE_ABSOLUTE))
-    high = line_total > F.lit(K.RULE_HIGH_VALUE_THRESHOLD)
+    tolerance = F.greatest(expected * F.lit(t.tolerance_percent / 100.0), F.lit(t.tolerance_absolute))
+    high = line_total > F.lit(t.high_value)
     exact = diff < F.lit(K.RULE_EXACT_PRICE_DELTA)
     within = diff <= tolerance
     return diff, tolerance, high, exact, within
 
 
-def classify_aud(matched: DataFrame) -> DataFrame:
+def classify_aud(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Classify lines matched by J8 (``ledger_item``) on AUD values.
 
     R5 no item -> exception; R4 convertedLineTotal > 5000 -> review;
@@ -89,7 +109,7 @@ def classify_aud(matched: DataFrame) -> DataFrame:
     """
     item = F.col("ledger_item")
     unit, total, expected = F.col("convertedUnitPrice"), F.col("convertedLineTotal"), item["expectedUnitPrice"]
-    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected)
+    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, t)
     cur = F.lit(K.LEDGER_CURRENCY)
     rule = (F.when(item.isNull(), "R5").when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
     matched = matched.withColumn("_rule", rule)
@@ -97,7 +117,7 @@ def classify_aud(matched: DataFrame) -> DataFrame:
     matched, vals = _with_texts(matched, {
         "description": F.col("description"), "vendor": F.col("vendorName"),
         "line_total": _only(rule, ("R4",), _money(total, cur)),
-        "threshold": _const_money(K.RULE_HIGH_VALUE_THRESHOLD, K.LEDGER_CURRENCY),
+        "threshold": _const_money(t.high_value, K.LEDGER_CURRENCY),
         "expected": _only(rule, ("R1", "R2", "R3"), _money(expected, cur)),
         "unit_price": _only(rule, ("R2", "R3"), _money(unit, cur)),
         "tolerance": _only(rule, ("R2", "R3"), _money(tol, cur)),
@@ -120,7 +140,7 @@ def classify_aud(matched: DataFrame) -> DataFrame:
         rule.isin("R3", "R4").alias("humanInLoop"))
 
 
-def classify_category(matched: DataFrame) -> DataFrame:
+def classify_category(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """The browser workflow's classification of lines matched by J7.
 
     Same order as A7 but on native values, plus R6 when the category is not
@@ -128,7 +148,7 @@ def classify_category(matched: DataFrame) -> DataFrame:
     """
     item = F.col("ledger_item")
     unit, total, expected = F.col("unitPrice"), F.col("lineTotal"), item["expectedUnitPrice"]
-    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected)
+    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, t)
     rule = (F.when(F.col("ledger_category").isNull(), "R6").when(item.isNull(), "R5")
             .when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
     matched = matched.withColumn("_rule", rule)
@@ -137,7 +157,7 @@ def classify_category(matched: DataFrame) -> DataFrame:
         "category": F.col("categoryName"), "description": F.col("description"),
         "ledger_category": F.col("ledger_category"),
         "line_total": _only(rule, ("R4",), _money(total)),
-        "threshold": _const_money(K.RULE_HIGH_VALUE_THRESHOLD),
+        "threshold": _const_money(t.high_value),
         "expected": _only(rule, ("R1", "R2", "R3"), _money(expected)),
         "unit_price": _only(rule, ("R2", "R3"), _money(unit)),
         "tolerance": _only(rule, ("R2", "R3"), _money(tol)),
@@ -192,8 +212,8 @@ def processing_notes(results: DataFrame) -> DataFrame:
     4/5 = exception title and items (items keep their lineItemId).  Joining
     ``note`` ordered by (section, lineItemId) gives the page's text; rows
     are kept long so a huge invoice is never gathered into one value.
-    ``results`` is read twice: one aggregation for the per-invoice lines,
-    one projection for the item lines.
+    ``results`` is read twice, for the per-invoice lines and for the item
+    lines: pass the saved records, not the matching itself.
     """
     s = F.col("status")
     summary = (results.groupBy("invoiceId")

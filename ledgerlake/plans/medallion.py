@@ -27,10 +27,9 @@ def _write_all(spark: SparkSession, layer: str, frames: dict[str, DataFrame]) ->
 
 
 def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    header = driver.invoice_header(spark, sf_dir)
     return {
-        "bronze_invoice_header": header.drop("o_orderkey"),
-        "bronze_invoice_lineitem": driver.bronze_lines(spark, sf_dir, header),
+        "bronze_invoice_header": driver.bronze_header(spark, sf_dir),
+        "bronze_invoice_lineitem": driver.bronze_lines(spark, sf_dir),
         "bronze_ingestion_email": driver.bronze_email(spark, sf_dir),
         "bronze_run_manifest": driver.bronze_manifest(spark, sf_dir),
     }

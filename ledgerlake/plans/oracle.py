@@ -34,20 +34,45 @@ def _stage_case(col: str) -> str:
     return "CASE " + " ".join(parts) + f" ELSE '{K.OTHER_STAGE}' END"
 
 
+def _takes(key: str, rule: tuple[int, int]) -> str:
+    return f"{key} % {rule[0]} = {rule[1]}"
+
+
+def half_even(product: str) -> str:
+    """A decimal product rounded half-even to cents, by exact arithmetic."""
+    cents = f"(({product}) * 100)"
+    return (f"(CASE WHEN {cents} - floor({cents}) < 0.5 THEN floor({cents}) WHEN {cents} - floor({cents}) > 0.5 "
+            f"THEN floor({cents}) + 1 WHEN floor({cents}) % 2 = 0 THEN floor({cents}) ELSE floor({cents}) + 1 END / 100)")
+
+
+def converted(amount: str, currency: str, rate: str) -> str:
+    """AUD as it is, else decimal amount x rate rounded once."""
+    return (f"CASE WHEN upper({currency}) = 'AUD' THEN {amount} "
+            f"ELSE CAST({half_even(f'CAST({amount} AS DECIMAL(20,6)) * CAST({rate} AS DECIMAL(12,6))')} AS DOUBLE) END")
+
+
+def _field(name: str, value: str) -> str:
+    rule = next((m, r) for n, m, r in K.FIELD_MISSING if n == name)
+    return f"CASE WHEN {_takes('o_orderkey', rule)} THEN NULL ELSE {value} END AS {name}"
+
+
 _QUARTERS = 4 * (K.FX_GENERATED_LAST_YEAR - K.FX_GENERATED_FIRST_YEAR + 1)
 _FIRST_YEAR = K.FX_GENERATED_FIRST_YEAR
 
 
 def _rate_at(date_expr: str) -> str:
-    return (f"(SELECT fx.rate FROM fx WHERE upper(fx.\"from\") = upper(hk.currency) "
+    return (f"(SELECT fx.rate FROM fx WHERE upper(fx.\"from\") = upper(hk.ccy) "
             f"AND fx.fd <= {date_expr} AND (fx.td IS NULL OR {date_expr} <= fx.td) "
             f"ORDER BY fx.fd DESC LIMIT 1)")
 
 
+RUN_OF_EVENT = ("'run-' || strftime(e.ts, '%Y%m%d') || CASE WHEN length(CAST(e.user_id AS VARCHAR)) < 6 "
+                "THEN lpad(CAST(e.user_id AS VARCHAR), 6, '0') ELSE CAST(e.user_id AS VARCHAR) END")
+
 BASE = f"""
 region_ccy(n_regionkey, currency) AS (VALUES {_values(K.REGION_CURRENCY)}),
 terms(o_orderpriority, paymentTerms, due_days) AS (VALUES {_values(K.PRIORITY_TERMS)}),
-event_files(event_type, file_name) AS (VALUES {_values(K.EVENT_FILE_NAMES)}),
+event_files(event_type, slot, file_name) AS (VALUES {_values(K.EVENT_FILE_NAMES)}),
 fx_base("from", base, ccy_idx) AS (VALUES {_values([(c, b, i) for i, (c, b) in enumerate(K.FX_GENERATED_BASE)])}),
 fx_q AS (
   SELECT b."from", CAST(b.base AS DOUBLE) AS base, b.ccy_idx, q.range AS qi, {_FIRST_YEAR} + q.range // 4 AS yr
@@ -61,10 +86,14 @@ fx AS (
          CAST({_r("base + CAST(0.01 AS DOUBLE) * CAST(((yr * 4 + qi % 4) * 3) % 5 - 2 AS DOUBLE)")} AS DECIMAL(18,6)) AS rate,
          ccy_idx * 1000 + qi AS position
   FROM fx_q),
+order_lines AS (
+  SELECT l_orderkey, {_r("sum(l_extendedprice)")} AS lines_total FROM lineitem GROUP BY l_orderkey),
 hdr0 AS (
-  SELECT o.o_orderkey, o.o_orderdate, o.o_orderstatus, c.c_name, rc.currency, t.paymentTerms, t.due_days,
-         o.o_totalprice AS totalAmount
+  SELECT o.o_orderkey, o.o_orderdate, o.o_orderstatus, c.c_name, rc.currency AS ccy, t.paymentTerms, t.due_days,
+         CASE WHEN {_takes("o.o_orderkey", K.TOTAL_AS_ORDERED)} THEN o.o_totalprice
+              ELSE coalesce(ol.lines_total, o.o_totalprice) END AS total
   FROM orders o
+  LEFT JOIN order_lines ol ON ol.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN region_ccy rc ON rc.n_regionkey = n.n_regionkey
@@ -80,50 +109,58 @@ hk AS (
   FROM hkeys),
 hr AS (
   SELECT hk.*, {_rate_at("hk.inv_d")} AS rate_inv, {_rate_at("hk.due_d")} AS rate_due FROM hk),
+spoiled AS (
+  SELECT *, {_field("invoiceId", "'INV-' || CAST(o_orderkey AS VARCHAR)")}, {_field("vendorName", "c_name")},
+         {_field("invoiceDate", "strftime(inv_d, '%Y-%m-%d')")}, {_field("totalAmount", "total")}, {_field("currency", "ccy")},
+         o_orderstatus = '{K.RERUN_ORDER_STATUS}' AND (NOT rerun OR {_takes("o_orderkey", K.STILL_FAILED)}) AS failed
+  FROM hr),
 bronze_header AS (
   SELECT o_orderkey, run_id,
          '/invoices/' || run_id || '/invoice.json' AS source_path,
          'invoice-' || CAST(o_orderkey AS VARCHAR) || '.pdf' AS fileName,
          CAST(NULL AS VARCHAR) AS blobUrl,
-         'INV-' || CAST(o_orderkey AS VARCHAR) AS invoiceId,
-         c_name AS vendorName,
+         invoiceId, vendorName,
          lower(replace(c_name, '#', '')) || '@vendor.example' AS vendorEmail,
-         strftime(inv_d, '%Y-%m-%d') AS invoiceDate,
+         invoiceDate,
          strftime(due_d, '%Y-%m-%d') AS dueDate,
          paymentTerms, currency, totalAmount,
          'invoice' AS documentType,
-         CASE WHEN rerun OR o_orderstatus <> '{K.RERUN_ORDER_STATUS}' THEN 'ok' ELSE 'failed' END AS extractionStatus,
-         CASE WHEN rerun OR o_orderstatus <> '{K.RERUN_ORDER_STATUS}' THEN NULL ELSE 'partial extraction' END AS extractionNotes,
-         c_name AS businessName,
-         strftime(inv_d, '%Y-%m-%d') AS fromDate,
-         strftime(due_d, '%Y-%m-%d') AS toDate,
+         CASE WHEN failed THEN 'failed' ELSE 'ok' END AS extractionStatus,
+         CASE WHEN failed THEN 'partial extraction' END AS extractionNotes,
+         vendorName AS businessName,
+         invoiceDate AS fromDate,
+         coalesce(strftime(due_d, '%Y-%m-%d'), '') AS toDate,
          totalAmount AS invoiceAmount,
          currency AS invoiceCurrency,
-         CAST(CASE WHEN upper(currency) = 'AUD' THEN CAST(1 AS DECIMAL(18,6)) ELSE rate_inv END AS DOUBLE) AS exchangeRate,
-         CAST(CASE WHEN upper(currency) = 'AUD' THEN CAST(totalAmount AS DECIMAL(18,2))
-                   ELSE round_even(CAST(totalAmount AS DECIMAL(18,2)) * rate_due, 2) END AS DOUBLE) AS convertedInvoiceAmount,
+         CAST(CASE WHEN upper(ccy) = 'AUD' THEN CAST(1 AS DECIMAL(18,6)) ELSE rate_inv END AS DOUBLE) AS exchangeRate,
+         {converted("total", "ccy", "rate_due")} AS convertedInvoiceAmount,
          'AUD' AS convertedInvoiceCurrency
-  FROM hr),
-bronze_lines AS (
-  SELECT h.run_id, h.invoiceId, h.vendorName,
-         CAST(l.l_linenumber AS VARCHAR) AS lineNo,
-         p.p_type AS categoryName,
-         concat_ws(' ', p.p_name, p.p_brand) AS description,
+  FROM spoiled),
+priced AS (
+  SELECT l.l_orderkey, CAST(l.l_linenumber AS VARCHAR) AS lineNo,
+         CASE WHEN {_takes("p_partkey", K.UNLISTED_CATEGORY)} THEN 'Unlisted ' || p.p_type ELSE p.p_type END AS categoryName,
+         CASE WHEN {_takes("p_partkey", K.UNNAMED_PART)} THEN 'Freight charge ' || CAST(p_partkey AS VARCHAR)
+              WHEN {_takes("p_partkey", K.ITEM_NAME_ONLY)} THEN p.p_name
+              ELSE concat_ws(' ', p.p_name, p.p_brand) END AS description,
          l.l_quantity AS quantity,
-         {_r("l.l_extendedprice / l.l_quantity")} AS unitPrice,
-         l.l_extendedprice AS lineTotal,
-         {_r(_r("l.l_extendedprice / l.l_quantity") + " * h.exchangeRate")} AS convertedUnitPrice,
-         {_r("l.l_extendedprice * h.exchangeRate")} AS convertedLineTotal
-  FROM lineitem l
-  JOIN part p ON l.l_partkey = p.p_partkey
+         CASE WHEN {_takes("p_partkey", K.LIST_PRICE)} THEN p.p_retailprice
+              ELSE {_r("l.l_extendedprice / l.l_quantity")} END AS unitPrice,
+         l.l_extendedprice AS lineTotal
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+bronze_lines AS (
+  SELECT h.run_id, h.invoiceId, h.vendorName, l.lineNo,
+         l.categoryName, l.description, l.quantity, l.unitPrice, l.lineTotal,
+         {_r("l.unitPrice * h.exchangeRate")} AS convertedUnitPrice,
+         {_r("l.lineTotal * h.exchangeRate")} AS convertedLineTotal
+  FROM priced l
   JOIN bronze_header h ON l.l_orderkey = h.o_orderkey),
 bronze_manifest AS (
-  SELECT 'run-' || strftime(e.ts, '%Y%m%d') || lpad(CAST(e.user_id AS VARCHAR), 6, '0') AS run_id,
+  SELECT {RUN_OF_EVENT} AS run_id,
          coalesce(f.file_name, e.event_type || '.json') AS file_name,
          CAST(floor(e.value * 1000) AS BIGINT) AS size_bytes,
          epoch_us(e.ts) // 1000 AS modify_time_ms,
          make_timestamp((epoch_us(e.ts) // 1000) * 1000) AS modify_time
-  FROM events e LEFT JOIN event_files f ON f.event_type = e.event_type),
+  FROM events e LEFT JOIN event_files f ON f.event_type = e.event_type AND f.slot = e.event_id % 3),
 bronze_email AS (
   SELECT 'run-' || CAST(d.doc_id AS VARCHAR) AS run_id,
          CASE WHEN lb.quality = 1 THEN 'accepted' WHEN lb.quality = 0 THEN 'rejected' END AS ingestionStatus,
@@ -135,9 +172,9 @@ bronze_email AS (
          'ap@ledger.example' AS email_to,
          concat_ws(' ', d.lang, 'document', CAST(d.doc_id AS VARCHAR)) AS email_subject,
          CAST(DATE '2024-01-01' + CAST(d.doc_id % 366 AS INTEGER) AS DATE) AS email_date,
-         CAST(NULL AS VARCHAR) AS email_preview,
+         substring(d.text, 1, 80) AS email_preview,
          d.text AS email_body,
-         0 AS attachment_count
+         CAST(d.doc_id % 3 AS INTEGER) AS attachment_count
   FROM documents d LEFT JOIN labels lb ON lb.doc_id = d.doc_id),
 silver_invoice AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -198,6 +235,11 @@ _MEASURES_LAT = ", ".join(
     _r(f"sum(CAST({m} AS DOUBLE))") + f" AS sum_{m}"
     for m in ("total_seconds", "sec_ingest_to_ocr", "sec_agent_total", "sec_normalize_to_final"))
 
+_CODED = (
+    "SELECT 'INV-' || CAST(l_orderkey AS VARCHAR) AS invoice, l_linenumber AS line_no, l_tax, CAST(l_tax AS DECIMAL(9,6)) AS rate, "
+    "CAST(" + half_even("CAST(l_quantity AS DECIMAL(12,4)) * CAST(" + _r("l_extendedprice / l_quantity") + " AS DECIMAL(14,4))")
+    + " AS DECIMAL(18,2)) AS amount FROM lineitem")
+
 SELECTS: dict[str, str] = {
     "bronze_invoice_header": f"SELECT {_HEADER_COLS} FROM bronze_header",
     "bronze_invoice_lineitem": "SELECT * FROM bronze_lines",
@@ -217,7 +259,7 @@ SELECTS: dict[str, str] = {
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {cte}" for name, cte in (
             ("bronze_invoice_header", "bronze_header"), ("bronze_invoice_lineitem", "bronze_lines"),
             ("bronze_ingestion_email", "bronze_email"), ("bronze_run_manifest", "bronze_manifest"),
-            ("silver_invoice", "silver_invoice"), ("silver_invoice_lineitem", "silver_lines"))),
+            ("bronze_run_result", "bronze_email"), ("silver_invoice", "silver_invoice"), ("silver_invoice_lineitem", "silver_lines"))),
     "spend_by_vendor_month": (
         f"SELECT vendorName, strftime(TRY_CAST(invoiceDate AS DATE), '%Y-%m') AS invoice_month, "
         f"count(invoiceId) AS invoices, {_r('sum(totalAmount)')} AS total_native, "
@@ -244,10 +286,10 @@ SELECTS: dict[str, str] = {
         f"count(invoiceId) AS invoices, {_r('sum(convertedInvoiceAmount)')} AS due_aud "
         f"FROM silver_invoice GROUP BY 1"),
     "fx_sensitivity": (
-        f"SELECT currency, {_r('sum(convertedInvoiceAmount)')} AS base_aud, "
-        f"{_r('sum(convertedInvoiceAmount) * CAST(1.05 AS DOUBLE)')} AS plus_5pct, "
-        f"{_r('sum(convertedInvoiceAmount) * CAST(0.95 AS DOUBLE)')} AS minus_5pct "
-        f"FROM silver_invoice WHERE currency <> 'AUD' GROUP BY currency"),
+        "WITH s AS (SELECT currency, CAST(sum(CAST(convertedInvoiceAmount AS DECIMAL(28,6))) AS DOUBLE) AS s "
+        "FROM silver_invoice WHERE currency <> 'AUD' GROUP BY currency) "
+        f"SELECT currency, {_r('s')} AS base_aud, {_r('s * CAST(1.05 AS DOUBLE)')} AS plus_5pct, "
+        f"{_r('s * CAST(0.95 AS DOUBLE)')} AS minus_5pct FROM s"),
     "line_measures_by_category": f"SELECT categoryName, {_MEASURES_LINES} FROM silver_lines GROUP BY categoryName",
     "latency_measures_by_day": (
         f"SELECT substring(run_id, 5, 8) AS run_day, {_MEASURES_LAT} FROM stage_latency GROUP BY 1"),
@@ -264,7 +306,7 @@ SELECTS: dict[str, str] = {
         "WITH t AS (SELECT DISTINCT invoiceId, vendorName, run_id FROM bronze_header WHERE run_id IS NOT NULL), "
         "c AS (SELECT invoiceId, vendorName, count(*) AS run_count FROM t GROUP BY 1, 2 HAVING count(*) > 1) "
         "SELECT t.invoiceId, t.vendorName, t.run_id, c.run_count FROM t "
-        "JOIN c ON t.invoiceId = c.invoiceId AND t.vendorName = c.vendorName"),
+        "JOIN c ON t.invoiceId IS NOT DISTINCT FROM c.invoiceId AND t.vendorName IS NOT DISTINCT FROM c.vendorName"),
     "ingestion_status_summary": "SELECT ingestionStatus, count(*) AS runs FROM bronze_email GROUP BY 1",
     "email_decisions": "SELECT run_id, ingestionStatus, reason, email_from, email_subject FROM bronze_email",
     "discover_runs": "SELECT DISTINCT run_id FROM bronze_manifest WHERE starts_with(run_id, 'run-')",
@@ -275,12 +317,14 @@ SELECTS: dict[str, str] = {
         "SELECT run_id, file_name, size_bytes FROM bronze_manifest "
         "WHERE regexp_matches(lower(file_name), '\\.(pdf|png|jpg|jpeg)$')"),
     "invoice_arithmetic": (
-        "WITH l AS (SELECT 'INV-' || CAST(l_orderkey AS VARCHAR) AS invoice, "
-        + _r(_r("l_extendedprice / l_quantity") + " * l_quantity") + " AS amount, l_tax FROM lineitem), "
-        "t AS (SELECT invoice, amount, " + _r("amount * l_tax") + " AS tax FROM l) "
-        "SELECT invoice, count(*) AS lines, " + _r("sum(amount)") + " AS subtotal, "
-        + _r("sum(tax)") + " AS tax, " + _r(_r("sum(amount)") + " + " + _r("sum(tax)")) + " AS grand_total "
-        "FROM t GROUP BY invoice"),
+        f"WITH l AS ({_CODED}), "
+        "t AS (SELECT invoice, count(*) AS lines, sum(amount) AS subtotal, max(rate) AS rate FROM l GROUP BY invoice), "
+        f"x AS (SELECT *, {half_even('CAST(subtotal AS DECIMAL(20,2)) * rate')} AS tax FROM t) "
+        "SELECT invoice, lines, CAST(subtotal AS DOUBLE) AS subtotal, CAST(tax AS DOUBLE) AS tax, "
+        "CAST(CAST(subtotal AS DECIMAL(20,2)) + CAST(tax AS DECIMAL(20,2)) AS DOUBLE) AS grand_total FROM x"),
+    "invoice_line_tax": (
+        f"WITH l AS ({_CODED}) SELECT invoice, line_no, l_tax AS tax_rate, CAST(amount AS DOUBLE) AS amount, "
+        f"CAST({half_even('amount * rate')} AS DOUBLE) AS line_tax FROM l"),
 }
 
 

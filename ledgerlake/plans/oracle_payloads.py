@@ -7,6 +7,7 @@ out as text; the change batch is replayed with window functions.
 
 from __future__ import annotations
 
+from .. import constants as K
 from .oracle import _r
 
 _NEW_LINE = "(l_returnflag = 'N' AND l_linestatus = 'O')"
@@ -19,12 +20,35 @@ def _j(expr: str) -> str:
     return f"CAST(to_json({expr}) AS VARCHAR)"
 
 
+_ATTACHMENTS = ("'[' || coalesce((SELECT string_agg('{\"name\":\"invoice-' || email_id || '-' || i || '.pdf\"}', ',' ORDER BY i) "
+                "FROM (SELECT unnest(range(1, attachment_count + 1)) AS i)), '') || ']'")
+
 CTES = f"""
+result_email AS (
+  SELECT *, '{{"id":' || email_id || ',"from":' || {_j("email_from")} || ',"fromName":' || {_j("email_from_name")}
+         || ',"to":' || {_j("email_to")} || ',"subject":' || {_j("email_subject")}
+         || ',"date":"' || strftime(email_date, '%Y-%m-%d') || '","preview":' || {_j("email_preview")}
+         || ',"body":' || {_j("email_body")} || ',"attachments":' || {_ATTACHMENTS} || '}}' AS email_json,
+         '{{"attachments":' || {_ATTACHMENTS} || ',"body":' || {_j("email_body")}
+         || ',"date":"' || strftime(email_date, '%Y-%m-%d') || '","from":' || {_j("email_from")}
+         || ',"fromName":' || {_j("email_from_name")} || ',"id":' || email_id || ',"preview":' || {_j("email_preview")}
+         || ',"subject":' || {_j("email_subject")} || ',"to":' || {_j("email_to")} || '}}' AS email_sorted
+  FROM bronze_email),
+overlay AS (
+  -- base: result.json (ingestionStatus, draft) for half of the decided runs, else ingestion.json
+  SELECT run_id, 'draft' AS node, '{{"score":' || CAST(CAST(email_id AS BIGINT) % 7 AS VARCHAR) || ',"version":"first"}}' AS value FROM result_email
+  UNION ALL SELECT run_id, 'ingestionStatus', CASE WHEN attachment_count > 0 THEN '"processed"' ELSE {_j("ingestionStatus")} END
+  FROM result_email WHERE attachment_count > 0 OR ingestionStatus IS NOT NULL
+  UNION ALL SELECT run_id, 'invoices', '[' || email_id || ']' FROM result_email WHERE attachment_count > 0
+  UNION ALL SELECT run_id, 'reason', {_j("reason")} FROM result_email
+  WHERE reason IS NOT NULL AND NOT (ingestionStatus IS NOT NULL AND CAST(email_id AS BIGINT) % 2 = 0)
+  UNION ALL SELECT run_id, 'email', email_sorted FROM result_email
+  WHERE NOT (ingestionStatus IS NOT NULL AND CAST(email_id AS BIGINT) % 2 = 0)),
 gl_old AS (
   SELECT invoiceId AS Id, invoiceId AS InvoiceNumber, vendorName AS Vendor, currency AS Account,
          CAST(convertedInvoiceAmount AS DECIMAL(18,2)) AS Amount, 'AUD' AS Currency,
          CAST(CAST(invoiceDate AS DATE) AS TIMESTAMP) AS EntryDate, 'posted' AS Status,
-         fileName AS Description
+         fileName AS Description, true AS held
   FROM silver_invoice),
 gl_changes AS (
   SELECT CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'delete'
@@ -85,21 +109,37 @@ SELECTS = {
     "fx_table_replace": (
         "SELECT upper(trim(\"from\")) AS \"from\", upper(trim(\"to\")) AS \"to\", fromDate, toDate, rate "
         "FROM fx_checked WHERE reject_reason IS NULL"),
+    "json_invoice_header": (
+        "SELECT h.run_id, h.source_path, " + ", ".join(f"h.{c}" for c in K.HEADER_COLUMNS)
+        + " FROM bronze_header h LEFT JOIN priced p ON p.l_orderkey = h.o_orderkey"),
+    "json_invoice_lineitem": "SELECT * FROM bronze_lines",
+    "json_ingestion_email": (
+        "SELECT run_id, ingestionStatus, reason, email_id, email_from, email_from_name, email_to, email_subject, "
+        "email_date, email_preview, md5(email_body) AS email_body, attachment_count FROM bronze_email"),
     "invoice_replies": (
-        "SELECT run_id, CASE WHEN paymentTerms IN ('PREPAID', 'NET 14') THEN 'array' "
+        "SELECT h.run_id, CASE WHEN paymentTerms IN ('PREPAID', 'NET 14') THEN 'array' "
         "WHEN paymentTerms = 'NET 30' THEN 'object' ELSE 'single' END AS shape, "
-        "invoiceId, vendorName, invoiceDate, currency, totalAmount, extractionStatus, extractionNotes "
-        "FROM bronze_header"),
+        + ", ".join(f"h.{c}" for c in K.HEADER_COLUMNS)
+        + ", CAST(p.l_orderkey IS NOT NULL AS INTEGER) AS line_items, p.lineNo, p.description, p.lineTotal "
+        "FROM bronze_header h LEFT JOIN priced p ON p.l_orderkey = h.o_orderkey "
+        "WHERE h.invoiceId IS NOT NULL OR paymentTerms = 'NET 30'"),
+    "attachment_urls": (
+        "SELECT run_id, 'invoice-' || email_id || '-' || i || '.pdf' AS name, "
+        "CASE WHEN i = 1 THEN 'https://files.example/' || run_id || '/1' END AS blobUrl "
+        "FROM (SELECT run_id, email_id, unnest(range(1, attachment_count + 1)) AS i FROM bronze_email)"),
+    "result_overlay": "SELECT run_id, node, value FROM overlay",
+    "result_document": (
+        "SELECT run_id, CAST(length(d) AS BIGINT) AS chars, md5(d) AS document_md5 FROM ("
+        "SELECT run_id, '{' || string_agg('\"' || node || '\":' || value, ',' ORDER BY node) || '}' AS d "
+        "FROM overlay GROUP BY run_id)"),
     "ingestion_emails": (
         "SELECT run_id, ingestionStatus IS NOT NULL AS wrapped, CAST(email_id AS BIGINT) AS email_id, "
         "email_from, email_subject, strftime(email_date, '%Y-%m-%d') AS email_date, "
         "CAST(length(email_body) AS BIGINT) AS body_chars, md5(email_body) AS body_md5 FROM bronze_email"),
     "bronze_run_result": (
-        "SELECT run_id, '{\"email\":{\"id\":' || " + _j("email_id") + " || ',\"from\":' || " + _j("email_from")
-        + " || ',\"subject\":' || " + _j("email_subject") + " || ',\"date\":' || "
-        + _j("strftime(email_date, '%Y-%m-%d')") + " || '}' || coalesce(',\"ingestionStatus\":' || "
-        + _j("ingestionStatus") + ", '') || coalesce(',\"reason\":' || " + _j("reason") + ", '') || '}' "
-        "AS result_json FROM bronze_email"),
+        "SELECT run_id, CAST(length(d) AS BIGINT) AS chars, md5(d) AS result_md5 FROM ("
+        "SELECT run_id, '{\"email\":' || email_json || coalesce(',\"ingestionStatus\":' || "
+        + _j("ingestionStatus") + ", '') || coalesce(',\"reason\":' || " + _j("reason") + ", '') || '}' AS d FROM result_email)"),
     "ledger_changes": (
         "SELECT coalesce(o.Id, r.Id) AS Id, "
         + ", ".join(
@@ -108,5 +148,5 @@ SELECTS = {
             for f in _FIELDS)
         + " FROM gl_old o FULL OUTER JOIN gl_reset r ON o.Id = r.Id "
         "LEFT JOIN gl_upd u ON u.Id = coalesce(o.Id, r.Id) "
-        "WHERE r.op = 'add' OR (r.op IS NULL AND o.Id IS NOT NULL)"),
+        "WHERE r.op = 'add' OR (r.op IS NULL AND o.held)"),
 }

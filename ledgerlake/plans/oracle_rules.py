@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from .. import constants as K
 from ..operators.rules import A7_TEXT, A8_TEXT
-from .oracle import _r
+from .oracle import RUN_OF_EVENT, _r, converted
 
 
 def _money(expr: str, currency_sql: str = f"'{K.DEFAULT_MONEY_CURRENCY}'") -> str:
@@ -67,10 +67,22 @@ def _best(cands: str, rank_contains: int, src: str, out: str) -> str:
     FROM {cands}) WHERE rn = 1)"""
 
 
+def _found_rate(date: str) -> str:
+    """The rate of the covering period that starts last; without a date that
+    of the period that starts last of all."""
+    d = f"TRY_CAST({date} AS DATE)"
+    return (f"(SELECT fx.rate FROM fx WHERE upper(fx.\"from\") = upper(s.currency) AND ({d} IS NULL OR "
+            f"(fx.fd <= {d} AND (fx.td IS NULL OR {d} <= fx.td))) ORDER BY fx.fd DESC LIMIT 1)")
+
+
 RULE_CTES = f"""
 ledger_items AS (
   SELECT p_type AS categoryName, CAST(min(p_partkey) AS VARCHAR) AS ledgerCode, upper(p_name) AS itemName,
-         min(p_retailprice) AS expectedUnitPrice, [arg_min(p_brand, p_partkey)] AS aliases,
+         min(p_retailprice) AS expectedUnitPrice,
+         list_concat([arg_min(p_brand, p_partkey)],
+                     CASE WHEN min(p_partkey) % {K.VENDOR_ALIAS[0]} = {K.VENDOR_ALIAS[1]}
+                          THEN ['Customer#' || lpad(CAST(min(p_partkey) AS VARCHAR), CAST(greatest(9, length(CAST(min(p_partkey) AS VARCHAR))) AS INTEGER), '0')]
+                          ELSE [] END) AS aliases,
          min(p_partkey) AS item_position
   FROM part GROUP BY p_type, p_name),
 ledger_categories AS (
@@ -160,10 +172,7 @@ inv_ccy AS (
   FROM silver_invoice GROUP BY invoiceId),
 fx_lookup AS (
   SELECT s.invoiceId, s.currency, s.invoiceDate, s.totalAmount,
-         (SELECT fx.rate FROM fx WHERE upper(fx."from") = upper(s.currency)
-            AND fx.fd <= TRY_CAST(s.invoiceDate AS DATE)
-            AND (fx.td IS NULL OR TRY_CAST(s.invoiceDate AS DATE) <= fx.td)
-          ORDER BY fx.fd DESC LIMIT 1) AS found_rate
+         {_found_rate("s.invoiceDate")} AS found_rate, {_found_rate("s.dueDate")} AS due_rate, s.dueDate
   FROM silver_invoice s)
 """
 
@@ -174,9 +183,10 @@ RULE_SELECTS: dict[str, str] = {
     "fx_convert": (
         f"SELECT invoiceId, currency, invoiceDate, totalAmount, "
         f"CAST(CASE WHEN {_AUD} THEN CAST(1 AS DECIMAL(18,6)) ELSE found_rate END AS DOUBLE) AS rate, "
-        f"CAST(CASE WHEN {_AUD} THEN CAST(totalAmount AS DECIMAL(18,2)) "
-        f"ELSE round_even(CAST(totalAmount AS DECIMAL(18,2)) * found_rate, 2) END AS DOUBLE) AS aud_amount "
-        f"FROM fx_lookup"),
+        f"{converted('totalAmount', 'currency', 'found_rate')} AS aud_amount FROM fx_lookup"),
+    "fx_convert_unit_price": (
+        "WITH p AS (SELECT *, " + _r("totalAmount / 7", 4) + " AS price FROM fx_lookup) "
+        f"SELECT invoiceId, currency, price, {converted('price', 'currency', 'due_rate')} AS aud_price FROM p"),
     "fx_convert_first_rate": (
         "WITH fr AS (SELECT upper(\"from\") AS ccy, arg_min(CAST(rate AS DOUBLE), position) AS first_rate "
         "FROM fx WHERE upper(\"to\") = 'AUD' GROUP BY 1) "
@@ -242,11 +252,10 @@ RULE_SELECTS: dict[str, str] = {
         "count(CASE WHEN json_valid(j) THEN TRY_CAST(json_extract(j, '$.k') AS BIGINT) END) AS parsed, "
         "sum(CASE WHEN json_valid(j) THEN TRY_CAST(json_extract(j, '$.k') AS BIGINT) END) AS sum_k "
         "FROM x GROUP BY event_type"),
-    "result_overlay": (
-        "WITH d AS (SELECT 'run-' || strftime(ts, '%Y%m%d') || lpad(CAST(user_id AS VARCHAR), 6, '0') AS run_id, "
-        "ts, event_id, props FROM events WHERE json_valid(props)), "
+    "event_overlay": (
+        f"WITH d AS (SELECT {RUN_OF_EVENT} AS run_id, ts, event_id, props FROM events e WHERE json_valid(props)), "
         "n AS (SELECT run_id, ts, event_id, unnest(json_keys(props)) AS node, props FROM d), "
-        "v AS (SELECT run_id, node, json_extract_string(props, '$.\"' || node || '\"') AS value, "
+        "v AS (SELECT run_id, node, CAST(json_extract(props, '$.\"' || node || '\"') AS VARCHAR) AS value, "
         "row_number() OVER (PARTITION BY run_id, node ORDER BY ts DESC, event_id DESC) AS rn FROM n) "
         "SELECT run_id, node, value FROM v WHERE rn = 1"),
 }

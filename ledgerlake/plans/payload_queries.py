@@ -7,24 +7,71 @@ so the parsing runs over every header and every whole email text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
+from .. import schemas
 from ..functions import jsonops as J
 from ..operators import changes as C
-from ..sources import driver
+from ..sources import driver, runs
 from .model import Model
 from .registry import query
 
 
+def _json_files(m: Model) -> DataFrame:
+    """The invoice documents of all runs, written out as invoice.json texts
+    and parsed back (run id from the path, P5)."""
+    texts = driver.invoice_files(driver.documents_of(m.spark, m.sf_dir))
+    parsed = texts.select("source_path", J.parse_json("text", schemas.INVOICE_FILE).alias("file"))
+    return runs.tagged(parsed.select("source_path", "file.invoices"), F.col("source_path"))
+
+
+@query("json_invoice_header")
+def _p1_json(m: Model) -> DataFrame:
+    """P1 + P5 on JSON: headers exploded from the invoice documents."""
+    return runs.invoice_headers(_json_files(m)).drop("ingested_at")
+
+
+@query("json_invoice_lineitem")
+def _p2_json(m: Model) -> DataFrame:
+    """P2 + P5 on JSON: lines exploded from the invoice documents."""
+    return runs.invoice_lines(_json_files(m)).drop("ingested_at")
+
+
+@query("json_ingestion_email")
+def _p3_json(m: Model) -> DataFrame:
+    """P3 on JSON: ingestion documents parsed and flattened (whole bodies, by MD5)."""
+    texts = driver.result_updates(m.bronze_email)[0]
+    parsed = texts.select("run_id", J.parse_json("text", schemas.INGESTION_FILE).alias("file"), F.lit(None).alias("ingested_at"))
+    out = runs.ingestion_emails(parsed.select("run_id", "ingested_at", "file.*"))
+    return out.withColumn("email_body", F.md5("email_body")).drop("ingested_at")
+
+
 @query("invoice_replies")
 def _p13(m: Model) -> DataFrame:
-    """Invoices read from agent payloads in any of the three shapes."""
-    replies = J.with_invoice_array(driver.agent_invoice_replies(m.bronze_header).select("run_id", "shape", "payload"),
-                                   "payload", "invoices")
-    return (J.explode_rows(replies, "invoices", "inv")
-            .select("run_id", "shape", "inv.invoiceId", "inv.vendorName", "inv.invoiceDate",
-                    "inv.currency", "inv.totalAmount", "inv.extractionStatus", "inv.extractionNotes"))
+    """P12 + P13: invoices read from agents' prose in any of the three shapes,
+    one row per reply and line."""
+    replies = driver.agent_invoice_replies(driver.documents_of(m.spark, m.sf_dir))
+    cut = J.with_invoice_array(replies.select("run_id", "shape", J.extract_json_text("reply").alias("payload")),
+                               "payload", "invoices")
+    inv = J.explode_rows(cut.select("run_id", "shape", "invoices"), "invoices", "inv")
+    line = F.get("inv.lineItems", 0)
+    return inv.select("run_id", "shape", *[F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS],
+                      F.coalesce(F.size("inv.lineItems"), F.lit(0)).alias("line_items"),
+                      line["lineNo"].alias("lineNo"), line["description"].alias("description"),
+                      line["lineTotal"].try_cast("double").alias("lineTotal"))
+
+
+@query("attachment_urls")
+def _p15(m: Model) -> DataFrame:
+    """Every email's attachments with the uploaded files' URLs."""
+    emails = m.bronze_email.select("run_id", driver.attachments().alias("attachments"))
+    merged = J.merge_attachment_urls(emails, driver.uploads(m.bronze_email))
+    out = J.explode_rows(merged, "attachments", "a")
+    return out.select("run_id", F.col("a.name").alias("name"), F.col("a.blobUrl").alias("blobUrl"))
 
 
 @query("ingestion_emails")
@@ -39,16 +86,18 @@ def _p14(m: Model) -> DataFrame:
                     F.length("email.body").cast("long").alias("body_chars"), F.md5("email.body").alias("body_md5")))
 
 
+def run_results(email: DataFrame) -> DataFrame:
+    """Each email run's whole result document (preview, body and attachments
+    included) folded into one JSON string, null fields dropped."""
+    return email.select("run_id", F.to_json(F.struct(driver.email_struct().alias("email"), "ingestionStatus", "reason"))
+                        .alias("result_json"))
+
+
 @query("bronze_run_result")
 def _p4(m: Model) -> DataFrame:
-    """Each email run's result document folded into one JSON string
-    (null fields dropped)."""
-    e = m.bronze_email
-    email = F.struct(F.col("email_id").alias("id"), F.col("email_from").alias("from"),
-                     F.col("email_subject").alias("subject"),
-                     F.date_format("email_date", "yyyy-MM-dd").alias("date"))
-    return e.select("run_id", F.to_json(F.struct(email.alias("email"), "ingestionStatus", "reason"))
-                    .alias("result_json"))
+    """Whole result documents (by length and MD5)."""
+    return run_results(m.bronze_email).select("run_id", F.length("result_json").cast("long").alias("chars"),
+                                              F.md5("result_json").alias("result_md5"))
 
 
 @query("ledger_changes")
@@ -77,11 +126,8 @@ def _p23(m: Model) -> DataFrame:
 def _a11(m: Model) -> DataFrame:
     """The rate table overwritten with the validated submissions (a
     table in the shared checkpoint folder), read back."""
-    import hashlib
-    import posixpath
     from ..operators import fx
-    from ..session import ensure_checkpoint_dir
-    tag = hashlib.sha1(m.sf_dir.encode()).hexdigest()[:16]
-    path = posixpath.join(ensure_checkpoint_dir(m.spark), "ledgerlake-fx", tag)
+    from ..session import scratch_folder
+    path = f"{scratch_folder(m.spark)}/fx-{uuid.uuid4().hex}"
     table = fx.replace_rates(m.spark, driver.fx_rate_submissions(m.silver_invoice).drop("invoices"), path)
     return table.withColumn("rate", F.col("rate").cast("double"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold, obs, silver
+from ..sources import driver, runs
 from .model import Model
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -104,12 +105,14 @@ def _vendor_summary(m: Model) -> DataFrame:
 
 @query("table_row_counts")
 def _row_counts(m: Model) -> DataFrame:
-    """Rows per bronze table and before / after dedup."""
+    """Rows per bronze table (all five) and before / after dedup."""
+    from . import payload_queries
     return silver.table_counts({
         "bronze_invoice_header": m.bronze_header,
         "bronze_invoice_lineitem": m.bronze_lines,
         "bronze_ingestion_email": m.bronze_email,
         "bronze_run_manifest": m.bronze_manifest,
+        "bronze_run_result": payload_queries.run_results(m.bronze_email),
         "silver_invoice": m.silver_invoice_fresh,
         "silver_invoice_lineitem": m.silver_lines_fresh,
     })
@@ -138,7 +141,7 @@ def _g3a(m: Model) -> DataFrame:
 @query("unit_price_benchmark")
 def _g3(m: Model) -> DataFrame:
     """G3 + J3 + F5."""
-    return gold.unit_price_benchmark(m.silver_lines)
+    return gold.unit_price_benchmark(m.silver_lines, m.category_medians)
 
 
 @query("payment_calendar")
@@ -209,31 +212,42 @@ def _a12(m: Model) -> DataFrame:
 @query("discover_runs")
 def _s1(m: Model) -> DataFrame:
     """Run folders that hold at least one file."""
-    from ..sources import runs
-    return m.bronze_manifest.filter(F.col("run_id").startswith("run-")).select("run_id").distinct()
+    return runs.runs_of(m.bronze_manifest)
 
 
 @query("run_list")
 def _s9(m: Model) -> DataFrame:
     """The 20 newest runs (name descending) -- the limit is the feature."""
-    from ..sources import runs
     return runs.latest_runs(m.bronze_manifest)
 
 
 @query("supported_documents")
 def _s10(m: Model) -> DataFrame:
     """Manifest files the pipeline accepts as documents."""
-    from ..sources import runs
     return runs.supported_documents(m.bronze_manifest).select("run_id", "file_name", "size_bytes")
 
 
-@query("invoice_arithmetic")
-def _p20(m: Model) -> DataFrame:
-    """P20: line, tax and total arithmetic per order from lineitem."""
-    from ..sources.driver import table
-    li = table(m.spark, m.sf_dir, "lineitem").select(
+def _coded_lines(m: Model) -> DataFrame:
+    """lineitem as (invoice, line_no, quantity, unit_price, tax_rate)."""
+    return driver.table(m.spark, m.sf_dir, "lineitem").select(
         F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string")).alias("invoice"),
+        F.col("l_linenumber").alias("line_no"),
         F.col("l_quantity").alias("quantity"),
         F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 2).alias("unit_price"),
         F.col("l_tax").alias("tax_rate"))
-    return obs.invoice_arithmetic(li)
+
+
+@query("invoice_arithmetic")
+def _p20(m: Model) -> DataFrame:
+    """P20: subtotal, tax on it and total per order; the order's one rate is
+    the highest of its lines'."""
+    out = obs.invoice_arithmetic(_coded_lines(m))
+    return out.select("invoice", "lines", *[F.col(c).cast("double").alias(c) for c in ("subtotal", "tax", "grand_total")])
+
+
+@query("invoice_line_tax")
+def _p20_lines(m: Model) -> DataFrame:
+    """P20: amount and tax of each line."""
+    out = obs.line_amounts(_coded_lines(m))
+    return out.select("invoice", "line_no", "tax_rate", F.col("amount").cast("double").alias("amount"),
+                      F.col("line_tax").cast("double").alias("line_tax"))

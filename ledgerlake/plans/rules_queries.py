@@ -5,21 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import run_id_of
 from ..operators import fx
 from ..operators import ledger as L
 from ..operators import rules as R
+from ..sources import driver
 from .model import Model
 from .registry import query
 
 
-def _aud_records(m: Model) -> DataFrame:
-    return R.process_lines_aud(m.silver_lines, m.ledger_items)
-
-
-def _category_results(m: Model) -> DataFrame:
-    return R.process_lines_category(m.silver_lines, m.ledger_items, m.ledger_categories)
-
-
 # --- FX --------------------------------------------------------------------------
 
 @query("fx_rate_lookup")
@@ -41,11 +35,22 @@ def _j5(m: Model) -> DataFrame:
             .withColumn("aud_amount", F.col("aud_amount").cast("double")))
 
 
+@query("fx_convert_unit_price")
+def _j5b(m: Model) -> DataFrame:
+    """A price of four decimals (a seventh of the total) converted: AUD
+    keeps all of them, other currencies are rounded once, after the rate."""
+    inv = m.silver_invoice.select("invoiceId", "currency", "dueDate", F.round(F.col("totalAmount") / 7, 4).alias("price"))
+    out = fx.fx_convert(inv, m.fx_rates, "price", "currency", "dueDate", rate_col="rate", out_col="aud_price",
+                        known_rate_rows=fx.GENERATED_FX_ROWS)
+    return out.select("invoiceId", "currency", "price", F.col("aud_price").cast("double").alias("aud_price"))
+
+
 @query("fx_convert_first_rate")
 def _j6(m: Model) -> DataFrame:
     """Browser conversion with the first listed rate, date ignored."""
     inv = m.silver_invoice.select("invoiceId", "currency", "totalAmount")
-    return fx.convert_first_rate(inv, fx.generated_rates_with_position(m.spark), "totalAmount", "currency")
+    return fx.convert_first_rate(inv, fx.generated_rates(m.spark), "totalAmount", "currency",
+                                 known_rate_rows=fx.GENERATED_FX_ROWS)
 
 
 # --- ledger ------------------------------------------------------------------------
@@ -59,7 +64,8 @@ def _p22(m: Model) -> DataFrame:
 @query("ledger_match_category")
 def _j7(m: Model) -> DataFrame:
     """Category-scoped first ledger item per line."""
-    out = L.match_in_category(m.silver_lines, m.ledger_items, m.ledger_categories)
+    lookup = L.category_lookup(m.silver_lines, m.ledger_items, m.ledger_categories)
+    out = L.match_in_category(m.silver_lines, m.ledger_items, m.ledger_categories, lookup=lookup)
     return out.select("invoiceId", "lineNo", "categoryName", "description", "ledger_category",
                       F.col("ledger_item.ledgerCode").alias("ledgerCode"),
                       F.col("ledger_item.itemName").alias("itemName"))
@@ -78,55 +84,55 @@ def _j8(m: Model) -> DataFrame:
 @query("classify_lines_aud")
 def _a7(m: Model) -> DataFrame:
     """R1-R5 classification on AUD values (match records)."""
-    return _aud_records(m)
+    return R.classify_aud(m.matched_global)
 
 
 @query("classify_lines_category")
 def _a8(m: Model) -> DataFrame:
     """Browser classification incl. R6."""
-    return _category_results(m)
+    return R.classify_category(m.matched_in_category)
 
 
 @query("match_outcome_summary")
 def _g13(m: Model) -> DataFrame:
     """Per-invoice outcome counts."""
-    return R.outcome_summary(_category_results(m))
+    return R.outcome_summary(m.records_category)
 
 
 @query("processing_notes")
 def _g14(m: Model) -> DataFrame:
     """Processing notes, one row per note line."""
-    return R.processing_notes(_category_results(m))
+    return R.processing_notes(m.records_category)
 
 
 @query("exception_queue")
 def _u2(m: Model) -> DataFrame:
     """U2 + J11 + F8: exceptions and review items."""
-    return R.exception_queue(_aud_records(m), m.silver_invoice)
+    return R.exception_queue(m.records_aud, m.silver_invoice)
 
 
 @query("posted_lines")
 def _u3(m: Model) -> DataFrame:
     """Matched and exception records."""
-    return R.posted_lines(_aud_records(m))
+    return R.posted_lines(m.records_aud)
 
 
 @query("posted_entries")
 def _a9(m: Model) -> DataFrame:
     """Ledger entries for matched records."""
-    return R.posted_entries(_aud_records(m))
+    return R.posted_entries(m.records_aud)
 
 
 @query("ledger_posting_view")
 def _j9(m: Model) -> DataFrame:
     """J9 + J12: ledger items with their posted lines."""
-    return L.posting_view(m.ledger_items, R.posted_lines(_aud_records(m)), L.invoice_currency(m.silver_invoice))
+    return L.posting_view(m.ledger_items, R.posted_lines(m.records_aud), L.invoice_currency(m.silver_invoice))
 
 
 @query("expected_price_lookup")
 def _j10(m: Model) -> DataFrame:
     """Match records with the ledger's expected unit price."""
-    recs = _aud_records(m).select("invoiceId", "lineNo", "ledgerCode", "convertedUnitPrice")
+    recs = m.records_aud.select("invoiceId", "lineNo", "ledgerCode", "convertedUnitPrice")
     return L.expected_price_lookup(recs, m.ledger_items)
 
 
@@ -142,8 +148,7 @@ def _g16(m: Model) -> DataFrame:
 def _p12(m: Model) -> DataFrame:
     """JSON objects cut out of event payload text and parsed, per event type."""
     from ..functions import jsonops as J
-    from ..sources.driver import table
-    ev = table(m.spark, m.sf_dir, "events").select("event_type", "props")
+    ev = driver.table(m.spark, m.sf_dir, "events").select("event_type", "props")
     parsed = ev.withColumn("j", J.parse_agent_json("props", "struct<k: bigint>"))
     return (parsed.groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("events"),
@@ -151,12 +156,30 @@ def _p12(m: Model) -> DataFrame:
                  F.sum("j.k").alias("sum_k")))
 
 
+def _overlay(m: Model) -> DataFrame:
+    from ..functions import jsonops as J
+    ingestion, result, updates = driver.result_updates(m.bronze_email)
+    base = ingestion.withColumn("file", F.lit("ingestion.json")).unionByName(result.withColumn("file", F.lit("result.json")))
+    return J.result_overlay(base, updates, "run_id", "file", ["step"], "text")
+
+
 @query("result_overlay")
 def _p16(m: Model) -> DataFrame:
-    """Per run, the latest value of every top-level node of its JSON documents."""
+    """Per run, the nodes of its result document after the updates."""
+    return _overlay(m)
+
+
+@query("result_document")
+def _p16_document(m: Model) -> DataFrame:
+    """The rebuilt result.json of each run (by length and MD5)."""
+    from ..functions import jsonops as J
+    out = J.overlay_documents(_overlay(m), "run_id")
+    return out.select("run_id", F.length("document").cast("long").alias("chars"), F.md5("document").alias("document_md5"))
+
+
+@query("event_overlay")
+def _p16_events(m: Model) -> DataFrame:
+    """Per run, the latest value of every top-level node of its events' JSON."""
     from ..functions import jsonops as J
-    from ..sources.driver import table
-    ev = table(m.spark, m.sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    docs = ev.withColumn("run_id", F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMdd"),
-                                            F.lpad(F.col("user_id").cast("string"), 6, "0")))
-    return J.overlay_nodes(docs, "run_id", ["ts", "event_id"], "props")
+    ev = driver.table(m.spark, m.sf_dir, "events").select("event_id", "ts", "user_id", "props")
+    return J.overlay_nodes(ev.withColumn("run_id", run_id_of("ts", "user_id")), "run_id", ["ts", "event_id"], "props")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,14 +59,27 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; a scratch folder is
-    set only when it is unset (local tests).  Jobs that cut lineage use
-    ``DataFrame.checkpoint()`` (reliable, survives executor loss), never
-    ``localCheckpoint``.
+    ``spark.checkpoint.dir`` is read from the session.  A scratch folder is
+    set only when it is unset and the master is local (tests): on a cluster
+    executors could not see it, so there an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's own folder under the shared checkpoint folder: two
+    applications on one input never touch each other's tables."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlake-{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables (call it before
+    ``spark.stop()``; what an application that died left is named after it)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

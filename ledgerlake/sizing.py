@@ -1,10 +1,10 @@
-"""Broadcast only behind a size check.
+"""Broadcast hints only where the size is fixed by construction.
 
-A side is broadcast when its row count is proven small: either the caller
-passes a static bound (reference tables generated from a fixed rule) or the
-(already reduced) frame is counted.  Above the bound the frame is returned
-unhinted, so the planner shuffles both sides -- and AQE may still switch to
-a broadcast at runtime from real shuffle statistics.
+Everything else is left to the planner: tables that are joined often are
+written first (see :mod:`ledgerlake.plans.model`), so the planner knows
+their bytes and broadcasts them only under
+``spark.sql.autoBroadcastJoinThreshold``; AQE decides for the rest from
+real shuffle sizes.
 """
 
 from __future__ import annotations
@@ -12,25 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we accept to ship to every executor.  Small dimension rows are
-# ~100 bytes, so this keeps a broadcast well under 100 MB.
-DEFAULT_BROADCAST_ROWS = 500_000
+# Rows of a fixed table that may be hinted: small typed rows of about 100 bytes.
+FIXED_ROWS = 10_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    rows = known_rows
-    if rows is None:
-        # limit(max_rows + 1) stops the count early on a large input.
-        rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
-
-
-def checkpointed_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A derived table that may be small (e.g. one row per distinct text):
-    written once as a reliable checkpoint in ``spark.checkpoint.dir``, so
-    counting it does not recompute it, then broadcast only when its row
-    count is within ``max_rows``; otherwise the checkpointed frame is
-    returned for a shuffle join."""
-    cp = df.checkpoint(eager=True)
-    return checked_broadcast(cp, max_rows)
+def fixed_broadcast(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table that has at most ``rows`` rows by the way it is
+    built (a literal list, a generated range); a larger one is not hinted."""
+    return F.broadcast(df) if rows <= FIXED_ROWS else df

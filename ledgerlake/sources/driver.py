@@ -9,15 +9,21 @@ Mapping (see README for the rationale):
 
 * invoice header  = orders ⋈ customer ⋈ nation; one invoice per order in
   run ``run-<orderdate yyyyMMdd>``.  Orders with status 'P' were extracted
-  partially (status 'failed') and re-run a week later (status 'ok').
+  partially (status 'failed') and re-run a week later (status 'ok', some
+  'failed' again).  Most totals are the sum of the order's lines.
 * invoice line    = lineitem ⋈ part ⋈ header (both runs of a re-run order).
 * ledger          = part grouped by (p_type, p_name).
 * run manifest    = events, one run per (user, day).
 * ingestion email = documents ⟕ labels.
 
+The benchmark's rows would never fail a check or miss the ledger, so some
+are spoiled by rule (the ``(modulus, remainder)`` pairs in ``constants``):
+required fields go missing, descriptions name no item, categories are not in
+the ledger, lines are charged at list price.
+
 All joins are equi-joins on keys; the small fixed lookups (region currency,
-payment terms, event file names, FX periods) have proven sizes and are
-broadcast; the rest is left to the planner and AQE.
+payment terms, event file names, FX periods, 25 nations) have sizes fixed by
+construction and are broadcast; the rest is left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -27,8 +33,11 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import fx
+from ..functions.columns import run_id_of, with_descriptive_fields
 from ..functions.literal import literal_table
-from ..sizing import checked_broadcast
+from ..sizing import fixed_broadcast
+
+NATION_ROWS = 25  # by definition of the table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lookup(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
-    return checked_broadcast(literal_table(spark, rows, columns), known_rows=len(rows))
+    return fixed_broadcast(literal_table(spark, rows, columns), len(rows))
+
+
+def _spoiled(key: str, rule: tuple[int, int]) -> F.Column:
+    """Whether a (modulus, remainder) rule of ``constants`` takes a row."""
+    return F.pmod(F.col(key), F.lit(rule[0])) == rule[1]
 
 
 def fx_rates(spark: SparkSession) -> DataFrame:
@@ -54,7 +68,7 @@ def _header_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             ("due_days", "int")])
     return (orders
             .join(customer, orders.o_custkey == customer.c_custkey)
-            .join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey)  # 25 rows by definition
+            .join(fixed_broadcast(nation, NATION_ROWS), customer.c_nationkey == nation.n_nationkey)
             .join(region_ccy, "n_regionkey", "left")
             .join(terms, "o_orderpriority", "left")
             .select(
@@ -77,9 +91,22 @@ def invoice_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("_delay"))
 
 
-def invoice_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze header shape (+ o_orderkey for the line join, dropped by callers)."""
+def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum of the lines of each order (map-side partial sums)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
+    return (li.groupBy(F.col("l_orderkey").alias("o_orderkey"))
+            .agg(F.round(F.sum("l_extendedprice"), 2).alias("_lines_total")))
+
+
+def invoice_header(spark: SparkSession, sf_dir: str, totals: bool = True) -> DataFrame:
+    """Bronze header shape (+ o_orderkey for the line join, dropped by
+    callers).  Without ``totals`` the amounts are those of the order: the
+    line table needs none of them, and the sums are not computed."""
     keys = invoice_keys(spark, sf_dir)
+    if totals:
+        keys = (keys.join(_line_totals(spark, sf_dir), "o_orderkey", "left")
+                .withColumn("totalAmount", F.when(_spoiled("o_orderkey", K.TOTAL_AS_ORDERED), F.col("totalAmount"))
+                            .otherwise(F.coalesce("_lines_total", "totalAmount"))).drop("_lines_total"))
     inv_date = F.col("o_orderdate").cast("date")
     h = (keys
          .withColumn("run_id", F.concat(F.lit(K.RUN_PREFIX), F.date_format("run_day", "yyyyMMdd")))
@@ -87,40 +114,34 @@ def invoice_header(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("dueDate", F.date_format(F.date_add(inv_date, F.col("due_days")), "yyyy-MM-dd")))
     # exchangeRate is the invoice-date rate; the converted amount uses the
     # due-date rate, so period changes surface in the FX consistency check.
-    # Both rates come from one broadcast join.
     h = fx.fx_rate_lookup_many(h, fx_rates(spark), "currency",
                                {"_rate_inv": "invoiceDate", "_rate_due": "dueDate"},
                                known_rate_rows=fx.GENERATED_FX_ROWS)
     h = (h.withColumn("_rate_inv", fx.effective_rate("_rate_inv", "currency"))
           .withColumn("_conv_due", fx.converted_amount("totalAmount", "currency", "_rate_due")))
-    status_ok = F.col("rerun") | (F.col("o_orderstatus") != K.RERUN_ORDER_STATUS)
+    order = F.col("o_orderkey").cast("string")
+    h = h.withColumns({
+        "source_path": F.concat(F.lit("/invoices/"), F.col("run_id"), F.lit("/invoice.json")),
+        "fileName": F.concat(F.lit("invoice-"), order, F.lit(".pdf")),
+        "invoiceId": F.concat(F.lit("INV-"), order),
+        "vendorName": F.col("c_name")})
+    for name, modulus, remainder in K.FIELD_MISSING:
+        h = h.withColumn(name, F.when(~_spoiled("o_orderkey", (modulus, remainder)), F.col(name)))
+    failed = ((F.col("o_orderstatus") == K.RERUN_ORDER_STATUS)
+              & (~F.col("rerun") | _spoiled("o_orderkey", K.STILL_FAILED)))
+    h = with_descriptive_fields(h)
     return h.select(
-        "o_orderkey",
-        "run_id",
-        F.concat(F.lit("/invoices/"), F.col("run_id"), F.lit("/invoice.json")).alias("source_path"),
-        F.current_timestamp().alias("ingested_at"),
-        F.concat(F.lit("invoice-"), F.col("o_orderkey").cast("string"), F.lit(".pdf")).alias("fileName"),
-        F.lit(None).cast("string").alias("blobUrl"),
-        F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string")).alias("invoiceId"),
-        F.col("c_name").alias("vendorName"),
+        "o_orderkey", "run_id", "source_path", F.current_timestamp().alias("ingested_at"), "fileName",
+        F.lit(None).cast("string").alias("blobUrl"), "invoiceId", "vendorName",
         F.concat(F.lower(F.regexp_replace("c_name", "#", "")), F.lit("@vendor.example")).alias("vendorEmail"),
-        "invoiceDate",
-        "dueDate",
-        "paymentTerms",
-        "currency",
-        "totalAmount",
+        "invoiceDate", "dueDate", "paymentTerms", "currency", "totalAmount",
         F.lit("invoice").alias("documentType"),
-        F.when(status_ok, F.lit("ok")).otherwise(F.lit("failed")).alias("extractionStatus"),
-        F.when(status_ok, F.lit(None).cast("string")).otherwise(F.lit("partial extraction")).alias("extractionNotes"),
-        F.col("c_name").alias("businessName"),
-        F.col("invoiceDate").alias("fromDate"),
-        F.col("dueDate").alias("toDate"),
-        F.col("totalAmount").alias("invoiceAmount"),
-        F.col("currency").alias("invoiceCurrency"),
+        F.when(failed, F.lit("failed")).otherwise(F.lit("ok")).alias("extractionStatus"),
+        F.when(failed, F.lit("partial extraction")).alias("extractionNotes"),
+        "businessName", "fromDate", "toDate", "invoiceAmount", "invoiceCurrency",
         F.col("_rate_inv").cast("double").alias("exchangeRate"),
         F.col("_conv_due").cast("double").alias("convertedInvoiceAmount"),
-        F.lit(K.LEDGER_CURRENCY).alias("convertedInvoiceCurrency"),
-    )
+        "convertedInvoiceCurrency")
 
 
 def bronze_header(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,36 +150,47 @@ def bronze_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_lines(spark: SparkSession, sf_dir: str, header: DataFrame | None = None) -> DataFrame:
     """Bronze line shape: every lineitem row under every run of its order."""
-    h = (header if header is not None else invoice_header(spark, sf_dir)).select(
+    h = (header if header is not None else invoice_header(spark, sf_dir, totals=False)).select(
         "o_orderkey", "run_id", "ingested_at", "invoiceId", "vendorName", "exchangeRate")
+    return (_priced_lines(spark, sf_dir)
+            .join(h, F.col("l_orderkey") == h.o_orderkey)
+            .select(
+                "run_id", "ingested_at", "invoiceId", "vendorName", "lineNo", "categoryName", "description",
+                "quantity", "unitPrice", "lineTotal",
+                F.round(F.col("unitPrice") * F.col("exchangeRate"), 2).alias("convertedUnitPrice"),
+                F.round(F.col("lineTotal") * F.col("exchangeRate"), 2).alias("convertedLineTotal"),
+            ))
+
+
+def _priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ part as invoice lines, before their invoice is known."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    unit = F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 2)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
+    charged = F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 2)
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .join(h, F.col("l_orderkey") == h.o_orderkey)
             .select(
-                "run_id", "ingested_at", "invoiceId", "vendorName",
+                "l_orderkey",
                 F.col("l_linenumber").cast("string").alias("lineNo"),
-                F.col("p_type").alias("categoryName"),
-                F.concat_ws(" ", "p_name", "p_brand").alias("description"),
+                F.when(_spoiled("p_partkey", K.UNLISTED_CATEGORY), F.concat(F.lit("Unlisted "), "p_type"))
+                .otherwise(F.col("p_type")).alias("categoryName"),
+                F.when(_spoiled("p_partkey", K.UNNAMED_PART), F.concat(F.lit("Freight charge "), F.col("p_partkey").cast("string")))
+                .when(_spoiled("p_partkey", K.ITEM_NAME_ONLY), F.col("p_name"))
+                .otherwise(F.concat_ws(" ", "p_name", "p_brand")).alias("description"),
                 F.col("l_quantity").alias("quantity"),
-                unit.alias("unitPrice"),
-                F.col("l_extendedprice").alias("lineTotal"),
-                F.round(unit * F.col("exchangeRate"), 2).alias("convertedUnitPrice"),
-                F.round(F.col("l_extendedprice") * F.col("exchangeRate"), 2).alias("convertedLineTotal"),
-            ))
+                F.when(_spoiled("p_partkey", K.LIST_PRICE), F.col("p_retailprice")).otherwise(charged).alias("unitPrice"),
+                F.col("l_extendedprice").alias("lineTotal")))
 
 
 def bronze_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run manifest shape from events: one run per (user, day)."""
-    ev = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
-    names = _lookup(spark, K.EVENT_FILE_NAMES, [("event_type", "string"), ("file_name", "string")])
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    names = _lookup(spark, K.EVENT_FILE_NAMES, [("event_type", "string"), ("slot", "bigint"), ("file_name", "string")])
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return (ev.join(names, "event_type", "left")
+    return (ev.withColumn("slot", F.pmod(F.col("event_id"), F.lit(3)).cast("bigint"))
+            .join(names, ["event_type", "slot"], "left")
             .select(
-                F.concat(F.lit(K.RUN_PREFIX), F.date_format("ts", "yyyyMMdd"),
-                         F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("run_id"),
+                run_id_of("ts", "user_id").alias("run_id"),
                 F.coalesce("file_name", F.concat("event_type", F.lit(".json"))).alias("file_name"),
                 F.floor(F.col("value") * 1000).cast("long").alias("size_bytes"),
                 ms.alias("modify_time_ms"),
@@ -186,18 +218,22 @@ def bronze_email(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit("ap@ledger.example").alias("email_to"),
                 F.concat_ws(" ", "lang", F.lit("document"), F.col("doc_id").cast("string")).alias("email_subject"),
                 F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 366).cast("int")).alias("email_date"),
-                F.lit(None).cast("string").alias("email_preview"),
+                F.substring("text", 1, 80).alias("email_preview"),
                 F.col("text").alias("email_body"),
-                F.lit(0).alias("attachment_count")))
+                F.pmod(F.col("doc_id"), F.lit(3)).cast("int").alias("attachment_count")))
 
 
 def ledger_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat ledger (P22 output shape) derived from part.
 
     One item per (p_type, p_name): code = smallest part key, expected unit
-    price = lowest retail price, one alias = the brand of the first part.
-    ``item_position`` is the ledger order (by code).
+    price = lowest retail price, one alias = the brand of the first part,
+    and for some items a second one, a vendor's name.  ``item_position`` is
+    the ledger order (by code).
     """
+    code = F.col("item_position").cast("string")
+    vendor = F.when(_spoiled("item_position", K.VENDOR_ALIAS), F.concat(F.lit("Customer#"), F.when(
+        F.length(code) < 9, F.lpad(code, 9, "0")).otherwise(code)))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     return (part.groupBy(F.col("p_type").alias("categoryName"), "p_name")
             .agg(F.min("p_partkey").alias("item_position"),
@@ -207,7 +243,7 @@ def ledger_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("item_position").cast("string").alias("ledgerCode"),
                     F.upper("p_name").alias("itemName"),
                     "expectedUnitPrice",
-                    F.array("alias").alias("aliases"),
+                    F.array_compact(F.array(F.col("alias"), vendor)).alias("aliases"),
                     "item_position"))
 
 
@@ -225,33 +261,55 @@ def ledger_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 # derived here row by row from the bronze tables and lineitem, so the
 # operators that read them run over the whole tables.
 
-# Header fields an agent reply carries (the invoice JSON without lines).
-REPLY_FIELDS = ("fileName", "invoiceId", "vendorName", "invoiceDate", "dueDate", "paymentTerms",
-                "currency", "totalAmount", "extractionStatus", "extractionNotes")
+def invoice_documents(header: DataFrame, lines: DataFrame) -> DataFrame:
+    """invoice.json texts: (run_id, source_path, ingested_at, text), one
+    document per line of an invoice with that line (and one without lines
+    for an invoice that has none).  Nothing is gathered, so an invoice with
+    any number of lines is only so many documents."""
+    line_fields = ("lineNo", "categoryName", "description", *K.LINE_NUMERIC_COLUMNS)
+    line = F.struct(*[F.col(f"l.{c}").alias(c) for c in line_fields])
+    h, li = header.alias("h"), lines.withColumn("_line", F.lit(True)).alias("l")
+    joined = h.join(li, F.col("h.o_orderkey").eqNullSafe(F.col("l.l_orderkey")) & (F.col("h.run_id") == F.col("l.run_id")), "left")
+    invoice = F.struct(*[F.col(f"h.{c}").alias(c) for c in K.HEADER_COLUMNS],
+                       F.when(F.col("l._line"), F.array(line)).alias("lineItems"))
+    return joined.select("h.run_id", "h.source_path", "h.ingested_at", invoice.alias("invoice"))
+
+
+def invoice_files(documents: DataFrame) -> DataFrame:
+    """The documents as invoice.json texts, ``{"invoices": [...]}``."""
+    return documents.select("source_path", "ingested_at",
+                            F.to_json(F.struct(F.array("invoice").alias("invoices"))).alias("text"))
+
+
+def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    header = invoice_header(spark, sf_dir)
+    rates = header.select("o_orderkey", "run_id", "exchangeRate")
+    lines = (_priced_lines(spark, sf_dir).join(rates, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+             .withColumn("convertedUnitPrice", F.round(F.col("unitPrice") * F.col("exchangeRate"), 2))
+             .withColumn("convertedLineTotal", F.round(F.col("lineTotal") * F.col("exchangeRate"), 2)))
+    return invoice_documents(header, lines)
 
 
 def reply_shape() -> F.Column:
-    """Payload shape per header: short terms reply as a JSON array of
+    """Payload shape per invoice: short terms reply as a JSON array of
     invoices, NET 30 as an ``{"invoices": [...]}`` object, the rest as one
     bare invoice object (the three shapes P13 accepts)."""
-    terms = F.col("paymentTerms")
+    terms = F.col("invoice.paymentTerms")
     return (F.when(terms.isin("PREPAID", "NET 14"), F.lit("array"))
             .when(terms == "NET 30", F.lit("object"))
             .otherwise(F.lit("single")))
 
 
-def agent_invoice_replies(header: DataFrame) -> DataFrame:
-    """One agent reply per bronze header row: ``payload`` is the invoice
-    JSON in its shape (null fields left out, as ``to_json`` does), ``reply``
-    the same wrapped in prose, as the agent's text arrives."""
-    inv = F.struct(*[F.col(c) for c in REPLY_FIELDS])
-    shape = F.col("shape")
+def agent_invoice_replies(documents: DataFrame) -> DataFrame:
+    """One agent reply per invoice document, in one of the three shapes and
+    wrapped in prose, as the agent's text arrives (null fields left out)."""
+    shape, inv = F.col("shape"), F.col("invoice")
     payload = (F.when(shape == "array", F.to_json(F.array(inv)))
                .when(shape == "object", F.to_json(F.struct(F.array(inv).alias("invoices"))))
                .otherwise(F.to_json(inv)))
-    return (header.withColumn("shape", reply_shape())
-            .select("run_id", "shape", payload.alias("payload"))
-            .withColumn("reply", F.concat(F.lit("Extracted invoice data:\n"), "payload", F.lit("\nEnd of reply."))))
+    return (documents.withColumn("shape", reply_shape())
+            .select("run_id", "shape",
+                    F.concat(F.lit("Extracted invoice data:\n"), payload, F.lit("\nEnd of reply.")).alias("reply")))
 
 
 def email_struct() -> F.Column:
@@ -260,7 +318,23 @@ def email_struct() -> F.Column:
                     F.col("email_from_name").alias("fromName"), F.col("email_to").alias("to"),
                     F.col("email_subject").alias("subject"),
                     F.date_format("email_date", "yyyy-MM-dd").alias("date"),
-                    F.col("email_body").alias("body"))
+                    F.col("email_preview").alias("preview"), F.col("email_body").alias("body"),
+                    attachments().alias("attachments"))
+
+
+def attachments() -> F.Column:
+    """The attachments of an email: as many as it counts, named by its id,
+    without URLs."""
+    return F.transform(F.slice(F.array(F.lit(1), F.lit(2)), 1, F.col("attachment_count")), lambda i: F.struct(
+        F.concat(F.lit("invoice-"), F.col("email_id"), F.lit("-"), i.cast("string"), F.lit(".pdf")).alias("name"),
+        F.lit(None).cast("string").alias("blobUrl"), F.lit(None).cast("string").alias("invoiceId")))
+
+
+def uploads(email: DataFrame) -> DataFrame:
+    """Uploaded files (run_id, name, blobUrl): every email's first attachment."""
+    return (email.filter(F.col("attachment_count") > 0)
+            .select("run_id", F.get(attachments(), 0)["name"].alias("name"),
+                    F.concat(F.lit("https://files.example/"), "run_id", F.lit("/1")).alias("blobUrl")))
 
 
 def ingestion_payloads(email: DataFrame) -> DataFrame:
@@ -273,6 +347,25 @@ def ingestion_payloads(email: DataFrame) -> DataFrame:
                          .otherwise(F.to_json(email_struct())).alias("payload"))
 
 
+def result_updates(email: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents that make up a run's result.json (run_id, text): the
+    ingestion document of every email; the result document that half of the
+    decided ones already have (it holds a node of its own and no email
+    body); and updates (with their ``step``): a draft for every email, and a
+    second status for those with attachments."""
+    number = F.col("email_id").cast("long")
+    wrapped = F.to_json(F.struct("ingestionStatus", "reason", email_struct().alias("email")))
+    ingestion = email.select("run_id", wrapped.alias("text"))
+    has_result = F.col("ingestionStatus").isNotNull() & (number % 2 == 0)
+    result = email.filter(has_result).select("run_id", F.to_json(F.struct(
+        "ingestionStatus", F.struct(F.col("email_subject").alias("title"), number.alias("number")).alias("draft"))).alias("text"))
+    draft = email.select("run_id", F.lit(1).alias("step"), F.to_json(F.struct(
+        F.struct(F.lit("first").alias("version"), (number % 7).alias("score")).alias("draft"))).alias("text"))
+    status = email.filter(F.col("attachment_count") > 0).select("run_id", F.lit(2).alias("step"), F.to_json(F.struct(
+        F.lit("processed").alias("ingestionStatus"), F.array(number).alias("invoices"))).alias("text"))
+    return ingestion, result, draft.unionByName(status)
+
+
 def ledger_change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10 change rows from lineitem, one per line, on the invoice entries.
 

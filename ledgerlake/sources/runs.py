@@ -1,14 +1,16 @@
 """Run folders of invoice JSON (S1-S4, S9, S10) and the bronze tables read from them.
 
 Layout: ``<root>/run-<digits>/<file>`` -- ingestion.json, invoice.json,
-result.json, the uploaded documents, extracts.  Everything is listed and
-read by Spark itself (``binaryFile`` for the inventory, the JSON source for
-content); nothing walks the folder tree on the driver, so a root with
-millions of files lists in parallel.
+result.json, the uploaded documents, extracts.  Spark lists the root in
+parallel (``binaryFile`` for the inventory, the JSON source for content),
+but its file index holds the status of every file on the driver.  For
+hundreds of millions of files keep one root per date and read root by root,
+or feed the tables from the stream (:mod:`ledgerlake.streaming.incremental`).
 
 Only ``run-`` folders are taken (other folders, e.g. ``email-<utc>``, are
-left out of every table), and each reader takes an explicit schema: no
-inference pass, and a file without a field yields nulls.
+left out of every table).  Readers take an explicit schema (no inference
+pass, a file without a field yields nulls) except for result.json, whose
+nodes vary by run and are kept whole.
 """
 
 from __future__ import annotations
@@ -19,10 +21,9 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from .. import schemas
+from ..functions import jsonops as J
 from ..functions.columns import is_supported_document, run_id_from_path
 
-_RUN_FOLDER = rf"/({K.RUN_PREFIX}\d+)/[^/]+$"
-
 
 def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
@@ -48,9 +49,8 @@ def list_run_files(spark: SparkSession, root: str) -> DataFrame:
 def run_manifest(spark: SparkSession, root: str) -> DataFrame:
     """One row per file in a run folder: run_id, file_name, size, mtime."""
     files = list_run_files(spark, root)
-    run_id = F.regexp_extract("path", _RUN_FOLDER, 1)
     ms = F.unix_millis("modificationTime")
-    return (files.withColumn("run_id", run_id).filter(F.col("run_id") != "")
+    return (files.withColumn("run_id", run_id_from_path("path")).filter(F.col("run_id") != "")
             .select("run_id",
                     F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
                     F.col("length").alias("size_bytes"),
@@ -60,12 +60,17 @@ def run_manifest(spark: SparkSession, root: str) -> DataFrame:
 
 def discover_runs(spark: SparkSession, root: str) -> DataFrame:
     """The run folders that hold at least one file."""
-    return run_manifest(spark, root).select("run_id").distinct()
+    return runs_of(run_manifest(spark, root))
+
+
+def runs_of(manifest: DataFrame) -> DataFrame:
+    """S1 on a manifest: its runs, folders of other names left out."""
+    return manifest.filter(F.col("run_id").startswith(K.RUN_PREFIX)).select("run_id").distinct()
 
 
 def latest_runs(runs: DataFrame, n: int = K.RUN_LIST_LIMIT) -> DataFrame:
     """Run names with the ``run-`` prefix, newest (name descending) first, top n."""
-    return (runs.filter(F.col("run_id").startswith(K.RUN_PREFIX)).select("run_id").distinct()
+    return (runs_of(runs)
             .orderBy(F.col("run_id").desc()).limit(n))
 
 
@@ -74,61 +79,64 @@ def supported_documents(manifest: DataFrame) -> DataFrame:
     return manifest.filter(is_supported_document("file_name"))
 
 
-def read_json_per_run(spark: SparkSession, root: str, file_name: str, schema: T.StructType,
-                      multiline: bool = True) -> DataFrame:
+def tagged(raw: DataFrame, path: F.Column) -> DataFrame:
+    """P5: records with source_path, run_id and ingested_at; records of files
+    outside run folders are dropped."""
+    return (raw.withColumn("source_path", path)
+            .withColumn("run_id", run_id_from_path("source_path"))
+            .filter(F.col("run_id") != "")
+            .withColumn("ingested_at", F.current_timestamp()))
+
+
+def read_json_per_run(spark: SparkSession, root: str, file_name: str, schema: T.StructType | None,
+                      multiline: bool = True, empty: T.StructType | None = None) -> DataFrame:
     """S2 + S3: ``<root>/run-*/<file_name>`` for every run that has it.
 
     Tagged with source_path, run_id (P5) and ingested_at.  Runs without the
     file simply contribute no rows; with no file at all the frame is empty
-    with the expected schema.
+    with the expected schema.  Without a ``schema`` the documents are read
+    whole, with the fields that any of them has (one more pass over them);
+    ``empty`` is then the schema of no documents.
     """
-    out_schema = T.StructType(schema.fields + [T.StructField("source_path", T.StringType()),
-                                               T.StructField("run_id", T.StringType()),
-                                               T.StructField("ingested_at", T.TimestampType())])
+    reader = (spark.read.option("multiLine", str(multiline).lower())
+              .option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", file_name))
     try:
-        raw = (spark.read.schema(schema)
-               .option("multiLine", str(multiline).lower())
-               .option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", file_name)
-               .json(root))
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return _empty(spark, out_schema)
+        raw = (reader.schema(schema) if schema is not None else reader).json(root)
+    except Exception as exc:  # noqa: BLE001 - no folder or no such file means no rows
+        if any(k in str(exc) for k in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            fields = (schema or empty or T.StructType()).fields
+            return _empty(spark, T.StructType(fields + [T.StructField("source_path", T.StringType()),
+                                                        T.StructField("run_id", T.StringType()),
+                                                        T.StructField("ingested_at", T.TimestampType())]))
         raise
-    return (raw.withColumn("source_path", F.col("_metadata.file_path"))
-            .withColumn("run_id", run_id_from_path("source_path"))
-            .filter(F.col("source_path").rlike(_RUN_FOLDER))
-            .withColumn("ingested_at", F.current_timestamp()))
+    return tagged(raw, F.col("_metadata.file_path"))
 
 
 # --- bronze tables from run folders (P1-P4) ---------------------------------------------
+# The table functions take parsed files (run_id, source_path, ingested_at and the
+# file's fields), wherever they were read from: folders, a stream or a table.
 
-def bronze_invoices(spark: SparkSession, root: str, multiline: bool = True,
-                    file_name: str = "invoice.json") -> tuple[DataFrame, DataFrame]:
-    """P1 + P2: (bronze_invoice_header, bronze_invoice_lineitem) from invoice.json.
+def invoice_headers(files: DataFrame) -> DataFrame:
+    """One row per invoice of the parsed invoice files."""
+    inv = J.explode_rows(files.select("run_id", "source_path", "ingested_at", "invoices"), "invoices", "inv")
+    return inv.select("run_id", "source_path", "ingested_at", *[F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS])
 
-    Both come from one exploded read; with no invoice.json anywhere both
-    are empty frames with the bronze schemas.
-    """
-    raw = read_json_per_run(spark, root, file_name, schemas.INVOICE_FILE, multiline)
-    inv = raw.select("run_id", "source_path", "ingested_at", F.explode("invoices").alias("inv"))
-    header = inv.select("run_id", "source_path", "ingested_at",
-                        *[F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS])
-    lines = (inv.select("run_id", "ingested_at", "inv", F.explode("inv.lineItems").alias("line"))
-             .select("run_id", "ingested_at",
-                     F.col("inv.invoiceId").alias("invoiceId"),
-                     F.col("inv.vendorName").alias("vendorName"),
-                     F.col("line.lineNo").alias("lineNo"),
-                     F.col("line.categoryName").alias("categoryName"),
-                     F.col("line.description").alias("description"),
-                     *[F.col(f"line.{c}").try_cast("double").alias(c) for c in K.LINE_NUMERIC_COLUMNS]))
-    return header, lines
 
+def invoice_lines(files: DataFrame) -> DataFrame:
+    """One row per invoice line, numeric text cast to double (junk is null)."""
+    inv = J.explode_rows(files.select("run_id", "ingested_at", "invoices"), "invoices", "inv")
+    lines = J.explode_rows(inv.select("run_id", "ingested_at", F.col("inv.invoiceId").alias("invoiceId"),
+                                      F.col("inv.vendorName").alias("vendorName"),
+                                      F.col("inv.lineItems").alias("lineItems")), "lineItems", "line")
+    return lines.select("run_id", "ingested_at", "invoiceId", "vendorName",
+                        *[F.col(f"line.{c}").alias(c) for c in ("lineNo", "categoryName", "description")],
+                        *[F.col(f"line.{c}").try_cast("double").alias(c) for c in K.LINE_NUMERIC_COLUMNS])
 
-def bronze_ingestion_email(spark: SparkSession, root: str) -> DataFrame:
-    """Ingestion.json flattened; bad dates read as null."""
-    ing = read_json_per_run(spark, root, "ingestion.json", schemas.INGESTION_FILE)
-    return ing.select(
+
+def ingestion_emails(files: DataFrame) -> DataFrame:
+    """Parsed ingestion files flattened; bad dates read as null."""
+    return files.select(
         "run_id", "ingested_at", "ingestionStatus", "reason",
         F.col("email.id").cast("string").alias("email_id"),
         F.col("email.from").alias("email_from"),
@@ -141,11 +149,25 @@ def bronze_ingestion_email(spark: SparkSession, root: str) -> DataFrame:
         F.size("email.attachments").alias("attachment_count"))
 
 
+def bronze_invoices(spark: SparkSession, root: str, multiline: bool = True,
+                    file_name: str = "invoice.json") -> tuple[DataFrame, DataFrame]:
+    """P1 + P2: (bronze_invoice_header, bronze_invoice_lineitem) from
+    invoice.json; with none anywhere both are empty with the bronze schemas."""
+    files = read_json_per_run(spark, root, file_name, schemas.INVOICE_FILE, multiline)
+    return invoice_headers(files), invoice_lines(files)
+
+
+def bronze_ingestion_email(spark: SparkSession, root: str) -> DataFrame:
+    """P3 from ingestion.json."""
+    return ingestion_emails(read_json_per_run(spark, root, "ingestion.json", schemas.INGESTION_FILE))
+
+
 def bronze_run_result(spark: SparkSession, root: str) -> DataFrame:
-    """Result.json folded into one JSON string per run (null fields dropped)."""
-    res = read_json_per_run(spark, root, "result.json", schemas.RESULT_FILE)
+    """Result.json folded into one JSON string per run: the whole document
+    with whatever nodes it has, null fields dropped."""
+    res = read_json_per_run(spark, root, "result.json", None, empty=schemas.RESULT_FILE)
     payload = [c for c in res.columns if c not in ("run_id", "source_path", "ingested_at")]
-    return res.select("run_id", "ingested_at", F.to_json(F.struct(*payload)).alias("result_json"))
+    return res.select("run_id", "ingested_at", F.to_json(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("result_json"))
 
 
 def bronze_from_runs(spark: SparkSession, root: str) -> dict[str, DataFrame]:

@@ -29,15 +29,3 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     """S5."""
     return spark.table(name)
 
-
-def write_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a frame as parquet under a shared path and read it back.
-
-    Used to cut lineage between pipeline stages: the written files survive
-    executor loss, unlike cached blocks.
-    """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)

@@ -5,8 +5,9 @@ stream source remembers which ``run-*/<file>`` files it has already
 processed (in the checkpoint), so each trigger reads only new runs and
 appends their rows to the bronze tables.  ``availableNow`` processes what
 is there and stops, which suits a scheduled job; the checkpoint lives
-under the cluster's ``spark.checkpoint.dir`` so a restarted job resumes
-exactly where the previous one committed.
+under the cluster's ``spark.checkpoint.dir``.  A batch that is retried gets
+the same id and overwrites its own ``batch_id=`` partitions, so a failure
+between the two table writes duplicates nothing.
 """
 
 from __future__ import annotations
@@ -18,41 +19,36 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from .. import schemas
-from ..functions.columns import run_id_from_path
 from ..session import ensure_checkpoint_dir
+from ..sources import runs
 
 
-def _invoice_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    inv = raw.select("run_id", "source_path", "ingested_at", F.explode("invoices").alias("inv"))
-    header = inv.select("run_id", "source_path", "ingested_at",
-                        *[F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS])
-    lines = (inv.select("run_id", "ingested_at", "inv", F.explode("inv.lineItems").alias("line"))
-             .select("run_id", "ingested_at",
-                     F.col("inv.invoiceId").alias("invoiceId"), F.col("inv.vendorName").alias("vendorName"),
-                     F.col("line.lineNo").alias("lineNo"), F.col("line.categoryName").alias("categoryName"),
-                     F.col("line.description").alias("description"),
-                     *[F.col(f"line.{c}").try_cast("double").alias(c) for c in K.LINE_NUMERIC_COLUMNS]))
-    return header, lines
+def write_tables(batch: DataFrame, out_dir: str, batch_id: int) -> None:
+    """One batch of parsed invoice files into its partition of both tables.
+    The batch is held between the writes, so its files are parsed once."""
+    batch.persist()
+    try:
+        for name, rows in (("bronze_invoice_header", runs.invoice_headers(batch)),
+                           ("bronze_invoice_lineitem", runs.invoice_lines(batch))):
+            rows.write.mode("overwrite").parquet(posixpath.join(out_dir, name, f"batch_id={batch_id}"))
+    finally:
+        batch.unpersist()
 
 
 def ingest_invoices(spark: SparkSession, root: str, out_dir: str, checkpoint: str | None = None,
                     file_name: str = "invoice.json"):
-    """Append new runs' invoice headers and lines as parquet under ``out_dir``.
+    """Add new runs' invoice headers and lines as parquet under ``out_dir``.
 
     Returns the finished StreamingQuery (availableNow trigger).
     """
     base = checkpoint or posixpath.join(ensure_checkpoint_dir(spark), "bronze_invoices_stream")
     stream = (spark.readStream.schema(schemas.INVOICE_FILE)
               .option("multiLine", "true")
-              .json(posixpath.join(root, f"{K.RUN_PREFIX}*", file_name))
-              .withColumn("source_path", F.col("_metadata.file_path"))
-              .withColumn("run_id", run_id_from_path("source_path"))
-              .withColumn("ingested_at", F.current_timestamp()))
-
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        header, lines = _invoice_tables(batch)
-        header.write.mode("append").parquet(posixpath.join(out_dir, "bronze_invoice_header"))
-        lines.write.mode("append").parquet(posixpath.join(out_dir, "bronze_invoice_lineitem"))
+              .json(posixpath.join(root, f"{K.RUN_PREFIX}*", file_name)))
+    stream = runs.tagged(stream, F.col("_metadata.file_path"))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_tables(batch, out_dir, batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", base)

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from ledgerlake.session import build_session  # noqa: E402
+from ledgerlake.session import build_session, remove_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
@@ -19,6 +19,7 @@ def spark():
                       extra_conf={"spark.sql.warehouse.dir": warehouse,
                                   "spark.driver.memory": "4g"})
     yield s
+    remove_scratch(s)
     s.stop()
 
 

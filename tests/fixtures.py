@@ -24,3 +24,25 @@ def line(run_id, invoice_id, line_no, total, converted, vendor="Vendor A", categ
 def frames(spark, headers, lines):
     return (spark.createDataFrame(headers, schemas.BRONZE_HEADER),
             spark.createDataFrame(lines, schemas.BRONZE_LINE))
+
+
+# Ten dated rates in the shape of the app's rate file (fixed values).
+REFERENCE_FX_RATES = (
+    ("USD", "AUD", "2025-01-01", "2025-03-31", "1.58"),
+    ("USD", "AUD", "2025-04-01", "2025-06-30", "1.56"),
+    ("USD", "AUD", "2025-07-01", "2025-09-30", "1.54"),
+    ("USD", "AUD", "2025-10-01", "2025-12-31", "1.55"),
+    ("USD", "AUD", "2026-01-01", None, "1.57"),
+    ("EUR", "AUD", "2025-01-01", "2025-03-31", "1.67"),
+    ("EUR", "AUD", "2025-04-01", "2025-06-30", "1.65"),
+    ("EUR", "AUD", "2025-07-01", "2025-09-30", "1.63"),
+    ("EUR", "AUD", "2025-10-01", "2025-12-31", "1.64"),
+    ("EUR", "AUD", "2026-01-01", None, "1.66"),
+)
+
+
+def reference_rates(spark):
+    """The rates with their list position."""
+    rows = [(*r, i) for i, r in enumerate(REFERENCE_FX_RATES)]
+    raw = spark.createDataFrame(rows, "from string, to string, fromDate string, toDate string, rate string, position int")
+    return raw.withColumn("rate", raw.rate.cast("decimal(18,6)"))

@@ -12,6 +12,25 @@ def test_run_id_from_path(spark):
     assert got == ["run-20260510123000", "", None]
 
 
+def test_run_id_is_the_last_folder(spark):
+    df = spark.createDataFrame([("/data/run-99/invoices/run-7/invoice.json",), ("/data/run-99/notes/invoice.json",)], "p string")
+    assert [r[0] for r in df.select(C.run_id_from_path("p")).collect()] == ["run-7", ""]
+
+
+def test_long_numbers_are_not_cut_in_run_ids(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), n) for n in (7, 100_000, 1_000_000, 1_000_009)], "d date, n long")
+    got = [r[0] for r in df.select(C.run_id_of("d", "n")).collect()]
+    assert got == ["run-20240102000007", "run-20240102100000", "run-202401021000000", "run-202401021000009"]
+
+
+def test_descriptive_fields(spark):
+    df = spark.createDataFrame([("V", "2024-01-01", None, 5.0, "USD")],
+                               "vendorName string, invoiceDate string, dueDate string, totalAmount double, currency string")
+    r = C.with_descriptive_fields(df).first()
+    assert (r["businessName"], r["fromDate"], r["toDate"], r["invoiceAmount"], r["invoiceCurrency"],
+            r["convertedInvoiceCurrency"]) == ("V", "2024-01-01", "", 5.0, "USD", "AUD")
+
+
 def test_stage_classification_order(spark):
     names = ["a.pdf", "x.extract.md", "extract.json", "doc.extracted.json", "processing-agentinput.json",
              "processing-agentoutput.json", "processing.json", "invoice.json", "result.json",
@@ -41,10 +60,11 @@ def test_dates_are_lenient(spark):
 
 
 def test_format_money(spark):
-    df = spark.createDataFrame([(1234.5, "AUD"), (None, "AUD"), (float("nan"), None), (7.0, None)],
+    df = spark.createDataFrame([(1234.5, "AUD"), (None, "AUD"), (float("nan"), None), (7.0, None), (1e37, None)],
                                "a double, c string")
     got = [r[0] for r in df.select(C.format_money("a", F.col("c"))).collect()]
-    assert got == ["AUD 1234.50", "—", "—", "USD 7.00"]
+    assert got[:4] == ["AUD 1234.50", "—", "—", "USD 7.00"]
+    assert float(got[4].split()[1]) == 1e37             # too large for the decimal, printed all the same
 
 
 def test_rounding_modes(spark):

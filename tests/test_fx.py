@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import fx
 
+from .fixtures import reference_rates
+
 
 def _inv(spark, rows):
     return spark.createDataFrame(rows, "id int, currency string, d string, amount double")
 
 
 def test_rate_lookup_edges(spark):
-    rates = fx.reference_rates(spark)
+    rates = reference_rates(spark)
     df = _inv(spark, [(1, "USD", "2026-05-16", 1.0), (2, "usd", "2025-03-31", 1.0), (3, "USD", "2025-04-01", 1.0),
                       (4, "EUR", "2025-12-31", 1.0), (5, "USD", None, 1.0), (6, "JPY", "2025-05-01", 1.0),
                       (7, "USD", "2024-12-31", 1.0), (8, None, "2025-05-01", 1.0), (9, "USD", "not a date", 1.0)])
@@ -40,20 +42,39 @@ def test_convert_same_currency_and_half_even(spark):
                       (4, "EUR", "2025-02-01", 3.0)])
     out = fx.fx_convert(df, rates, "amount", "currency", "d", rate_col="rate", out_col="aud")
     got = {r["id"]: (r["rate"], r["aud"]) for r in out.collect()}
-    assert got[1][0] == Decimal("1") and got[1][1] == Decimal("10.01")   # AUD: rate 1, amount (2dp decimal)
+    assert got[1][0] == Decimal("1") and got[1][1] == Decimal("10.005")  # AUD: rate 1, the amount as it is
     assert got[2][1] == Decimal("0.62")                                 # 0.625 -> half-even
     assert got[3][1] == Decimal("0.88")                                 # 0.875 -> half-even
     assert got[4] == (None, None)
 
 
+def test_amounts_keep_their_decimals_until_after_the_rate(spark):
+    df = spark.createDataFrame([(1, "AUD", "2026-05-01", 1.0050), (2, "USD", "2026-05-01", 0.015), (3, "USD", "2026-05-01", 0.005),
+                                (4, "USD", "2026-05-01", 1e30)], "id int, currency string, d string, amount double")
+    out = fx.fx_convert(df, reference_rates(spark), "amount", "currency", "d", out_col="aud")
+    got = {r["id"]: r["aud"] for r in out.collect()}
+    assert got[1] == Decimal("1.0050") and got[2] == Decimal("0.02") and got[3] == Decimal("0.01")
+    assert got[4] is None                       # too large for the decimal: null, not a failed job
+
+
+def test_daily_rates_and_dates_beyond_the_horizon(spark):
+    rows = [("USD", "AUD", f"2025-{m:02d}-{d:02d}", f"2025-{m:02d}-{d:02d}", Decimal(m * 100 + d)) for m in range(1, 13) for d in range(1, 28)]
+    rows += [("USD", "AUD", "2026-01-01", None, Decimal(7)), ("EUR", "AUD", "2025-05-01", "2025-04-01", Decimal(9))]
+    rates = spark.createDataFrame(rows, "from string, to string, fromDate string, toDate string, rate decimal(18,6)")
+    df = _inv(spark, [(1, "USD", "2025-03-09", 1.0), (2, "USD", "2025-03-29", 1.0), (3, "USD", "2525-01-01", 1.0),
+                      (4, "USD", "2026-01-01", 1.0), (5, "EUR", "2025-04-15", 1.0)])
+    got = {r["id"]: r["rate"] for r in fx.fx_rate_lookup(df, rates, "currency", "d", "rate").collect()}
+    assert got == {1: Decimal(309), 2: None, 3: Decimal(7), 4: Decimal(7), 5: None}
+
+
 def test_golden_eur_invoice(spark):
     df = _inv(spark, [(1, "EUR", "2026-02-01", 32880.0)])
-    out = fx.fx_convert(df, fx.reference_rates(spark), "amount", "currency", "d", out_col="aud").collect()[0]
+    out = fx.fx_convert(df, reference_rates(spark), "amount", "currency", "d", out_col="aud").collect()[0]
     assert out["aud"] == Decimal("54580.80")
 
 
 def test_first_rate_conversion(spark):
-    rates = fx.reference_rates(spark).withColumn("position", F.monotonically_increasing_id())
+    rates = reference_rates(spark)
     df = _inv(spark, [(1, "usd", "2026-05-01", 100.0), (2, "AUD", None, 12.345), (3, None, None, 1.0),
                       (4, "JPY", None, 1.0), (5, "USD", None, 0.125)])
     got = {r["id"]: r["aud_amount"] for r in fx.convert_first_rate(df, rates, "amount", "currency").collect()}

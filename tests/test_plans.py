@@ -1,9 +1,11 @@
 """Physical-plan properties that matter at scale."""
 
-from ledgerlake.operators import fx
+from ledgerlake.operators import changes as C
+from ledgerlake.operators import fx, gold, silver
 from ledgerlake.operators import ledger as L
-from ledgerlake.operators import silver
+from ledgerlake.operators import rules as R
 from ledgerlake.plans.model import Model
+from ledgerlake.sources import driver
 
 from .conftest import SF_SMALL
 from .fixtures import frames, header, line
@@ -33,12 +35,43 @@ def test_dq_scans_checked_input_once(spark):
     hs = [header("r1", "A", total=1.0), header("r2", "A", total=2.0)]
     ls = [line("r2", "A", "1", 2.0, 3.0)]
     hdr, lines = frames(spark, hs, ls)
-    latest = silver.latest_headers(hdr)
-    checked = silver.checked_headers(latest, silver.latest_lines(lines, latest))
+    checked = silver.checked_from_lines(silver.latest_headers(hdr), lines)
     one = _plan(silver.dq_issues(checked, with_timestamp=False))
-    nine = _plan(silver.dq_issues_union(checked))
-    assert one.count("Scan ExistingRDD") < nine.count("Scan ExistingRDD")
-    assert "Union" not in one
+    assert one.count("Scan ExistingRDD") == _plan(checked).count("Scan ExistingRDD") and "Union" not in one
+
+
+def test_building_rule_queries_starts_no_job_once_layers_are_written(spark):
+    from ledgerlake.plans import registry
+    names = ("classify_lines_aud", "processing_notes", "ledger_posting_view", "exception_queue", "unit_price_benchmark",
+             "fx_convert", "duplicate_runs", "result_document")
+    qs = registry.queries()
+    for name in names:
+        qs[name](spark, SF_SMALL)           # writes the layers it reads
+    spark.sparkContext.setJobGroup("building", "plans only")
+    for name in names:
+        qs[name](spark, SF_SMALL)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("default", "")
+    assert list(jobs) == []
+
+
+def test_saved_records_are_read_not_matched_again(spark):
+    m = Model(spark, SF_SMALL)
+    for df in (R.processing_notes(m.records_category), R.exception_queue(m.records_aud, m.silver_invoice)):
+        p = _plan(df)
+        assert "part.parquet" not in p and "silver_invoice_lineitem" not in p
+
+
+def test_change_rows_meet_no_join_before_they_are_aggregated(spark):
+    entries = C.entries_from_invoices(Model(spark, SF_SMALL).silver_invoice)
+    p = _plan(C.apply_changes(entries, driver.ledger_change_batch(spark, SF_SMALL)))
+    assert p.count("Join") == 1
+
+
+def test_benchmark_lines_are_not_shuffled_by_category(spark):
+    m = Model(spark, SF_SMALL)
+    p = _plan(gold.unit_price_benchmark(m.silver_lines, m.category_medians))
+    assert "BroadcastHashJoin" in p and "hashpartitioning(categoryName" not in p
 
 
 def test_dedup_limits_before_shuffle(spark):

@@ -79,6 +79,26 @@ def test_email_and_result(spark, tmp_path):
     assert res["run_id"] == "run-002" and json.loads(res["result_json"]) == {"ingestionStatus": "accepted"}
 
 
+def test_result_documents_are_kept_whole(spark, tmp_path):
+    root = str(tmp_path / "in")
+    docs = {"run-1": {"email": {"id": 1, "cc": "c@x", "to": None}, "draft": {"a": [1, 2]}, "invoices": [{"poNumber": "P1", "n": 1.5}]},
+            "run-2": {"ingestionStatus": "accepted", "extra": None}}
+    for run, doc in docs.items():
+        _write(f"{root}/{run}/result.json", doc)
+    got = {r["run_id"]: json.loads(r["result_json"]) for r in runs.bronze_run_result(spark, root).collect()}
+    assert got == {"run-1": {"email": {"id": 1, "cc": "c@x"}, "draft": {"a": [1, 2]}, "invoices": [{"poNumber": "P1", "n": 1.5}]},
+                   "run-2": {"ingestionStatus": "accepted"}}
+    assert runs.bronze_run_result(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_run_id_agrees_with_the_manifest_under_a_run_folder(spark, tmp_path):
+    root = str(tmp_path / "run-99" / "invoices")
+    _write(f"{root}/run-7/invoice.json", INVOICE)
+    header, lines = runs.bronze_invoices(spark, root)
+    ids = {r[0] for df in (header, lines, runs.run_manifest(spark, root)) for r in df.select("run_id").collect()}
+    assert ids == {"run-7"}
+
+
 def test_medallion_from_folders(spark, tmp_path):
     root = make_root(tmp_path)
     out = medallion.run_from_folders(spark, root)

@@ -4,8 +4,10 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ledgerlake import schemas
 from ledgerlake.functions import jsonops as J
 from ledgerlake.operators import changes
+from ledgerlake.sources import runs
 from ledgerlake.streaming import incremental
 
 from .test_sources import INVOICE, _write
@@ -23,6 +25,24 @@ def test_incremental_ingest_reads_only_new_runs(spark, tmp_path):
     assert spark.read.parquet(os.path.join(out, "bronze_invoice_lineitem")).count() == 4
 
 
+def test_a_retried_batch_writes_its_rows_once(spark, tmp_path):
+    files = spark.createDataFrame([("/x/run-1/invoice.json", json.dumps(INVOICE))], "p string, t string")
+    parsed = runs.tagged(files.select("p", J.parse_json("t", schemas.INVOICE_FILE).alias("f")).select("p", "f.invoices"), F.col("p")).drop("p")
+    out = str(tmp_path / "out")
+    for batch_id in (0, 1, 1):
+        incremental.write_tables(parsed, out, batch_id)
+    assert spark.read.parquet(f"{out}/bronze_invoice_header").count() == 2
+    assert spark.read.parquet(f"{out}/bronze_invoice_lineitem").count() == 4
+
+
+def test_folders_of_other_names_stay_out_of_the_stream(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    _write(f"{root}/run-7/invoice.json", INVOICE)
+    _write(f"{root}/run-old/invoice.json", INVOICE)
+    incremental.ingest_invoices(spark, root, out, str(tmp_path / "ck"))
+    assert [r[0] for r in spark.read.parquet(f"{out}/bronze_invoice_header").select("run_id").collect()] == ["run-7"]
+
+
 ENTRY = "Id string, InvoiceNumber string, Vendor string, Account string, Amount decimal(18,2), " \
         "Currency string, EntryDate timestamp, Status string, Description string"
 
@@ -59,7 +79,7 @@ def test_invoice_array_shapes(spark):
     one = {"invoiceId": "INV-1", "totalAmount": 5}
     df = spark.createDataFrame([(json.dumps([one, one]),), (json.dumps({"invoices": [one]}),), (json.dumps(one),),
                                 (json.dumps({"x": 1}),), ("garbage",)], "t string")
-    got = [len(r[0]) for r in df.select(J.invoice_array("t")).collect()]
+    got = [len(r["invoices"]) for r in J.with_invoice_array(df, "t").collect()]
     assert got == [2, 1, 1, 0, 0]
 
 
@@ -86,10 +106,24 @@ def test_overlay_later_nodes_win(spark):
         ("run-1", 2, json.dumps({"ingestionStatus": "accepted", "invoices": [1, 2]})),
         ("run-1", 3, json.dumps({"LedgerMatched": []}))], "run_id string, stage int, doc string")
     got = {r["node"]: r["value"] for r in J.overlay_nodes(docs, "run_id", ["stage"], "doc").collect()}
-    assert got["ingestionStatus"] == "accepted" and json.loads(got["email"]) == {"x": 1}
+    assert got["ingestionStatus"] == '"accepted"' and json.loads(got["email"]) == {"x": 1}
     assert json.loads(got["invoices"]) == [1, 2] and json.loads(got["LedgerMatched"]) == []
 
 
+def test_overlaid_document_is_rebuilt_on_its_base(spark):
+    base = spark.createDataFrame([
+        ("r1", "ingestion.json", json.dumps({"email": {"cc": "x", "n": None}, "reason": "a"})),
+        ("r1", "result.json", json.dumps({"reason": "b", "draft": [1, {"po\"q": 2.5}]})),
+        ("r2", "ingestion.json", json.dumps({"email": {"cc": "y"}, "reason": None})),
+        ("r3", "ingestion.json", "not json"), ("r4", "other.json", "{}")], "run_id string, file string, doc string")
+    updates = spark.createDataFrame([("r1", 1, json.dumps({"reason": "c"})), ("r1", 2, json.dumps({"reason": "d", "new": True})),
+                                     ("r3", 1, json.dumps({"reason": "fresh"}))], "run_id string, step int, doc string")
+    nodes = J.result_overlay(base, updates, "run_id", "file", ["step"], "doc")
+    got = {r["run_id"]: json.loads(r["document"]) for r in J.overlay_documents(nodes, "run_id").collect()}
+    assert got == {"r1": {"reason": "d", "draft": [1, {"po\"q": 2.5}], "new": True},
+                   "r2": {"email": {"cc": "y"}, "reason": None}, "r3": {"reason": "fresh"}}
+
+
 def test_ledger_changes_struct_sequence(spark):
     """Calls ordered by a struct (date, then line): the later line of the
     same day wins, and an update before the last reset is dropped."""
