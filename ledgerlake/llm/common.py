@@ -12,7 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
 
 # Tasks carry the operators' functions themselves: executors need the public
 # libraries, not this repository.
@@ -26,12 +26,11 @@ BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to a fresh folder under ``spark.checkpoint.dir`` and read
-    back: the lineage is cut by a table every executor can read, so the loss
-    of an executor never loses it."""
+    """``df`` written to a fresh folder of this application under
+    ``spark.checkpoint.dir`` and read back: the lineage is cut by a table that
+    every executor can read, so the loss of an executor never loses it."""
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
-    path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
