@@ -1,7 +1,8 @@
 """Explicit schemas for every JSON input and table of the data model.
 
-JSON is never schema-inferred: inference scans the input twice and lets a
-single malformed file change the table.  Missing fields read as null.
+JSON is not schema-inferred -- inference scans the input twice and lets a
+single malformed file change the table -- except for result.json, which is
+kept whole (see ``sources/runs.py``).  Missing fields read as null.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ LEDGER_ENTRY = _struct(
     ("Status", S), ("Description", S),
 )
 
-# Bronze tables (empty-input fallbacks use these).
+# Bronze tables.
 BRONZE_HEADER = T.StructType(
     [T.StructField("run_id", S), T.StructField("source_path", S), T.StructField("ingested_at", T.TimestampType())]
     + [f for f in INVOICE.fields if f.name != "lineItems"]
