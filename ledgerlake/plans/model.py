@@ -26,6 +26,8 @@ when its own query runs.
 from __future__ import annotations
 
 import hashlib
+import threading
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -40,6 +42,8 @@ from ..sources import driver
 
 # (application, input folder and its time stamps, table) -> written folder, schema
 _WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+# one thread of the application writes a layer, the others wait for it
+_WRITING = threading.RLock()
 INPUTS = ("orders", "lineitem", "part", "customer", "nation", "events", "documents", "labels")
 
 
@@ -71,10 +75,11 @@ class Model:
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A layer table, written on first use."""
         key = (self.spark.sparkContext.applicationId, self._stamp, name)
-        if key not in _WRITTEN:
-            path, df = f"{scratch_folder(self.spark)}/{self._stamp}/{name}", build()
-            df.write.mode("overwrite").parquet(path)
-            _WRITTEN[key] = (path, df.schema)
+        with _WRITING:
+            if key not in _WRITTEN:
+                path, df = f"{scratch_folder(self.spark)}/{self._stamp}/{name}-{uuid.uuid4().hex[:8]}", build()
+                df.write.parquet(path)
+                _WRITTEN[key] = (path, df.schema)
         path, schema = _WRITTEN[key]
         return self.spark.read.schema(schema).parquet(path)
 

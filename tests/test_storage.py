@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from ledgerlake import session
@@ -40,6 +42,14 @@ def test_two_models_on_one_input_share_the_tables(spark):
     assert b.silver_invoice.count() == first and set(b.silver_invoice.inputFiles()) == files
 
 
+def test_concurrent_models_write_a_layer_once(spark):
+    model.forget_written()
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda _: (Model(spark, SF_SMALL).silver_invoice.count(),
+                                         tuple(sorted(Model(spark, SF_SMALL).silver_invoice.inputFiles()))), range(4)))
+    assert len(set(found)) == 1 and found[0][0] > 0
+
+
 def test_scratch_is_removed(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(session, "scratch_folder", lambda s: f"file://{tmp_path}/own")
     spark.range(3).write.parquet(f"file://{tmp_path}/own/t")
