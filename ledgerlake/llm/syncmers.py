@@ -3,20 +3,24 @@
 A k-mer (``k`` code points) is a closed syncmer if the least of its s-mers (by
 hash) lies at its start or end - at either, if several are least.  Whether a
 k-mer is chosen depends on the k-mer alone, so an edit moves only the anchors
-it touches.  A fingerprint holds the ``size`` syncmers with the least hashes,
-each hash once with the code point where it first stands; it is base64 of
-7-byte entries (4 bytes hash, 3 bytes position, which stays at its highest
-value beyond 2^24 - 1), so its length is bounded however long the text is.
+it touches.  Anchors are a multiset: the j-th occurrence of a syncmer has a hash
+of its own, so repetitive texts keep their weight.  A fingerprint holds the
+``size`` anchors with the least hashes and the code points where they stand;
+it is base64 of 7-byte entries (4 bytes hash, 3 bytes position, which stays at
+its highest value beyond 2^24 - 1), so its length is bounded however long the
+text is.
 
 Likeness of two fingerprints, 0 to 1: of the ``size`` least hashes of both
 together (as in a bottom-k sketch), the share that both hold, at matching
 positions: the differences in position that occur among the shared anchors
 are grouped to within ``slack`` code points, and anchors of groups that hold
-fewer than ``agree`` of them are taken for chance.
+fewer than ``agree`` of them are taken for chance (one is enough for
+fingerprints of under eight anchors).
 
-Defined cases: a null text is the empty text; a text without syncmers (shorter
-than k) is one anchor, the hash of the whole text; the empty text's
-fingerprint is empty and its likeness is 1 to another empty one, else 0.  The
+Defined cases: a null text is the empty text; a text of fewer than 4 k code
+points is too short to be sampled, so all its runs of four are anchors (the
+whole text, if it is shorter still); the empty text's fingerprint is empty and
+its likeness is 1 to another empty one, else 0.  The
 neighbour of a document is the next in ascending doc_id, after the last the
 first; with one document it is its own neighbour.  Rows with a null doc_id come
 first, ties in doc_id are ordered by text.
@@ -35,56 +39,58 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import document_batches
 from .rlz import mix, sequence_hashes, sliding_min
 
-K, S, SIZE = 16, 8, 48
+K, S, SIZE = 12, 6, 48
 SLACK, AGREE = 64, 2
+SHORT = 4
 _FAR = (1 << 24) - 1
 _CHUNK = 1 << 20
 
 
-def _anchors(points: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of the closed syncmers of a code point array."""
+def syncmers(points: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, position) of the closed syncmers of a code point array; needs
+    k <= 2 * s, so that the two edge s-mers cover a k-mer."""
     inner = sequence_hashes(mix(points + np.uint64(0x9E37)), s)
     least = sliding_min(inner, k - s + 1)
     last = inner[k - s:]
     chosen = np.flatnonzero((inner[:len(least)] == least) | (last == least))
-    whole = mix(inner[chosen] * np.uint64(0x9E3779B97F4A7C15) + last[chosen])
-    middle = chosen + (k - s) // 2
-    return mix(whole ^ inner[middle]) >> np.uint64(32), chosen
+    return mix(inner[chosen] * np.uint64(0x9E3779B97F4A7C15) + last[chosen]), chosen
+
+
+def _anchors(text: str, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    if len(text) < 4 * k:
+        n = min(SHORT, len(text))
+        hashes = sequence_hashes(mix(points.astype(np.uint64) + np.uint64(0x9E37)), n)
+        return hashes, np.arange(len(hashes))
+    found = [(h, p + at) for at in range(0, len(points) - k + 1, _CHUNK)  # long texts in overlapping pieces
+             for h, p in [syncmers(points[at:at + _CHUNK + k - 1].astype(np.uint64), k, s)]]
+    return np.concatenate([h for h, _ in found]), np.concatenate([p for _, p in found])
 
 
 def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> bytes:
-    """Entries of one text, sorted by hash (see the module docstring); needs
-    k <= 2 * s, so that the two edge s-mers and the middle one cover a k-mer."""
+    """Entries of one text, sorted by hash (see the module docstring)."""
     if not text:
         return b""
-    if len(text) < k:
-        hashes = np.array([xxhash.xxh32_intdigest(text.encode(), 5)], np.uint64)
-        at = np.zeros(1, np.int64)
-    else:
-        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        best, where = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for start in range(0, len(points) - k + 1, _CHUNK):  # long texts in overlapping pieces
-            h, p = _anchors(points[start:start + _CHUNK + k - 1].astype(np.uint64), k, s)
-            if len(h) > 4 * size:  # most anchors cannot be among the least
-                few = h <= np.partition(h, 4 * size)[4 * size]
-                if len(np.unique(h[few])) >= size:
-                    h, p = h[few], p[few]
-            best, where = np.concatenate((best, h)), np.concatenate((where, p + start))
-            best, first = np.unique(best, return_index=True)
-            best, where = best[:size], where[first[:size]]
-        hashes, at = best, where
-        if not len(hashes):
-            hashes, at = np.array([xxhash.xxh32_intdigest(text.encode(), 5)], np.uint64), np.zeros(1, np.int64)
-    entry = np.zeros((len(hashes), 7), np.uint8)
-    entry[:, :4] = hashes.astype(">u4").view(np.uint8).reshape(-1, 4)
-    entry[:, 4:] = np.minimum(at, _FAR).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
+    hashes, at = _anchors(text, k, s)
+    order = np.argsort(hashes, kind="stable")
+    ranked = hashes[order]
+    first = np.flatnonzero(np.diff(ranked, prepend=~ranked[:1]) != 0)
+    nth = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
+    marked = mix(ranked + mix(nth.astype(np.uint64))) >> np.uint64(32)
+    if len(marked) > 4 * size:
+        few = np.flatnonzero(marked <= np.partition(marked, 4 * size)[4 * size])
+        marked, order = marked[few], order[few]
+    least, index = np.unique(marked, return_index=True)
+    least, where = least[:size], at[order[index[:size]]]
+    entry = np.zeros((len(least), 7), np.uint8)
+    entry[:, :4] = least.astype(">u4").view(np.uint8).reshape(-1, 4)
+    entry[:, 4:] = np.minimum(where, _FAR).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
     return entry.tobytes()
 
 
@@ -113,7 +119,7 @@ def likeness(a: bytes, b: bytes, size: int = SIZE, slack: int = SLACK, agree: in
         return 0.0
     group = np.cumsum(np.diff(moved, prepend=moved[0]) > slack)
     held = np.bincount(group)
-    least = min(agree, len(ha), len(hb))
+    least = min(agree, max(1, min(len(ha), len(hb)) // 4))
     return float(held[held >= least].sum() / len(union))
 
 

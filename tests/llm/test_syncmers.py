@@ -45,7 +45,7 @@ def closed(text, k, s):
 @given(st.text(alphabet="abé🙂", min_size=6, max_size=80))
 def test_syncmers_by_definition(text):
     points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
-    _, at = syncmers._anchors(points, 6, 3)
+    _, at = syncmers.syncmers(points, 6, 3)
     assert at.tolist() == closed(text, 6, 3)
 
 
@@ -55,7 +55,9 @@ def test_long_texts_in_pieces_and_short_texts(monkeypatch):
     whole = syncmers.fingerprint(text)
     monkeypatch.setattr(syncmers, "_CHUNK", 700)
     assert syncmers.fingerprint(text) == whole
-    assert syncmers.fingerprint("") == b"" and len(syncmers.fingerprint("short")) == 7
+    assert syncmers.fingerprint("") == b"" and len(syncmers.fingerprint("abc")) == 7 and len(syncmers.fingerprint("short")) == 14
+    repeated, after = "word word. " * 400, "word word. " * 300 + text[:1100]
+    assert 0.4 < syncmers.likeness(syncmers.fingerprint(repeated), syncmers.fingerprint(after)) < 0.8
     assert syncmers.likeness(b"", b"") == 1.0 and syncmers.likeness(b"", whole) == 0.0 and syncmers.likeness(whole, whole) == 1.0
     moved = syncmers.fingerprint("inserted in front " * 40 + text)
     assert syncmers.likeness(whole, moved) > 0.6
