@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_batches, run_starts, small, texts_of, with_columns_kept, written
+from .common import document_batches, small, texts_of, with_columns_kept, written
 
 BUCKETS = 1 << 15
 PRIOR = 8.0

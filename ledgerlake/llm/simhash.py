@@ -18,8 +18,7 @@ candidates are verified on all 64 bits.  A bucket with more than
 ``bucket_rows`` fingerprints is not paired: its members are linked through
 shared *midpoints* (every fingerprint emits itself and its 1-bit neighbours;
 two are within 2 bits if and only if they share one), which is linear and
-exact.  Radii above 2 take ``ceil(radius / 2)``-bit neighbours and verify the
-stars' pairs through the centre, see :func:`_midpoint_edges`.
+exact.  Other radii flip half the bits on either side (:func:`_midpoint_edges`).
 
 Components are found by alternating large-star and small-star rounds over
 written edge tables; nothing but counts and a 64 x 64 table of bit counts
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_batches, text_key, texts_of, with_columns_kept, written
+from .common import document_batches, text_key, texts_of, written
 
 BITS = 64
 #: Shingles hashed and counted at once, so that a very long text stays small.
@@ -226,20 +225,13 @@ def links(nodes: DataFrame, radius: int, bucket_rows: int = 64) -> DataFrame:
     counts = counts.where(f"held > {0 if reach else 1}")
     sized = written(_probe_rows(nodes, plan, reach=True).join(counts, ["part", "value"]), "simhash-probes")
     held = sized if not reach else index.join(counts, ["part", "value"])
+    # without flips either end of a pair probes, so one order is enough
+    ordered = F.col("x.fp") != F.col("y.fp") if reach else F.col("x.fp") < F.col("y.fp")
     near = (sized.where(f"held <= {bucket_rows}").alias("x")
             .join(held.where(f"held <= {bucket_rows}").alias("y"),
-                  (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value"))
-                  & (F.col("x.fp") < F.col("y.fp")))
+                  (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value")) & ordered)
             .where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= radius)
-            .select(F.col("y.fp").alias("a"), F.col("x.fp").alias("b")))
-    if reach:  # a flipped probe meets the other side in either order
-        near = near.unionByName(
-            sized.where(f"held <= {bucket_rows}").alias("x")
-            .join(held.where(f"held <= {bucket_rows}").alias("y"),
-                  (F.col("x.part") == F.col("y.part")) & (F.col("x.value") == F.col("y.value"))
-                  & (F.col("x.fp") > F.col("y.fp")))
-            .where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= radius)
-            .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
+            .select(F.greatest("x.fp", "y.fp").alias("a"), F.least("x.fp", "y.fp").alias("b")))
     dense = sized.where(f"held > {bucket_rows}").select("fp")
     if reach:
         dense = dense.unionByName(held.where(f"held > {bucket_rows}").select("fp"))
