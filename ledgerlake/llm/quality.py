@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 from .common import document_batches, small, texts_of, with_columns_kept, written
 
 BUCKETS = 1 << 15
-PRIOR = 8.0
+#: Pseudo-counts a bucket: a document's own n-grams, or those of a language that
+#: happens to be rare among the labels, must not outweigh the evidence.
+PRIOR = 500.0
 SHARPNESS = 4.0
 _BINS = 1024
 
