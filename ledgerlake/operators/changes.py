@@ -31,13 +31,12 @@ def apply_changes(entries: DataFrame, changes: DataFrame, seq_col: str = "seq")
     op, seq = F.lower(F.trim("op")), F.col(seq_col)
     reset = op.isin("add", "delete")
     last = changes.groupBy("Id").agg(
-        F.max_by(F.struct(op.alias("op"), *ENTRY_FIELDS), F.when(reset, seq)).alias("_r"),
-        F.max(F.when(reset, seq)).alias("_reset"),
-        *[F.max_by(F.col(f), F.when((op == "update") & F.col(f).isNotNull(), seq)).alias(f"_u_{f}") for f in ENTRY_FIELDS],
-        *[F.max(F.when((op == "update") & F.col(f).isNotNull(), seq)).alias(f"_s_{f}") for f in ENTRY_FIELDS])
+        F.max(F.when(reset, F.struct(seq.alias("seq"), op.alias("op"), *ENTRY_FIELDS))).alias("_r"),
+        *[F.max(F.when((op == "update") & F.col(f).isNotNull(), F.struct(seq.alias("seq"), F.col(f).alias("to")))).alias(f"_u_{f}")
+          for f in ENTRY_FIELDS])
     old = entries.select("Id", *[F.col(f).alias(f"_o_{f}") for f in ENTRY_FIELDS], F.lit(True).alias("_old"))
     j = old.join(last, "Id", "full_outer")
-    r_op = F.when(F.col("_reset").isNotNull(), F.col("_r.op"))
+    r_op = F.col("_r.op")
     exists = (r_op == "add") | (r_op.isNull() & F.col("_old").isNotNull())
 
     def base(f: str):
@@ -49,7 +48,7 @@ def apply_changes(entries: DataFrame, changes: DataFrame, seq_col: str = "seq")
         return F.when(r_op == "add", added).otherwise(F.col(f"_o_{f}"))
 
     def updated(f: str):
-        return F.when(F.col("_reset").isNull() | (F.col(f"_s_{f}") > F.col("_reset")), F.col(f"_u_{f}"))
+        return F.when(F.col("_r").isNull() | (F.col(f"_u_{f}.seq") > F.col("_r.seq")), F.col(f"_u_{f}.to"))
 
     return j.filter(exists).select("Id", *[F.coalesce(updated(f), base(f)).alias(f) for f in ENTRY_FIELDS])
 
