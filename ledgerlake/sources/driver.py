@@ -261,18 +261,19 @@ def ledger_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 # derived here row by row from the bronze tables and lineitem, so the
 # operators that read them run over the whole tables.
 
-def invoice_documents(header: DataFrame, lines: DataFrame) -> DataFrame:
-    """invoice.json texts: (run_id, source_path, ingested_at, text), one
-    document per line of an invoice with that line (and one without lines
-    for an invoice that has none).  Nothing is gathered, so an invoice with
-    any number of lines is only so many documents."""
-    line_fields = ("lineNo", "categoryName", "description", *K.LINE_NUMERIC_COLUMNS)
-    line = F.struct(*[F.col(f"l.{c}").alias(c) for c in line_fields])
-    h, li = header.alias("h"), lines.withColumn("_line", F.lit(True)).alias("l")
-    joined = h.join(li, F.col("h.o_orderkey").eqNullSafe(F.col("l.l_orderkey")) & (F.col("h.run_id") == F.col("l.run_id")), "left")
-    invoice = F.struct(*[F.col(f"h.{c}").alias(c) for c in K.HEADER_COLUMNS],
-                       F.when(F.col("l._line"), F.array(line)).alias("lineItems"))
-    return joined.select("h.run_id", "h.source_path", "h.ingested_at", invoice.alias("invoice"))
+def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoice documents (run_id, source_path, ingested_at, invoice): one per
+    line of an invoice with that line, and one without lines for an invoice
+    that has none.  Nothing is gathered, so an invoice with any number of
+    lines is only so many documents."""
+    h = invoice_header(spark, sf_dir)
+    joined = h.join(_priced_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    amounts = {"convertedUnitPrice": F.round(F.col("unitPrice") * F.col("exchangeRate"), 2),
+               "convertedLineTotal": F.round(F.col("lineTotal") * F.col("exchangeRate"), 2)}
+    line = F.struct(*[amounts.get(c, F.col(c)).alias(c) for c in
+                      ("lineNo", "categoryName", "description", *K.LINE_NUMERIC_COLUMNS)])
+    invoice = F.struct(*K.HEADER_COLUMNS, F.when(F.col("l_orderkey").isNotNull(), F.array(line)).alias("lineItems"))
+    return joined.select("run_id", "source_path", "ingested_at", invoice.alias("invoice"))
 
 
 def invoice_files(documents: DataFrame) -> DataFrame:
@@ -281,15 +282,6 @@ def invoice_files(documents: DataFrame) -> DataFrame:
                             F.to_json(F.struct(F.array("invoice").alias("invoices"))).alias("text"))
 
 
-def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    header = invoice_header(spark, sf_dir)
-    rates = header.select("o_orderkey", "run_id", "exchangeRate")
-    lines = (_priced_lines(spark, sf_dir).join(rates, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
-             .withColumn("convertedUnitPrice", F.round(F.col("unitPrice") * F.col("exchangeRate"), 2))
-             .withColumn("convertedLineTotal", F.round(F.col("lineTotal") * F.col("exchangeRate"), 2)))
-    return invoice_documents(header, lines)
-
-
 def reply_shape() -> F.Column:
     """Payload shape per invoice: short terms reply as a JSON array of
     invoices, NET 30 as an ``{"invoices": [...]}`` object, the rest as one
