@@ -56,9 +56,9 @@ def generated_rates(spark: SparkSession) -> DataFrame:
                 (F.col("ccy_idx") * 1000 + F.col("qi")).alias("position")))
 
 
-def read_rates_json(spark: SparkSession, path: str) -> DataFrame:
-    """``{rates:[...]}`` file -> one row per rate."""
-    raw = spark.read.schema(schemas.FX_FILE).option("multiLine", "true").json(path)
+def read_rates_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """``{rates:[...]}`` documents (files, or lines) -> one row per rate."""
+    raw = spark.read.schema(schemas.FX_FILE).option("multiLine", str(multiline).lower()).json(path)
     return raw.select(F.explode("rates").alias("r")).select("r.*")
 
 

@@ -32,9 +32,10 @@ GRAM = 4
 
 # --- reference data -----------------------------------------------------------
 
-def read_ledger_json(spark, path: str) -> DataFrame:
-    """The nested ledger file as one row."""
-    return spark.read.schema(schemas.LEDGER_FILE).option("multiLine", "true").json(path)
+def read_ledger_json(spark, path: str, multiline: bool = True) -> DataFrame:
+    """The nested ledger, one row per document: a file, or with
+    ``multiline`` off each line of it."""
+    return spark.read.schema(schemas.LEDGER_FILE).option("multiLine", str(multiline).lower()).json(path)
 
 
 def read_rules_json(spark, path: str) -> DataFrame:

@@ -240,6 +240,11 @@ _CODED = (
     "CAST(" + half_even("CAST(l_quantity AS DECIMAL(12,4)) * CAST(" + _r("l_extendedprice / l_quantity") + " AS DECIMAL(14,4))")
     + " AS DECIMAL(18,2)) AS amount FROM lineitem")
 
+SPEND_BY_VENDOR_MONTH = (
+    f"SELECT vendorName, strftime(TRY_CAST(invoiceDate AS DATE), '%Y-%m') AS invoice_month, "
+        f"count(invoiceId) AS invoices, {_r('sum(totalAmount)')} AS total_native, "
+        f"{_r('sum(convertedInvoiceAmount)')} AS total_aud FROM silver_invoice GROUP BY 1, 2")
+
 SELECTS: dict[str, str] = {
     "bronze_invoice_header": f"SELECT {_HEADER_COLS} FROM bronze_header",
     "bronze_invoice_lineitem": "SELECT * FROM bronze_lines",
@@ -260,10 +265,7 @@ SELECTS: dict[str, str] = {
             ("bronze_invoice_header", "bronze_header"), ("bronze_invoice_lineitem", "bronze_lines"),
             ("bronze_ingestion_email", "bronze_email"), ("bronze_run_manifest", "bronze_manifest"),
             ("bronze_run_result", "bronze_email"), ("silver_invoice", "silver_invoice"), ("silver_invoice_lineitem", "silver_lines"))),
-    "spend_by_vendor_month": (
-        f"SELECT vendorName, strftime(TRY_CAST(invoiceDate AS DATE), '%Y-%m') AS invoice_month, "
-        f"count(invoiceId) AS invoices, {_r('sum(totalAmount)')} AS total_native, "
-        f"{_r('sum(convertedInvoiceAmount)')} AS total_aud FROM silver_invoice GROUP BY 1, 2"),
+    "spend_by_vendor_month": SPEND_BY_VENDOR_MONTH,
     "spend_by_category": (
         f"WITH cat AS (SELECT vendorName, categoryName, {_r('sum(convertedLineTotal)')} AS spend_aud, "
         f"count(DISTINCT invoiceId) AS invoices, count(*) AS line_count FROM silver_lines GROUP BY 1, 2), "

@@ -8,7 +8,7 @@ out as text; the change batch is replayed with window functions.
 from __future__ import annotations
 
 from .. import constants as K
-from .oracle import _r
+from .oracle import SPEND_BY_VENDOR_MONTH, _r
 
 _NEW_LINE = "(l_returnflag = 'N' AND l_linestatus = 'O')"
 _REOPEN = "(l_returnflag = 'R' AND l_linestatus = 'O')"
@@ -102,6 +102,10 @@ def _gl_field(f: str) -> str:
 
 
 SELECTS = {
+    "saved_spend_table": SPEND_BY_VENDOR_MONTH,
+    "ledger_file_items": (
+        "SELECT categoryName, ledgerCode, itemName, expectedUnitPrice, array_to_string(aliases, '|') AS aliases FROM ledger_items"),
+    "fx_rates_file": "SELECT \"from\", \"to\", fromDate, toDate, rate FROM fx_sub",
     "fx_rate_validation": (
         "SELECT CASE WHEN reject_reason IS NULL THEN upper(trim(\"from\")) ELSE \"from\" END AS \"from\", "
         "CASE WHEN reject_reason IS NULL THEN upper(trim(\"to\")) ELSE \"to\" END AS \"to\", "

@@ -16,7 +16,10 @@ from .. import constants as K
 from .. import schemas
 from ..functions import jsonops as J
 from ..operators import changes as C
-from ..sources import driver, runs
+from ..operators import fx, gold
+from ..operators import ledger as L
+from ..session import scratch_folder
+from ..sources import driver, runs, tables
 from .model import Model
 from .registry import query
 
@@ -115,7 +118,6 @@ def _a10(m: Model) -> DataFrame:
 def _p23(m: Model) -> DataFrame:
     """Rate submissions implied by the invoices, split into valid rows
     and rejected rows with their reason."""
-    from ..operators import fx
     valid, rejected = fx.validate_rates(driver.fx_rate_submissions(m.silver_invoice))
     cols = ["from", "to", "fromDate", "toDate", F.col("rate").cast("double").alias("rate"), "invoices"]
     return (valid.select(*cols, F.lit(True).alias("valid"), F.lit(None).cast("string").alias("reject_reason"))
@@ -126,8 +128,44 @@ def _p23(m: Model) -> DataFrame:
 def _a11(m: Model) -> DataFrame:
     """The rate table overwritten with the validated submissions (a
     table in the shared checkpoint folder), read back."""
-    from ..operators import fx
-    from ..session import scratch_folder
-    path = f"{scratch_folder(m.spark)}/fx-{uuid.uuid4().hex}"
+    path = _scratch(m, "fx")
     table = fx.replace_rates(m.spark, driver.fx_rate_submissions(m.silver_invoice).drop("invoices"), path)
     return table.withColumn("rate", F.col("rate").cast("double"))
+
+
+# --- saved tables and reference files (S5-S8): written to this application's
+# --- scratch folder and read back the way the app's files are
+
+def _scratch(m: Model, what: str) -> str:
+    return f"{scratch_folder(m.spark)}/{what}-{uuid.uuid4().hex}"
+
+
+@query("saved_spend_table")
+def _s6(m: Model) -> DataFrame:
+    """S5 + S6 + S7: the gold spend table saved in a schema of its own, read back by name."""
+    name = f"saved_{uuid.uuid4().hex}"
+    tables.create_schema(m.spark, name, _scratch(m, name))
+    tables.write_table(gold.spend_by_vendor_month(m.silver_invoice), f"{name}.spend_by_vendor_month")
+    return tables.read_table(m.spark, f"{name}.spend_by_vendor_month")
+
+
+@query("ledger_file_items")
+def _s8_ledger(m: Model) -> DataFrame:
+    """S8 + P22: ledger documents written as JSON (one per item, so no
+    category is gathered), read back and flattened."""
+    path = _scratch(m, "ledger")
+    item = F.struct("ledgerCode", "itemName", "expectedUnitPrice", "aliases")
+    category = F.struct("categoryName", F.lit(1.5).alias("approvedBudget"), F.lit(0.5).alias("ytdBalance"), F.array(item).alias("items"))
+    m.ledger_items.select(F.to_json(F.struct(F.lit(K.LEDGER_CURRENCY).alias("currency"), F.array(category).alias("categories")))
+                          .alias("value")).write.text(path)
+    items, _ = L.flatten_ledger(L.read_ledger_json(m.spark, path, multiline=False))
+    return items.select("categoryName", "ledgerCode", "itemName", "expectedUnitPrice", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query("fx_rates_file")
+def _s8_rates(m: Model) -> DataFrame:
+    """The rates implied by the invoices, written as JSON and read back."""
+    path = _scratch(m, "rates")
+    rates = driver.fx_rate_submissions(m.silver_invoice).select("from", "to", "fromDate", "toDate", "rate")
+    rates.select(F.to_json(F.struct(F.array(F.struct(*rates.columns)).alias("rates"))).alias("value")).write.text(path)
+    return fx.read_rates_json(m.spark, path, multiline=False).withColumn("rate", F.col("rate").cast("double"))

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    """One schema (database) per layer."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """One schema (database) per layer, in the warehouse or at a location."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def write_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
