@@ -16,8 +16,7 @@ def test_query_matches_brute_force(spark):
     assert got == brute.near_duplicates(rows)
 
 
-@pytest.mark.parametrize("bucket_rows", [1, 4, 64])
-@pytest.mark.parametrize("radius", [1, 2, 3])
+@pytest.mark.parametrize("radius, bucket_rows", [(1, 4), (2, 1), (2, 4), (2, 64), (3, 4)])
 def test_links_find_every_component(spark, radius, bucket_rows):
     """Dense balls, chains and correlated bits, through pairs and midpoints."""
     rng = random.Random(radius * 100 + bucket_rows)
