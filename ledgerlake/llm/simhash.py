@@ -276,7 +276,7 @@ def classes(fps: DataFrame, radius: int = 2) -> DataFrame:
     roots = components(links(nodes.select("fp"), radius))
     rooted = written(nodes.join(roots, F.col("fp") == F.col("u"), "left")
                      .select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    least = written(rooted.groupBy("root").agg(F.min("first").alias("first")), "firsts")
     return rooted.drop("first").join(least, "root").select("fp", F.col("first.doc_id").alias("component_id"), "first")
 
 
