@@ -153,8 +153,9 @@ def bronze_invoices(spark: SparkSession, root: str, multiline: bool = True,
                     file_name: str = "invoice.json") -> tuple[DataFrame, DataFrame]:
     """P1 + P2: (bronze_invoice_header, bronze_invoice_lineitem) from
     invoice.json; with none anywhere both are empty with the bronze schemas."""
-    files = read_json_per_run(spark, root, file_name, schemas.INVOICE_FILE, multiline)
-    return invoice_headers(files), invoice_lines(files)
+    headers = read_json_per_run(spark, root, file_name, schemas.invoice_file(K.HEADER_COLUMNS), multiline)
+    lines = read_json_per_run(spark, root, file_name, schemas.invoice_file(("invoiceId", "vendorName", "lineItems")), multiline)
+    return invoice_headers(headers), invoice_lines(lines)
 
 
 def bronze_ingestion_email(spark: SparkSession, root: str) -> DataFrame:
