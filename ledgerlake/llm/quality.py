@@ -2,10 +2,11 @@
 
 Two generative models over hashed n-grams (words and runs of other signs, one
 and two at a time, in ``buckets`` buckets) are counted over all documents: the
-raw text's and the target's, the documents labelled as good.  (A token right after itself counts as one and the
-same two-gram, whatever the token.)  A document's log importance weight is the sum over its n-grams of log p_target / p_raw, where
-the target's counts are drawn to the raw ones by ``prior`` pseudo-counts a
-bucket, so that buckets without evidence say nothing.  ``k`` documents are
+raw text's and the target's, the documents labelled as good.  (A token right
+after itself is one and the same two-gram, whatever the token.)  A document's
+log importance weight is the sum over its n-grams of log p_target / p_raw,
+where the target's counts are drawn to the raw ones by ``prior`` pseudo-counts
+a bucket, so that buckets without evidence say nothing.  ``k`` documents are
 drawn without replacement in proportion to their weights to the power
 ``sharpness`` by Gumbel top-k: the k largest of sharpness * log weight + Gumbel
 noise, the noise a function of (seed, doc_id, text), so the draw can be
