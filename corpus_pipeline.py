@@ -31,7 +31,7 @@ ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = quality.resample(docs, settings.table(spark, sf_dir, "labels"))
+    kept = quality.resample(docs, settings.table(spark, sf_dir, "labels"), language=F.col("lang"))
     return kept.select(*docs.columns)
 
 

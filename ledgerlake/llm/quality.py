@@ -6,7 +6,17 @@ raw text's and the target's, the documents labelled as good.  (A token right
 after itself is one and the same two-gram, whatever the token.)  A document's
 log importance weight is the sum over its n-grams of log p_target / p_raw,
 where the target's counts are drawn to the raw ones by ``prior`` pseudo-counts
-a bucket, so that buckets without evidence say nothing.  ``k`` documents are
+a bucket, so that buckets without evidence say nothing.  :func:`resample` takes
+as prior ``PRIOR_SHARE`` times the target's mean count a bucket, so the weights
+do not depend on how large the table is (:func:`score` has a fixed number
+unless told otherwise).
+
+Given a ``language`` column, the raw model has the languages' mix among the
+labelled documents (good and poor): a language's raw counts are weighted by the
+share of its documents that is labelled, so one with few labels is not taken
+for poor.  Shares within ``EVEN`` of that of all documents count as equal to it.
+
+``k`` documents are
 drawn without replacement in proportion to their weights to the power
 ``sharpness`` by Gumbel top-k: the k largest of sharpness * log weight + Gumbel
 noise, the noise a function of (seed, doc_id, text), so the draw can be
@@ -19,7 +29,8 @@ labelled rows), or any number the caller gives.
 
 Defined cases: null and empty texts have weight 0; of several labels of a
 document the highest counts; null labels and labels of unknown documents are
-left out; without both kinds of labels nothing is rejected.  Repeated rows get
+left out; without both kinds of labels nothing is rejected; a null language is a language
+of its own, and n-grams found only in languages without labels say nothing.  Repeated rows get
 the same noise and stay or go together, and all rows tied at the last place
 stay, so more than k rows can stay.  Other columns pass through, one named
 like an added column is replaced.
@@ -47,7 +58,12 @@ BUCKETS = 1 << 15
 #: Pseudo-counts a bucket: a document's own n-grams, or those of a language that
 #: happens to be rare among the labels, must not outweigh the evidence.
 PRIOR = 500.0
+#: The prior in units of the target's mean count a bucket (500 at sf0.01).
+PRIOR_SHARE = 52.0
+#: Shares of labelled documents this near to that of all are taken for even.
+EVEN = 0.12
 SHARPNESS = 4.0
+_UNIT = 1 << 20  # weights of languages are whole numbers up to this, so sums are exact
 _BINS = 1024
 
 
@@ -96,20 +112,22 @@ def _parts(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def ngram_counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts per bucket over all rows (text, good) and over the good ones."""
+    """Counts per bucket over all rows (text, good, weight), each row's times
+    its weight, and over the good ones."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, raw, good = TokenHashes(), np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for batch in batches:
             flags = np.array(batch.column(1).to_pylist(), bool)
+            weights = np.array(batch.column(2).to_pylist(), np.float64)
             for at, part in _parts(texts_of(batch.column(0))):
                 bucket, owner = ngram_buckets(part, hashes, buckets)
-                raw += np.bincount(bucket, minlength=buckets)
+                raw += np.bincount(bucket, weights[at + owner], buckets).astype(np.int64)
                 good += np.bincount(bucket[flags[at + owner]], minlength=buckets)
-        used = np.flatnonzero(raw)
+        used = np.flatnonzero(raw + good)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(good[used])],
                                          names=["bucket", "raw", "good"])
 
-    found = (rows.select("text", "good").mapInArrow(count, "bucket long, raw long, good long")
+    found = (rows.select("text", "good", "weight").mapInArrow(count, "bucket long, raw long, good long")
              .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect())
     raw, good = np.zeros(buckets), np.zeros(buckets)
     for r in found:  # at most one row a bucket
@@ -117,10 +135,24 @@ def ngram_counts(rows: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]
     return raw, good
 
 
-def log_ratios(raw: np.ndarray, good: np.ndarray, prior: float = PRIOR) -> np.ndarray:
-    """log p_target / p_raw of each bucket."""
+def language_weights(rows: DataFrame) -> DataFrame:
+    """(of, weight): by ``language`` the share of the rows (language, good) that
+    are labelled, in units of the largest share."""
+    held = written(rows.groupBy("language").agg(F.count(F.lit(1)).alias("all"), F.count("good").alias("own")), "quality-languages")
+    share, (own, total) = F.col("own") / F.col("all"), held.agg(F.sum("own"), F.sum("all")).first()
+    whole = (own or 0) / (total or 1)
+    share = F.when(F.abs(share - whole) <= EVEN * whole, F.lit(whole)).otherwise(share)
+    most = held.agg(F.max(share)).first()[0] or 1.0
+    weight = F.when(share > 0, F.greatest(F.lit(1), F.round(share * (_UNIT / most)))).otherwise(0)
+    return held.select(F.col("language").alias("of"), weight.cast("long").alias("weight"))
+
+
+def log_ratios(raw: np.ndarray, good: np.ndarray, prior: float | None = PRIOR) -> np.ndarray:
+    """log p_target / p_raw of each bucket; no prior: PRIOR_SHARE of the mean."""
     if not good.sum():
         return np.zeros(len(raw))
+    if prior is None:
+        prior = PRIOR_SHARE * good.mean()
     expected = raw * (good.sum() / raw.sum())
     return np.log((good + prior) / (expected + prior))
 
@@ -195,9 +227,10 @@ def kth_largest(scores: DataFrame, column: str, k: int) -> float:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", buckets: int = BUCKETS, sharpness: float = SHARPNESS, seed: int = 17) -> DataFrame:
+          label_col: str = "quality", buckets: int = BUCKETS, sharpness: float = SHARPNESS, seed: int = 17,
+          prior: float | None = PRIOR, language: Column | None = None) -> DataFrame:
     """``docs``, written, with log_weight, gumbel_weight and good (the label,
-    null without one)."""
+    null without one).  ``prior`` None is the one relative to the counts."""
     document_batches(docs.sparkSession)
     added = ("log_weight", "gumbel_weight", "good", "_label_of")
     kept = with_columns_kept(docs, *added)
@@ -205,16 +238,21 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = written(marks.dropna().groupBy("_label_of").agg((F.max("good") > 0).alias("good")), "quality-labels")
     rows = kept.join(small(marks, 24), F.col(f"`{id_col}`") == F.col("_label_of"), "left").drop("_label_of")
     text = F.col(f"`{text_col}`").cast("string")
-    raw, good = ngram_counts(rows.select(text.alias("text"), F.coalesce("good", F.lit(False)).alias("good")), buckets)
-    weighed = rows.withColumn("log_weight", weight_column(text, log_ratios(raw, good)))
+    counted = rows.select(text.alias("text"), "good", F.lit(1).alias("weight"))
+    if language is not None:
+        tagged = rows.select(text.alias("text"), "good", language.alias("language"))
+        weights = small(language_weights(tagged), 16 + F.length(F.coalesce(F.col("of").cast("string"), F.lit(""))))
+        counted = tagged.join(weights, F.col("language").eqNullSafe(F.col("of"))).select("text", "good", "weight")
+    raw, good = ngram_counts(counted.withColumn("good", F.coalesce("good", F.lit(False))), buckets)
+    weighed = rows.withColumn("log_weight", weight_column(text, log_ratios(raw, good, prior)))
     noise = gumbel(seed, F.col(f"`{id_col}`"), F.xxhash64(text))
     return written(weighed.withColumn("gumbel_weight", F.lit(sharpness) * F.col("log_weight") + noise)
                    .select(*[F.col(f"`{c}`") for c in kept.columns], "log_weight", "gumbel_weight", "good"), "weighed")
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, **how) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, prior: float | None = None, **how) -> DataFrame:
     """The rows of :func:`score` that the Gumbel top-k draw keeps."""
-    weighed = score(docs, labels, **how)
+    weighed = score(docs, labels, prior=prior, **how)
     scores = weighed.select("log_weight", "gumbel_weight", "good")
     if k is None:
         cut = best_cut(scores.where("good is not null"))

@@ -60,8 +60,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that importance resampling keeps, with their weights."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.resample(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_weight", "gumbel_weight")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    kept = quality.resample(docs, table(spark, sf_dir, "labels"), language=F.col("lang"))
+    return kept.select("doc_id", "log_weight", "gumbel_weight")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,3 +72,25 @@ def test_nulls_repeats_labels_and_k(spark):
     assert quality.resample(docs, labels, k=3).count() == 3
     assert quality.resample(docs, labels.limit(0)).count() == len(rows)
     assert quality.resample(docs.limit(0), labels).count() == 0
+
+
+def test_a_table_repeated_many_times_keeps_the_same_documents(spark, monkeypatch):
+    read = queries.table
+    once = {r.doc_id: r.log_weight for r in queries.op6_quality_resample(spark, SF).collect()}
+    monkeypatch.setattr(queries, "table", lambda s, d, name: read(s, d, name).crossJoin(s.range(40).select()) if name == "documents" else read(s, d, name))
+    many = [(r.doc_id, r.log_weight) for r in queries.op6_quality_resample(spark, SF).collect()]
+    assert len(many) == 40 * len(once) and {i for i, _ in many} == set(once)
+    assert max(abs(w - once[i]) for i, w in many) < 1e-6
+
+
+def test_a_language_with_half_the_labels_keeps_its_good_documents(spark, monkeypatch):
+    read, sf = queries.table, "/root/testdata/sf0.1"
+    lang = {r.doc_id: r.lang for r in read(spark, sf, "documents").select("doc_id", "lang").collect()}
+    labels = read(spark, sf, "labels")
+    good = [r.doc_id for r in labels.collect() if r.quality and lang.get(r.doc_id) == "de"]
+    poor = [r.doc_id for r in labels.collect() if r.quality == 0]
+    fewer = labels.join(read(spark, sf, "documents").where("lang = 'de'").select("doc_id"), "doc_id", "left_anti").unionByName(
+        labels.join(read(spark, sf, "documents").where("lang = 'de' AND crc32(cast(doc_id AS string)) % 2 = 0").select("doc_id"), "doc_id", "left_semi"))
+    monkeypatch.setattr(queries, "table", lambda s, d, name: fewer if name == "labels" else read(s, d, name))
+    kept = {r.doc_id for r in queries.op6_quality_resample(spark, sf).collect()}
+    assert np.mean([i in kept for i in good]) > 0.97 and np.mean([i in kept for i in poor]) < 0.1
