@@ -5,14 +5,16 @@ hash) lies at its start or end - at either, if several are least.  Whether a
 k-mer is chosen depends on the k-mer alone, so an edit moves only the anchors
 it touches.  Anchors are a multiset: the j-th occurrence of a syncmer has a hash
 of its own, so repetitive texts keep their weight.  A fingerprint holds the
-``size`` anchors with the least hashes and the code points where they stand;
-it is base64 of 7-byte entries (4 bytes hash, 3 bytes position, which stays at
-its highest value beyond 2^24 - 1), so its length is bounded however long the
-text is.
+``size`` anchors with the least hashes, of longer texts all those of the least
+1 / ``RATE`` of the hash range, and the code points where they stand; it is
+base64 of 7-byte entries (4 bytes hash, 3 bytes position modulo 2^24), about one
+entry for 110 code points of a long text, so a block moved within it still holds
+several anchors.
 
 Likeness of two fingerprints, 0 to 1: of the ``size`` least hashes of both
-together (as in a bottom-k sketch), the share that both hold, at matching
-positions: the differences in position that occur among the shared anchors
+together (as in a bottom-k sketch), or of all those of the least 1 / ``RATE``
+if these are more, the share that both hold, at matching
+positions: the differences in position (modulo 2^24) that occur among the shared anchors
 are grouped to within ``slack`` code points, and anchors of groups that hold
 fewer than ``agree`` of them are taken for chance (one is enough for
 fingerprints of under eight anchors).
@@ -48,7 +50,9 @@ from .rlz import mix, sequence_hashes, sliding_min
 K, S, SIZE = 12, 6, 48
 SLACK, AGREE = 64, 2
 SHORT = 4
-_FAR = (1 << 24) - 1
+RATE = 32
+_LEAST = (1 << 32) // RATE
+_TURN = 1 << 24
 _CHUNK = 1 << 20
 
 
@@ -84,13 +88,14 @@ def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> bytes:
     nth = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
     marked = mix(ranked + mix(nth.astype(np.uint64))) >> np.uint64(32)
     if len(marked) > 4 * size:
-        few = np.flatnonzero(marked <= np.partition(marked, 4 * size)[4 * size])
+        few = np.flatnonzero(marked <= max(np.partition(marked, 4 * size)[4 * size], np.uint64(_LEAST)))
         marked, order = marked[few], order[few]
     least, index = np.unique(marked, return_index=True)
-    least, where = least[:size], at[order[index[:size]]]
+    kept = max(size, np.searchsorted(least, np.uint64(_LEAST)))
+    least, where = least[:kept], at[order[index[:kept]]]
     entry = np.zeros((len(least), 7), np.uint8)
     entry[:, :4] = least.astype(">u4").view(np.uint8).reshape(-1, 4)
-    entry[:, 4:] = np.minimum(where, _FAR).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
+    entry[:, 4:] = (where % _TURN).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
     return entry.tobytes()
 
 
@@ -110,14 +115,17 @@ def likeness(a: bytes, b: bytes, size: int = SIZE, slack: int = SLACK, agree: in
     if not a or not b:
         return 0.0
     (ha, pa_), (hb, pb) = _read(a), _read(b)
-    # a sketch that is not full is the whole set; a full one is known up to its largest hash
-    union = np.union1d(ha, hb)[:size]
+    # a sketch that is not full is the whole set; a full one is known up to its largest hash, at least to _LEAST
+    union = np.union1d(ha, hb)
+    union = union[:max(size, np.searchsorted(union, _LEAST))]
     shared, ia, ib = np.intersect1d(ha, hb, return_indices=True)
     known = shared <= union[-1]
-    moved = np.sort(pa_[ia[known]] - pb[ib[known]])
+    moved = np.sort((pa_[ia[known]] - pb[ib[known]]) % _TURN)
     if not len(moved):
         return 0.0
     group = np.cumsum(np.diff(moved, prepend=moved[0]) > slack)
+    if moved[0] + _TURN - moved[-1] <= slack:  # small moves to either side
+        group[group == group[-1]] = 0
     held = np.bincount(group)
     least = min(agree, max(1, min(len(ha), len(hb)) // 4))
     return float(held[held >= least].sum() / len(union))

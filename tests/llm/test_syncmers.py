@@ -85,3 +85,22 @@ def test_nulls_repeats_and_small_tables(spark):
     docs = spark.createDataFrame([(None, None), (2, "b" * 40), (2, "b" * 40), (3, "c" * 300_000)], "doc_id long, text string")
     got = sorted(((r.doc_id, r.n_chars, r.near_next) for r in syncmers.compare_with_next(docs, parts=3).collect()), key=repr)
     assert got == sorted([(None, 0, 0.0), (2, 40, 1.0), (2, 40, 0.0), (3, 300_000, 0.0)], key=repr)
+
+
+def test_long_texts_with_moved_blocks_and_far_positions():
+    rng = random.Random(5)
+    blocks = ["".join(rng.choices("abcdefghijklmnop ", k=2000)) for _ in range(120)]
+    other = ["".join(rng.choices("abcdefghijklmnop ", k=2000)) for _ in range(120)]
+    text, far = syncmers.fingerprint("".join(blocks)), syncmers.fingerprint("".join(other))
+    mixed = syncmers.fingerprint("".join(rng.sample(blocks, len(blocks))))
+    assert syncmers.likeness(text, mixed) > 0.9 and syncmers.likeness(text, far) < 0.01
+    # a passage of a few percent of both
+    passage = syncmers.fingerprint("".join(other[:60] + blocks[50:56] + other[60:]))
+    assert 0.01 < syncmers.likeness(text, passage) < 0.05
+    # the start of one text stands beyond 2^24 in the other, or everything moves a little
+    head = "".join(blocks)
+    at = lambda n: syncmers._read(syncmers.fingerprint("-" * n + head))
+    (h0, p0), (h1, p1) = at(0), at((1 << 24) + 100)
+    _, i, j = np.intersect1d(h0, h1, return_indices=True)
+    assert np.mean((p1[j] - p0[i]) % (1 << 24) == 100) > 0.9
+    assert syncmers.likeness(syncmers.fingerprint("x" * 9 + head), text) > 0.9 and syncmers.likeness(text, syncmers.fingerprint("x" * 9 + head)) > 0.9
