@@ -21,7 +21,10 @@ fingerprints of under eight anchors).
 
 Defined cases: a null text is the empty text; a text of fewer than 4 k code
 points is too short to be sampled, so all its runs of four are anchors (the
-whole text, if it is shorter still); the empty text's fingerprint is empty and
+whole text, if it is shorter still).  Texts from there up to 16 k code points
+hold the ``size`` least of both kinds, told apart by the lowest bit of the hash:
+two fingerprints are compared by their syncmers if both have any, else by their
+runs of four, so an edit across the limit is seen.  The empty text's fingerprint is empty and
 its likeness is 1 to another empty one, else 0.  The
 neighbour of a document is the next in ascending doc_id, after the last the
 first; with one document it is its own neighbour.  Rows with a null doc_id come
@@ -66,12 +69,14 @@ def syncmers(points: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray
     return mix(inner[chosen] * np.uint64(0x9E3779B97F4A7C15) + last[chosen]), chosen
 
 
+def _runs(text: str) -> tuple[np.ndarray, np.ndarray]:
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    hashes = sequence_hashes(mix(points.astype(np.uint64) + np.uint64(0x9E37)), min(SHORT, len(text)))
+    return hashes, np.arange(len(hashes))
+
+
 def _anchors(text: str, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
     points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    if len(text) < 4 * k:
-        n = min(SHORT, len(text))
-        hashes = sequence_hashes(mix(points.astype(np.uint64) + np.uint64(0x9E37)), n)
-        return hashes, np.arange(len(hashes))
     found = [(h, p + at) for at in range(0, len(points) - k + 1, _CHUNK)  # long texts in overlapping pieces
              for h, p in [syncmers(points[at:at + _CHUNK + k - 1].astype(np.uint64), k, s)]]
     return np.concatenate([h for h, _ in found]), np.concatenate([p for _, p in found])
@@ -81,12 +86,19 @@ def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> bytes:
     """Entries of one text, sorted by hash (see the module docstring)."""
     if not text:
         return b""
-    hashes, at = _anchors(text, k, s)
+    few = _entries(*_runs(text), size, 1) if len(text) < 16 * k else []
+    many = _entries(*_anchors(text, k, s), size, 0) if len(text) >= 4 * k else []
+    entry = np.concatenate([e for e in (few, many) if len(e)])
+    return entry[np.lexsort(entry.T[3::-1])].tobytes()
+
+
+def _entries(hashes: np.ndarray, at: np.ndarray, size: int, kind: int) -> np.ndarray:
     order = np.argsort(hashes, kind="stable")
     ranked = hashes[order]
     first = np.flatnonzero(np.diff(ranked, prepend=~ranked[:1]) != 0)
     nth = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
     marked = mix(ranked + mix(nth.astype(np.uint64))) >> np.uint64(32)
+    marked = marked & ~np.uint64(1) | np.uint64(kind)
     if len(marked) > 4 * size:
         few = np.flatnonzero(marked <= max(np.partition(marked, 4 * size)[4 * size], np.uint64(_LEAST)))
         marked, order = marked[few], order[few]
@@ -96,7 +108,7 @@ def fingerprint(text: str, k: int = K, s: int = S, size: int = SIZE) -> bytes:
     entry = np.zeros((len(least), 7), np.uint8)
     entry[:, :4] = least.astype(">u4").view(np.uint8).reshape(-1, 4)
     entry[:, 4:] = (where % _TURN).astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]
-    return entry.tobytes()
+    return entry
 
 
 def encode(entries: bytes) -> str:
@@ -115,6 +127,10 @@ def likeness(a: bytes, b: bytes, size: int = SIZE, slack: int = SLACK, agree: in
     if not a or not b:
         return 0.0
     (ha, pa_), (hb, pb) = _read(a), _read(b)
+    kind = int((ha & 1).all() or (hb & 1).all())  # of a text without syncmers, the runs of four
+    (ha, pa_), (hb, pb) = ((h[h & 1 == kind], p[h & 1 == kind]) for h, p in ((ha, pa_), (hb, pb)))
+    if not len(ha) or not len(hb):
+        return 0.0
     # a sketch that is not full is the whole set; a full one is known up to its largest hash, at least to _LEAST
     union = np.union1d(ha, hb)
     union = union[:max(size, np.searchsorted(union, _LEAST))]

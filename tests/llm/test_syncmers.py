@@ -104,3 +104,16 @@ def test_long_texts_with_moved_blocks_and_far_positions():
     _, i, j = np.intersect1d(h0, h1, return_indices=True)
     assert np.mean((p1[j] - p0[i]) % (1 << 24) == 100) > 0.9
     assert syncmers.likeness(syncmers.fingerprint("x" * 9 + head), text) > 0.9 and syncmers.likeness(text, syncmers.fingerprint("x" * 9 + head)) > 0.9
+
+
+def test_edits_that_cross_the_limit_of_short_texts(spark):
+    rng = random.Random(6)
+    draw = lambda n: "".join(rng.choices("abcdefghijklmnop ", k=n))
+    like = lambda a, b: syncmers.likeness(syncmers.fingerprint(a), syncmers.fingerprint(b))
+    for n in range(48, 64):
+        text = draw(n)
+        assert like(text, text[:n - n // 4]) > 0.5 and like(text, draw(n - n // 4)) < 0.2
+    text = draw(180)
+    assert like(text[:47], text[:49]) > 0.9 and like(text[:47], text[:90]) > 0.3
+    got = walk(spark, [(1, text[:56], "x"), (2, "", "x")], 3)[1]
+    assert got.near_edited > 0.5
