@@ -51,3 +51,12 @@ def test_host_of_urls(spark):
     urls = ["https://A.Example.com:80/x", "http://u:p@b.org", "no url", None]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(line_dedup.host_of(F.col("u"))).collect()]
     assert got == ["a.example.com", "b.org", "", None]
+
+
+def test_hosts_of_two_to_five_pages(spark):
+    rows = [(10 * n + i, f"menu\nown {n} {i}", f"host{n}", "") for n in (2, 3, 4, 5) for i in range(n)]
+    floor = queries.BOILERPLATE_PAGES
+    got = {i: n for i, _, _, n in drop(spark, rows, ratio=queries.BOILERPLATE_RATIO, min_pages=floor)}
+    assert all(got[i] == (i // 10 >= floor) for i in got)  # under the floor nothing goes
+    got = {i: (text, n) for i, text, _, n in drop(spark, rows, ratio=queries.BOILERPLATE_RATIO, min_pages=2)}
+    assert all(v == (f"own {i // 10} {i % 10}", 1) for i, v in got.items())
