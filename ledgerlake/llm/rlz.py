@@ -1,5 +1,6 @@
-"""Substring dedup by relative Lempel-Ziv parsing against an index of the
-whole corpus.
+"""Substring dedup by minimizer chunks and window counts over the whole corpus,
+in place of a relative Lempel-Ziv parse: no reference block is chosen and no
+document is factored greedily.
 
 A window is ``window`` consecutive words (``[^\\x20\\x09-\\x0D]+``, unchanged) of
 one document.  A word is removed if a window that covers it occurs, as a word
@@ -8,18 +9,17 @@ judged on the input.  Texts that are null, empty or shorter than a window have
 none and lose nothing; fully repeated rows are places of their own, so they
 remove each other's words, as any two copies do.
 
-How it is parsed at scale.  Each document is cut at *anchors*: of the
+How it is done at scale.  Each document is cut at *anchors*: of the
 ``gram``-word runs in a window the one with the least hash (the rightmost of
 equals) anchors it, so equal windows have equal anchors at equal offsets.  The
 windows that follow each other with the same anchor form a *phrase*, 35 to 62
-words long.  The reference blocks are the partitions of the phrase table, and
-each of them is indexed under its anchors.  Then
+words long.  Then
 
-1. an anchor that occurs once in all blocks ends the matter: its phrase shares
+1. an anchor that occurs once in the corpus ends the matter: its phrase shares
    no window with anything;
-2. a phrase that occurs twice as a whole is a copied factor (adjacent copied
-   phrases join into longer ones);
-3. at the boundaries of the factors, where an anchor recurs inside differing
+2. a phrase that occurs twice as a whole is copied (adjacent copied phrases
+   join into longer ones);
+3. where an anchor recurs inside differing
    phrases, the windows of each distinct phrase are compared one by one.
 
 Word sequences are compared by two independent 64-bit hashes.  Counting is
