@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, line_dedup, quality, rlz, secret_scan, simhash, syncmers, toxicity
+from . import bpe, chat, decontaminate, line_dedup, quality, repair, rlz, secret_scan, simhash, syncmers, toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -89,9 +89,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.remove_repeats(docs, window=REPEAT_WINDOW, digest_only=True).drop("spans")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    return repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_perspectives, op3_decontaminate, op4_simhash_near_dedup, op5_toxicity,
-    op6_quality_resample, op7_secrets, op8_syncmers, op9_bpe, op10_substring_dedup)}
+    op6_quality_resample, op7_secrets, op8_syncmers, op9_bpe, op10_substring_dedup, op13_conversation_repair)}
 
 
 def queries() -> dict[str, QueryFn]:

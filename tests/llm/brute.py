@@ -74,3 +74,61 @@ def multiset_similarity(a, b):
 
 __all__ = ["components", "defaultdict", "multiset_similarity", "near_duplicates", "sha", "simhash", "without_repeats",
            "words_of"]
+
+
+def cheapest_repair(rows):
+    """(cost, audit, repaired (role, text) rows) of rows in order, each
+    (role, text, fault); fault is "", "blank", "duplicate" or "truncated".
+    Costs to the end by relaxing all edits until nothing changes, then the
+    least letter that keeps the cost, one at a time."""
+    turn = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def edits(i, state):
+        for role in ("user", "assistant"):
+            if (state, role[0]) in turn:
+                yield "I", 3, (i, turn[state, role[0]]), (role, "")
+        if i == len(rows):
+            return
+        role, text, fault = rows[i]
+        yield "D", 4, (i + 1, state), None
+        if fault in ("blank", "duplicate"):
+            return
+        extra = 3 * (fault == "truncated")
+        for new in ("user", "assistant"):
+            if (state, new[0]) in turn:
+                yield "R", 3 + extra, (i + 1, turn[state, new[0]]), (new, text)
+        if role == "" or (state, role[0]) in turn:
+            yield "K", extra, (i + 1, turn[state, role[0]] if role else state), (role, text)
+
+    to_end = {(i, s): 0 if i == len(rows) and s in ("", "a") else 10 ** 9 for i in range(len(rows) + 1) for s in ("", "s", "u", "a")}
+    for i in reversed(range(len(rows) + 1)):
+        for _ in range(4):
+            for s in ("", "s", "u", "a"):
+                to_end[i, s] = min([to_end[i, s], *(c + to_end[to] for _, c, to, _ in edits(i, s))])
+    at, audit, out = (0, ""), "", []
+    while to_end[at] or at[0] < len(rows):
+        letter, _, at, row = min(((a, c, to, r) for a, c, to, r in edits(*at) if c + to_end[to] == to_end[at]), key=lambda e: e[0])
+        audit, out = audit + letter, out + [row] * (row is not None)
+    return to_end[0, ""], audit, out
+
+
+def repair_of(rows):
+    """Expected row of the report for one conversation's damaged rows
+    (turn, role, text)."""
+    blanks = " \t\n\v\f\r"
+    rows = sorted(((t, r or " " if r is None else r, " " if x is None else x) for t, r, x in rows),
+                  key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    seen, marked = set(), []
+    for t, role, text in rows:
+        bare = text.strip(blanks)
+        fault = ("blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else "")
+        seen.add((role, text))
+        marked.append((role, text, fault))
+    turns = [t for t, _, _ in rows if t is not None]
+    faults = [f for _, _, f in marked]
+    cost, audit, out = cheapest_repair(marked)
+    return {"gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+            **{f: faults.count(f) for f in ("blank", "duplicate", "truncated")},
+            "illegal": sum(a[0][:1] + b[0][:1] not in ("su", "ua", "au") for a, b in zip(marked, marked[1:])),
+            "cost": cost, "audit": audit,
+            "repaired_sha256": hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()}
