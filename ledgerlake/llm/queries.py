@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, line_dedup, quality, repair, rlz, secret_scan, simhash, syncmers, toxicity
+from . import bpe, chat, decontaminate, line_dedup, quality, repair, rlz, secret_scan, simhash
+from . import string_kernel, syncmers, toxicity, whitening
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +90,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.remove_repeats(docs, window=REPEAT_WINDOW, digest_only=True).drop("spans")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on the leading components, whitened."""
+    return whitening.whitening_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return string_kernel.identify(docs).drop("text", "lang")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     return repair.repair_report(table(spark, sf_dir, "conversations"))
@@ -96,7 +108,8 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_perspectives, op3_decontaminate, op4_simhash_near_dedup, op5_toxicity,
-    op6_quality_resample, op7_secrets, op8_syncmers, op9_bpe, op10_substring_dedup, op13_conversation_repair)}
+    op6_quality_resample, op7_secrets, op8_syncmers, op9_bpe, op10_substring_dedup, op11_whitening, op12_language_id,
+    op13_conversation_repair)}
 
 
 def queries() -> dict[str, QueryFn]:
