@@ -94,6 +94,8 @@ ITEM_NAME_ONLY = (9, 1)         # lines whose description is the item's name alo
 UNLISTED_CATEGORY = (13, 6)     # lines of a category the ledger does not have, by part key
 LIST_PRICE = (7, 2)             # lines at the part's list price, by part key
 VENDOR_ALIAS = (5, 0)           # ledger items that list a vendor as an alias, by item code
+NO_INGESTION_FILE = (7, 3)      # emails whose run folder has no ingestion.json, by email id
+RERUN_DAY = (10, 0)             # days of the month whose run files are written again
 # Generated FX periods for the benchmark years: quarterly, per currency.
 FX_GENERATED_FIRST_YEAR = 1994
 FX_GENERATED_LAST_YEAR = 2002

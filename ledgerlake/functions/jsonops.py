@@ -40,6 +40,20 @@ def parse_agent_json(text, schema: T.DataType) -> Column:
     return parse_json(extract_json_text(text), schema)
 
 
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def without_null_fields(json: Column) -> Column:
+    """Compact JSON text without the fields whose value is null, at any depth.
+
+    Both patterns match strings whole where nothing is to go (and put them
+    back), so what stands inside a string is never taken for a field.  The
+    quantifiers are possessive: a string of any length needs no recursion.
+    """
+    no_nulls = F.regexp_replace(json, rf"(,?){_STRING}:null(?=[,}}])|({_STRING})", "$2")
+    return F.regexp_replace(no_nulls, rf"(\{{),|({_STRING})", "$1$2")
+
+
 def explode_rows(df: DataFrame, array_col: str, out_col: str) -> DataFrame:
     """Inner ``explode`` of ``array_col`` without the inferred pre-filter.
 

@@ -16,13 +16,19 @@ update that gives it with its sequence number; an update counts if it is
 later than the reset.  The aggregate is partial (map-side), so a hot Id
 never gathers in one task, and one full outer join on Id merges it into the
 entries -- no change row is joined and no per-Id list is collected.
+
+Entries are saved bucketed and sorted by Id (:func:`save_entries`).  The merge
+then shuffles the changes alone, however many entries there are, and a get
+reads one bucket, or with a batch of Ids no more than the buckets they meet.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import write_buckets
+
 ENTRY_FIELDS = ("InvoiceNumber", "Vendor", "Account", "Amount", "Currency", "EntryDate", "Status", "Description")
 ADD_DEFAULTS = {"Currency": "USD", "Status": "pending"}
 
@@ -55,14 +61,42 @@ def apply_changes(entries: DataFrame, changes: DataFrame, seq_col: str = "seq")
 
 def entries_from_invoices(invoices: DataFrame, account_col: str = "currency") -> DataFrame:
     """Ledger entries (GeneralLedger shape), one per invoice header: the AUD
-    amount posted on the invoice date, status posted."""
+    amount posted on the invoice date, status posted.  An amount beyond 16
+    digits and a date that is none are null."""
     return invoices.select(
         F.col("invoiceId").alias("Id"),
         F.col("invoiceId").alias("InvoiceNumber"),
         F.col("vendorName").alias("Vendor"),
         F.col(account_col).alias("Account"),
-        F.col("convertedInvoiceAmount").cast("decimal(18,2)").alias("Amount"),
+        F.col("convertedInvoiceAmount").try_cast("decimal(18,2)").alias("Amount"),
         F.lit("AUD").alias("Currency"),
-        F.to_timestamp(F.col("invoiceDate"), "yyyy-MM-dd").alias("EntryDate"),
+        F.try_to_timestamp(F.col("invoiceDate"), F.lit("yyyy-MM-dd")).alias("EntryDate"),
         F.lit("posted").alias("Status"),
         F.col("fileName").alias("Description"))
+
+
+# --- list and get on saved entries -------------------------------------------------
+
+def save_entries(entries: DataFrame, name: str, buckets: int | None = None) -> None:
+    """The entries as a table bucketed and sorted by Id."""
+    write_buckets(entries, name, "Id", buckets)
+
+
+def list_entries(spark: SparkSession, name: str) -> DataFrame:
+    """A10 list: all saved entries, in no particular order."""
+    return spark.table(name)
+
+
+def get_entry(spark: SparkSession, name: str, entry_id: str) -> DataFrame:
+    """A10 get: the entry with this Id, or no row; one bucket is read."""
+    return spark.table(name).where(F.col("Id") == entry_id)
+
+
+def get_entries(requests: DataFrame, name: str, id_col: str = "Id") -> DataFrame:
+    """A10 get for a batch: every request with ``found`` and the entry's
+    fields, null where there is none.  Equal requests are answered one by one;
+    only the requests are shuffled."""
+    entries = requests.sparkSession.table(name).select(F.col("Id").alias("_id"), *ENTRY_FIELDS)
+    kept = requests.drop(*ENTRY_FIELDS, "found")
+    return (kept.join(entries, F.col(id_col) == F.col("_id"), "left")
+            .withColumn("found", F.col("_id").isNotNull()).drop("_id"))

@@ -83,6 +83,17 @@ class Model:
         path, schema = _WRITTEN[key]
         return self.spark.read.schema(schema).parquet(path)
 
+    def _saved(self, name: str, save: Callable[[str], None]) -> str:
+        """The name or path of something else that is saved on first use:
+        ``save`` is given a fresh name and saves under it."""
+        key = (self.spark.sparkContext.applicationId, self._stamp, name)
+        with _WRITING:
+            if key not in _WRITTEN:
+                fresh = f"{name}_{uuid.uuid4().hex}"
+                save(fresh)
+                _WRITTEN[key] = (fresh, StructType())
+        return _WRITTEN[key][0]
+
     # -- bronze, computed fresh from the input tables ------------------------
     @cached_property
     def bronze_header_fresh(self) -> DataFrame:

@@ -23,6 +23,21 @@ def _j(expr: str) -> str:
 _ATTACHMENTS = ("'[' || coalesce((SELECT string_agg('{\"name\":\"invoice-' || email_id || '-' || i || '.pdf\"}', ',' ORDER BY i) "
                 "FROM (SELECT unnest(range(1, attachment_count + 1)) AS i)), '') || ']'")
 
+def _gl_field(f: str) -> str:
+    added = f"r.{f}"
+    if f in _ADD_DEFAULTS:
+        added = f"coalesce(r.{f}, {_ADD_DEFAULTS[f]})"
+    return f"coalesce(u.u_{f}, CASE WHEN r.op = 'add' THEN {added} ELSE o.{f} END)"
+
+
+_GL_FIELDS = ", ".join(
+    f"CAST({_gl_field(f)} AS DOUBLE) AS {f}" if f == "Amount" else
+    f"CAST({_gl_field(f)} AS DATE) AS {f}" if f == "EntryDate" else f"{_gl_field(f)} AS {f}" for f in _FIELDS)
+_NO_INGESTION = f"CAST(email_id AS BIGINT) % {K.NO_INGESTION_FILE[0]} <> {K.NO_INGESTION_FILE[1]}"
+_WRAPPED = ("'{\"ingestionStatus\":' || " + _j("ingestionStatus") + " || coalesce(',\"reason\":' || " + _j("reason")
+            + ", '') || ',\"email\":' || email_json || '}'")
+_RERUN = f"day(run_date) % {K.RERUN_DAY[0]} = {K.RERUN_DAY[1]}"
+
 CTES = f"""
 result_email AS (
   SELECT *, '{{"id":' || email_id || ',"from":' || {_j("email_from")} || ',"fromName":' || {_j("email_from_name")}
@@ -77,6 +92,34 @@ gl_upd AS (
   FROM gl_changes c LEFT JOIN gl_reset r ON c.Id = r.Id
   WHERE c.op = 'update' AND (r.Id IS NULL OR c.seqn > r.seqn)
   GROUP BY c.Id),
+run_files AS (
+  -- result documents as the app writes them (null fields included) and as P4 keeps them
+  SELECT CASE WHEN ingestionStatus IS NULL THEN 'email-' || email_id ELSE run_id END AS folder, 'ingestion.json' AS file_name,
+         CASE WHEN ingestionStatus IS NULL THEN email_json ELSE {_WRAPPED} END AS text, CAST(NULL AS VARCHAR) AS kept
+  FROM result_email WHERE ingestionStatus IS NULL OR {_NO_INGESTION}
+  UNION ALL
+  SELECT run_id, 'invoice-' || email_id || '.PDF', '%PDF-1.4', NULL FROM result_email
+  WHERE ingestionStatus IS NOT NULL AND attachment_count > 0
+  UNION ALL
+  SELECT run_id, 'result.json',
+    CASE CAST(email_id AS BIGINT) % 8
+      WHEN 0 THEN '{{"ingestionStatus":' || {_j("ingestionStatus")} || ',"draft":{{"title":' || {_j("email_subject")} || ',"number":' || email_id || '}},"note":null}}'
+      WHEN 2 THEN '{{"ingestionStatus":' || {_j("ingestionStatus")} || ',"draft":' || {_j("email_body")} || ',"v":1}}'
+      WHEN 4 THEN '{{"draft":["{{\\"n\\":' || email_id || '}}",null,' || {_j("email_subject")} || '],"v":9007199254740993,"email":'
+           || replace(email_json, '.pdf"}}', '.pdf","blobUrl":null,"invoiceId":null}}') || '}}'
+      ELSE '{{"draft":null,"v":{{"k":"a\\":null,","deep":{{"none":null,"yes":true}}}}}}' END,
+    CASE CAST(email_id AS BIGINT) % 8
+      WHEN 0 THEN '{{"draft":{{"number":' || email_id || ',"title":' || {_j("email_subject")} || '}},"ingestionStatus":' || {_j("ingestionStatus")} || '}}'
+      WHEN 2 THEN '{{"draft":' || {_j("email_body")} || ',"ingestionStatus":' || {_j("ingestionStatus")} || ',"v":1}}'
+      WHEN 4 THEN '{{"draft":["{{\\"n\\":' || email_id || '}}",null,' || {_j("email_subject")} || '],"email":' || email_sorted || ',"v":9007199254740993}}'
+      ELSE '{{"v":{{"deep":{{"yes":true}},"k":"a\\":null,"}}}}' END
+  FROM result_email WHERE ingestionStatus IS NOT NULL AND CAST(email_id AS BIGINT) % 2 = 0),
+manifest_days AS (
+  SELECT run_id, file_name, size_bytes, CAST(strptime(substr(run_id, 5, 8), '%Y%m%d') AS DATE) AS run_date FROM bronze_manifest),
+gl_new AS (
+  SELECT coalesce(o.Id, r.Id) AS Id, {_GL_FIELDS}
+  FROM gl_old o FULL OUTER JOIN gl_reset r ON o.Id = r.Id LEFT JOIN gl_upd u ON u.Id = coalesce(o.Id, r.Id)
+  WHERE r.op = 'add' OR (r.op IS NULL AND o.held)),
 fx_sub AS (
   SELECT currency AS "from", 'AUD' AS "to",
          strftime(date_trunc('quarter', CAST(dueDate AS DATE)), '%Y-%m-%d') AS fromDate,
@@ -94,13 +137,6 @@ fx_checked AS (
 """
 
 
-def _gl_field(f: str) -> str:
-    added = f"r.{f}"
-    if f in _ADD_DEFAULTS:
-        added = f"coalesce(r.{f}, {_ADD_DEFAULTS[f]})"
-    return f"coalesce(u.u_{f}, CASE WHEN r.op = 'add' THEN {added} ELSE o.{f} END)"
-
-
 SELECTS = {
     "saved_spend_table": SPEND_BY_VENDOR_MONTH,
     "ledger_file_items": (
@@ -144,13 +180,26 @@ SELECTS = {
         "SELECT run_id, CAST(length(d) AS BIGINT) AS chars, md5(d) AS result_md5 FROM ("
         "SELECT run_id, '{\"email\":' || email_json || coalesce(',\"ingestionStatus\":' || "
         + _j("ingestionStatus") + ", '') || coalesce(',\"reason\":' || " + _j("reason") + ", '') || '}' AS d FROM result_email)"),
-    "ledger_changes": (
-        "SELECT coalesce(o.Id, r.Id) AS Id, "
-        + ", ".join(
-            (f"CAST({_gl_field(f)} AS DOUBLE) AS {f}" if f == "Amount" else
-             f"CAST({_gl_field(f)} AS DATE) AS {f}" if f == "EntryDate" else f"{_gl_field(f)} AS {f}")
-            for f in _FIELDS)
-        + " FROM gl_old o FULL OUTER JOIN gl_reset r ON o.Id = r.Id "
-        "LEFT JOIN gl_upd u ON u.Id = coalesce(o.Id, r.Id) "
-        "WHERE r.op = 'add' OR (r.op IS NULL AND o.held)"),
+    "ledger_changes": f"SELECT Id, {', '.join(_FIELDS)} FROM gl_new",
+    "ledger_entry_list": f"SELECT Id, {', '.join(_FIELDS)} FROM gl_new",
+    "ledger_entry_get": (
+        "SELECT q.Id, n.Id IS NOT NULL AS found, " + ", ".join(f"n.{f}" for f in _FIELDS)
+        + " FROM (SELECT 'INV-' || CAST(l_orderkey AS VARCHAR) || '-L' || CAST(l_linenumber AS VARCHAR) AS Id FROM lineitem) q "
+        "LEFT JOIN gl_new n ON n.Id = q.Id"),
+    "folder_runs": "SELECT DISTINCT folder AS run_id FROM run_files WHERE folder LIKE 'run-%'",
+    "folder_run_manifest": (
+        "SELECT folder AS run_id, file_name, CAST(strlen(text) AS BIGINT) AS size_bytes, true AS has_time "
+        "FROM run_files WHERE folder LIKE 'run-%'"),
+    "folder_documents": "SELECT folder AS run_id, file_name FROM run_files WHERE folder LIKE 'run-%' AND file_name LIKE '%.PDF'",
+    "folder_ingestion_email": (
+        "SELECT run_id, ingestionStatus, reason, email_id, email_from, email_from_name, email_to, email_subject, "
+        "email_date, email_preview, md5(email_body) AS email_body, attachment_count FROM bronze_email "
+        f"WHERE ingestionStatus IS NOT NULL AND {_NO_INGESTION}"),
+    "folder_run_result": (
+        "SELECT folder AS run_id, CAST(length(kept) AS BIGINT) AS chars, md5(kept) AS result_md5 "
+        "FROM run_files WHERE file_name = 'result.json'"),
+    "manifest_by_day": (
+        f"SELECT run_id, file_name, CASE WHEN {_RERUN} THEN size_bytes * 2 ELSE size_bytes END AS size_bytes, run_date "
+        f"FROM manifest_days m WHERE NOT ({_RERUN}) OR file_name LIKE '%.json' "
+        f"OR NOT EXISTS (SELECT 1 FROM manifest_days d WHERE d.run_date = m.run_date AND d.file_name LIKE '%.json')"),
 }

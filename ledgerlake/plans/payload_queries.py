@@ -19,7 +19,7 @@ from ..operators import changes as C
 from ..operators import fx, gold
 from ..operators import ledger as L
 from ..session import scratch_folder
-from ..sources import driver, runs, tables
+from ..sources import driver, folders, runs, tables
 from .model import Model
 from .registry import query
 
@@ -104,6 +104,93 @@ def _p4(m: Model) -> DataFrame:
                                               F.md5("result_json").alias("result_md5"))
 
 
+# --- run folders (S1-S4, P3, P4): written from the emails, read back by the folder readers
+
+def _run_root(m: Model) -> str:
+    """A root of run folders with every email's files."""
+    def write(name: str) -> None:
+        folders.write_run_files(driver.run_files(m.bronze_email), f"{scratch_folder(m.spark)}/{name}", f"{scratch_folder(m.spark)}/{name}-inventory")
+
+    return f"{scratch_folder(m.spark)}/{m._saved('run_folders', write)}"
+
+
+@query("folder_runs")
+def _s1_folders(m: Model) -> DataFrame:
+    """The runs found in the folders."""
+    return runs.discover_runs(m.spark, _run_root(m))
+
+
+@query("folder_run_manifest")
+def _s4_folders(m: Model) -> DataFrame:
+    """The files found in the run folders, with their sizes."""
+    found = runs.run_manifest(m.spark, _run_root(m))
+    return found.select("run_id", "file_name", "size_bytes", (F.col("modify_time_ms") > 0).alias("has_time"))
+
+
+@query("folder_documents")
+def _s10_folders(m: Model) -> DataFrame:
+    """The documents among the files of the run folders."""
+    return runs.supported_documents(runs.run_manifest(m.spark, _run_root(m))).select("run_id", "file_name")
+
+
+@query("folder_ingestion_email")
+def _p3_folders(m: Model) -> DataFrame:
+    """S2 + S3 + P3: ingestion.json of the run folders that have one (whole
+    bodies, by MD5)."""
+    out = runs.bronze_ingestion_email(m.spark, _run_root(m))
+    return out.withColumn("email_body", F.md5("email_body")).drop("ingested_at")
+
+
+@query("folder_run_result")
+def _p4_folders(m: Model) -> DataFrame:
+    """S2 + P4: result.json of the run folders, whole (by length and MD5)."""
+    out = runs.bronze_run_result(m.spark, _run_root(m))
+    return out.select("run_id", F.length("result_json").cast("long").alias("chars"), F.md5("result_json").alias("result_md5"))
+
+
+@query("manifest_by_day")
+def _s6_days(m: Model) -> DataFrame:
+    """S6 + S5: the manifest saved by run date, then some days run again:
+    their partitions are replaced, the others stay."""
+    name = f"saved_{uuid.uuid4().hex}"
+    tables.create_schema(m.spark, name, _scratch(m, name))
+    days = m.bronze_manifest.select("run_id", "file_name", "size_bytes", driver.run_date(F.col("run_id")).alias("run_date"))
+    tables.overwrite_partitions(days, f"{name}.manifest", ["run_date"])
+    tables.overwrite_partitions(driver.rerun_files(days), f"{name}.manifest", ["run_date"])
+    return tables.read_table(m.spark, f"{name}.manifest")
+
+
+def _saved_ledger(m: Model) -> str:
+    """The table of the general ledger after the change calls."""
+    def save(name: str) -> None:
+        tables.create_schema(m.spark, name, _scratch(m, name))
+        C.save_entries(C.entries_from_invoices(m.silver_invoice), f"{name}.opening")
+        changes = driver.ledger_change_batch(m.spark, m.sf_dir)
+        C.save_entries(C.apply_changes(C.list_entries(m.spark, f"{name}.opening"), changes), f"{name}.entries")
+
+    return f"{m._saved('general_ledger', save)}.entries"
+
+
+def _entry_columns() -> list:
+    return ["Id", "InvoiceNumber", "Vendor", "Account", F.col("Amount").cast("double").alias("Amount"), "Currency",
+            F.to_date("EntryDate").alias("EntryDate"), "Status", "Description"]
+
+
+@query("ledger_entry_list")
+def _a10_list(m: Model) -> DataFrame:
+    """A10: the saved entries listed, after the changes were merged into the
+    saved opening entries."""
+    return C.list_entries(m.spark, _saved_ledger(m)).select(*_entry_columns())
+
+
+@query("ledger_entry_get")
+def _a10_get(m: Model) -> DataFrame:
+    """A10: every line's entry asked for by Id, found or not."""
+    line = driver.table(m.spark, m.sf_dir, "lineitem").select(
+        F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string"), F.lit("-L"), F.col("l_linenumber").cast("string")).alias("Id"))
+    return C.get_entries(line, _saved_ledger(m)).select("found", *_entry_columns())
+
+
 @query("ledger_changes")
 def _a10(m: Model) -> DataFrame:
     """A10: the general ledger (one entry per kept invoice) after the change

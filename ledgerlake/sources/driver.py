@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators import fx
+from ..functions.jsonops import explode_rows
 from ..functions.columns import run_id_of, with_descriptive_fields
 from ..functions.literal import literal_table
 from ..sizing import fixed_broadcast
@@ -358,6 +359,56 @@ def result_updates(email: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return ingestion, result, draft.unionByName(status)
 
 
+def run_files(email: DataFrame) -> DataFrame:
+    """Files of run folders (folder, file_name, text), from the emails.
+
+    A decided email is a run: its ingestion.json (some runs have none), a
+    result.json for every second one and the PDF of its first attachment.  An
+    undecided email lies in an ``email-`` folder, which is no run.  Result
+    documents are of four shapes, so a node is text in one run and an object,
+    an array or nothing in another; their null fields are written out.
+    """
+    number = F.col("email_id").cast("long")
+    decided = F.col("ingestionStatus").isNotNull()
+    as_is = {"ignoreNullFields": "false"}
+    none = F.lit(None).cast("string")
+    shapes = [
+        F.struct("ingestionStatus", F.struct(F.col("email_subject").alias("title"), number.alias("number")).alias("draft"), none.alias("note")),
+        F.struct("ingestionStatus", F.col("email_body").alias("draft"), F.lit(1).alias("v")),
+        F.struct(F.array(F.to_json(F.struct(number.alias("n"))), none, F.col("email_subject")).alias("draft"),
+                 F.lit(9007199254740993).cast("long").alias("v"), email_struct().alias("email")),
+        F.struct(none.alias("draft"), F.struct(F.lit('a":null,').alias("k"), F.struct(none.alias("none"), F.lit(True).alias("yes")).alias("deep"))
+                 .alias("v"))]
+    result = F.to_json(shapes[3], as_is)
+    for i, shape in enumerate(shapes[:3]):
+        result = F.when(F.pmod(number, F.lit(8)) == 2 * i, F.to_json(shape, as_is)).otherwise(result)
+    def file(name, text: F.Column, when: F.Column) -> F.Column:
+        return F.when(when, F.struct(name.alias("file_name"), text.alias("text")))
+
+    wrapped = F.to_json(F.struct("ingestionStatus", "reason", email_struct().alias("email")))
+    missing = F.pmod(number, F.lit(K.NO_INGESTION_FILE[0])) == K.NO_INGESTION_FILE[1]
+    files = F.array(
+        file(F.lit("ingestion.json"), F.when(decided, wrapped).otherwise(F.to_json(email_struct())), ~(decided & missing)),
+        file(F.lit("result.json"), result, decided & (number % 2 == 0)),
+        file(F.concat(F.lit("invoice-"), F.col("email_id"), F.lit(".PDF")), F.lit("%PDF-1.4"), decided & (F.col("attachment_count") > 0)))
+    folder = F.when(decided, F.col("run_id")).otherwise(F.concat(F.lit("email-"), F.col("email_id")))
+    rows = explode_rows(email.select(folder.alias("folder"), F.filter(files, lambda f: f.isNotNull()).alias("files")), "files", "file")
+    return rows.select("folder", "file.file_name", "file.text")
+
+
+def run_date(run_id: F.Column) -> F.Column:
+    """The day in a run id ``run-yyyyMMdd...``; null without one."""
+    return F.try_to_date(F.substring(run_id, len(K.RUN_PREFIX) + 1, 8), "yyyyMMdd")
+
+
+def rerun_files(manifest: DataFrame) -> DataFrame:
+    """The manifest rows of the days that are run again: their JSON files, at
+    twice the size."""
+    modulus, remainder = K.RERUN_DAY
+    again = (F.dayofmonth("run_date") % modulus == remainder) & F.col("file_name").endswith(".json")
+    return manifest.where(again).withColumn("size_bytes", F.col("size_bytes") * 2)
+
+
 def ledger_change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10 change rows from lineitem, one per line, on the invoice entries.
 
@@ -387,7 +438,7 @@ def ledger_change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(reopen | new_line, invoice).alias("InvoiceNumber"),
         F.lit(None).cast("string").alias("Vendor"),
         F.when(new_line, F.col("l_partkey").cast("string")).alias("Account"),
-        amount.cast("decimal(18,2)").alias("Amount"),
+        amount.try_cast("decimal(18,2)").alias("Amount"),
         F.lit(None).cast("string").alias("Currency"),
         F.when(reopen | new_line, F.col("l_shipdate")).alias("EntryDate"),
         F.when(flag == "A", F.lit("adjusted")).when((flag == "N") & (status == "F"), F.lit("settled"))
@@ -402,7 +453,7 @@ def fx_rate_submissions(invoices: DataFrame) -> DataFrame:
     implied by the kept invoices: per currency and due-date quarter, the
     largest converted / native ratio (4 places).  A currency without a
     rate (no converted amounts) submits a null rate."""
-    start = F.date_trunc("quarter", F.to_date("dueDate", "yyyy-MM-dd")).cast("date")
+    start = F.date_trunc("quarter", F.try_to_date("dueDate", "yyyy-MM-dd")).cast("date")
     ratio = F.try_divide(F.col("convertedInvoiceAmount"), F.col("totalAmount"))
     return (invoices.select("currency", start.alias("_q"), ratio.alias("_ratio"))
             .groupBy("currency", "_q")
@@ -410,4 +461,4 @@ def fx_rate_submissions(invoices: DataFrame) -> DataFrame:
             .select(F.col("currency").alias("from"), F.lit(K.LEDGER_CURRENCY).alias("to"),
                     F.date_format("_q", "yyyy-MM-dd").alias("fromDate"),
                     F.date_format(F.last_day(F.add_months("_q", 2)), "yyyy-MM-dd").alias("toDate"),
-                    F.col("_rate").cast("decimal(18,6)").alias("rate"), "invoices"))
+                    F.col("_rate").try_cast("decimal(18,6)").alias("rate"), "invoices"))

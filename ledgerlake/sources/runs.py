@@ -8,9 +8,10 @@ hundreds of millions of files keep one root per date and read root by root,
 or feed the tables from the stream (:mod:`ledgerlake.streaming.incremental`).
 
 Only ``run-`` folders are taken (other folders, e.g. ``email-<utc>``, are
-left out of every table).  Readers take an explicit schema (no inference
-pass, a file without a field yields nulls) except for result.json, whose
-nodes vary by run and are kept whole.
+left out of every table).  No reader infers a schema (that would read
+everything twice): invoice.json and ingestion.json have an explicit one, a
+file without a field yields nulls; result.json, whose nodes vary by run, is
+read whole, as one variant.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ def list_run_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def run_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file in a run folder: run_id, file_name, size, mtime."""
+    """One row per file in a run folder: run_id, file_name, size, mtime.
+    Spark's file scans leave out files of no bytes, so does this."""
     files = list_run_files(spark, root)
     ms = F.unix_millis("modificationTime")
     return (files.withColumn("run_id", run_id_from_path("path")).filter(F.col("run_id") != "")
@@ -89,23 +91,23 @@ def tagged(raw: DataFrame, path: F.Column) -> DataFrame:
 
 
 def read_json_per_run(spark: SparkSession, root: str, file_name: str, schema: T.StructType | None,
-                      multiline: bool = True, empty: T.StructType | None = None) -> DataFrame:
+                      multiline: bool = True) -> DataFrame:
     """S2 + S3: ``<root>/run-*/<file_name>`` for every run that has it.
 
     Tagged with source_path, run_id (P5) and ingested_at.  Runs without the
     file simply contribute no rows; with no file at all the frame is empty
-    with the expected schema.  Without a ``schema`` the documents are read
-    whole, with the fields that any of them has (one more pass over them);
-    ``empty`` is then the schema of no documents.
+    with the expected schema.  Without a ``schema`` each document is read
+    whole, as the variant ``document`` (null if it is no JSON).
     """
     reader = (spark.read.option("multiLine", str(multiline).lower())
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", file_name))
+    reader = reader.schema(schema) if schema is not None else reader.option("singleVariantColumn", "document")
     try:
-        raw = (reader.schema(schema) if schema is not None else reader).json(root)
-    except Exception as exc:  # noqa: BLE001 - no folder or no such file means no rows
-        if any(k in str(exc) for k in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
-            fields = (schema or empty or T.StructType()).fields
+        raw = reader.json(root)
+    except Exception as exc:  # noqa: BLE001 - no folder means no rows
+        if any(k in str(exc) for k in ("PATH_NOT_FOUND", "does not exist")):
+            fields = schema.fields if schema is not None else [T.StructField("document", T.VariantType())]
             return _empty(spark, T.StructType(fields + [T.StructField("source_path", T.StringType()),
                                                         T.StructField("run_id", T.StringType()),
                                                         T.StructField("ingested_at", T.TimestampType())]))
@@ -165,10 +167,11 @@ def bronze_ingestion_email(spark: SparkSession, root: str) -> DataFrame:
 
 def bronze_run_result(spark: SparkSession, root: str) -> DataFrame:
     """Result.json folded into one JSON string per run: the whole document
-    with whatever nodes it has, null fields dropped."""
-    res = read_json_per_run(spark, root, "result.json", None, empty=schemas.RESULT_FILE)
-    payload = [c for c in res.columns if c not in ("run_id", "source_path", "ingested_at")]
-    return res.select("run_id", "ingested_at", F.to_json(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("result_json"))
+    with whatever nodes it has, each as it is, null fields dropped (nulls in
+    arrays stay).  Variants keep every run's own types, so a node that is text
+    in one run and an object in another is changed in neither."""
+    res = read_json_per_run(spark, root, "result.json", None)
+    return res.select("run_id", "ingested_at", J.without_null_fields(F.to_json("document")).alias("result_json"))
 
 
 def bronze_from_runs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
