@@ -94,8 +94,14 @@ ITEM_NAME_ONLY = (9, 1)         # lines whose description is the item's name alo
 UNLISTED_CATEGORY = (13, 6)     # lines of a category the ledger does not have, by part key
 LIST_PRICE = (7, 2)             # lines at the part's list price, by part key
 VENDOR_ALIAS = (5, 0)           # ledger items that list a vendor as an alias, by item code
+SHARED_CODE = (40, 7)           # ledger items that have the code of the part before theirs, by item position
+NO_BUSINESS_NAME = (19, 8)      # documents with an empty businessName, by order key
+CORRECTED_BUSINESS = (11, 2)    # re-runs that name the business otherwise, by order key
+NO_INVOICE_CURRENCY = (23, 9)   # documents with an empty invoiceCurrency, by order key
+UPLOADED_TWICE = (4, 1)         # emails whose first attachment is uploaded a second time, by email id
 NO_INGESTION_FILE = (7, 3)      # emails whose run folder has no ingestion.json, by email id
 RERUN_DAY = (10, 0)             # days of the month whose run files are written again
+LINES_PER_DOCUMENT = 50         # an invoice's lines are written in documents of so many at most
 # Generated FX periods for the benchmark years: quarterly, per currency.
 FX_GENERATED_FIRST_YEAR = 1994
 FX_GENERATED_LAST_YEAR = 2002

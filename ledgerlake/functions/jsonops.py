@@ -96,17 +96,25 @@ def unwrap_email(text) -> Column:
 
 
 def merge_attachment_urls(emails: DataFrame, uploads: DataFrame, key_col: str = "run_id",
-                          attachments_col: str = "attachments") -> DataFrame:
+                          attachments_col: str = "attachments", order_col: str = "position") -> DataFrame:
     """Set each attachment's blobUrl from the run's uploads.
 
-    ``uploads`` holds (key, name, blobUrl).  A known name takes the upload's
-    URL; an unknown one keeps its own (null if it had none).  Uploads become
-    one name -> URL map per run (a run has a handful of files), the emails
-    meet it on the run, and each attachment array is changed where it
-    stands: no row id is needed, so a retried task cannot mix up emails.
+    ``uploads`` holds (key, name, blobUrl, order); of a name uploaded twice the
+    last URL counts (without an order the greatest).  A known name takes the upload's URL; an unknown one keeps
+    its own (null if it had none), and so does an empty one.
+
+    Uploads are reduced to the last of each name, then to the names that the
+    run's attachments have, and only those become a name -> URL map: a run's
+    uploads are never gathered, however many there are.  The emails meet the
+    map on the run and each attachment array is changed where it stands, so no
+    row id is needed and a retried task cannot mix up emails.
     """
-    named = uploads.select(key_col, "name", "blobUrl").filter(F.col("name").isNotNull()).dropDuplicates([key_col, "name"])
-    urls = (named.groupBy(key_col).agg(F.map_from_entries(F.collect_list(F.struct("name", "blobUrl"))).alias("_urls")))
+    asked = (emails.select(key_col, F.explode_outer(F.transform(attachments_col, lambda a: a["name"])).alias("name"))
+             .filter(F.length("name") > 0).distinct())
+    order = order_col if order_col in uploads.columns else "blobUrl"
+    last = uploads.groupBy(key_col, "name").agg(F.max_by("blobUrl", order).alias("blobUrl"))
+    urls = (last.join(asked, [key_col, "name"], "left_semi").groupBy(key_col)
+            .agg(F.map_from_entries(F.collect_list(F.struct("name", "blobUrl"))).alias("_urls")))
     known = F.coalesce("_urls", F.create_map().cast("map<string,string>"))
     merged = F.transform(attachments_col, lambda a: a.withField(
         "blobUrl", F.coalesce(F.try_element_at(known, a["name"]), a["blobUrl"])))

@@ -7,17 +7,16 @@ nested-loop (cross) join.  Here it is an exact equi-join instead, over
 
 * equal terms are collapsed first (for a term the winner is always the item
   first in ledger order, whatever the text), so each term is matched once;
-* every haystack text is split into its distinct k-grams, which travel with
-  a text id, not with the text;
-* every term is keyed by the one of its k-grams that the fewest haystack
-  texts contain (terms shorter than k by themselves); a term with a gram
-  that no text has is dropped;
-* grams join keys on equality, the candidate pairs get their texts back by
-  id and are verified with ``contains``.
-
-A text contains a term only if it contains the term's key, so no pair is
-missed and none is invented.  Common grams (a shared prefix of all terms)
-key nothing, because every term has a rarer one.
+* every text is cut into its windows of each length that a term has, which
+  travel as hashes with a text id, not with the text;
+* windows meet the terms whose hash they have, so the candidates are the
+  pairs themselves; they get their texts back by id and are verified with
+  ``contains``.
+
+A text contains a term only if one of its windows is the term, so no pair is
+missed and none is invented.  A prefix that all terms share keys nothing.  A
+text of n characters has at most n windows for each length of a term: terms
+have few lengths, however many they are.
 """
 
 from __future__ import annotations
@@ -27,8 +26,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 
-GRAM = 4
-
 
 # --- reference data -----------------------------------------------------------
 
@@ -91,21 +88,6 @@ def ledger_terms(items: DataFrame, by_category: bool = False) -> DataFrame:
 
 # --- exact substring containment as an equi-join --------------------------------
 
-def _grams(text: F.Column, gram: int) -> F.Column:
-    """Distinct substrings of 1 to ``gram`` characters."""
-    def of(n: int) -> F.Column:
-        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - (n - 1)),
-                                                       lambda i: F.substring(text, i, F.lit(n)))
-                      ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(*[of(n) for n in range(1, gram + 1)]))
-
-
-def _key_grams(text: F.Column, gram: int) -> F.Column:
-    """The grams that can key a text: its ``gram``-grams, or itself if shorter."""
-    return F.when(F.length(text) < gram, F.array(text)).otherwise(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.length(text) - (gram - 1)), lambda i: F.substring(text, i, F.lit(gram)))))
-
-
 def _inside(hay: F.Column, needle: F.Column, word_boundary: bool) -> F.Column:
     if not word_boundary:
         return F.contains(hay, needle)
@@ -115,7 +97,7 @@ def _inside(hay: F.Column, needle: F.Column, word_boundary: bool) -> F.Column:
 
 
 def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str,
-                   gram: int = GRAM, keys: tuple[str, ...] = (), word_boundary: bool = False) -> DataFrame:
+                   keys: tuple[str, ...] = (), word_boundary: bool = False) -> DataFrame:
     """Distinct pairs (keys, hay_col, needle_col) where the hay text contains
     the needle text.
 
@@ -124,27 +106,25 @@ def contains_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col:
     both sides) narrow the match, e.g. the category.  ``word_boundary``
     asks that the needle begins and ends at the edge of a word.
     """
-    candidates, hays = candidate_pairs(hay, hay_col, needles, needle_col, gram, keys)
+    candidates, hays = candidate_pairs(hay, hay_col, needles, needle_col, keys)
     return (candidates.join(hays, [*keys, "_id"])
             .filter(_inside(F.col(hay_col), F.col(needle_col), word_boundary)).select(*keys, hay_col, needle_col))
 
 
-def candidate_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str, gram: int,
+def candidate_pairs(hay: DataFrame, hay_col: str, needles: DataFrame, needle_col: str,
                     keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(pairs of text id and needle whose text has the needle's rarest gram,
-    the distinct texts with their ids)."""
-    ks = list(keys)
+    """(pairs of text id and needle where a window of the text has the
+    needle's length and hash, the distinct texts with their ids)."""
+    ks, text = list(keys), F.col(hay_col)
     text_id = F.struct(F.xxhash64(hay_col).alias("a"), F.xxhash64(F.lit(7), hay_col).alias("b"))
-    hays = (hay.select(*ks, hay_col).filter(F.length(hay_col) > 0).distinct().withColumn("_id", text_id))
-    grams = hays.select(*ks, "_id", _grams(F.col(hay_col), gram).alias("_grams"))
-    grams = grams.select(*ks, "_id", F.explode_outer("_grams").alias("_gram"))
-    counts = grams.groupBy(*ks, "_gram").agg(F.count(F.lit(1)).alias("_held"))
+    hays = hay.select(*ks, hay_col).filter(F.length(hay_col) > 0).distinct().withColumn("_id", text_id)
     wanted = needles.select(*ks, needle_col).filter(F.length(needle_col) > 0).distinct()
-    wanted = wanted.select(*ks, needle_col, F.explode_outer(_key_grams(F.col(needle_col), gram)).alias("_gram"))
-    rarest = (wanted.join(counts, [*ks, "_gram"], "left").groupBy(*ks, needle_col)
-              .agg(F.min(F.struct(F.coalesce("_held", F.lit(0)).alias("held"), F.col("_gram").alias("gram"))).alias("_key"))
-              .filter(F.col("_key.held") > 0).select(*ks, needle_col, F.col("_key.gram").alias("_gram")))
-    return grams.join(rarest, [*ks, "_gram"]).select(*ks, "_id", needle_col), hays
+    lengths = wanted.agg(F.collect_set(F.length(needle_col))).scalar()
+    fitting = hays.select(*ks, "_id", hay_col, F.explode_outer(lengths).alias("_n")).filter(F.length(text) >= F.col("_n"))
+    hashes = F.transform(F.sequence(F.lit(1), F.length(text) - F.col("_n") + 1), lambda i: F.xxhash64(F.substring(text, i, F.col("_n"))))
+    windows = fitting.select(*ks, "_id", "_n", F.explode_outer(F.array_distinct(hashes)).alias("_window"))
+    hashed = wanted.select(*ks, needle_col, F.length(needle_col).alias("_n"), F.xxhash64(needle_col).alias("_window"))
+    return windows.join(hashed, [*ks, "_n", "_window"]).select(*ks, "_id", needle_col), hays
 
 
 # --- J7: category-scoped first match (browser workflow) ---------------------------
@@ -286,18 +266,35 @@ def posting_view(items: DataFrame, posted: DataFrame, invoice_currency: DataFram
     return with_lines.select(*cols).unionByName(without.select(*cols))
 
 
+#: Documents of one invoice follow each other in this order; the last one counts.
+DOCUMENT_ORDER = ("run_id", "source_path", "fileName")
+
+
+def last_document(invoices: DataFrame, value: F.Column, name: str) -> DataFrame:
+    """(invoiceId, ``name``): the value of each invoice's last document."""
+    order = [c for c in DOCUMENT_ORDER if c in invoices.columns]
+    at = F.struct(*order) if order else F.lit(0)
+    return invoices.groupBy("invoiceId").agg(F.max_by(value, at).alias(name))
+
+
+def filled(*names: str) -> F.Column:
+    """The first of the columns that is neither null nor empty text."""
+    return F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in names])
+
+
 def invoice_currency(invoices: DataFrame) -> DataFrame:
-    """J12 lookup table: invoiceId -> invoiceCurrency, else currency."""
-    cols = invoices.columns
-    cands = [F.col(c) for c in ("invoiceCurrency", "originalInvoiceCurrency", "currency") if c in cols]
-    return (invoices.select("invoiceId", F.coalesce(*cands).alias("invoice_currency"))
-            .dropDuplicates(["invoiceId"]))
+    """J12 lookup table: invoiceId -> the first of invoiceCurrency,
+    originalInvoiceCurrency and currency that is filled, from the invoice's
+    last document."""
+    named = [c for c in ("invoiceCurrency", "originalInvoiceCurrency", "currency") if c in invoices.columns]
+    return last_document(invoices, filled(*named), "invoice_currency")
 
 
 def expected_price_lookup(records: DataFrame, items: DataFrame) -> DataFrame:
-    """Add the ledger's expected unit price by code (left join)."""
-    prices = items.select(F.col("ledgerCode").cast("string").alias("_code"),
-                          F.col("expectedUnitPrice").alias("ledgerExpectedUnitPrice")).dropDuplicates(["_code"])
+    """Add the ledger's expected unit price by code (left join); of items
+    with one code the last in ledger order counts."""
+    prices = (items.groupBy(F.col("ledgerCode").cast("string").alias("_code"))
+              .agg(F.max_by("expectedUnitPrice", "item_position").alias("ledgerExpectedUnitPrice")))
     return (records.join(prices, F.col("ledgerCode").cast("string") == F.col("_code"), "left").drop("_code"))
 
 

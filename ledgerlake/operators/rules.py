@@ -250,11 +250,10 @@ def processing_notes(results: DataFrame) -> DataFrame:
 def exception_queue(records: DataFrame, invoices: DataFrame) -> DataFrame:
     """U2 + J11 + F8: exceptions and review items with their kind.
 
-    Vendor = the invoice's businessName, else its vendorName, else the
-    record's businessName.
+    Vendor = businessName, else vendorName, of the invoice's last document,
+    else the record's businessName; empty names count as none.
     """
-    business = (invoices.select("invoiceId", F.coalesce("businessName", "vendorName").alias("_biz"))
-                .dropDuplicates(["invoiceId"]))
+    business = L.last_document(invoices, L.filled("businessName", "vendorName"), "_biz")
     review = F.lower(F.coalesce(F.col("status"), F.lit(""))) == "review"
     kind = F.when(F.col("status") == "exception", "exception").when(review, "review")
     return (records.withColumn("kind", kind).filter(F.col("kind").isNotNull())

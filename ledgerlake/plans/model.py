@@ -8,7 +8,8 @@ notebook reads the previous layer's saved tables).  A table is written the
 first time a query asks for it, alone, as parquet in this application's
 folder under the cluster's shared ``spark.checkpoint.dir``:
 
-* bronze -- the mapping of the input tables onto the invoice model;
+* bronze -- the mapping of the input tables onto the invoice model, as tables
+  and as invoice documents with nested lines;
 * silver -- latest headers and their lines, from those bronze tables;
 * reference data and lookups -- ledger, category medians, the matches of
   distinct texts: their sizes are then known to the planner;
@@ -94,6 +95,13 @@ class Model:
                 _WRITTEN[key] = (fresh, StructType())
         return _WRITTEN[key][0]
 
+    def fresh(self, name: str, df: DataFrame) -> DataFrame:
+        """A table of a single query, written anew each time: what reads it
+        twice does not compute it twice."""
+        path = f"{scratch_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # -- bronze, computed fresh from the input tables ------------------------
     @cached_property
     def bronze_header_fresh(self) -> DataFrame:
@@ -128,6 +136,11 @@ class Model:
     def bronze_email(self) -> DataFrame:
         return self._table("bronze_ingestion_email", lambda: self.bronze_email_fresh)
 
+    @cached_property
+    def invoice_documents(self) -> DataFrame:
+        """The documents of all runs, with nested lines."""
+        return self._table("invoice_documents", lambda: driver.documents_of(self.spark, self.sf_dir))
+
     # -- silver, computed fresh from bronze ----------------------------------
     @cached_property
     def silver_invoice_fresh(self) -> DataFrame:

@@ -127,11 +127,12 @@ bronze_header AS (
          'invoice' AS documentType,
          CASE WHEN failed THEN 'failed' ELSE 'ok' END AS extractionStatus,
          CASE WHEN failed THEN 'partial extraction' END AS extractionNotes,
-         vendorName AS businessName,
+         CASE WHEN {_takes("o_orderkey", K.NO_BUSINESS_NAME)} THEN ''
+              WHEN rerun AND {_takes("o_orderkey", K.CORRECTED_BUSINESS)} THEN vendorName || ' Ltd' ELSE vendorName END AS businessName,
          invoiceDate AS fromDate,
          coalesce(strftime(due_d, '%Y-%m-%d'), '') AS toDate,
          totalAmount AS invoiceAmount,
-         currency AS invoiceCurrency,
+         CASE WHEN {_takes("o_orderkey", K.NO_INVOICE_CURRENCY)} THEN '' ELSE currency END AS invoiceCurrency,
          CAST(CASE WHEN upper(ccy) = 'AUD' THEN CAST(1 AS DECIMAL(18,6)) ELSE rate_inv END AS DOUBLE) AS exchangeRate,
          {converted("total", "ccy", "rate_due")} AS convertedInvoiceAmount,
          'AUD' AS convertedInvoiceCurrency

@@ -114,6 +114,8 @@ run_files AS (
       WHEN 4 THEN '{{"draft":["{{\\"n\\":' || email_id || '}}",null,' || {_j("email_subject")} || '],"email":' || email_sorted || ',"v":9007199254740993}}'
       ELSE '{{"v":{{"deep":{{"yes":true}},"k":"a\\":null,"}}}}' END
   FROM result_email WHERE ingestionStatus IS NOT NULL AND CAST(email_id AS BIGINT) % 2 = 0),
+documents AS (
+  SELECT l_orderkey, (CAST(lineNo AS BIGINT) - 1) // {K.LINES_PER_DOCUMENT} AS part, count(*) AS line_items FROM priced GROUP BY ALL),
 manifest_days AS (
   SELECT run_id, file_name, size_bytes, CAST(strptime(substr(run_id, 5, 8), '%Y%m%d') AS DATE) AS run_date FROM bronze_manifest),
 gl_new AS (
@@ -151,7 +153,7 @@ SELECTS = {
         "FROM fx_checked WHERE reject_reason IS NULL"),
     "json_invoice_header": (
         "SELECT h.run_id, h.source_path, " + ", ".join(f"h.{c}" for c in K.HEADER_COLUMNS)
-        + " FROM bronze_header h LEFT JOIN priced p ON p.l_orderkey = h.o_orderkey"),
+        + " FROM bronze_header h LEFT JOIN documents p ON p.l_orderkey = h.o_orderkey"),
     "json_invoice_lineitem": "SELECT * FROM bronze_lines",
     "json_ingestion_email": (
         "SELECT run_id, ingestionStatus, reason, email_id, email_from, email_from_name, email_to, email_subject, "
@@ -160,12 +162,14 @@ SELECTS = {
         "SELECT h.run_id, CASE WHEN paymentTerms IN ('PREPAID', 'NET 14') THEN 'array' "
         "WHEN paymentTerms = 'NET 30' THEN 'object' ELSE 'single' END AS shape, "
         + ", ".join(f"h.{c}" for c in K.HEADER_COLUMNS)
-        + ", CAST(p.l_orderkey IS NOT NULL AS INTEGER) AS line_items, p.lineNo, p.description, p.lineTotal "
+        + ", coalesce(CAST(d.line_items AS INTEGER), 0) AS line_items, p.lineNo, p.description, p.lineTotal "
         "FROM bronze_header h LEFT JOIN priced p ON p.l_orderkey = h.o_orderkey "
+        f"LEFT JOIN documents d ON d.l_orderkey = p.l_orderkey AND d.part = (CAST(p.lineNo AS BIGINT) - 1) // {K.LINES_PER_DOCUMENT} "
         "WHERE h.invoiceId IS NOT NULL OR paymentTerms = 'NET 30'"),
     "attachment_urls": (
         "SELECT run_id, 'invoice-' || email_id || '-' || i || '.pdf' AS name, "
-        "CASE WHEN i = 1 THEN 'https://files.example/' || run_id || '/1' END AS blobUrl "
+        "CASE WHEN i = 1 THEN 'https://files.example/' || run_id || CASE WHEN CAST(email_id AS BIGINT) % " + str(K.UPLOADED_TWICE[0])
+        + " = " + str(K.UPLOADED_TWICE[1]) + " THEN '/2' ELSE '/1' END END AS blobUrl "
         "FROM (SELECT run_id, email_id, unnest(range(1, attachment_count + 1)) AS i FROM bronze_email)"),
     "result_overlay": "SELECT run_id, node, value FROM overlay",
     "result_document": (

@@ -77,7 +77,7 @@ def _found_rate(date: str) -> str:
 
 RULE_CTES = f"""
 ledger_items AS (
-  SELECT p_type AS categoryName, CAST(min(p_partkey) AS VARCHAR) AS ledgerCode, upper(p_name) AS itemName,
+  SELECT p_type AS categoryName, CAST(min(p_partkey) - CAST(min(p_partkey) % {K.SHARED_CODE[0]} = {K.SHARED_CODE[1]} AS INTEGER) AS VARCHAR) AS ledgerCode, upper(p_name) AS itemName,
          min(p_retailprice) AS expectedUnitPrice,
          list_concat([arg_min(p_brand, p_partkey)],
                      CASE WHEN min(p_partkey) % {K.VENDOR_ALIAS[0]} = {K.VENDOR_ALIAS[1]}
@@ -167,9 +167,11 @@ u3 AS (
   SELECT * FROM a7 WHERE status IN ('matched', 'review')
   UNION ALL
   SELECT * FROM a7 WHERE status = 'exception'),
+last_document AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY invoiceId ORDER BY run_id DESC, source_path DESC, fileName DESC) AS rn
+                 FROM bronze_header) WHERE rn = 1),
 inv_ccy AS (
-  SELECT invoiceId, any_value(coalesce(invoiceCurrency, currency)) AS invoice_currency
-  FROM silver_invoice GROUP BY invoiceId),
+  SELECT invoiceId, coalesce(nullif(invoiceCurrency, ''), nullif(currency, '')) AS invoice_currency FROM last_document),
 fx_lookup AS (
   SELECT s.invoiceId, s.currency, s.invoiceDate, s.totalAmount,
          {_found_rate("s.invoiceDate")} AS found_rate, {_found_rate("s.dueDate")} AS due_rate, s.dueDate
@@ -220,8 +222,8 @@ RULE_SELECTS: dict[str, str] = {
         "CAST(NULL AS VARCHAR) AS categoryName, a.lineItemDescription AS description, a.lineTotal, "
         "a.ruleApplied, a.kind, a.reason FROM (SELECT *, CASE WHEN status = 'exception' THEN 'exception' "
         "WHEN lower(coalesce(status, '')) = 'review' THEN 'review' END AS kind FROM a7) a "
-        "LEFT JOIN (SELECT invoiceId, any_value(coalesce(businessName, vendorName)) AS biz FROM silver_invoice "
-        "GROUP BY invoiceId) b ON a.invoiceId = b.invoiceId WHERE a.kind IS NOT NULL"),
+        "LEFT JOIN (SELECT invoiceId, coalesce(nullif(businessName, ''), nullif(vendorName, '')) AS biz FROM last_document) b "
+        "ON a.invoiceId = b.invoiceId WHERE a.kind IS NOT NULL"),
     "posted_lines": "SELECT * FROM u3",
     "posted_entries": (
         "SELECT coalesce(invoiceId, '') || '-' || coalesce(lineNo, '') AS entry, invoiceId, "
@@ -240,7 +242,7 @@ RULE_SELECTS: dict[str, str] = {
         "FROM ledger_items i LEFT JOIN pl ON pl.code = trim(CAST(i.ledgerCode AS VARCHAR))"),
     "expected_price_lookup": (
         "SELECT a.invoiceId, a.lineNo, a.ledgerCode, a.convertedUnitPrice, p.price AS ledgerExpectedUnitPrice "
-        "FROM a7 a LEFT JOIN (SELECT CAST(ledgerCode AS VARCHAR) AS code, any_value(expectedUnitPrice) AS price "
+        "FROM a7 a LEFT JOIN (SELECT CAST(ledgerCode AS VARCHAR) AS code, arg_max(expectedUnitPrice, item_position) AS price "
         "FROM ledger_items GROUP BY 1) p ON p.code = CAST(a.ledgerCode AS VARCHAR)"),
     "budget_position": (
         f"SELECT c.categoryName, c.approvedBudget, c.ytdBalance, {_r('c.approvedBudget - c.ytdBalance')} AS remaining, "

@@ -28,7 +28,7 @@ def _json_files(m: Model, fields: tuple[str, ...]) -> DataFrame:
     """The invoice documents of all runs, written out as invoice.json texts
     and parsed back (run id from the path, P5); of each invoice only the
     ``fields`` that the table needs are parsed."""
-    texts = driver.invoice_files(driver.documents_of(m.spark, m.sf_dir))
+    texts = driver.invoice_files(m.invoice_documents)
     parsed = texts.select("source_path", J.parse_json("text", schemas.invoice_file(fields)).alias("file"))
     return runs.tagged(parsed.select("source_path", "file.invoices"), F.col("source_path"))
 
@@ -57,16 +57,16 @@ def _p3_json(m: Model) -> DataFrame:
 @query("invoice_replies")
 def _p13(m: Model) -> DataFrame:
     """P12 + P13: invoices read from agents' prose in any of the three shapes,
-    one row per reply and line."""
-    replies = driver.agent_invoice_replies(driver.documents_of(m.spark, m.sf_dir))
+    one row per reply and line (one without a line for an invoice that has none)."""
+    replies = driver.agent_invoice_replies(m.invoice_documents)
     cut = J.with_invoice_array(replies.select("run_id", "shape", J.extract_json_text("reply").alias("payload")),
                                "payload", "invoices")
     inv = J.explode_rows(cut.select("run_id", "shape", "invoices"), "invoices", "inv")
-    line = F.get("inv.lineItems", 0)
-    return inv.select("run_id", "shape", *[F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS],
-                      F.coalesce(F.size("inv.lineItems"), F.lit(0)).alias("line_items"),
-                      line["lineNo"].alias("lineNo"), line["description"].alias("description"),
-                      line["lineTotal"].try_cast("double").alias("lineTotal"))
+    head = [F.col(f"inv.{c}").alias(c) for c in K.HEADER_COLUMNS]
+    lines = inv.select("run_id", "shape", *head, F.coalesce(F.size("inv.lineItems"), F.lit(0)).alias("line_items"),
+                       F.explode_outer("inv.lineItems").alias("line"))
+    return lines.select("run_id", "shape", *K.HEADER_COLUMNS, "line_items", "line.lineNo", "line.description",
+                        F.col("line.lineTotal").try_cast("double").alias("lineTotal"))
 
 
 @query("attachment_urls")

@@ -74,7 +74,10 @@ def _j7(m: Model) -> DataFrame:
 @query("ledger_match_global")
 def _j8(m: Model) -> DataFrame:
     """Best ledger item over all items by description, then vendor."""
-    out = L.match_global(m.silver_lines, m.ledger_items)
+    lines, items = m.silver_lines, m.ledger_items
+    by_desc = m.fresh("by_description", L.description_lookup(lines, items))
+    by_vend = m.fresh("by_vendor", L.vendor_lookup(lines, items, by_desc))
+    out = L.match_global(lines, items, by_desc=by_desc, by_vend=by_vend)
     return out.select("invoiceId", "lineNo", "description", "vendorName",
                       F.col("ledger_item.ledgerCode").alias("ledgerCode"),
                       F.col("ledger_item.itemName").alias("itemName"),
@@ -107,8 +110,9 @@ def _g14(m: Model) -> DataFrame:
 
 @query("exception_queue")
 def _u2(m: Model) -> DataFrame:
-    """U2 + J11 + F8: exceptions and review items."""
-    return R.exception_queue(m.records_aud, m.silver_invoice)
+    """U2 + J11 + F8: exceptions and review items, with the names of the
+    invoices' last documents."""
+    return R.exception_queue(m.records_aud, m.bronze_header)
 
 
 @query("posted_lines")
@@ -126,7 +130,7 @@ def _a9(m: Model) -> DataFrame:
 @query("ledger_posting_view")
 def _j9(m: Model) -> DataFrame:
     """J9 + J12: ledger items with their posted lines."""
-    return L.posting_view(m.ledger_items, R.posted_lines(m.records_aud), L.invoice_currency(m.silver_invoice))
+    return L.posting_view(m.ledger_items, R.posted_lines(m.records_aud), L.invoice_currency(m.bronze_header))
 
 
 @query("expected_price_lookup")

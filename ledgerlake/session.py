@@ -32,19 +32,16 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
-    On a cluster ``master`` is left to spark-submit; locally it defaults to
-    ``local[*]``.  Shuffle partitions default to the core count for local
+    Without ``master`` it is spark-submit's or the configuration's, and
+    ``local[*]`` where those name none: a master set here would override
+    spark-submit's.  Shuffle partitions default to the core count for local
     runs; on a cluster set ``spark.sql.shuffle.partitions`` from the data
     size (roughly input bytes / 128 MB) and let AQE coalesce.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = "local[*]"
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    if shuffle_partitions is None and master and master.startswith("local"):
-        shuffle_partitions = os.cpu_count() or 8
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
@@ -52,10 +49,16 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not shuffle_partitions and _is_local(spark) and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", str(os.cpu_count() or 8))
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -65,7 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        if not _is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -130,7 +130,11 @@ def invoice_header(spark: SparkSession, sf_dir: str, totals: bool = True) -> Dat
         h = h.withColumn(name, F.when(~_spoiled("o_orderkey", (modulus, remainder)), F.col(name)))
     failed = ((F.col("o_orderstatus") == K.RERUN_ORDER_STATUS)
               & (~F.col("rerun") | _spoiled("o_orderkey", K.STILL_FAILED)))
-    h = with_descriptive_fields(h)
+    h = with_descriptive_fields(h).withColumns({
+        "businessName": F.when(_spoiled("o_orderkey", K.NO_BUSINESS_NAME), "")
+        .when(F.col("rerun") & _spoiled("o_orderkey", K.CORRECTED_BUSINESS), F.concat("vendorName", F.lit(" Ltd")))
+        .otherwise(F.col("businessName")),
+        "invoiceCurrency": F.when(_spoiled("o_orderkey", K.NO_INVOICE_CURRENCY), "").otherwise(F.col("invoiceCurrency"))})
     return h.select(
         "o_orderkey", "run_id", "source_path", F.current_timestamp().alias("ingested_at"), "fileName",
         F.lit(None).cast("string").alias("blobUrl"), "invoiceId", "vendorName",
@@ -241,7 +245,7 @@ def ledger_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.min("p_retailprice").alias("expectedUnitPrice"),
                  F.min_by("p_brand", "p_partkey").alias("alias"))
             .select("categoryName",
-                    F.col("item_position").cast("string").alias("ledgerCode"),
+                    (F.col("item_position") - _spoiled("item_position", K.SHARED_CODE).cast("int")).cast("string").alias("ledgerCode"),
                     F.upper("p_name").alias("itemName"),
                     "expectedUnitPrice",
                     F.array_compact(F.array(F.col("alias"), vendor)).alias("aliases"),
@@ -262,18 +266,31 @@ def ledger_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 # derived here row by row from the bronze tables and lineitem, so the
 # operators that read them run over the whole tables.
 
-def documents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invoice documents (run_id, source_path, ingested_at, invoice): one per
-    line of an invoice with that line, and one without lines for an invoice
-    that has none.  Nothing is gathered, so an invoice with any number of
-    lines is only so many documents."""
+def documents_of(spark: SparkSession, sf_dir: str, lines_each: int = K.LINES_PER_DOCUMENT) -> DataFrame:
+    """Invoice documents (run_id, source_path, ingested_at, invoice): the
+    lines of an invoice in documents of at most ``lines_each``, by their
+    numbers, and one document without lines for an invoice that has none.
+
+    A document's size is bounded by the numbers of its lines, so an invoice
+    with any number of lines is only so many documents, and its header is
+    written once for all lines of a document.  The lines are gathered before
+    they meet the headers: a re-run order has one set of documents' lines.
+    """
     h = invoice_header(spark, sf_dir)
-    joined = h.join(_priced_lines(spark, sf_dir), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    amounts = {"convertedUnitPrice": F.round(F.col("unitPrice") * F.col("exchangeRate"), 2),
-               "convertedLineTotal": F.round(F.col("lineTotal") * F.col("exchangeRate"), 2)}
-    line = F.struct(*[amounts.get(c, F.col(c)).alias(c) for c in
-                      ("lineNo", "categoryName", "description", *K.LINE_NUMERIC_COLUMNS)])
-    invoice = F.struct(*K.HEADER_COLUMNS, F.when(F.col("l_orderkey").isNotNull(), F.array(line)).alias("lineItems"))
+    line = F.struct(*[F.col(c) for c in ("lineNo", "categoryName", "description", "quantity", "unitPrice", "lineTotal")])
+    part = F.floor((F.col("lineNo").cast("long") - 1) / lines_each)
+    lines = (_priced_lines(spark, sf_dir).groupBy("l_orderkey", part.alias("part"))
+             .agg(F.array_sort(F.collect_list(F.struct(F.col("lineNo").cast("long").alias("at"), line.alias("line")))).alias("_lines")))
+    rate = F.col("exchangeRate")
+
+    def priced(x: F.Column) -> F.Column:
+        given = x["line"]
+        return F.struct(*[given[c].alias(c) for c in ("lineNo", "categoryName", "description", "quantity", "unitPrice", "lineTotal")],
+                        F.round(given["unitPrice"] * rate, 2).alias("convertedUnitPrice"),
+                        F.round(given["lineTotal"] * rate, 2).alias("convertedLineTotal"))
+
+    joined = h.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    invoice = F.struct(*K.HEADER_COLUMNS, F.transform("_lines", priced).alias("lineItems"))
     return joined.select("run_id", "source_path", "ingested_at", invoice.alias("invoice"))
 
 
@@ -324,10 +341,13 @@ def attachments() -> F.Column:
 
 
 def uploads(email: DataFrame) -> DataFrame:
-    """Uploaded files (run_id, name, blobUrl): every email's first attachment."""
-    return (email.filter(F.col("attachment_count") > 0)
-            .select("run_id", F.get(attachments(), 0)["name"].alias("name"),
-                    F.concat(F.lit("https://files.example/"), "run_id", F.lit("/1")).alias("blobUrl")))
+    """Uploaded files (run_id, name, blobUrl, position): every email's first
+    attachment, of some emails twice."""
+    twice = F.pmod(F.col("email_id").cast("long"), F.lit(K.UPLOADED_TWICE[0])) == K.UPLOADED_TWICE[1]
+    each = email.filter(F.col("attachment_count") > 0).select(
+        "run_id", F.get(attachments(), 0)["name"].alias("name"),
+        F.explode(F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("position"))
+    return each.withColumn("blobUrl", F.concat(F.lit("https://files.example/"), "run_id", F.lit("/"), F.col("position").cast("string")))
 
 
 def ingestion_payloads(email: DataFrame) -> DataFrame:
