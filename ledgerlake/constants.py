@@ -106,3 +106,16 @@ LINES_PER_DOCUMENT = 50         # an invoice's lines are written in documents of
 FX_GENERATED_FIRST_YEAR = 1994
 FX_GENERATED_LAST_YEAR = 2002
 FX_GENERATED_BASE = (("USD", 1.55), ("EUR", 1.64))
+# Rules files of the benchmark (fields as in the rules table): the shipped one
+# and one that a customer has changed, with another limit, other outcomes, a
+# person to look at near prices and no rule for prices that are off.
+RULE_FIELDS = ("id", "outcome", "humanInLoop", "tolerancePercent", "toleranceAbsolute", "thresholdAmount")
+SHIPPED_RULES = (("R1", "matched", None, None, None, None),
+                 ("R2", "matched", None, RULE_TOLERANCE_PERCENT, RULE_TOLERANCE_ABSOLUTE, None),
+                 ("R3", "review", True, None, None, None),
+                 ("R4", "review", True, None, None, RULE_HIGH_VALUE_THRESHOLD),
+                 ("R5", "exception", None, None, None, None))
+CHANGED_RULES = (("R1", "matched", None, None, None, None),
+                 ("R2", "review", True, 2.0, None, None),
+                 ("R4", "exception", False, None, None, 20000.0),
+                 ("R5", "review", True, None, None, None))

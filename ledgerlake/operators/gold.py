@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.columns import due_week, invoice_month
+from .reports import read_sorted  # noqa: F401  (the reports' reading order)
 
 # Accuracy of the median sketch.  Groups smaller than this get the exact
 # lower median; larger ones a value within 1/accuracy of rank.  Memory is
@@ -111,6 +112,35 @@ def default_measures(df: DataFrame, by: list[str], measures=LINE_MEASURES) -> Da
     return df.groupBy(*by).agg(*[F.round(F.sum(F.col(m).cast("double")), 2).alias(f"sum_{m}") for m in measures])
 
 
+def measures_by_levels(df: DataFrame, dimensions: list[str], levels: list[list[str]], measures=LINE_MEASURES) -> DataFrame:
+    """G17 at several levels in one pass over the table: the sums of each
+    listed set of dimensions, with ``level``, whose bits mark the dimensions
+    that a row sums over (the last dimension is the lowest bit).  Sums are
+    decimal, so a total does not depend on the order of its rows; an amount
+    beyond 22 digits is left out."""
+    exact = [F.round(F.sum(F.col(m).try_cast("decimal(28,6)")).cast("double"), 2).alias(f"sum_{m}") for m in measures]
+    return (df.groupingSets([[F.col(c) for c in level] for level in levels], *dimensions)
+            .agg(F.grouping_id().cast("long").alias("level"), *exact))
+
+
+SKETCH_K = 800  # rank error of a merged sketch: 0.5 % with 99 % confidence
+
+
+def price_sketches(lines: DataFrame, day: str = "run_id") -> DataFrame:
+    """G3 kept up by day: one small quantile sketch per category and day.  A
+    new day adds its own rows to the saved table; medians over any days are
+    merged from the sketches, the lines are not read again."""
+    priced = lines.where(F.col("convertedUnitPrice").isNotNull())
+    return (priced.groupBy("categoryName", F.col(day).alias("day"))
+            .agg(F.kll_sketch_agg_double("convertedUnitPrice", SKETCH_K).alias("sketch"), F.count(F.lit(1)).alias("prices")))
+
+
+def medians_of_sketches(sketches: DataFrame) -> DataFrame:
+    """Median unit price of each category from the sketches of its days."""
+    merged = sketches.groupBy("categoryName").agg(F.kll_merge_agg_double("sketch", SKETCH_K).alias("_all"), F.sum("prices").alias("prices"))
+    return merged.select("categoryName", "prices", F.kll_sketch_get_quantile_double("_all", F.lit(0.5).cast("double")).alias("median_unit_price_aud"))
+
+
 def gold(inv: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
     return {
         "gold_spend_by_vendor_month": spend_by_vendor_month(inv),
@@ -119,19 +149,3 @@ def gold(inv: DataFrame, lines: DataFrame) -> dict[str, DataFrame]:
         "gold_payment_calendar": payment_calendar(inv),
         "gold_fx_sensitivity": fx_sensitivity(inv),
     }
-
-
-# O1: the order in which a report is read.  Tables are saved unsorted (a global
-# sort of a saved table is a shuffle its readers do not need).
-REPORT_ORDER = {
-    "gold_spend_by_vendor_month": (("invoice_month", True), ("total_aud", False)),
-    "gold_payment_calendar": (("due_week", True),),
-    "obs_duplicate_runs": (("run_count", False), ("invoiceId", True), ("run_id", True)),
-    "email_decisions": (("run_id", True),),
-    "vendor_summary": (("total_aud", False),),
-}
-
-
-def read_sorted(table: DataFrame, name: str) -> DataFrame:
-    """O1: a report table in its reading order."""
-    return table.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in REPORT_ORDER[name]])

@@ -63,11 +63,6 @@ def _money(x, currency=None) -> Column:
     return format_money(x, currency)
 
 
-def _const_money(amount: float, currency: str = K.DEFAULT_MONEY_CURRENCY) -> Column:
-    """Money text of a constant, formatted once on the driver."""
-    return F.lit(f"{currency} {amount:.2f}")
-
-
 def _only(rule: Column, rules: tuple[str, ...], value: Column) -> Column:
     """A text needed only by some rules: computed for those rows alone."""
     return F.when(rule.isin(*rules), value)
@@ -91,25 +86,84 @@ def thresholds(rules: DataFrame) -> Thresholds:
     return Thresholds(**{k: v for k, v in given.items() if v is not None})
 
 
-def _price_rule_columns(unit: Column, line_total: Column, expected: Column, t: Thresholds):
+@dataclass(frozen=True)
+class RuleSet:
+    """The rules as values of the query itself: limits, outcomes and who has
+    to look, from a rules table or the defaults.  The order in which rules are
+    tried is fixed (R6, R5, R4, R1, R2, R3)."""
+
+    tolerance_percent: Column
+    tolerance_absolute: Column
+    high_value: Column  # null: no such rule
+    outcome: Column  # map rule -> status
+    human: Column  # map rule -> whether a person has to look
+
+    def status(self, rule: Column) -> Column:
+        return F.coalesce(F.try_element_at(self.outcome, rule), _case(rule, DEFAULT_OUTCOME))
+
+    def human_in_loop(self, rule: Column) -> Column:
+        return F.coalesce(F.try_element_at(self.human, rule), _case(rule, DEFAULT_HUMAN))
+
+
+DEFAULT_OUTCOME = {"R6": "exception", "R5": "exception", "R4": "review", "R1": "matched", "R2": "matched", "R3": "review"}
+DEFAULT_HUMAN = {"R6": False, "R5": False, "R4": True, "R1": False, "R2": False, "R3": True}
+
+
+def _case(key: Column, values: dict) -> Column:
+    out = F
+    for k, v in values.items():
+        out = out.when(key == k, F.lit(v))
+    return out
+
+
+def fixed_rules(t: Thresholds) -> RuleSet:
+    none = F.create_map()
+    return RuleSet(F.lit(t.tolerance_percent), F.lit(t.tolerance_absolute), F.lit(t.high_value),
+                   none.cast("map<string,string>"), none.cast("map<string,boolean>"))
+
+
+def rules_of(rules: DataFrame) -> RuleSet:
+    """S8 as data: a rules table (id, outcome, humanInLoop, tolerancePercent,
+    toleranceAbsolute, thresholdAmount), one row a rule, read by the query
+    itself as one scalar subquery: nothing is collected, and a changed table
+    changes the outcome.  A limit that a rule does not give is 0; without R4
+    no line is of high value; a rule without an outcome keeps its default, one
+    that does not say that a person has to look needs none.  Of rows with one
+    id the last by its fields counts."""
+    def limit(rule: str, column: str) -> Column:
+        return F.max(F.when(F.col("id") == rule, F.coalesce(F.col(column).cast("double"), F.lit(0.0))))
+
+    one = rules.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(F.struct(
+        "outcome", "humanInLoop", "tolerancePercent", "toleranceAbsolute", "thresholdAmount")).alias("r")).select("id", "r.*")
+    said = F.col("outcome").isNotNull()
+    read = one.agg(F.struct(
+        F.coalesce(limit("R2", "tolerancePercent"), F.lit(0.0)).alias("percent"),
+        F.coalesce(limit("R2", "toleranceAbsolute"), F.lit(0.0)).alias("absolute"), limit("R4", "thresholdAmount").alias("high"),
+        F.map_from_entries(F.collect_list(F.when(said, F.struct("id", "outcome")))).alias("outcome"),
+        F.map_from_entries(F.collect_list(F.struct("id", F.coalesce("humanInLoop", F.lit(False))))).alias("human"))).scalar()
+    return RuleSet(read["percent"], read["absolute"], read["high"], read["outcome"], read["human"])
+
+
+def _price_rule_columns(unit: Column, line_total: Column, expected: Column, rules: RuleSet):
     diff = F.abs(unit - expected)
-    tolerance = F.greatest(expected * F.lit(t.tolerance_percent / 100.0), F.lit(t.tolerance_absolute))
-    high = line_total > F.lit(t.high_value)
+    tolerance = F.greatest(expected * (rules.tolerance_percent / F.lit(100.0)), rules.tolerance_absolute)
+    high = line_total > rules.high_value
     exact = diff < F.lit(K.RULE_EXACT_PRICE_DELTA)
     within = diff <= tolerance
     return diff, tolerance, high, exact, within
 
 
-def classify_aud(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+def classify_aud(matched: DataFrame, t: Thresholds | RuleSet = Thresholds()) -> DataFrame:
     """Classify lines matched by J8 (``ledger_item``) on AUD values.
 
     R5 no item -> exception; R4 convertedLineTotal > 5000 -> review;
     R1 |convertedUnitPrice - expected| < 0.01 -> matched; R2 within
     max(10 %, 50) -> matched; else R3 -> review.  Output is the match record.
     """
+    rules = t if isinstance(t, RuleSet) else fixed_rules(t)
     item = F.col("ledger_item")
     unit, total, expected = F.col("convertedUnitPrice"), F.col("convertedLineTotal"), item["expectedUnitPrice"]
-    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, t)
+    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, rules)
     cur = F.lit(K.LEDGER_CURRENCY)
     rule = (F.when(item.isNull(), "R5").when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
     matched = matched.withColumn("_rule", rule)
@@ -117,12 +171,11 @@ def classify_aud(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     matched, vals = _with_texts(matched, {
         "description": F.col("description"), "vendor": F.col("vendorName"),
         "line_total": _only(rule, ("R4",), _money(total, cur)),
-        "threshold": _const_money(t.high_value, K.LEDGER_CURRENCY),
+        "threshold": _only(rule, ("R4",), _money(rules.high_value, cur)),
         "expected": _only(rule, ("R1", "R2", "R3"), _money(expected, cur)),
         "unit_price": _only(rule, ("R2", "R3"), _money(unit, cur)),
         "tolerance": _only(rule, ("R2", "R3"), _money(tol, cur)),
         "diff": _only(rule, ("R3",), _money(diff, cur))})
-    status = (F.when(rule == "R5", "exception").when(rule.isin("R1", "R2"), "matched").otherwise("review"))
     reason = F.when(rule == "R5", _fill(A7_TEXT["R5"], vals))
     for r in ("R4", "R1", "R2", "R3"):
         reason = reason.when(rule == r, _fill(A7_TEXT[r], vals))
@@ -132,23 +185,24 @@ def classify_aud(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
         F.col("vendorName").alias("businessName"),
         "quantity", "unitPrice", "lineTotal", "convertedUnitPrice", "convertedLineTotal",
         F.lit(K.LEDGER_CURRENCY).alias("convertedCurrency"),
-        status.alias("status"),
+        rules.status(rule).alias("status"),
         F.when(item.isNotNull(), item["itemName"]).alias("matchedLedgerItem"),
         F.when(item.isNotNull(), item["ledgerCode"]).alias("ledgerCode"),
         rule.alias("ruleApplied"),
         reason.alias("reason"),
-        rule.isin("R3", "R4").alias("humanInLoop"))
+        rules.human_in_loop(rule).alias("humanInLoop"))
 
 
-def classify_category(matched: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+def classify_category(matched: DataFrame, t: Thresholds | RuleSet = Thresholds()) -> DataFrame:
     """The browser workflow's classification of lines matched by J7.
 
     Same order as A7 but on native values, plus R6 when the category is not
     in the ledger.  Money text uses the default currency (USD) like the page.
     """
+    rules = t if isinstance(t, RuleSet) else fixed_rules(t)
     item = F.col("ledger_item")
     unit, total, expected = F.col("unitPrice"), F.col("lineTotal"), item["expectedUnitPrice"]
-    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, t)
+    diff, tol, high, exact, within = _price_rule_columns(unit, total, expected, rules)
     rule = (F.when(F.col("ledger_category").isNull(), "R6").when(item.isNull(), "R5")
             .when(high, "R4").when(exact, "R1").when(within, "R2").otherwise("R3"))
     matched = matched.withColumn("_rule", rule)
@@ -157,13 +211,11 @@ def classify_category(matched: DataFrame, t: Thresholds = Thresholds()) -> DataF
         "category": F.col("categoryName"), "description": F.col("description"),
         "ledger_category": F.col("ledger_category"),
         "line_total": _only(rule, ("R4",), _money(total)),
-        "threshold": _const_money(t.high_value),
+        "threshold": _only(rule, ("R4",), _money(rules.high_value)),
         "expected": _only(rule, ("R1", "R2", "R3"), _money(expected)),
         "unit_price": _only(rule, ("R2", "R3"), _money(unit)),
         "tolerance": _only(rule, ("R2", "R3"), _money(tol)),
         "diff": _only(rule, ("R3",), _money(diff))})
-    status = (F.when(rule.isin("R6", "R5"), "exception").when(rule.isin("R1", "R2"), "matched")
-              .otherwise("review"))
     reason = F.when(rule == "R6", _fill(A8_TEXT["R6"], vals))
     for r in ("R5", "R4", "R1", "R2", "R3"):
         reason = reason.when(rule == r, _fill(A8_TEXT[r], vals))
@@ -173,10 +225,10 @@ def classify_category(matched: DataFrame, t: Thresholds = Thresholds()) -> DataF
         "description", "quantity", "unitPrice", "lineTotal",
         F.col("ledger_category").alias("matchedLedgerCategory"),
         F.when(item.isNotNull(), item["itemName"]).alias("matchedLedgerItem"),
-        status.alias("status"),
+        rules.status(rule).alias("status"),
         rule.alias("ruleApplied"),
         reason.alias("reason"),
-        rule.isin("R3", "R4").alias("humanInLoop"))
+        rules.human_in_loop(rule).alias("humanInLoop"))
 
 
 def process_lines_aud(lines: DataFrame, items: DataFrame) -> DataFrame:

@@ -246,6 +246,14 @@ SPEND_BY_VENDOR_MONTH = (
         f"count(invoiceId) AS invoices, {_r('sum(totalAmount)')} AS total_native, "
         f"{_r('sum(convertedInvoiceAmount)')} AS total_aud FROM silver_invoice GROUP BY 1, 2")
 
+_PRICE_BENCHMARK = (
+        "WITH b AS (SELECT categoryName, quantile_disc(convertedUnitPrice, 0.5) AS median_unit_price_aud, "
+        "count(DISTINCT vendorName) AS vendors FROM silver_lines GROUP BY categoryName) "
+        "SELECT l.invoiceId, l.vendorName, l.categoryName, l.description, l.convertedUnitPrice, "
+        "b.median_unit_price_aud, CASE WHEN b.median_unit_price_aud = 0 THEN NULL ELSE "
+        + _r("100 * (l.convertedUnitPrice - b.median_unit_price_aud) / b.median_unit_price_aud", 1)
+        + " END AS vs_median_pct FROM silver_lines l JOIN b ON l.categoryName = b.categoryName WHERE b.vendors > 1")
+
 SELECTS: dict[str, str] = {
     "bronze_invoice_header": f"SELECT {_HEADER_COLS} FROM bronze_header",
     "bronze_invoice_lineitem": "SELECT * FROM bronze_lines",
@@ -277,13 +285,7 @@ SELECTS: dict[str, str] = {
         "SELECT categoryName, quantile_disc(convertedUnitPrice, 0.5) AS median_unit_price_aud, "
         "min(convertedUnitPrice) AS min_unit_price, max(convertedUnitPrice) AS max_unit_price, "
         "count(DISTINCT vendorName) AS vendors, count(*) AS line_count FROM silver_lines GROUP BY categoryName"),
-    "unit_price_benchmark": (
-        "WITH b AS (SELECT categoryName, quantile_disc(convertedUnitPrice, 0.5) AS median_unit_price_aud, "
-        "count(DISTINCT vendorName) AS vendors FROM silver_lines GROUP BY categoryName) "
-        "SELECT l.invoiceId, l.vendorName, l.categoryName, l.description, l.convertedUnitPrice, "
-        "b.median_unit_price_aud, CASE WHEN b.median_unit_price_aud = 0 THEN NULL ELSE "
-        + _r("100 * (l.convertedUnitPrice - b.median_unit_price_aud) / b.median_unit_price_aud", 1)
-        + " END AS vs_median_pct FROM silver_lines l JOIN b ON l.categoryName = b.categoryName WHERE b.vendors > 1"),
+    "unit_price_benchmark": _PRICE_BENCHMARK,
     "payment_calendar": (
         f"SELECT date_trunc('week', CAST(TRY_CAST(dueDate AS DATE) AS TIMESTAMP)) AS due_week, "
         f"count(invoiceId) AS invoices, {_r('sum(convertedInvoiceAmount)')} AS due_aud "
@@ -293,6 +295,27 @@ SELECTS: dict[str, str] = {
         "FROM silver_invoice WHERE currency <> 'AUD' GROUP BY currency) "
         f"SELECT currency, {_r('s')} AS base_aud, {_r('s * CAST(1.05 AS DOUBLE)')} AS plus_5pct, "
         f"{_r('s * CAST(0.95 AS DOUBLE)')} AS minus_5pct FROM s"),
+    "line_measures_by_level": (
+        "SELECT vendorName, categoryName, CAST(grouping(vendorName, categoryName) AS BIGINT) AS level, "
+        + ", ".join(_r(f"CAST(sum(CAST({m} AS DECIMAL(28,6))) AS DOUBLE)") + f" AS sum_{m}"
+                    for m in ("quantity", "unitPrice", "lineTotal", "convertedUnitPrice", "convertedLineTotal"))
+        + " FROM silver_lines GROUP BY GROUPING SETS ((vendorName, categoryName), (vendorName), (categoryName), ())"),
+    "unit_price_medians_by_day": (
+        "SELECT categoryName, count(convertedUnitPrice) AS prices, true AS within_error FROM silver_lines "
+        "GROUP BY categoryName HAVING count(convertedUnitPrice) > 0"),
+    "spend_report": (
+        "SELECT *, row_number() OVER (ORDER BY invoice_month ASC NULLS FIRST, total_aud DESC NULLS LAST, vendorName ASC NULLS FIRST, "
+        f"invoices, total_native ASC NULLS FIRST) AS rank FROM ({SPEND_BY_VENDOR_MONTH})"),
+    "price_report": (
+        "SELECT *, row_number() OVER (ORDER BY vs_median_pct DESC NULLS LAST, invoiceId ASC NULLS FIRST, vendorName ASC NULLS FIRST, "
+        "categoryName ASC NULLS FIRST, description ASC NULLS FIRST, convertedUnitPrice ASC NULLS FIRST, median_unit_price_aud ASC NULLS FIRST) "
+        f"AS rank FROM ({_PRICE_BENCHMARK})"),
+    "header_preview": (
+        f"SELECT {_HEADER_COLS}, row_number() OVER (ORDER BY run_id, fileName) AS rank FROM bronze_header "
+        "ORDER BY run_id, fileName LIMIT 20"),
+    "manifest_preview": (
+        "SELECT *, row_number() OVER (ORDER BY run_id, modify_time, file_name, size_bytes, modify_time_ms) AS rank "
+        "FROM bronze_manifest ORDER BY run_id, modify_time, file_name, size_bytes, modify_time_ms LIMIT 50"),
     "line_measures_by_category": f"SELECT categoryName, {_MEASURES_LINES} FROM silver_lines GROUP BY categoryName",
     "latency_measures_by_day": (
         f"SELECT substring(run_id, 5, 8) AS run_day, {_MEASURES_LAT} FROM stage_latency GROUP BY 1"),

@@ -2,7 +2,7 @@
 
 Matching is written the obvious way here (``contains`` in the join
 condition): the oracle only has to be right at the check's scale, while
-the Spark plan uses the k-gram equi-join.
+the Spark plan joins windows of the texts to the terms.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ def _fill(template: str, values: dict[str, str]) -> str:
     return " || ".join(parts)
 
 
-_TOL = f"greatest(m_expected * CAST({K.RULE_TOLERANCE_PERCENT / 100.0} AS DOUBLE), CAST({K.RULE_TOLERANCE_ABSOLUTE} AS DOUBLE))"
-_THRESH = f"CAST({K.RULE_HIGH_VALUE_THRESHOLD} AS DOUBLE)"
 _EXACT = f"CAST({K.RULE_EXACT_PRICE_DELTA} AS DOUBLE)"
 
 
@@ -39,18 +37,72 @@ def _reason_case(texts: dict[str, str], values: dict[str, str], order) -> str:
     return "CASE ruleApplied " + " ".join(f"WHEN '{r}' THEN {_fill(texts[r], values)}" for r in order) + " END"
 
 
-_A7_VALUES = {
-    "description": "description", "vendor": "vendorName",
-    "line_total": _money("convertedLineTotal", "'AUD'"), "threshold": _money(_THRESH, "'AUD'"),
-    "expected": _money("m_expected", "'AUD'"), "unit_price": _money("convertedUnitPrice", "'AUD'"),
-    "tolerance": _money("tol", "'AUD'"), "diff": _money("diff", "'AUD'"),
-}
-_A8_VALUES = {
-    "category": "categoryName", "description": "description", "ledger_category": "ledger_category",
-    "line_total": _money("lineTotal"), "threshold": _money(_THRESH),
-    "expected": _money("m_expected"), "unit_price": _money("unitPrice"),
-    "tolerance": _money("tol"), "diff": _money("diff"),
-}
+def _limits(rules) -> tuple[str, str]:
+    """(tolerance, high-value limit) in SQL; a limit not given is 0, a high-value rule not given NULL."""
+    by_id = {r[0]: dict(zip(K.RULE_FIELDS, r)) for r in rules}
+    r2, r4 = by_id.get("R2", {}), by_id.get("R4")
+    tolerance = (f"greatest(m_expected * CAST({(r2.get('tolerancePercent') or 0) / 100.0} AS DOUBLE), "
+                 f"CAST({r2.get('toleranceAbsolute') or 0} AS DOUBLE))")
+    return tolerance, f"CAST({r4['thresholdAmount'] or 0} AS DOUBLE)" if r4 else "CAST(NULL AS DOUBLE)"
+
+
+def _outcomes(rules) -> tuple[str, str]:
+    """(status, humanInLoop) by ruleApplied in SQL: the file's, else what the rule does by itself."""
+    status = {"R1": "matched", "R2": "matched", "R3": "review", "R4": "review", "R5": "exception", "R6": "exception"}
+    status |= {r[0]: r[1] for r in rules if r[1]}
+    human = {"R3": True, "R4": True} | {r[0]: bool(r[2]) for r in rules}
+    return ("CASE ruleApplied " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in status.items()) + " END",
+            "ruleApplied IN ('none'" + "".join(f", '{k}'" for k, v in human.items() if v) + ")")
+
+
+def _a7_sql(name: str, rules) -> str:
+    tolerance, high = _limits(rules)
+    status, human = _outcomes(rules)
+    values = {"description": "description", "vendor": "vendorName",
+              "line_total": _money("convertedLineTotal", "'AUD'"), "threshold": _money(high, "'AUD'"),
+              "expected": _money("m_expected", "'AUD'"), "unit_price": _money("convertedUnitPrice", "'AUD'"),
+              "tolerance": _money("tol", "'AUD'"), "diff": _money("diff", "'AUD'")}
+    return f"""{name}_base AS (
+  SELECT *, abs(convertedUnitPrice - m_expected) AS diff, {tolerance} AS tol FROM j8),
+{name}_rule AS (
+  SELECT *, CASE WHEN NOT has_item THEN 'R5' WHEN convertedLineTotal > {high} THEN 'R4'
+                 WHEN diff < {_EXACT} THEN 'R1' WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
+  FROM {name}_base),
+{name} AS (
+  SELECT invoiceId, lineNo, description AS lineItemDescription, vendorName AS businessName,
+         quantity, unitPrice, lineTotal, convertedUnitPrice, convertedLineTotal, 'AUD' AS convertedCurrency,
+         {status} AS status,
+         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
+         CASE WHEN has_item THEN m_code END AS ledgerCode,
+         ruleApplied,
+         {_reason_case(A7_TEXT, values, ("R5", "R4", "R1", "R2", "R3"))} AS reason,
+         {human} AS humanInLoop
+  FROM {name}_rule)"""
+
+
+def _a8_sql(name: str, rules) -> str:
+    tolerance, high = _limits(rules)
+    status, human = _outcomes(rules)
+    values = {"category": "categoryName", "description": "description", "ledger_category": "ledger_category",
+              "line_total": _money("lineTotal"), "threshold": _money(high),
+              "expected": _money("m_expected"), "unit_price": _money("unitPrice"),
+              "tolerance": _money("tol"), "diff": _money("diff")}
+    return f"""{name}_base AS (
+  SELECT *, abs(unitPrice - m_expected) AS diff, {tolerance} AS tol FROM j7),
+{name}_rule AS (
+  SELECT *, CASE WHEN ledger_category IS NULL THEN 'R6' WHEN NOT has_item THEN 'R5'
+                 WHEN lineTotal > {high} THEN 'R4' WHEN diff < {_EXACT} THEN 'R1'
+                 WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
+  FROM {name}_base),
+{name} AS (
+  SELECT invoiceId, vendorName, categoryName, lineNo AS lineItemId, description, quantity, unitPrice, lineTotal,
+         ledger_category AS matchedLedgerCategory,
+         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
+         {status} AS status,
+         ruleApplied,
+         {_reason_case(A8_TEXT, values, ("R6", "R5", "R4", "R1", "R2", "R3"))} AS reason,
+         {human} AS humanInLoop
+  FROM {name}_rule)"""
 
 
 def _best(cands: str, rank_contains: int, src: str, out: str) -> str:
@@ -121,40 +173,10 @@ j8 AS (
   FROM silver_lines l
   LEFT JOIN j8_db db ON db.t = lower(coalesce(l.description, ''))
   LEFT JOIN j8_vb vb ON vb.t = lower(coalesce(l.vendorName, ''))),
-a7_base AS (
-  SELECT *, abs(convertedUnitPrice - m_expected) AS diff, {_TOL} AS tol FROM j8),
-a7_rule AS (
-  SELECT *, CASE WHEN NOT has_item THEN 'R5' WHEN convertedLineTotal > {_THRESH} THEN 'R4'
-                 WHEN diff < {_EXACT} THEN 'R1' WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
-  FROM a7_base),
-a7 AS (
-  SELECT invoiceId, lineNo, description AS lineItemDescription, vendorName AS businessName,
-         quantity, unitPrice, lineTotal, convertedUnitPrice, convertedLineTotal, 'AUD' AS convertedCurrency,
-         CASE WHEN ruleApplied = 'R5' THEN 'exception' WHEN ruleApplied IN ('R1', 'R2') THEN 'matched'
-              ELSE 'review' END AS status,
-         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
-         CASE WHEN has_item THEN m_code END AS ledgerCode,
-         ruleApplied,
-         {_reason_case(A7_TEXT, _A7_VALUES, ("R5", "R4", "R1", "R2", "R3"))} AS reason,
-         ruleApplied IN ('R3', 'R4') AS humanInLoop
-  FROM a7_rule),
-a8_base AS (
-  SELECT *, abs(unitPrice - m_expected) AS diff, {_TOL} AS tol FROM j7),
-a8_rule AS (
-  SELECT *, CASE WHEN ledger_category IS NULL THEN 'R6' WHEN NOT has_item THEN 'R5'
-                 WHEN lineTotal > {_THRESH} THEN 'R4' WHEN diff < {_EXACT} THEN 'R1'
-                 WHEN diff <= tol THEN 'R2' ELSE 'R3' END AS ruleApplied
-  FROM a8_base),
-a8 AS (
-  SELECT invoiceId, vendorName, categoryName, lineNo AS lineItemId, description, quantity, unitPrice, lineTotal,
-         ledger_category AS matchedLedgerCategory,
-         CASE WHEN has_item THEN m_item END AS matchedLedgerItem,
-         CASE WHEN ruleApplied IN ('R6', 'R5') THEN 'exception' WHEN ruleApplied IN ('R1', 'R2') THEN 'matched'
-              ELSE 'review' END AS status,
-         ruleApplied,
-         {_reason_case(A8_TEXT, _A8_VALUES, ("R6", "R5", "R4", "R1", "R2", "R3"))} AS reason,
-         ruleApplied IN ('R3', 'R4') AS humanInLoop
-  FROM a8_rule),
+{_a7_sql('a7', K.SHIPPED_RULES)},
+{_a8_sql('a8', K.SHIPPED_RULES)},
+{_a7_sql('a7_changed', K.CHANGED_RULES)},
+{_a8_sql('a8_changed', K.CHANGED_RULES)},
 g13 AS (
   SELECT invoiceId,
          count(*) FILTER (WHERE status = 'matched') AS matched,
@@ -181,6 +203,9 @@ fx_lookup AS (
 _AUD = "upper(currency) = 'AUD'"
 
 RULE_SELECTS: dict[str, str] = {
+    "classify_lines_shipped_rules": "SELECT * FROM a8",
+    "classify_lines_changed_rules": "SELECT * FROM a8_changed",
+    "classify_aud_changed_rules": "SELECT * FROM a7_changed",
     "fx_rate_lookup": "SELECT invoiceId, currency, invoiceDate, CAST(found_rate AS DOUBLE) AS rate FROM fx_lookup",
     "fx_convert": (
         f"SELECT invoiceId, currency, invoiceDate, totalAmount, "

@@ -8,13 +8,15 @@ reproducible and comparable with the DuckDB oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import gold, obs, silver
-from ..sources import driver, runs
+from ..operators import gold, obs, reports, silver
+from ..session import scratch_folder
+from ..sources import driver, runs, tables
 from .model import Model
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +171,60 @@ def _g17b(m: Model) -> DataFrame:
     return gold.default_measures(lat, ["run_day"], gold.LATENCY_MEASURES)
 
 
+@query("line_measures_by_level")
+def _g17c(m: Model) -> DataFrame:
+    """The line measures by vendor and category, by each of them and in all, in one pass."""
+    return gold.measures_by_levels(m.silver_lines, ["vendorName", "categoryName"],
+                                   [["vendorName", "categoryName"], ["vendorName"], ["categoryName"], []])
+
+
+@query("unit_price_medians_by_day")
+def _g3_sketches(m: Model) -> DataFrame:
+    """G3 from the saved sketches of each day: how many prices, and whether the
+    median's rank is within one percent of the half."""
+    sketches = m.fresh("price-sketches", gold.price_sketches(m.silver_lines))
+    medians = gold.medians_of_sketches(sketches)
+    named = F.col("l.categoryName").eqNullSafe(F.col("s.categoryName"))
+    ranks = (m.silver_lines.where("convertedUnitPrice is not null").alias("l").join(F.broadcast(medians).alias("s"), named)
+             .groupBy("s.categoryName", "prices")
+             .agg(F.avg((F.col("convertedUnitPrice") < F.col("median_unit_price_aud")).cast("int")).alias("below"),
+                  F.avg((F.col("convertedUnitPrice") <= F.col("median_unit_price_aud")).cast("int")).alias("up_to")))
+    return ranks.select("categoryName", "prices", ((F.col("below") <= 0.51) & (F.col("up_to") >= 0.49)).alias("within_error"))
+
+
+# --- reports (O1, O2) -----------------------------------------------------------
+
+def _ranked(m: Model, report: str, df: DataFrame) -> DataFrame:
+    name = f"saved_{uuid.uuid4().hex}"
+    tables.create_schema(m.spark, name, f"{scratch_folder(m.spark)}/{name}")
+    reports.save_sorted(df, f"{name}.{report}", reports.REPORT_ORDER[report])
+    return reports.read_ranked(m.spark, f"{name}.{report}", reports.REPORT_ORDER[report])
+
+
+@query("spend_report")
+def _o1_spend(m: Model) -> DataFrame:
+    """O1: spend by vendor and month, saved in its reading order, each row with its place."""
+    return _ranked(m, "gold_spend_by_vendor_month", gold.spend_by_vendor_month(m.silver_invoice))
+
+
+@query("price_report")
+def _o1_prices(m: Model) -> DataFrame:
+    """O1: all lines by how far their price is off the median, the farthest first."""
+    return _ranked(m, "gold_unit_price_benchmark", gold.unit_price_benchmark(m.silver_lines, m.category_medians))
+
+
+@query("header_preview")
+def _o2_headers(m: Model) -> DataFrame:
+    """O2: the first 20 invoice headers."""
+    return reports.preview(m.bronze_header.drop("ingested_at"), (("run_id", True), ("fileName", True)), 20)
+
+
+@query("manifest_preview")
+def _o2_manifest(m: Model) -> DataFrame:
+    """O2: the first 50 files by run and time."""
+    return reports.preview(m.bronze_manifest, reports.REPORT_ORDER["bronze_run_manifest"], 50)
+
+
 # --- observability -------------------------------------------------------------
 
 @query("stage_timestamps")

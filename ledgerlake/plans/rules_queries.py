@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.columns import run_id_of
 from ..operators import fx
 from ..operators import ledger as L
 from ..operators import rules as R
+from ..session import scratch_folder
 from ..sources import driver
 from .model import Model
 from .registry import query
@@ -96,6 +100,33 @@ def _a8(m: Model) -> DataFrame:
     return R.classify_category(m.matched_in_category)
 
 
+def _rules_file(m: Model, rows) -> DataFrame:
+    """A rules file, written as JSON and read back as one row a rule."""
+    fields = ", ".join(f"{c} {t}" for c, t in zip(K.RULE_FIELDS, ("string", "string", "boolean", "double", "double", "double")))
+    path = f"{scratch_folder(m.spark)}/rules-{uuid.uuid4().hex}"
+    rules = m.spark.createDataFrame([(list(rows),)], f"rules array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>")
+    rules.select(F.to_json(F.struct("rules")).alias("value")).write.text(path)
+    return L.read_rules_json(m.spark, path)
+
+
+@query("classify_lines_shipped_rules")
+def _a8_shipped(m: Model) -> DataFrame:
+    """S8 + A8: classified by the shipped rules file, read as data."""
+    return R.classify_category(m.matched_in_category, R.rules_of(_rules_file(m, K.SHIPPED_RULES)))
+
+
+@query("classify_lines_changed_rules")
+def _a8_changed(m: Model) -> DataFrame:
+    """S8 + A8: classified by a changed rules file."""
+    return R.classify_category(m.matched_in_category, R.rules_of(_rules_file(m, K.CHANGED_RULES)))
+
+
+@query("classify_aud_changed_rules")
+def _a7_changed(m: Model) -> DataFrame:
+    """S8 + A7: AUD values classified by a changed rules file."""
+    return R.classify_aud(m.matched_global, R.rules_of(_rules_file(m, K.CHANGED_RULES)))
+
+
 @query("match_outcome_summary")
 def _g13(m: Model) -> DataFrame:
     """Per-invoice outcome counts."""
