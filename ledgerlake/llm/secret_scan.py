@@ -145,10 +145,28 @@ def vocabulary(rules: tuple[Rule, ...]) -> list[str]:
 
 def build_index(texts: DataFrame, grams: list[str]) -> DataFrame:
     """The inverted index (trigram, text_id) of a frame with a column text,
-    for the given trigrams; ``trigram`` is the number in ``grams``."""
-    low = F.lower("text")
-    present = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(g)), F.lit(i)) for i, g in enumerate(grams)]))
-    postings = texts.select(text_key(F.col("text")).alias("text_id"), F.explode(present).alias("trigram"))
+    for the given trigrams; ``trigram`` is the number in ``grams``.
+
+    A text is lower-cased once, in a projection of its own, and its trigrams
+    are gathered as bits by generated code.  The bits are written before they
+    become postings: a filter on them, or a lambda over them, would search the
+    text again.
+    """
+    low = texts.select(text_key(F.col("text")).alias("text_id"), F.lower("text").alias("low"))
+
+    def bits(of: range) -> Column:
+        held = [F.when(F.contains("low", F.lit(grams[i])), F.lit(1 << i - of.start)).otherwise(F.lit(0)).cast("long") for i in of]
+        return reduce(lambda x, y: x.bitwiseOR(y), held)
+
+    words = [range(at, min(at + _WORD, len(grams))) for at in range(0, len(grams), _WORD)]
+    masks = written(low.select("text_id", *[bits(of).alias(f"m{w}") for w, of in enumerate(words)]), "trigram-bits")
+    masks = masks.where(reduce(or_, [F.col(f"m{w}") != 0 for w in range(len(words))]))
+
+    def numbers(mask: Column, of: range) -> Column:
+        return F.filter(F.array(*[F.lit(i) for i in of]), lambda i: F.getbit(mask, i - of.start) == 1)
+
+    present = F.concat(*[numbers(F.col(f"m{w}"), of) for w, of in enumerate(words)])
+    postings = masks.select("text_id", F.explode(present).alias("trigram"))
     return written(postings.select("trigram", "text_id").sortWithinPartitions("trigram"), "trigram-index")
 
 
@@ -183,25 +201,29 @@ def _matches(rule: Rule, text: Column, scan: Column | None) -> Column:
     return found if scan is None else F.when(scan, found)
 
 
+def running_sums(numbers: Column) -> Column:
+    """Sums of an array up to and with each entry, by doubling: in round j each
+    entry adds the one 2^j places before it.  (A fold that appends its results
+    would copy them all at every step.)"""
+    rounds = F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(F.size(numbers).cast("double"))).cast("int"), F.lit(0)))
+    return F.aggregate(rounds, numbers, lambda sums, j: F.transform(
+        sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.call_function("shiftleft", F.lit(1), j)), F.lit(0))))
+
+
 def _spans(rule: Rule, order: int, text: Column, matches: Column) -> Column:
     """Array of (start, order, span text) from the matches and the text
     between them."""
-    gaps = F.split(text, rule.java, -1)
-    groups = matches if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group))
-    parts = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("hit"), groups.alias("part"))
     none = F.expr("cast(array() as array<struct<start:int,order:int,span:string>>)")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(start.alias("start"), F.lit(order).alias("order"),
-                        F.concat_ws(":", F.lit(rule.kind), start, end).alias("span"))
-        return F.struct(end.alias("at"), F.when(F.length(x["part"]) >= rule.least, F.concat(state["out"], F.array(span)))
-                        .otherwise(state["out"]).alias("out"))
-
-    walked = F.aggregate(parts, zero, step)["out"]
-    return F.when(F.size(F.coalesce(matches, F.array())) > 0, walked).otherwise(none)
+    gaps = F.slice(F.split(text, rule.java, -1), 1, F.size(matches))
+    groups = matches if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.java), F.lit(rule.group))
+    ends = running_sums(F.zip_with(gaps, matches, lambda gap, hit: F.length(gap) + F.length(hit)))
+    found = F.filter(F.arrays_zip(ends.alias("end"), matches.alias("hit"), groups.alias("part")), lambda x: F.length(x["part"]) >= rule.least)
+
+    def span(x: Column) -> Column:
+        start = x["end"] - F.length(x["hit"])
+        return F.struct(start.alias("start"), F.lit(order).alias("order"), F.concat_ws(":", F.lit(rule.kind), start, x["end"]).alias("span"))
+
+    return F.when(F.size(F.coalesce(matches, F.array())) > 0, F.transform(found, span)).otherwise(none)
 
 
 def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -65,3 +65,25 @@ def test_rules_without_an_index(spark):
     only = (Rule("digits", r"[0-9]{4,}", base=True),)
     docs = spark.createDataFrame([(1, "a 12345 b 123 c 0000")], "doc_id long, text string")
     assert secret_scan.scan(docs, rules=only).first().spans == "digits:2:7,digits:16:20"
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+    rows = [(list(range(n)),) for n in (0, 1, 2, 3, 4, 5, 31, 32, 33, 1000)]
+    df = spark.createDataFrame(rows, "a array<int>")
+    for r in df.select("a", secret_scan.running_sums(F.col("a")).alias("s")).collect():
+        assert r.s == [sum(r.a[:i + 1]) for i in range(len(r.a))]
+
+
+def test_many_spans_in_one_text_take_no_quadratic_time(spark):
+    import time
+    def seconds(n):
+        text = " ".join(f"{i:016x}" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.perf_counter()
+        row = secret_scan.scan(docs).first()
+        assert row.n_hex == n and row.spans.endswith(f",hex:{17 * (n - 1)}:{17 * n - 1}")
+        return time.perf_counter() - start
+    seconds(1000)
+    few, many = seconds(20_000), seconds(200_000)
+    assert many < 40 * few + 5
