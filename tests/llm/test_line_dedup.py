@@ -60,3 +60,11 @@ def test_hosts_of_two_to_five_pages(spark):
     assert all(got[i] == (i // 10 >= floor) for i in got)  # under the floor nothing goes
     got = {i: (text, n) for i, text, _, n in drop(spark, rows, ratio=queries.BOILERPLATE_RATIO, min_pages=2)}
     assert all(v == (f"own {i // 10} {i % 10}", 1) for i, v in got.items())
+
+
+def test_every_row_is_a_page(spark):
+    rows = [(i, "menu\nsame", "a", "x") for i in range(100)] + [(200 + i, f"own {i}", "a", "x") for i in range(4)]
+    assert all(n == 2 for i, _, _, n in drop(spark, rows, ratio=0.06, once_a_text=False) if i < 100)
+    assert all(n == 0 for *_, n in drop(spark, rows, ratio=0.25))  # one page of five, mirrored
+    four = [(i, f"menu\n{i}", "b", "x") for i in range(4)]
+    assert all(n == 1 for *_, n in drop(spark, four, ratio=0.06, once_a_text=False))
