@@ -14,15 +14,14 @@ unless told otherwise).
 Given a ``language`` column, the raw model has the languages' mix among the
 labelled documents (good and poor): a language's raw counts are weighted by the
 share of its documents that is labelled, so one with few labels is not taken
-for poor.  If all shares are within ``EVEN`` of that of all documents they count
-as equal.
+for poor.
 
 ``k`` documents are
 drawn without replacement in proportion to their weights to the power
 ``sharpness`` by Gumbel top-k: the k largest of sharpness * log weight + Gumbel
 noise, the noise a function of (seed, doc_id, text), so the draw can be
-repeated.  (A higher sharpness leaves less to chance for short documents,
-whose weights are near 1.)
+repeated.  The power is 1 unless asked: a higher one leaves less to chance for
+short documents, whose weights are near 1.
 
 ``k`` is the number of documents whose weight reaches the cut that best tells
 labelled good documents from labelled poor ones (balanced accuracy over all
@@ -61,9 +60,7 @@ BUCKETS = 1 << 15
 PRIOR = 500.0
 #: The prior in units of the target's mean count a bucket (500 at sf0.01).
 PRIOR_SHARE = 52.0
-#: Shares of labelled documents that are all this near to the overall one are taken for even.
-EVEN = 0.12
-SHARPNESS = 4.0
+SHARPNESS = 1.0
 _UNIT = 1 << 20  # weights of languages are whole numbers up to this, so sums are exact
 _BINS = 1024
 
@@ -140,10 +137,7 @@ def language_weights(rows: DataFrame) -> DataFrame:
     """(of, weight): by ``language`` the share of the rows (language, good) that
     are labelled, in units of the largest share."""
     held = written(rows.groupBy("language").agg(F.count(F.lit(1)).alias("all"), F.count("good").alias("own")), "quality-languages")
-    share, (own, total) = F.col("own") / F.col("all"), held.agg(F.sum("own"), F.sum("all")).first()
-    whole = (own or 0) / (total or 1)
-    if (held.agg(F.max(F.abs(share - whole))).first()[0] or 0.0) <= EVEN * whole:
-        share = F.lit(whole)
+    share = F.col("own") / F.col("all")
     most = held.agg(F.max(share)).first()[0] or 1.0
     weight = F.when(share > 0, F.greatest(F.lit(1), F.round(share * (_UNIT / most)))).otherwise(0)
     return held.select(F.col("language").alias("of"), weight.cast("long").alias("weight"))

@@ -31,7 +31,8 @@ first; with one document it is its own neighbour.  Rows with a null doc_id come
 first, ties in doc_id are ordered by text.
 
 At scale: neighbours need no global window.  Documents are dealt by ranges of
-doc_id (bounds from all ids' quantiles) and sorted within them; the first row
+doc_id (bounds from all ids' quantiles, as many ranges as the texts' bytes ask
+for), each range to a task of its own, and sorted within them; the first row
 of each range also goes to the range before it, as its last neighbour.  Texts
 are shuffled once, and rows stream through a task one batch at a time.
 """
@@ -57,6 +58,9 @@ RATE = 32
 _LEAST = (1 << 32) // RATE
 _TURN = 1 << 24
 _CHUNK = 1 << 20
+#: Bytes of text that a range of neighbours is to hold.
+RANGE_BYTES = 64 << 20
+_MOST_ID = (1 << 63) - 1
 
 
 def syncmers(points: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +157,7 @@ def _ranges(docs: DataFrame, parts: int) -> list:
     """Upper bounds (exclusive) of ``parts`` ranges of doc_id."""
     share = [i / parts for i in range(1, parts)]
     bounds = docs.select(F.col("id").cast("double").alias("x")).approxQuantile("x", share, 0.2 / parts) if share else []
-    return sorted(set(int(b) + 1 for b in bounds))
+    return sorted(set(min(int(b) + 1, _MOST_ID) for b in bounds))  # any bounds are right, even ones are quick
 
 
 def _range_number(bounds: list[int]) -> Column:
@@ -172,7 +176,9 @@ def neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """(part, id, text, tail): rows dealt by ranges of id, sorted; a ``tail``
     row is the first row of the following range (of the first one, after the
     last) and is there only as a neighbour.  ``docs`` has id (an integer) and text."""
-    parts = parts or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        parts = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
     part = F.when(F.col("id").isNull(), 0).otherwise(_range_number(_ranges(docs.select("id"), parts)))
     dealt = docs.select(part.cast("int").alias("part"), "id", "text")
     order = F.struct(F.col("id").isNotNull().alias("known"), "id", F.xxhash64("text").alias("digest"))
@@ -191,7 +197,7 @@ def neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
         F.struct("part", F.lit(False).alias("tail")), F.struct(F.element_at(before, at).alias("part"), F.lit(True).alias("tail"))))
     spread = dealt.select("id", "text", F.explode(F.coalesce(copies, F.array(
         F.struct("part", F.lit(False).alias("tail"))))).alias("x"))
-    return (spread.select("x.part", "id", "text", "x.tail").repartition(parts, "part")
+    return (spread.select("x.part", "id", "text", "x.tail").repartitionById(parts, F.col("part"))
             .sortWithinPartitions("part", "tail", F.col("id").asc_nulls_first(), F.xxhash64("text")))
 
 

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import quality, queries
 
@@ -31,7 +32,9 @@ def test_query_matches_brute_force(spark):
     scored = quality.score(queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels"))
     weighed = {r.doc_id: r for r in scored.select("doc_id", "log_weight", "gumbel_weight", "good").collect()}
     assert max(abs(weighed[i].log_weight - w) for i, w in want.items()) < 1e-6
-    # the draw: as many as reach the best cut, the largest noisy weights
+    # the draw, with the query's own weights: as many as reach the best cut, the largest noisy weights
+    scored = quality.score(queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels"), prior=None, language=F.col("lang"))
+    weighed = {r.doc_id: r for r in scored.select("doc_id", "log_weight", "gumbel_weight", "good").collect()}
     marked = sorted((weighed[i].log_weight, q) for i, q in labels.items())
     values = np.array([w for w, _ in marked])
     flags = np.array([q for _, q in marked])
@@ -48,6 +51,36 @@ def test_query_matches_brute_force(spark):
     assert np.mean([i in kept for i in good]) > 0.97 and np.mean([i in kept for i in poor]) < 0.1
 
 
+def test_registered_weights_match_brute_force(spark):
+    """As the query has them: prior relative to the target, raw text weighted
+    to the labels' languages, noise at power 1."""
+    docs = {r.doc_id: r for r in queries.table(spark, SF, "documents").collect()}
+    labels = {r.doc_id: r.quality for r in queries.table(spark, SF, "labels").collect()}
+    own, whole = {}, {}
+    for i, r in docs.items():
+        whole[r.lang] = whole.get(r.lang, 0) + 1
+        own[r.lang] = own.get(r.lang, 0) + (i in labels)
+    share = {x: own[x] / whole[x] for x in whole}
+    weight = {x: round(share[x] * 2 ** 20 / max(share.values())) for x in share}
+    grams = {}
+    for i, r in docs.items():
+        ids = [zlib.crc32(w.encode()) for w in quality._TOKENS(r.text or "")]
+        mask, spread = (1 << 64) - 1, 0x9E3779B97F4A7C15
+        two = [0 if a == b else ((((a * spread + b + 1) & mask) * spread & mask) >> 40) % quality.BUCKETS for a, b in zip(ids, ids[1:])]
+        grams[i] = [((x * spread & mask) >> 40) % quality.BUCKETS for x in ids] + two
+    raw, good = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for i, g in grams.items():
+        np.add.at(raw, g, weight[docs[i].lang])
+        if labels.get(i):
+            np.add.at(good, g, 1)
+    prior = quality.PRIOR_SHARE * good.mean()
+    ratios = np.log((good + prior) / (raw * good.sum() / raw.sum() + prior))
+    got = queries.op6_quality_resample(spark, SF).collect()
+    assert len(got) > 500 and max(abs(r.log_weight - ratios[grams[r.doc_id]].sum()) for r in got) < 1e-6
+    noise = [r.gumbel_weight - r.log_weight for r in got]
+    assert 0.4 < np.mean(noise) < 0.8 and 1.0 < np.std(noise) < 1.6  # 0.577 and 1.28 for Gumbel's
+
+
 def test_kth_largest_and_ties(spark):
     rng = np.random.default_rng(1)
     values = np.concatenate((rng.normal(size=500) * 10.0 ** rng.integers(-6, 6, 500), np.full(40, 3.25)))

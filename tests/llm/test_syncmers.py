@@ -78,6 +78,24 @@ def test_neighbours_across_ranges(spark):
         assert [got[i].edited_sha256 for i in sorted(ids)] == [hashlib.sha256(t.encode()).hexdigest() for t in want]
 
 
+def test_any_long_id_and_ranges_by_bytes(spark, monkeypatch):
+    top = (1 << 63) - 1
+    ids = [-top - 1, -top, -1, 0, 7, 1 << 53, (1 << 53) + 1, top - 2, top - 1, top]
+    rows = [(i, f"text of number {n} " * 3, "x") for n, i in enumerate(ids)]
+    want = edited([t for _, t, _ in rows])
+    for parts in (1, 4, 9):
+        got = walk(spark, rows, parts)
+        assert [got[i].edited_sha256 for i in ids] == [hashlib.sha256(t.encode()).hexdigest() for t in want]
+    docs = spark.createDataFrame([(i, "y" * 1000) for i in range(200)], "id long, text string")
+    monkeypatch.setattr(syncmers, "RANGE_BYTES", 4000)
+    dealt = syncmers.neighbours(docs)
+    held = dealt.where("not tail").groupBy("part").count().collect()
+    assert len(held) >= 45 and max(r["count"] for r in held) <= 12
+    from pyspark.sql import functions as F
+    tasks = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("part").alias("ranges")).collect()
+    assert len(tasks) == len(held) and all(t.ranges == 1 for t in tasks)
+
+
 def test_nulls_repeats_and_small_tables(spark):
     assert walk(spark, [], 4) == {}
     one = walk(spark, [(7, "only document here", None)], 4)[7]
