@@ -58,3 +58,44 @@ def test_other_columns_do_not_matter(spark):
     docs = spark.createDataFrame(rows, "id long, body string, digest string")
     got = sorted(tuple(r) for r in rlz.remove_repeats(docs, "id", "body", window=3, gram=2).drop("spans").collect())
     assert got == [(1, 6, 4, "a b"), (2, 5, 4, "g")]
+
+
+def longest(text, at, blocks, own):
+    """Longest match of the words from ``at`` on in one reference block, not at the place itself."""
+    best = 0
+    for name, words in blocks:
+        for p, w in enumerate(words):
+            if w == text[at] and (name, p) != (own, at):
+                n = 0
+                while at + n < len(text) and p + n < len(words) and text[at + n] == words[p + n]:
+                    n += 1
+                best = max(best, n)
+    return best
+
+
+def greedy_parse(rows, window, block_rows):
+    """The relative Lempel-Ziv form, document by document and block by block:
+    greedy factors against the block, long ones are duplicate, and behind each
+    factor's start the matches that run over its end are looked up as well."""
+    texts = [(k, brute.words_of(t)) for k, (_, t) in enumerate(rows)]
+    gone = {k: set() for k, _ in texts}
+    for first in range(0, len(texts), block_rows):
+        block = texts[first:first + block_rows]
+        for k, words in texts:
+            at = 0
+            while at < len(words):
+                n = max(longest(words, at, block, k), 1)
+                for j in range(at, min(at + n, len(words))):
+                    m = longest(words, j, block, k) if j > at else n
+                    if m >= window:
+                        gone[k] |= set(range(j, j + m))
+                at += n
+    return sorted((i, len(w), len(gone[k]), " ".join(x for p, x in enumerate(w) if p not in gone[k])) for (k, w), (i, _) in zip(texts, rows))
+
+
+def test_the_same_words_go_as_by_greedy_factors_against_every_block(spark):
+    rng = random.Random(9)
+    shared = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (6, 9, 14)]
+    rows = [(i, " ".join(rng.choice([*shared, rng.choice("abcdefgh")]) for _ in range(rng.randint(0, 8)))) for i in range(24)]
+    for window, block_rows in ((4, 5), (6, 24)):
+        assert kept(spark, rows, window=window, gram=2) == greedy_parse(rows, window, block_rows)
