@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, obs, silver
 from ..sources import driver, runs, tables
+from .payload_queries import run_results
 
 LAYERS = ("bronze", "silver", "gold", "obs")
 
@@ -27,10 +28,12 @@ def _write_all(spark: SparkSession, layer: str, frames: dict[str, DataFrame]) ->
 
 
 def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    email = driver.bronze_email(spark, sf_dir)
     return {
         "bronze_invoice_header": driver.bronze_header(spark, sf_dir),
         "bronze_invoice_lineitem": driver.bronze_lines(spark, sf_dir),
-        "bronze_ingestion_email": driver.bronze_email(spark, sf_dir),
+        "bronze_ingestion_email": email,
+        "bronze_run_result": run_results(email),
         "bronze_run_manifest": driver.bronze_manifest(spark, sf_dir),
     }
 
@@ -38,8 +41,13 @@ def bronze_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
 def run_pipeline(spark: SparkSession, bronze_frames: dict[str, DataFrame]) -> dict[str, dict[str, DataFrame]]:
     """Write all four layers; returns the tables read back per layer."""
     bronze = _write_all(spark, "bronze", bronze_frames)
-    sil = _write_all(spark, "silver", silver.silver(bronze["bronze_invoice_header"],
-                                                    bronze["bronze_invoice_lineitem"]))
+    header, lines = bronze["bronze_invoice_header"], bronze["bronze_invoice_lineitem"]
+    # the headers are deduplicated once: lines and issues read the written ones
+    sil = _write_all(spark, "silver", {"silver_invoice": silver.latest_headers(header)})
+    latest = sil["silver_invoice"]
+    sil |= _write_all(spark, "silver", {
+        "silver_invoice_lineitem": silver.latest_lines(lines, latest),
+        "silver_dq_issues": silver.dq_issues(silver.checked_from_lines(latest, lines))})
     ob = _write_all(spark, "obs", obs.obs(bronze["bronze_run_manifest"], bronze["bronze_invoice_header"]))
     gld = _write_all(spark, "gold", gold.gold(sil["silver_invoice"], sil["silver_invoice_lineitem"]))
     return {"bronze": bronze, "silver": sil, "gold": gld, "obs": ob}

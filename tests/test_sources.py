@@ -105,6 +105,7 @@ def test_medallion_from_folders(spark, tmp_path):
     assert out["silver"]["silver_invoice"].count() == 1
     assert out["silver"]["silver_invoice"].first()["run_id"] == "run-002"
     assert spark.table("gold.gold_spend_by_vendor_month").count() == 1
+    assert out["silver"]["silver_invoice_lineitem"].count() == 2 and out["bronze"]["bronze_run_result"].count() == 1
     lat = spark.table("obs.obs_stage_latency").filter(F.col("run_id") == "run-002").first()
     assert lat["ingested"] is not None and lat["final"] is not None and lat["agent_input"] is None
     dq = {r["rule"] for r in spark.table("silver.silver_dq_issues").collect()}
