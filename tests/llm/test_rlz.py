@@ -90,7 +90,8 @@ def greedy_parse(rows, window, block_rows):
                     if m >= window:
                         gone[k] |= set(range(j, j + m))
                 at += n
-    return sorted((i, len(w), len(gone[k]), " ".join(x for p, x in enumerate(w) if p not in gone[k])) for (k, w), (i, _) in zip(texts, rows))
+    return sorted(((i, len(w), len(gone[k]), " ".join(x for p, x in enumerate(w) if p not in gone[k]))
+                   for (k, w), (i, _) in zip(texts, rows)), key=repr)
 
 
 def test_the_same_words_go_as_by_greedy_factors_against_every_block(spark):
