@@ -49,8 +49,16 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not shuffle_partitions and _is_local(spark) and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
-        spark.conf.set("spark.sql.shuffle.partitions", str(os.cpu_count() or 8))
+    if _is_local(spark):
+        cores = os.cpu_count() or 8
+        # a root of many folders is listed by up to 10,000 tasks, which suits a cluster only
+        defaults = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * cores)}
+        if not shuffle_partitions:
+            defaults["spark.sql.shuffle.partitions"] = str(cores)
+        given = spark.sparkContext.getConf()
+        for key, value in defaults.items():
+            if not given.contains(key):
+                spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     return spark
 
