@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.columns import classify_stage, seconds_between
+from .reports import Order, read_ranked, save_sorted
 
 
 def with_stage(manifest: DataFrame) -> DataFrame:
@@ -76,6 +77,46 @@ def duplicate_runs(hdr: DataFrame) -> DataFrame:
             .select("t.invoiceId", "t.vendorName", "t.run_id", "c.run_count"))
 
 
+RUN_ORDER: Order = (("run_id", True),)
+
+
+def number_runs(spark: SparkSession, runs: DataFrame, table: str, known: DataFrame | None = None) -> DataFrame:
+    """(run_id, run_no): the runs of ``runs`` numbered without gaps, saved as
+    ``table``.  ``known`` are the numbers given before: their runs keep them,
+    new runs go on behind the last.  Numbers follow run_id, so the runs of a
+    day lie side by side; a null run_id has no number.
+    """
+    new = runs.select("run_id").where(F.col("run_id").isNotNull()).distinct()
+    if known is not None:
+        new = new.join(known, "run_id", "left_anti")
+    save_sorted(new, table, RUN_ORDER)
+    numbers = read_ranked(spark, table, RUN_ORDER).select("run_id", F.col("rank").alias("run_no"))
+    if known is None:
+        return numbers
+    last = known.agg(F.coalesce(F.max("run_no"), F.lit(0)).alias("_last"))  # one row
+    return known.select("run_id", "run_no").unionByName(
+        numbers.join(F.broadcast(last)).select("run_id", (F.col("run_no") + F.col("_last")).alias("run_no")))
+
+
+def run_bitmaps(rows: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
+    """Which runs each key has (G11), as bitmaps of 32,768 run numbers: (keys,
+    bucket, bitmap).  With the day among the keys a new day is only added;
+    any coarser keys are merged from the saved bitmaps.  A bitmap is 4 KB
+    however few its runs, so this is for keys with many runs; invoices,
+    nearly all of one run, are counted by :func:`duplicate_runs`.
+    """
+    seen = rows.select("run_id", *keys).distinct().join(numbers, "run_id")
+    return (seen.groupBy(*keys, F.bitmap_bucket_number("run_no").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("run_no")).alias("bitmap")))
+
+
+def runs_of_bitmaps(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact number of distinct runs of each of ``keys``, from saved bitmaps
+    at these or finer keys; the rows they come from are not read again."""
+    merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("bitmap")).alias("run_count"))
+
+
 def ingestion_status_summary(email: DataFrame) -> DataFrame:
     """Runs per ingestion status."""
     return email.groupBy("ingestionStatus").agg(F.count(F.lit(1)).alias("runs"))

@@ -333,6 +333,9 @@ SELECTS: dict[str, str] = {
         "c AS (SELECT invoiceId, vendorName, count(*) AS run_count FROM t GROUP BY 1, 2 HAVING count(*) > 1) "
         "SELECT t.invoiceId, t.vendorName, t.run_id, c.run_count FROM t "
         "JOIN c ON t.invoiceId IS NOT DISTINCT FROM c.invoiceId AND t.vendorName IS NOT DISTINCT FROM c.vendorName"),
+    "runs_by_stage": (
+        "SELECT stage, CAST(date_trunc('week', strptime(substr(run_id, 5, 8), '%Y%m%d')) AS DATE) AS week, "
+        "count(DISTINCT run_id) AS run_count FROM stage_rows GROUP BY ALL"),
     "ingestion_status_summary": "SELECT ingestionStatus, count(*) AS runs FROM bronze_email GROUP BY 1",
     "email_decisions": "SELECT run_id, ingestionStatus, reason, email_from, email_subject FROM bronze_email",
     "discover_runs": "SELECT DISTINCT run_id FROM bronze_manifest WHERE starts_with(run_id, 'run-')",

@@ -251,6 +251,22 @@ def _g11(m: Model) -> DataFrame:
     return obs.duplicate_runs(m.bronze_header)
 
 
+@query("runs_by_stage")
+def _g11_bitmaps(m: Model) -> DataFrame:
+    """G11 from saved bitmaps: distinct runs by stage and week, merged from those of each day;
+    the days after a month's 20th come later than the others and are added to them."""
+    day = driver.run_date(F.col("run_id"))
+    rows = obs.with_stage(m.bronze_manifest).select("run_id", "stage", day.alias("day"))
+    first = F.coalesce(F.day("day") <= 20, F.lit(True))
+    name = f"saved_{uuid.uuid4().hex}"
+    tables.create_schema(m.spark, name, f"{scratch_folder(m.spark)}/{name}")
+    known = obs.number_runs(m.spark, rows.where(first), f"{name}.first_runs")
+    numbers = obs.number_runs(m.spark, rows.where(~first), f"{name}.later_runs", known)
+    days = [m.fresh("run-bitmaps", obs.run_bitmaps(rows.where(part), numbers, ["stage", "day"])) for part in (first, ~first)]
+    saved = days[0].unionByName(days[1]).withColumn("week", F.date_trunc("week", "day").cast("date"))
+    return obs.runs_of_bitmaps(saved, ["stage", "week"])
+
+
 @query("ingestion_status_summary")
 def _g12(m: Model) -> DataFrame:
     """G12."""
