@@ -7,12 +7,12 @@ contaminated by an item if one of its windows of the item's length (the whole
 document, if it is shorter) has a weighted shingle similarity, sum of least
 over sum of greatest weights, of at least ``similarity`` with the item.
 
-1. Windows.  A window without any shingle of the benchmark has similarity 0,
-   so windows are laid only where the document and the benchmark share one:
-   so that the shared shingle stands in the window where it stands in the
-   item (moved inwards at the document's ends).  One window stands for all
-   shared shingles that follow each other.  Which item it was laid for is
-   forgotten.
+1. Windows.  Every window of an item's length, at every position, is judged
+   by how many of its positions hold a shingle of the items of that length: a
+   window with fewer than ``similarity`` times the item's shingles cannot
+   reach the similarity.  All others are laid, wherever they start; the
+   sorted positions give them as ranges of starts, without looking at one
+   window after the other.
 2. Fingerprints.  Each window and each item gets a 64-bit SimHash of its
    weighted shingles.  The bits are cut into ``blocks`` blocks, and items are
    indexed under every block value up to floor(radius / blocks) flips away:
@@ -27,8 +27,10 @@ fewer than ``shingle`` words (null and empty ones too) have no shingle and
 match nothing; equal items each match; of repeated rows each gets its own
 result rows, and so do rows with null ids.  Other columns are not looked at.
 
-At scale: the documents are read once and never shuffled; their shingles
-exist as hashes inside a task.  The benchmark is the stated query set: its
+At scale: the documents are read twice and never shuffled, only the positions
+of shared shingles are; shingles exist as hashes inside a task.  The second
+reading cuts the laid windows out of the texts that have any.  The benchmark
+is the stated query set: its
 index goes to every task, in blocks of items of bounded size, each block a
 pass over the documents.
 """
@@ -97,25 +99,47 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, shingle: int) -> Da
     return written(items.withColumn("ifp", simhash(F.col("ih"))), "benchmark-items")
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, shingle: int) -> DataFrame:
-    """(row, doc_id, text_id, n, start, n_words, wh): windows at shared shingles;
-    ``row`` tells repeated rows apart."""
-    laid = items.select("n", F.posexplode(F.arrays_zip(
-        F.col("ih").alias("h"),
-        F.concat(F.array(F.lit(None).cast("long")), F.slice("ih", 1, F.size("ih") - 1)).alias("before"))).alias("offset", "x"))
-    laid = laid.select("n", "offset", F.col("x.h").alias("h"), F.col("x.before").alias("before")).distinct()
+def _starts(docs: DataFrame, text_col: str, items: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(text_id, n, start): every window of ``n`` words, the length of an item,
+    that shares at least ``similarity`` of an item's shingles with the items
+    of that length."""
+    held = items.select("n", F.explode("ih").alias("h")).distinct()
     text = F.col(f"`{text_col}`").cast("string")
-    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"), text_key(text).alias("text_id"), words_of(text).alias("w"))
-    cut = cut.select("row", "doc_id", "text_id", F.size("w").alias("n_doc"), shingles_of(F.col("w"), shingle).alias("dh"))
+    cut = docs.select(text_key(text).alias("text_id"), words_of(text).alias("w"))
+    cut = cut.select("text_id", F.size("w").alias("n_doc"), shingles_of(F.col("w"), shingle).alias("dh"))
     # outer: for an inner explode Spark infers a filter on the array's size, pushes
     # it below the projections and so builds the shingles twice
-    at = cut.select("row", "doc_id", "text_id", "n_doc", "dh", F.posexplode_outer("dh").alias("pos", "h"))
-    met = at.join(small(laid, 40), "h").where(
-        "pos = 0 or before is null or dh[greatest(pos - 1, 0)] <> before")
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("offset"), F.col("n_doc") - F.col("n")))
-    met = met.select("row", "doc_id", "text_id", "n", "n_doc", start.alias("start"), "dh")
-    return met.select("row", "doc_id", "text_id", "n", "start", F.least("n", "n_doc").alias("n_words"),
-                      F.slice("dh", F.col("start") + 1, F.least("n", "n_doc") - (shingle - 1)).alias("wh"))
+    at = cut.select("text_id", "n_doc", F.posexplode_outer("dh").alias("pos", "h"))
+    shared = at.join(small(held, 16), "h").groupBy("text_id", "n", "n_doc").agg(F.array_sort(F.collect_set("pos")).alias("at"))
+    need = F.greatest(F.ceil(F.lit(similarity) * (F.col("n") - (shingle - 1)) - F.lit(1e-9)), F.lit(1)).cast("int")
+    reach, last = F.least("n", "n_doc") - shingle, F.greatest(F.col("n_doc") - F.col("n"), F.lit(0))
+
+    def range_of(pos: Column, i: Column) -> Column:
+        """The starts whose first shared position is ``pos`` and which reach the needed one."""
+        first = F.greatest(F.get("at", i + need - 1) - reach, F.coalesce(F.get("at", i - 1) + 1, F.lit(0)), F.lit(0))
+        return F.struct(first.alias("first"), F.least(pos, last).alias("last"), F.get("at", i + need - 1).alias("needed"))
+
+    ranges = shared.select("text_id", "n", F.explode_outer(F.filter(
+        F.transform("at", range_of), lambda r: r["needed"].isNotNull() & (r["first"] <= r["last"]))).alias("r"))
+    ranges = ranges.where(F.col("r").isNotNull())
+    return written(ranges.select("text_id", "n", F.explode(F.sequence("r.first", "r.last")).alias("start")), "window-starts")
+
+
+def _windows(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(row, doc_id, text_id, n, start, n_words, wh): all windows that can reach
+    the similarity; ``row`` tells repeated rows apart."""
+    starts = _starts(docs, text_col, items, shingle, similarity)
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
+                       text_key(text).alias("text_id"), text.alias("text"))
+    # the texts with windows are cut into shingles once, then their windows are
+    held = small(starts.select("text_id").distinct(), 32)
+    cut = rows.join(held, "text_id", "left_semi").select("row", "doc_id", "text_id", words_of(F.col("text")).alias("w"))
+    cut = written(cut.select("row", "doc_id", "text_id", F.size("w").alias("n_doc"), shingles_of(F.col("w"), shingle).alias("dh")),
+                  "texts-with-windows")
+    return cut.join(small(starts, 40), "text_id").select(
+        "row", "doc_id", "text_id", "n", "start", F.least("n", "n_doc").alias("n_words"),
+        F.slice("dh", F.col("start") + 1, F.least("n", "n_doc") - (shingle - 1)).alias("wh"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -136,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             "item", "n", "ifp", "x.block", F.col("ifp").bitwiseAND(F.col("x.mask")).bitwiseXOR(F.col("x.flip")).alias("value"))
         probes = F.array(*[F.struct(F.lit(b).alias("block"), F.lit(_signed(bits)).alias("mask")) for b, bits in enumerate(masks)])
         window = ["row", "n", "start"]
-        windows = _windows(docs, id_col, text_col, these, shingle).dropDuplicates(window)
+        windows = _windows(docs, id_col, text_col, these, shingle, similarity)
         windows = written(windows.withColumn("wfp", simhash(F.col("wh"))), "windows")
         probing = windows.select(*window, "wfp", F.explode(probes).alias("p")).select(
             *window, "wfp", "p.block", F.col("wfp").bitwiseAND(F.col("p.mask")).alias("value"))

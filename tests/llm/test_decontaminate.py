@@ -98,3 +98,28 @@ def test_repeated_rows_and_items_each_have_their_results(spark):
     got = decontaminate.contaminated(docs, items).collect()
     assert sorted((r.doc_id or 0, r.item_id) for r in got) == sorted([(0, 7)] * 4 + [(0, 8)] * 2 + [(1, 7)] * 6 + [(1, 8)] * 3)
     assert {(r.start, r.n_words, r.distance, r.similarity) for r in got} == {(0, 7, 0, 1.0)}
+
+
+def test_windows_at_every_position_are_looked_at(spark):
+    # the halves of the item change places amid other words: the window that holds
+    # both is the item's place by neither of them
+    half = [" ".join(f"{c}{i}" for i in range(45)) for c in "ab"]
+    around = " ".join(f"f{i}" for i in range(60))
+    docs = [(1, f"{around} {half[1]} {half[0]} {around}"), (2, f"{around} {half[0]} {around} {half[1]}")]
+    items = [(7, f"{half[0]} {half[1]}")]
+    assert found(spark, docs, items) == leaks(docs, items, every=True) == {(1, 7)}
+
+
+def test_every_alike_window_is_found_once(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choices([f"w{j}" for j in range(200)], k=30))) for i in range(3)]
+    docs = [(1, "x " * 9 + items[0][1] + " y" * 9), (2, items[1][1] + " z"), (3, " ".join(items[2][1].split()[:28]))]
+    want = []
+    for d, text in docs:
+        words = text.split()
+        for i, item in items:
+            n = min(30, len(words))
+            want += [(d, i, s, n) for s in range(len(words) - n + 1)
+                     if brute.multiset_similarity(shingles(words[s:s + n]), shingles(item.split())) >= 0.8]
+    rows = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.n_words) for r in rows) == sorted(want) and len(want) > 5
