@@ -88,3 +88,49 @@ def test_long_texts_do_not_end_the_sample(spark):
     clean, bad = sizes(4)  # nothing fits: one of each class
     assert (clean, bad) == ([13], [13])
     assert [len(x) for x in sizes(10_000_000)] == [180, 40]
+
+
+def test_learns_from_every_labelled_document(spark):
+    # 7000 clean texts: more than a class's old share of the fit; one word is in 12 toxic texts only
+    rows = [(i, f"plain words number{i % 50} and more") for i in range(7000)] + [(10_000 + i, f"plain words vile{i % 4}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, int(i >= 10_000)) for i, _ in rows], "doc_id long, toxic int")
+    usable = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    counted = []
+    old = toxicity.row_counts
+
+    def spied(coded):
+        counted.append({r.kept: r["count"] for r in coded.groupBy("kept").count().collect()})
+        return old(coded)
+
+    toxicity.row_counts = spied
+    try:
+        got = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    finally:
+        toxicity.row_counts = old
+    assert set(counted[0]) == {False} and 0.7 * len(usable) < counted[0][False] < 0.8 * len(usable) and counted[0][False] > 4000
+    assert np.mean([got[i] >= 0.5 for i, _ in rows if i >= 10_000]) > 0.9 and np.mean([got[i] >= 0.5 for i, _ in rows if i < 10_000]) < 0.05
+
+
+def test_counts_over_all_texts_are_plain_counts(spark):
+    codes = toxicity.WordCodes()
+    texts = [("a b a", 1), ("b c", 0), ("a", 0), ("", 1)] * 3
+    flat = [(t, toxicity.codes_of([x.encode()], codes)[0].tolist()) for x, t in texts]
+    coded = spark.createDataFrame(flat, "toxic int, codes array<long>").repartition(4)
+    held = toxicity.row_counts(coded)
+    want = np.zeros_like(held)
+    for t, c in flat:
+        for i in range(len(toxicity.TABLES)):
+            want[i, t, sorted({x >> 16 * i & 0xFFFF for x in c})] += 1
+    assert (held == want).all()
+
+
+def test_shortened_text_has_the_same_maxima():
+    rng, codes = np.random.default_rng(4), toxicity.WordCodes()
+    net = toxicity.Network.start(rng)
+    for t in net.tables:
+        t[1:] = rng.normal(size=t[1:].shape)
+    flat, lengths = toxicity.codes_of([" ".join(f"w{i}" for i in rng.integers(0, 5000, 150_000)).encode()], codes)
+    short = toxicity.shortened(net, flat)
+    assert len(short) < 200
+    assert (net.pooled(short, np.array([len(short)])) >= net.pooled(flat, lengths) - 1e-4).all()
