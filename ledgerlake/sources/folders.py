@@ -1,4 +1,4 @@
-"""Run folders written by the cluster: one file per row, at a path that the row names.
+"""Run folders written and read by the cluster: one file per row, at a path that the row names.
 
 Spark's own writers name their files, but the app's layout is
 ``<root>/run-<digits>/<file>``.  Each task writes the files of its rows
@@ -37,7 +37,6 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 def _write(files: fs.FileSystem, path: str, text: bytes) -> None:
     folder, name = path.rsplit("/", 1)
-    files.create_dir(folder, recursive=True)
     hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with files.open_output_stream(hidden) as out:
         out.write(text)
@@ -63,7 +62,11 @@ def write_run_files(rows: DataFrame, root: str, inventory: str) -> DataFrame:
         for batch in batches:
             folders, names = batch.column("folder"), batch.column("file_name")
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+            made = None
             for folder, name, text in zip(folders.to_pylist(), names.to_pylist(), texts):
+                if folder != made:  # a folder's files follow each other
+                    files.create_dir(f"{base.rstrip('/')}/{folder}", recursive=True)
+                    made = folder
                 _write(files, f"{base.rstrip('/')}/{folder}/{name}", text)
             yield pa.RecordBatch.from_arrays([folders, names, pa.array([len(t) for t in texts], pa.int64())],
                                              ["folder", "file_name", "size_bytes"])
@@ -71,3 +74,47 @@ def write_run_files(rows: DataFrame, root: str, inventory: str) -> DataFrame:
     placed = rows.select("folder", "file_name", "text").dropna(subset=["folder", "file_name"])
     placed.mapInArrow(write, INVENTORY).write.parquet(inventory)
     return spark.read.schema(INVENTORY).parquet(inventory)
+
+
+# --- listed and read by the tasks -----------------------------------------------------
+# Spark's file index brings the status of every file to the driver and plans each
+# small file as four MB.  Where the names of the folders are a table, the tasks
+# list and read them instead.
+
+LISTED = "path string, length long, modificationTime timestamp"
+
+
+def list_folders(names: DataFrame, root: str) -> DataFrame:
+    """The files in the folders of ``root`` that ``names`` (its column
+    ``folder``) has, at any depth: path, length, modificationTime.  As in
+    Spark's file scans empty files and hidden ones (``.`` or ``_`` first) are
+    left out; a folder that is not there has no files."""
+    uri = qualified(names.sparkSession, root)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(uri)
+        base = base.rstrip("/")
+        for batch in batches:
+            found = [i for folder in batch.column("folder").to_pylist()
+                     for i in files.get_file_info(fs.FileSelector(f"{base}/{folder}", allow_not_found=True, recursive=True))
+                     if i.type == fs.FileType.File and i.size and not any(p[0] in "._" for p in i.path[len(base) + 1:].split("/"))]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([uri.rstrip("/") + i.path[len(base):] for i in found], pa.string()), pa.array([i.size for i in found], pa.int64()),
+                pa.array([i.mtime_ns // 1000 for i in found], pa.int64()).cast(pa.timestamp("us", "UTC"))], ["path", "length", "modificationTime"])
+
+    return names.select("folder").dropna().distinct().mapInArrow(listed, LISTED)
+
+
+def read_texts(files: DataFrame, root: str) -> DataFrame:
+    """(path, text) of the files that :func:`list_folders` found."""
+    uri = qualified(files.sparkSession, root)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with system.open_input_stream(base.rstrip("/") + path[len(uri.rstrip("/")):]) as stream:
+                    text = stream.read().decode("utf-8", "replace")
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([text], pa.string())], ["path", "text"])
+
+    return files.select("path").mapInArrow(read, "path string, text string")
